@@ -1,0 +1,7 @@
+"""Intentionally empty.
+
+The loads this engine reproduces are bounded daily batches; nothing in them
+is a stream (no watermark, window, state or late-data rule).  Re-running a
+day is idempotent through dynamic partition overwrite (see ``sinks``), which
+is how late corrections are absorbed: reload the day by change date.
+"""
