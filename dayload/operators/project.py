@@ -100,11 +100,16 @@ def add_load_date(df: DataFrame, load_date: str) -> DataFrame:
 
 
 def normalize(df: DataFrame, spec: TableSpec, load_date: str, profile: LoadProfile) -> DataFrame:
-    """Source rows to stored rows for one table and day, as one projection."""
+    """Source rows to stored rows for one table and day, as one projection.
+
+    Day slices always carry ``LOAD_DATE`` (it is the partition column of the
+    store); a snapshot carries it only when the profile adds it."""
     keep = declared_present(df, spec.all_cols, profile.strict)
     change = spec.change_column if profile.change_day else None
     cols = [normalized_column(df, c, change) for c in keep]
-    return df.select(*cols, load_date_column(load_date))
+    if spec.dynamic or profile.with_load_date:
+        cols.append(load_date_column(load_date))
+    return df.select(*cols)
 
 
 def lower_column_names(df: DataFrame) -> DataFrame:

@@ -95,9 +95,12 @@ def sql_day_int(c: str) -> str:
     return f"COALESCE(CAST(strftime({c}, '%Y%m%d') AS BIGINT), 19700101)"
 
 
-def sql_column(name: str, logical: str, src_kind: str, change: bool) -> str:
+def sql_column(name: str, logical: str, src_kind: str, change: bool, parquet: str = "") -> str:
     """One normalised column.  ``src_kind``: num, int, text, ts."""
     c = f'"{name}"'
+    if parquet == "int32" and not change:
+        inner = sql_column(name, logical, src_kind, change).rsplit(" AS ", 1)[0]
+        return f"CAST({inner} AS INTEGER) AS {c}"
     if change:
         return f"{sql_day_int(c)} AS {c}"
     if logical == "float64":
@@ -143,7 +146,7 @@ KINDS = {
 def sql_select_list(spec: TableSpec, change_day: bool, load_date: str | None) -> str:
     kinds = KINDS[spec.table_name]
     cols = [sql_column(c.name, c.logical_type, kinds[c.name],
-                       change_day and c.name == spec.change_column)
+                       change_day and c.name == spec.change_column, c.parquet_type)
             for c in spec.all_cols if c.name in kinds]
     if load_date is not None:
         cols.append(f"CAST({int(load_date)} AS BIGINT) AS LOAD_DATE")
@@ -185,7 +188,8 @@ def load_sql(spec: TableSpec, load_date: str, by: str, change_day: bool = True,
         rows = change_rows_sql(spec, load_date)
     else:
         rows = business_rows_sql(spec, load_date)
-    sel = sql_select_list(spec, change_day, load_date if with_load_date else None)
+    sel = sql_select_list(spec, change_day,
+                          load_date if (with_load_date and (spec.dynamic or load_date)) else None)
     return f"SELECT {sel}\nFROM ({rows}) r"
 
 
@@ -195,3 +199,464 @@ W, O = V.WIND_LOAD_DATE, V.OTHER_LOAD_DATE
 @oracle("pipeline_load_change")
 def _():
     return load_sql(V.WINDEVENTS, W, "change")
+
+
+@oracle("pipeline_load_business")
+def _():
+    return load_sql(V.WINDEVENTS, W, "business")
+
+
+@oracle("pipeline_load_v1")
+def _():
+    return load_sql(V.ORDERSFEED, O, "business", change_day=False, with_load_date=False)
+
+
+def _count(sql: str) -> str:
+    return f"(SELECT count(*) FROM ({sql}) c)"
+
+
+def _audit_rows(specs, day, by) -> str:
+    parts = []
+    for s in specs:
+        rows = change_rows_sql(s, day) if by == "change" else business_rows_sql(s, day)
+        n = _count(rows)
+        parts.append(f"SELECT '{s.original_table}' AS select_table, {n} = 0 AS table_empty, "
+                     f"CAST({n} AS BIGINT) AS row_count, 'loaded' AS status")
+    return "\nUNION ALL\n".join(parts)
+
+
+FLAGGED = [V.WINDEVENTS, V.ORDERSFEED]
+
+
+@oracle("pipeline_load_all")
+def _():
+    return _audit_rows(FLAGGED, W, "change")
+
+
+@oracle("list_loaded_tables")
+def _():
+    return (f"SELECT select_table FROM ({_audit_rows(FLAGGED, W, 'change')}) a "
+            f"WHERE NOT table_empty")
+
+
+@oracle("comparable_tables")
+def _():
+    return (f"SELECT b.select_table FROM ({_audit_rows(FLAGGED, W, 'business')}) b "
+            f"JOIN ({_audit_rows(FLAGGED, W, 'change')}) c USING (select_table) "
+            f"WHERE NOT b.table_empty AND NOT c.table_empty")
+
+
+# --------------------------------------------------------------------------
+# comparison in SQL
+# --------------------------------------------------------------------------
+def _num(kind: str, x: str) -> str:
+    if kind == "num":
+        return f"(CASE WHEN isnan({x}) THEN NULL ELSE {x} END)"
+    return f"CAST({x} AS DOUBLE)"
+
+
+def joined_sql(left: str, right: str, keys: list[str], cols: list[tuple[str, str]],
+               extra_left: list[str] = (), extra_right: list[str] = (),
+               order: list[str] | None = None) -> str:
+    """Full outer join of two loads on null-safe keys with per-column flags.
+    ``cols``: shared compared columns with kind (num, int, text, ts).  With
+    ``order`` the rows are first numbered within the key (``__ord``)."""
+    jk = list(keys)
+    if order is not None:
+        ob = ", ".join(f"{c} ASC NULLS FIRST" for c in order)
+        pk = ", ".join(keys)
+        left = f"SELECT *, row_number() OVER (PARTITION BY {pk} ORDER BY {ob}) AS __ord FROM ({left}) x"
+        right = f"SELECT *, row_number() OVER (PARTITION BY {pk} ORDER BY {ob}) AS __ord FROM ({right}) x"
+        jk = keys + ["__ord"]
+    on = " AND ".join(f"l.{k} IS NOT DISTINCT FROM r.{k}" for k in jk)
+    sel = [f"CASE WHEN l.__in THEN l.{k} ELSE r.{k} END AS {k}" for k in jk]
+    sel += ["COALESCE(l.__in, false) AS in_l", "COALESCE(r.__in, false) AS in_r",
+            "CASE WHEN l.__in AND r.__in THEN 'both' WHEN l.__in THEN 'left_only' "
+            "ELSE 'right_only' END AS _merge"]
+    eqs = []
+    for c, kind in cols:
+        a, b = f"l.{c}", f"r.{c}"
+        if kind in ("num", "int"):
+            eq = f"({_num(kind, a)} IS NOT DISTINCT FROM {_num(kind, b)})"
+            diff = f"abs(CAST({a} AS DOUBLE) - CAST({b} AS DOUBLE))"
+            nd = f"(({_num(kind, a)} IS NULL) <> ({_num(kind, b)} IS NULL))"
+        else:
+            eq = f"({a} IS NOT DISTINCT FROM {b})"
+            diff = "0.0"
+            nd = f"(({a} IS NULL) <> ({b} IS NULL))"
+        sel += [f"{a} AS {c}__l", f"{b} AS {c}__r", f"{eq} AS {c}__eq",
+                f"{diff} AS {c}__diff", f"{nd} AS {c}__nd"]
+        eqs.append(eq)
+    sel.append(f"({' AND '.join(eqs) if eqs else 'true'}) AS all_eq")
+    sel += [f"l.{c} AS {c}__lo" for c in extra_left]
+    sel += [f"r.{c} AS {c}__ro" for c in extra_right]
+    return (f"SELECT {', '.join(sel)} FROM (SELECT *, true AS __in FROM ({left}) x) l "
+            f"FULL OUTER JOIN (SELECT *, true AS __in FROM ({right}) y) r ON {on}")
+
+
+def counts_sql(j: str) -> str:
+    return (f"SELECT count(*) FILTER (WHERE in_l) AS rows_left, "
+            f"count(*) FILTER (WHERE in_r) AS rows_right, "
+            f"count(*) FILTER (WHERE _merge = 'both') AS rows_common, "
+            f"count(*) FILTER (WHERE _merge = 'left_only') AS rows_left_only, "
+            f"count(*) FILTER (WHERE _merge = 'right_only') AS rows_right_only, "
+            f"count(*) FILTER (WHERE _merge = 'both' AND all_eq) AS rows_all_equal, "
+            f"count(*) FILTER (WHERE _merge = 'both' AND NOT all_eq) AS rows_some_unequal "
+            f"FROM ({j}) j")
+
+
+def columns_sql(j: str, cols: list[tuple[str, str, str, str]]) -> str:
+    """cols: (name, kind, left_type, right_type)."""
+    parts = []
+    for c, _, lt, rt in cols:
+        parts.append(
+            f"SELECT '{c}' AS \"column\", '{lt}' AS left_type, '{rt}' AS right_type, "
+            f"count(*) FILTER (WHERE _merge = 'both' AND {c}__eq) AS match_cnt, "
+            f"count(*) FILTER (WHERE _merge = 'both' AND NOT {c}__eq) AS unequal_cnt, "
+            f"COALESCE(max(CASE WHEN _merge = 'both' THEN {c}__diff END), 0.0) AS max_diff, "
+            f"count(*) FILTER (WHERE _merge = 'both' AND {c}__nd) AS null_diff, "
+            f"count(*) FILTER (WHERE _merge = 'both' AND NOT {c}__eq) = 0 AS all_match "
+            f"FROM ({j}) j")
+    return "\nUNION ALL\n".join(parts)
+
+
+ORDERS_COLS = [("o_custkey", "int", "bigint", "bigint"),
+               ("o_orderstatus", "text", "string", "string"),
+               ("o_totalprice", "num", "double", "double"),
+               ("o_orderdate", "ts", "timestamp_ntz", "timestamp_ntz"),
+               ("o_orderpriority", "text", "string", "string")]
+ORDERS_J = joined_sql("SELECT * FROM orders", CHANGED_ORDERS, ["o_orderkey"],
+                      [(c, k) for c, k, _, _ in ORDERS_COLS], extra_right=["o_flag"])
+
+LINE_KEYS = ["l_orderkey", "l_linenumber"]
+LINE_OTHER = [("l_partkey", "int"), ("l_suppkey", "int"), ("l_quantity", "num"),
+              ("l_extendedprice", "num"), ("l_discount", "num"), ("l_tax", "num"),
+              ("l_returnflag", "text"), ("l_linestatus", "text"), ("l_shipdate", "ts")]
+LINE_RIGHT = ("SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
+              "l_discount, CASE WHEN l_suppkey % 40 = 0 THEN l_tax + 0.01 ELSE l_tax END AS l_tax, "
+              "l_returnflag, l_linestatus, l_shipdate FROM lineitem WHERE l_partkey % 50 <> 0")
+LINE_J = joined_sql("SELECT * FROM lineitem", LINE_RIGHT, LINE_KEYS, LINE_OTHER,
+                    order=[c for c, _ in LINE_OTHER])
+
+
+@oracle("reconcile_status")
+def _():
+    return f"SELECT o_orderkey, _merge FROM ({ORDERS_J}) j"
+
+
+@oracle("reconcile_left_only")
+def _():
+    return ("SELECT o_orderkey, o_custkey__l AS o_custkey, o_orderstatus__l AS o_orderstatus, "
+            "o_totalprice__l AS o_totalprice, o_orderdate__l AS o_orderdate, "
+            f"o_orderpriority__l AS o_orderpriority FROM ({ORDERS_J}) j WHERE _merge = 'left_only'")
+
+
+@oracle("reconcile_right_only")
+def _():
+    return ("SELECT o_orderkey, o_custkey__r AS o_custkey, o_orderstatus__r AS o_orderstatus, "
+            "o_totalprice__r AS o_totalprice, o_orderdate__r AS o_orderdate, "
+            "o_orderpriority__r AS o_orderpriority, o_flag__ro AS o_flag "
+            f"FROM ({ORDERS_J}) j WHERE _merge = 'right_only'")
+
+
+@oracle("reconcile_common")
+def _():
+    cols = ["o_orderkey"]
+    for c, _, _, _ in ORDERS_COLS:
+        cols += [f"{c}__l AS {c}_df_load", f"{c}__r AS {c}_df_opdate", f"{c}__eq AS {c}_match"]
+    return f"SELECT {', '.join(cols)} FROM ({ORDERS_J}) j WHERE _merge = 'both'"
+
+
+@oracle("reconcile_counts")
+def _():
+    return counts_sql(ORDERS_J)
+
+
+@oracle("reconcile_columns")
+def _():
+    return columns_sql(ORDERS_J, ORDERS_COLS)
+
+
+@oracle("reconcile_max_diff")
+def _():
+    return f"SELECT \"column\", max_diff FROM ({columns_sql(ORDERS_J, ORDERS_COLS)}) c"
+
+
+@oracle("reconcile_null_diff")
+def _():
+    return f"SELECT \"column\", null_diff FROM ({columns_sql(ORDERS_J, ORDERS_COLS)}) c"
+
+
+@oracle("reconcile_shape")
+def _():
+    return (f"SELECT 'df_load' AS side, 6 AS n_columns, rows_left AS n_rows FROM ({counts_sql(ORDERS_J)}) a "
+            f"UNION ALL SELECT 'df_opdate', 7, rows_right FROM ({counts_sql(ORDERS_J)}) b")
+
+
+_TYPE_NAMES = ("CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' "
+               "WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' "
+               "WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END")
+
+
+@oracle("reconcile_schema")
+def _():
+    return (f"WITH l AS (SELECT column_name AS c, {_TYPE_NAMES} AS t FROM (DESCRIBE SELECT * FROM orders)), "
+            f"r AS (SELECT column_name AS c, {_TYPE_NAMES} AS t FROM (DESCRIBE {CHANGED_ORDERS})) "
+            "SELECT COALESCE(l.c, r.c) AS \"column\", l.c IS NOT NULL AS in_left, r.c IS NOT NULL AS in_right, "
+            "l.t AS left_type, r.t AS right_type, COALESCE(l.c, r.c) = 'o_orderkey' AS is_key "
+            "FROM l FULL OUTER JOIN r ON l.c = r.c")
+
+
+@oracle("reconcile_sample_unequal")
+def _():
+    parts = []
+    for c, _, _, _ in ORDERS_COLS:
+        parts.append(f"SELECT '{c}' AS \"column\", o_orderkey, CAST({c}__l AS VARCHAR) AS left_value, "
+                     f"CAST({c}__r AS VARCHAR) AS right_value FROM ({ORDERS_J}) j "
+                     f"WHERE _merge = 'both' AND NOT {c}__eq")
+    u = " UNION ALL ".join(parts)
+    return (f"SELECT \"column\", o_orderkey, left_value, right_value FROM (SELECT *, row_number() OVER "
+            f"(PARTITION BY \"column\" ORDER BY o_orderkey ASC NULLS FIRST) AS rn FROM ({u}) u) s WHERE rn <= 10")
+
+
+@oracle("reconcile_sample_one_sided")
+def _():
+    lo = ("SELECT o_orderkey, o_custkey__l AS o_custkey, o_orderstatus__l AS o_orderstatus, "
+          "o_totalprice__l AS o_totalprice, o_orderdate__l AS o_orderdate, "
+          "o_orderpriority__l AS o_orderpriority, NULL::VARCHAR AS o_flag, 'left' AS side "
+          f"FROM ({ORDERS_J}) j WHERE _merge = 'left_only' ORDER BY o_orderkey LIMIT 10")
+    ro = ("SELECT o_orderkey, o_custkey__r, o_orderstatus__r, o_totalprice__r, o_orderdate__r, "
+          "o_orderpriority__r, o_flag__ro, 'right' "
+          f"FROM ({ORDERS_J}) j WHERE _merge = 'right_only' ORDER BY o_orderkey LIMIT 10")
+    return f"SELECT * FROM ({lo}) a UNION ALL SELECT * FROM ({ro}) b"
+
+
+@oracle("duplicate_keys")
+def _():
+    return ("SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem "
+            "GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1")
+
+
+@oracle("reconcile_dup_keys")
+def _():
+    return f"SELECT l_orderkey, l_linenumber, CAST(__ord AS INTEGER) AS __ord, _merge FROM ({LINE_J}) j"
+
+
+@oracle("reconcile_dup_counts")
+def _():
+    return counts_sql(LINE_J)
+
+
+@oracle("reconcile_report")
+def _():
+    return f"SELECT *, 'ORDERS' AS table_name, '{W}' AS load_date FROM ({counts_sql(ORDERS_J)}) c"
+
+
+@oracle("values_equal")
+def _():
+    cols = [f"{c}__eq AS {c}_equal" for c, _, _, _ in ORDERS_COLS]
+    return f"SELECT o_orderkey, {', '.join(cols)} FROM ({ORDERS_J}) j WHERE _merge = 'both'"
+
+
+WIND_COLS = [("event_id", "int"), ("OPDATE", "ts"), ("OPMODE", "text"), ("TRADE_DT", "text"),
+             ("user_id", "int"), ("value_num", "num"), ("value_txt", "text"),
+             ("UPDATE_TIME", "int"), ("LOAD_DATE", "int")]
+
+
+def _wind_pair_j() -> str:
+    left = load_sql(V.WINDEVENTS, W, "business")
+    right = load_sql(V.WINDEVENTS, W, "change")
+    lower = ", ".join(f'"{c}" AS {c.lower()}' for c, _ in WIND_COLS)
+    cols = [(c.lower(), k) for c, k in WIND_COLS if c != "event_id"]
+    return joined_sql(f"SELECT {lower} FROM ({left}) a", f"SELECT {lower} FROM ({right}) b",
+                      ["event_id"], cols)
+
+
+@oracle("pipeline_reconcile")
+def _():
+    return counts_sql(_wind_pair_j())
+
+
+@oracle("pipeline_reconcile_all")
+def _():
+    biz = change_rows_sql(V.ORDERSFEED, W).replace("SELECT *", "SELECT 1", 1)
+    c = counts_sql(_wind_pair_j())
+    return (f"SELECT 'WINDEVENTS' AS table_name, '{W}' AS load_date, 'compared' AS status, * FROM ({c}) c "
+            f"UNION ALL SELECT 'ORDERSFEED', '{W}', 'missing', NULL::BIGINT, NULL::BIGINT, NULL::BIGINT, "
+            f"NULL::BIGINT, NULL::BIGINT, NULL::BIGINT, NULL::BIGINT "
+            f"WHERE {_count(change_rows_sql(V.ORDERSFEED, W))} = 0 "
+            f"OR {_count(business_rows_sql(V.ORDERSFEED, W))} = 0")
+
+
+# --------------------------------------------------------------------------
+# sources and sinks
+# --------------------------------------------------------------------------
+@oracle("scan_sql_query")
+def _():
+    return f"SELECT event_id, OPDATE, OPMODE, TRADE_DT FROM ({WINDEVENTS_SRC}) s WHERE TRADE_DT = '{W}'"
+
+
+@oracle("scan_load_date")
+def _():
+    return load_sql(V.WINDEVENTS, W, "business")
+
+
+@oracle("load_partition")
+def _():
+    return load_sql(V.ORDERSFEED, O, "change")
+
+
+@oracle("load_snapshot")
+def _():
+    return load_sql(V.CUSTOMERSNAP, None, "business", change_day=False, with_load_date=False)
+
+
+@oracle("load_bounded_files")
+def _():
+    return "SELECT count(*) AS total_rows, true AS within_bound FROM lineitem"
+
+
+def _outcome(spec, day, by, profile) -> str:
+    rows = change_rows_sql(spec, day) if by == "change" else business_rows_sql(spec, day)
+    n = _count(rows)
+    date_col = spec.change_column if by == "change" else spec.date_column
+    return (f"SELECT '{day}' AS load_date, '{spec.original_table}' AS select_table, "
+            f"CASE WHEN {n} > 0 THEN '{spec.original_table}/LOAD_DATE={int(day)}' ELSE '' END AS table_path, "
+            f"{n} = 0 AS table_empty, {str(spec.dynamic).lower()} AS dynamic, "
+            f"'{date_col}' AS date_column, CAST({n} AS BIGINT) AS row_count, 'loaded' AS status, "
+            f"'{profile}' AS profile")
+
+
+@oracle("skip_empty_load")
+def _():
+    return _outcome(V.WINDEVENTS, "20300101", "change", "change")
+
+
+@oracle("load_outcome")
+def _():
+    return _outcome(V.WINDEVENTS, W, "change", "change")
+
+
+@oracle("load_sidecar")
+def _():
+    rows = [(c.name, c.database_type, c.parquet_type) for c in V.WINDEVENTS.all_cols]
+    rows.append(("LOAD_DATE", "derived", "int64"))
+    values = ", ".join(f"({i}, '{n}', '{d}', '{p}')" for i, (n, d, p) in enumerate(rows))
+    n = _count(change_rows_sql(V.WINDEVENTS, W))
+    return ("SELECT 'windevents' AS table_name, 'WINDEVENTS' AS original_table, true AS dynamic, "
+            "'OPDATE' AS date_column, 'event_id' AS primary_key, CAST(v.position AS INTEGER) AS position, "
+            "v.column_name, v.original_type, v.parquet_type "
+            f"FROM (VALUES {values}) v(position, column_name, original_type, parquet_type) WHERE {n} > 0")
+
+
+# --------------------------------------------------------------------------
+# filters
+# --------------------------------------------------------------------------
+@oracle("filter_business_date")
+def _():
+    return business_rows_sql(V.WINDEVENTS, W)
+
+
+@oracle("scan_snapshot")
+def _():
+    return "SELECT * FROM nation"
+
+
+@oracle("filter_change_day")
+def _():
+    return f"SELECT * FROM ({WINDEVENTS_SRC}) s WHERE {day_range_sql('OPDATE', W)}"
+
+
+@oracle("filter_entry_time")
+def _():
+    return f"SELECT * FROM ({ORDERSFEED_SRC}) s WHERE {entry_time_sql('ENTRYTIME', O)}"
+
+
+@oracle("filter_opmode_new")
+def _():
+    return f"SELECT * FROM ({WINDEVENTS_SRC}) s WHERE OPMODE = '0'"
+
+
+@oracle("filter_opmode_changed")
+def _():
+    return f"SELECT * FROM ({WINDEVENTS_SRC}) s WHERE OPMODE = '1' AND TRADE_DT >= '{W}'"
+
+
+@oracle("incremental_filter")
+def _():
+    return change_rows_sql(V.WINDEVENTS, W)
+
+
+@oracle("change_load_union")
+def _():
+    return change_rows_sql(V.WINDEVENTS, W)
+
+
+@oracle("load_date_of")
+def _():
+    return "SELECT event_id, strftime(CAST(ts AS DATE) - 1, '%Y%m%d') AS load_date FROM events"
+
+
+# --------------------------------------------------------------------------
+# projections and scalar rules
+# --------------------------------------------------------------------------
+@oracle("project_declared")
+def _():
+    return f"SELECT {sql_select_list(V.ORDERSFEED, False, None)} FROM ({ORDERSFEED_SRC}) s"
+
+
+@oracle("project_tolerant")
+def _():
+    return f"SELECT {sql_select_list(V.WINDEVENTS, True, None)} FROM ({WINDEVENTS_SRC}) s"
+
+
+@oracle("add_load_date")
+def _():
+    return f"SELECT *, CAST({int(O)} AS BIGINT) AS LOAD_DATE FROM orders"
+
+
+@oracle("fill_float")
+def _():
+    return ("SELECT c_custkey, COALESCE(CASE WHEN isnan(c_acctbal) THEN 0.0 ELSE c_acctbal END, 0.0) AS c_acctbal, "
+            "COALESCE(CAST(NULLIF(c_acctbal_txt, 'None') AS DOUBLE), 0.0) AS c_acctbal_txt "
+            f"FROM ({CUSTOMERSNAP_SRC}) s")
+
+
+@oracle("fill_int")
+def _():
+    return ("SELECT event_id, COALESCE(user_id, 0) AS user_id, "
+            "COALESCE(CAST(trunc(CASE WHEN isnan(value_num) THEN 0.0 ELSE value_num END) AS BIGINT), 0) AS value_int, "
+            f"COALESCE({sql_epoch_seconds('UPDATE_TIME')}, 0) AS update_epoch FROM ({WINDEVENTS_SRC}) s")
+
+
+@oracle("fill_string")
+def _():
+    return f"SELECT event_id, {sql_text_fill('value_txt')} AS value_txt FROM ({WINDEVENTS_SRC}) s"
+
+
+@oracle("to_epoch_seconds")
+def _():
+    return f"SELECT event_id, {sql_epoch_seconds('ts')} AS epoch_s FROM events"
+
+
+@oracle("change_day_int")
+def _():
+    return (f"SELECT event_id, {sql_day_int('OPDATE')} AS opdate_day, {sql_day_int('UPDATE_TIME')} AS update_day, "
+            f"{sql_day_int('OPDATE')} AS epoch_day FROM ({WINDEVENTS_SRC}) s")
+
+
+@oracle("day_text")
+def _():
+    return "SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS day FROM orders"
+
+
+@oracle("cast_declared")
+def _():
+    return ("SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, "
+            "CAST(trunc(l_quantity) AS BIGINT) AS l_quantity, CAST(l_tax AS VARCHAR) AS l_tax FROM lineitem")
+
+
+@oracle("check_write_schema")
+def _():
+    return ("SELECT l_orderkey, CAST(l_orderkey AS INTEGER) AS l_orderkey32, "
+            "CAST(l_quantity AS INTEGER) AS l_quantity FROM lineitem")

@@ -9,11 +9,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .plans.load import load_table
+from .functions.cast import cast_declared, check_write_schema
+from .functions.compare import values_equal
+from .functions.fill import fill_float, fill_int, fill_string
+from .functions.timefmt import change_day_int, day_text, load_date_of, to_epoch_seconds
+from .operators import filters as FL
+from .operators.project import add_load_date, project_declared, project_tolerant
+from .operators.reconcile import duplicate_keys, reconcile
+from .plans.load import flagged, load_all, load_table
+from .plans.reconcile import read_report, reconcile_all, reconcile_day, write_report
 from .session import scratch_dir
+from .sinks.writers import read_audit, read_sidecar, write_snapshot
 from .sources import vendor as V
-from .sources.store import scan_load_date
+from .sources.query import CHUNK_ROWS, scan_sql_query
+from .sources.store import comparable_tables, list_loaded_tables, scan_load_date, scan_snapshot_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -25,17 +37,445 @@ def query(name: str):
     return deco
 
 
+W, O = V.WIND_LOAD_DATE, V.OTHER_LOAD_DATE
+NEXT_W = "20240116"
+EMPTY_DAY = "20300101"
+AUDIT_COLS = ["load_date", "select_table", "table_path", "table_empty", "dynamic",
+              "date_column", "row_count", "status", "profile"]
+
+
 def _views(spark: SparkSession, sf_dir: str) -> None:
     V.register_vendor_views(spark, sf_dir)
 
 
-W, O = V.WIND_LOAD_DATE, V.OTHER_LOAD_DATE
+def _view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _views(spark, sf_dir)
+    return spark.table(f"vendor_{name}")
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return V.read_table(spark, sf_dir, name)
+
+
+def _dtype(df: DataFrame, c: str) -> T.DataType:
+    return df.schema[c].dataType
 
 
+# ---------------------------------------------------------------------------
+# pipelines
+# ---------------------------------------------------------------------------
 @query("pipeline_load_change")
-def pipeline_load_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pipeline_load_change(spark, sf_dir):
     """Flagship: load the wind change log for one day by change date."""
     _views(spark, sf_dir)
     root = scratch_dir(spark, "load_change")
     load_table(spark, V.WINDEVENTS, W, root, "change")
     return scan_load_date(spark, root, V.WINDEVENTS.original_table, W)
+
+
+@query("pipeline_load_business")
+def pipeline_load_business(spark, sf_dir):
+    _views(spark, sf_dir)
+    root = scratch_dir(spark, "load_business")
+    load_table(spark, V.WINDEVENTS, W, root, "business")
+    return scan_load_date(spark, root, V.WINDEVENTS.original_table, W)
+
+
+@query("pipeline_load_v1")
+def pipeline_load_v1(spark, sf_dir):
+    """First loader: business date, every declared column required, change
+    time kept as epoch seconds, no LOAD_DATE in the rows."""
+    _views(spark, sf_dir)
+    root = scratch_dir(spark, "load_v1")
+    load_table(spark, V.ORDERSFEED, O, root, "v1")
+    return scan_load_date(spark, root, V.ORDERSFEED.original_table, O, keep_load_date=False)
+
+
+@query("pipeline_load_all")
+def pipeline_load_all(spark, sf_dir):
+    _views(spark, sf_dir)
+    root = scratch_dir(spark, "load_all")
+    load_all(spark, flagged(V.demo_catalog()), W, root, "change")
+    return read_audit(spark, root).select("select_table", "table_empty", "row_count", "status")
+
+
+def _two_stores(spark, specs, day):
+    left = scratch_dir(spark, "store_business")
+    right = scratch_dir(spark, "store_change")
+    load_all(spark, specs, day, left, "business")
+    load_all(spark, specs, day, right, "change")
+    return left, right
+
+
+@query("pipeline_reconcile")
+def pipeline_reconcile(spark, sf_dir):
+    """The day's business-date load against its change-date load, by key."""
+    _views(spark, sf_dir)
+    left, right = _two_stores(spark, [V.WINDEVENTS], W)
+    return reconcile_day(spark, V.WINDEVENTS, W, left, right).counts()
+
+
+@query("pipeline_reconcile_all")
+def pipeline_reconcile_all(spark, sf_dir):
+    _views(spark, sf_dir)
+    left, right = _two_stores(spark, flagged(V.demo_catalog()), W)
+    return reconcile_all(spark, V.demo_catalog(), W, left, right).drop("error")
+
+
+# ---------------------------------------------------------------------------
+# sources
+# ---------------------------------------------------------------------------
+@query("scan_sql_query")
+def q_scan_sql_query(spark, sf_dir):
+    _views(spark, sf_dir)
+    return scan_sql_query(
+        spark, "SELECT event_id, OPDATE, OPMODE, TRADE_DT FROM vendor_windevents "
+               "WHERE TRADE_DT = :load_date", W)
+
+
+@query("scan_load_date")
+def q_scan_load_date(spark, sf_dir):
+    """Three loads into one store (the day, the next day, the day again);
+    reading the day returns exactly one copy of it."""
+    _views(spark, sf_dir)
+    root = scratch_dir(spark, "scan_day")
+    for day in (W, NEXT_W, W):
+        load_table(spark, V.WINDEVENTS, day, root, "business")
+    return scan_load_date(spark, root, V.WINDEVENTS.original_table, W)
+
+
+@query("list_loaded_tables")
+def q_list_loaded_tables(spark, sf_dir):
+    _views(spark, sf_dir)
+    root = scratch_dir(spark, "listing")
+    load_all(spark, flagged(V.demo_catalog()), W, root, "change")
+    return list_loaded_tables(read_audit(spark, root), W)
+
+
+@query("comparable_tables")
+def q_comparable_tables(spark, sf_dir):
+    _views(spark, sf_dir)
+    left, right = _two_stores(spark, flagged(V.demo_catalog()), W)
+    return comparable_tables(read_audit(spark, left), read_audit(spark, right), W)
+
+
+# ---------------------------------------------------------------------------
+# sinks
+# ---------------------------------------------------------------------------
+@query("load_partition")
+def q_load_partition(spark, sf_dir):
+    """Rerun-safe day slice: load, load another day, reload; read the day."""
+    _views(spark, sf_dir)
+    root = scratch_dir(spark, "partition")
+    for day in (O, "19970516", O):
+        load_table(spark, V.ORDERSFEED, day, root, "change")
+    return scan_load_date(spark, root, V.ORDERSFEED.original_table, O)
+
+
+@query("load_snapshot")
+def q_load_snapshot(spark, sf_dir):
+    _views(spark, sf_dir)
+    root = scratch_dir(spark, "snapshot")
+    load_table(spark, V.CUSTOMERSNAP, W, root, "v1")
+    load_table(spark, V.CUSTOMERSNAP, W, root, "v1")
+    return scan_snapshot_table(spark, root, V.CUSTOMERSNAP.original_table)
+
+
+@query("load_bounded_files")
+def q_load_bounded_files(spark, sf_dir):
+    """Whole lineitem written with at most CHUNK_ROWS rows per file."""
+    _views(spark, sf_dir)
+    root = scratch_dir(spark, "bounded")
+    src = spark.table("vendor_lineitemfeed")
+    out = project_declared(src, V.LINEITEMFEED.all_cols)
+    write_snapshot(out, root, "LINEITEMFEED", max_records=CHUNK_ROWS)
+    per_file = (scan_snapshot_table(spark, root, "LINEITEMFEED")
+                .groupBy(F.input_file_name().alias("f")).agg(F.count(F.lit(1)).alias("n")))
+    return per_file.agg(F.sum("n").cast("long").alias("total_rows"),
+                        (F.max("n") <= CHUNK_ROWS).alias("within_bound"))
+
+
+@query("skip_empty_load")
+def q_skip_empty_load(spark, sf_dir):
+    _views(spark, sf_dir)
+    root = scratch_dir(spark, "empty")
+    audit = load_table(spark, V.WINDEVENTS, EMPTY_DAY, root, "change")
+    return audit.select(*AUDIT_COLS)
+
+
+@query("load_outcome")
+def q_load_outcome(spark, sf_dir):
+    _views(spark, sf_dir)
+    root = scratch_dir(spark, "outcome")
+    load_table(spark, V.WINDEVENTS, W, root, "change")
+    return read_audit(spark, root).select(*AUDIT_COLS)
+
+
+@query("load_sidecar")
+def q_load_sidecar(spark, sf_dir):
+    _views(spark, sf_dir)
+    root = scratch_dir(spark, "sidecar")
+    load_table(spark, V.WINDEVENTS, W, root, "change")
+    return read_sidecar(spark, root).select(
+        "table_name", "original_table", "dynamic", "date_column",
+        F.array_join("primary_key", ",").alias("primary_key"), "position", "column_name",
+        "original_type", "parquet_type")
+
+
+def _orders_pair(spark, sf_dir):
+    orders = _table(spark, sf_dir, "orders")
+    return orders, V.changed_orders(orders)
+
+
+@query("reconcile_report")
+def q_reconcile_report(spark, sf_dir):
+    left, right = _orders_pair(spark, sf_dir)
+    rec = reconcile(left, right, ["o_orderkey"], left_name="df_load", right_name="df_opdate")
+    log = scratch_dir(spark, "report")
+    write_report(rec, log, "ORDERS", W)
+    return read_report(spark, log, "counts")
+
+
+# ---------------------------------------------------------------------------
+# filters and set operations
+# ---------------------------------------------------------------------------
+@query("filter_business_date")
+def q_filter_business_date(spark, sf_dir):
+    return FL.filter_business_date(_view(spark, sf_dir, "windevents"), "TRADE_DT", W)
+
+
+@query("scan_snapshot")
+def q_scan_snapshot(spark, sf_dir):
+    return FL.scan_snapshot(_view(spark, sf_dir, "nationsnap"))
+
+
+@query("filter_change_day")
+def q_filter_change_day(spark, sf_dir):
+    return FL.filter_change_day(_view(spark, sf_dir, "windevents"), "OPDATE", W)
+
+
+@query("filter_entry_time")
+def q_filter_entry_time(spark, sf_dir):
+    return FL.filter_entry_time(_view(spark, sf_dir, "ordersfeed"), "ENTRYTIME", O)
+
+
+@query("filter_opmode_new")
+def q_filter_opmode_new(spark, sf_dir):
+    return FL.filter_opmode_new(_view(spark, sf_dir, "windevents"))
+
+
+@query("filter_opmode_changed")
+def q_filter_opmode_changed(spark, sf_dir):
+    return FL.filter_opmode_changed(_view(spark, sf_dir, "windevents"), "TRADE_DT", W)
+
+
+@query("incremental_filter")
+def q_incremental_filter(spark, sf_dir):
+    return FL.incremental_filter(_view(spark, sf_dir, "windevents"), V.WINDEVENTS, W, "change")
+
+
+@query("change_load_union")
+def q_change_load_union(spark, sf_dir):
+    return FL.change_load_union(_view(spark, sf_dir, "windevents"), V.WINDEVENTS, W)
+
+
+@query("load_date_of")
+def q_load_date_of(spark, sf_dir):
+    ev = _table(spark, sf_dir, "events")
+    return ev.select("event_id", load_date_of(F.col("ts")).alias("load_date"))
+
+
+# ---------------------------------------------------------------------------
+# projections
+# ---------------------------------------------------------------------------
+@query("project_declared")
+def q_project_declared(spark, sf_dir):
+    return project_declared(_view(spark, sf_dir, "ordersfeed"), V.ORDERSFEED.all_cols, strict=True)
+
+
+@query("project_tolerant")
+def q_project_tolerant(spark, sf_dir):
+    return project_tolerant(_view(spark, sf_dir, "windevents"), V.WINDEVENTS.all_cols,
+                            change_column="OPDATE")
+
+
+@query("add_load_date")
+def q_add_load_date(spark, sf_dir):
+    return add_load_date(_table(spark, sf_dir, "orders"), O)
+
+
+# ---------------------------------------------------------------------------
+# scalar rules
+# ---------------------------------------------------------------------------
+@query("fill_float")
+def q_fill_float(spark, sf_dir):
+    c = _view(spark, sf_dir, "customersnap")
+    return c.select("c_custkey",
+                    fill_float(F.col("c_acctbal"), _dtype(c, "c_acctbal")).alias("c_acctbal"),
+                    fill_float(F.col("c_acctbal_txt"), _dtype(c, "c_acctbal_txt")).alias("c_acctbal_txt"))
+
+
+@query("fill_int")
+def q_fill_int(spark, sf_dir):
+    e = _view(spark, sf_dir, "windevents")
+    return e.select("event_id",
+                    fill_int(F.col("user_id"), _dtype(e, "user_id")).alias("user_id"),
+                    fill_int(F.col("value_num"), _dtype(e, "value_num")).alias("value_int"),
+                    fill_int(F.col("UPDATE_TIME"), _dtype(e, "UPDATE_TIME")).alias("update_epoch"))
+
+
+@query("fill_string")
+def q_fill_string(spark, sf_dir):
+    e = _view(spark, sf_dir, "windevents")
+    return e.select("event_id", fill_string(F.col("value_txt")).alias("value_txt"))
+
+
+@query("to_epoch_seconds")
+def q_to_epoch_seconds(spark, sf_dir):
+    ev = _table(spark, sf_dir, "events")
+    return ev.select("event_id", to_epoch_seconds(F.col("ts"), _dtype(ev, "ts")).alias("epoch_s"))
+
+
+@query("change_day_int")
+def q_change_day_int(spark, sf_dir):
+    e = _view(spark, sf_dir, "windevents")
+    epoch = to_epoch_seconds(F.col("OPDATE"), _dtype(e, "OPDATE"))
+    return e.select("event_id",
+                    change_day_int(F.col("OPDATE"), _dtype(e, "OPDATE")).alias("opdate_day"),
+                    change_day_int(F.col("UPDATE_TIME"), _dtype(e, "UPDATE_TIME")).alias("update_day"),
+                    change_day_int(epoch, T.LongType()).alias("epoch_day"))
+
+
+@query("day_text")
+def q_day_text(spark, sf_dir):
+    o = _table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", day_text(F.col("o_orderdate"), _dtype(o, "o_orderdate")).alias("day"))
+
+
+@query("cast_declared")
+def q_cast_declared(spark, sf_dir):
+    li = _table(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey",
+                     cast_declared(F.col("l_linenumber"), T.LongType()).alias("l_linenumber"),
+                     cast_declared(F.col("l_quantity"), T.LongType()).alias("l_quantity"),
+                     cast_declared(F.col("l_tax"), T.StringType()).alias("l_tax"))
+
+
+@query("check_write_schema")
+def q_check_write_schema(spark, sf_dir):
+    li = _table(spark, sf_dir, "lineitem")
+    return li.select(
+        "l_orderkey",
+        check_write_schema(F.col("l_orderkey"), T.LongType(), T.IntegerType(), "l_orderkey").alias("l_orderkey32"),
+        check_write_schema(F.col("l_quantity"), T.DoubleType(), T.IntegerType(), "l_quantity").alias("l_quantity"))
+
+
+@query("values_equal")
+def q_values_equal(spark, sf_dir):
+    left, right = _orders_pair(spark, sf_dir)
+    l, r = left.alias("l"), right.alias("r")
+    j = l.join(r, F.col("l.o_orderkey") == F.col("r.o_orderkey"), "inner")
+    cols = [F.col("l.o_orderkey").alias("o_orderkey")]
+    for c in ("o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"):
+        cols.append(values_equal(F.col(f"l.{c}"), F.col(f"r.{c}"), _dtype(left, c), _dtype(right, c))
+                    .alias(f"{c}_equal"))
+    return j.select(*cols)
+
+
+# ---------------------------------------------------------------------------
+# reconciliation
+# ---------------------------------------------------------------------------
+def _orders_rec(spark, sf_dir):
+    left, right = _orders_pair(spark, sf_dir)
+    return reconcile(left, right, ["o_orderkey"], left_name="df_load", right_name="df_opdate")
+
+
+def _lineitem_pair(spark, sf_dir):
+    li = _table(spark, sf_dir, "lineitem")
+    right = (li.where(F.col("l_partkey") % 50 != 0)
+             .withColumn("l_tax", F.when(F.col("l_suppkey") % 40 == 0, F.col("l_tax") + F.lit(0.01))
+                         .otherwise(F.col("l_tax"))))
+    return li, right
+
+
+LINE_KEYS = ["l_orderkey", "l_linenumber"]
+
+
+@query("reconcile_status")
+def q_reconcile_status(spark, sf_dir):
+    return _orders_rec(spark, sf_dir).status()
+
+
+@query("reconcile_left_only")
+def q_reconcile_left_only(spark, sf_dir):
+    return _orders_rec(spark, sf_dir).left_only()
+
+
+@query("reconcile_right_only")
+def q_reconcile_right_only(spark, sf_dir):
+    return _orders_rec(spark, sf_dir).right_only()
+
+
+@query("reconcile_common")
+def q_reconcile_common(spark, sf_dir):
+    return _orders_rec(spark, sf_dir).common()
+
+
+@query("reconcile_counts")
+def q_reconcile_counts(spark, sf_dir):
+    return _orders_rec(spark, sf_dir).counts()
+
+
+@query("reconcile_columns")
+def q_reconcile_columns(spark, sf_dir):
+    return _orders_rec(spark, sf_dir).columns()
+
+
+@query("reconcile_max_diff")
+def q_reconcile_max_diff(spark, sf_dir):
+    return _orders_rec(spark, sf_dir).columns().select("column", "max_diff")
+
+
+@query("reconcile_null_diff")
+def q_reconcile_null_diff(spark, sf_dir):
+    return _orders_rec(spark, sf_dir).columns().select("column", "null_diff")
+
+
+@query("reconcile_shape")
+def q_reconcile_shape(spark, sf_dir):
+    return _orders_rec(spark, sf_dir).shape()
+
+
+@query("reconcile_schema")
+def q_reconcile_schema(spark, sf_dir):
+    return _orders_rec(spark, sf_dir).schema()
+
+
+@query("reconcile_sample_unequal")
+def q_reconcile_sample_unequal(spark, sf_dir):
+    return _orders_rec(spark, sf_dir).sample_unequal()
+
+
+@query("reconcile_sample_one_sided")
+def q_reconcile_sample_one_sided(spark, sf_dir):
+    rec = _orders_rec(spark, sf_dir)
+    return (rec.sample_one_sided("left").withColumn("side", F.lit("left"))
+            .unionByName(rec.sample_one_sided("right").withColumn("side", F.lit("right")),
+                         allowMissingColumns=True))
+
+
+@query("duplicate_keys")
+def q_duplicate_keys(spark, sf_dir):
+    return duplicate_keys(_table(spark, sf_dir, "lineitem"), LINE_KEYS)
+
+
+@query("reconcile_dup_keys")
+def q_reconcile_dup_keys(spark, sf_dir):
+    left, right = _lineitem_pair(spark, sf_dir)
+    return reconcile(left, right, LINE_KEYS).status()
+
+
+@query("reconcile_dup_counts")
+def q_reconcile_dup_counts(spark, sf_dir):
+    left, right = _lineitem_pair(spark, sf_dir)
+    return reconcile(left, right, LINE_KEYS).counts()
