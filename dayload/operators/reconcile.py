@@ -72,6 +72,18 @@ def key_profile(df: DataFrame, keys: list[str]) -> tuple[int, int]:
     return int(r["dups"] or 0), int(r["top"] or 0)
 
 
+def key_profiles(left: DataFrame, right: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """Repeated key values and largest key size over both loads, in one job:
+    only the key columns are read, counted with map-side partial aggregation."""
+    side = "__side"
+    both = (left.select(*keys, F.lit(0).alias(side))
+            .unionByName(right.select(*keys, F.lit(1).alias(side))))
+    r = (both.groupBy(side, *keys).agg(F.count(F.lit(1)).alias("n"))
+         .agg(F.count_if(F.col("n") > 1).alias("dups"), F.max("n").alias("top"))
+         .collect()[0])
+    return int(r["dups"] or 0), int(r["top"] or 0)
+
+
 def _order_cols(df: DataFrame, others: list[str]) -> list[Column]:
     return [F.col(c).asc_nulls_first() for c in others]
 
@@ -209,18 +221,19 @@ class Reconciliation:
         cells = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"{n}__eq").alias("eq"),
                                    F.col(f"{n}__diff").alias("diff"), F.col(f"{n}__nd").alias("nd"))
                           for i, (n, _, _) in enumerate(self.compare)])
+        # Every common row has one cell per column, so a column's cell count
+        # is the number of common rows.
         per = (self.joined.where(both).select(F.inline(cells))
-               .groupBy("i").agg(F.count(F.lit(1)).alias("rows"),
+               .groupBy("i").agg(F.count(F.lit(1)).alias("rows_common"),
                                  F.count_if(~F.col("eq")).alias("unequal_cnt"),
                                  F.max("diff").alias("max_diff"),
                                  F.count_if(F.col("nd")).alias("null_diff")))
         meta = self.spark.createDataFrame(
             [(i, n, lt.simpleString(), rt.simpleString()) for i, (n, lt, rt) in enumerate(self.compare)],
             "i int, column string, left_type string, right_type string")
-        common = self.counts().select("rows_common")
-        return (meta.join(per, "i", "left").crossJoin(common)
+        return (meta.join(per, "i", "left")
                 .select("column", "left_type", "right_type",
-                        (F.col("rows_common") - F.coalesce("unequal_cnt", F.lit(0))).alias("match_cnt"),
+                        (F.coalesce("rows_common", F.lit(0)) - F.coalesce("unequal_cnt", F.lit(0))).alias("match_cnt"),
                         F.coalesce("unequal_cnt", F.lit(0)).alias("unequal_cnt"),
                         F.coalesce("max_diff", F.lit(0.0)).alias("max_diff"),
                         F.coalesce("null_diff", F.lit(0)).alias("null_diff"))
@@ -302,10 +315,8 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[str], abs_tol: float
     use_ord = dedupe == "always"
     salt = 1
     if dedupe == "auto" or use_ord:
-        ld, ltop = key_profile(left, keys)
-        rd, rtop = key_profile(right, keys)
-        use_ord = use_ord or (ld + rd) > 0
-        top = max(ltop, rtop)
+        dups, top = key_profiles(left, right, keys)
+        use_ord = use_ord or dups > 0
         salt = max(1, math.ceil(top / hot_group_rows)) if top > hot_group_rows else 1
     join_keys = list(keys)
     l, r = left, right

@@ -233,6 +233,15 @@ def _():
     return _audit_rows(FLAGGED, W, "change")
 
 
+@oracle("select_tables_listed")
+def _():
+    n = _count(business_rows_sql(V.ORDERSFEED, O))
+    return (f"SELECT 'ORDERSFEED' AS select_table, {n} = 0 AS table_empty, CAST({n} AS BIGINT) AS row_count, "
+            f"'loaded' AS status "
+            f"UNION ALL SELECT 'CUSTOMERSNAP', false, (SELECT count(*) FROM customer), 'loaded' "
+            f"UNION ALL SELECT 'NATIONSNAP', false, (SELECT count(*) FROM nation), 'loaded'")
+
+
 @oracle("list_loaded_tables")
 def _():
     return (f"SELECT select_table FROM ({_audit_rows(FLAGGED, W, 'change')}) a "

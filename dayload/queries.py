@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .catalog import catalog_frame, select_tables_flagged, select_tables_listed, specs_of
 from .functions.cast import cast_declared, check_write_schema
 from .functions.compare import values_equal
 from .functions.fill import fill_float, fill_int, fill_string
@@ -93,9 +94,26 @@ def pipeline_load_v1(spark, sf_dir):
 
 @query("pipeline_load_all")
 def pipeline_load_all(spark, sf_dir):
+    """The daily run: every important incremental table, by change date."""
     _views(spark, sf_dir)
     root = scratch_dir(spark, "load_all")
-    load_all(spark, flagged(V.demo_catalog()), W, root, "change")
+    specs = specs_of(select_tables_flagged(catalog_frame(spark, V.demo_catalog())))
+    load_all(spark, specs, W, root, "change")
+    return read_audit(spark, root).select("select_table", "table_empty", "row_count", "status")
+
+
+LISTED = ["ordersfeed", "customersnap", "nationsnap"]
+
+
+@query("select_tables_listed")
+def q_select_tables_listed(spark, sf_dir):
+    """The first loader's run: only the tables named in a list, business
+    date, strict columns; snapshots included."""
+    _views(spark, sf_dir)
+    root = scratch_dir(spark, "load_listed")
+    names = spark.createDataFrame([(n,) for n in LISTED], "table_name string")
+    specs = specs_of(select_tables_listed(catalog_frame(spark, V.demo_catalog()), names))
+    load_all(spark, specs, O, root, "v1")
     return read_audit(spark, root).select("select_table", "table_empty", "row_count", "status")
 
 

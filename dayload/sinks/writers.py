@@ -75,14 +75,19 @@ def _count_files(spark: SparkSession, path: str) -> int:
 
 
 def write_slice(df: DataFrame, root: str, table: str, load_date: str,
-                max_records: int = CHUNK_ROWS) -> WriteResult:
+                max_records: int = CHUNK_ROWS, rebalance: bool = True) -> WriteResult:
     """Write (or rewrite) one day of one table (SNK-1, SNK-3, SNK-4).
 
-    An empty frame writes no partition, so an earlier slice of the day stays,
-    as a load that fetched nothing never touched the old file."""
+    A day is a thin filter over a large scan, so every scan task would write
+    its own tiny file; ``rebalance`` lets AQE regroup the (small) filtered
+    rows into files near the advisory partition size first.  An empty frame
+    writes no partition, so an earlier slice of the day stays, as a load that
+    fetched nothing never touched the old file."""
     spark = df.sparkSession
     if LOAD_DATE not in df.columns:
         df = df.withColumn(LOAD_DATE, F.lit(int(load_date)).cast(T.LongType()))
+    if rebalance:
+        df = df.hint("rebalance")
     obs = Observation(f"slice_{table}_{load_date}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     (observed.write.mode("overwrite")
