@@ -3,16 +3,21 @@ LIM-1..2, SET-2..3, SCA-10, PRJ-6).
 
 Plan shape:
   * column names are case-folded on both sides;
-  * when a key repeats, rows are also paired by their position within the key
-    (``__ord``), ordered by the other shared columns.  A key with more rows
-    than ``hot_group_rows`` is never sorted in one task: rows are spread over
-    salt buckets by a hash of their content and numbered per bucket, and the
-    bucket offsets come from a tiny per-(key, bucket) count table;
-  * one null-safe full outer join on the keys (a sort-merge join, keys
-    shuffled once per side), reused for every output;
-  * every count and per-column statistic is one global aggregate: partial
-    aggregation on each partition, a single tiny final merge;
-  * samples are ``row_number() <= k`` which Spark turns into a partial
+  * the keys of both loads are profiled in one job (key columns only,
+    map-side partial counts);
+  * unique keys: one null-safe full outer sort-merge join, keys shuffled
+    once per side;
+  * repeated keys: rows are paired by their position within the key, both
+    sides ordered by the shared columns.  Identical rows are first collapsed
+    into runs with a count (partial aggregation before the shuffle, so a
+    group of copies costs one row per task), then runs are laid out as
+    position intervals per side and paired by a carry-forward window over
+    the interval boundaries.  No group is sorted row by row, no pairs within
+    a group are emitted, and a key with more than ``hot_group_rows`` rows is
+    additionally split into salt buckets by a hash of row content;
+  * every count and per-column statistic is one global aggregate (weighted
+    by run length on the repeated-key path);
+  * samples are ``row_number() <= k``, which Spark turns into a partial
     per-partition top-k before the shuffle.
 """
 
@@ -33,9 +38,15 @@ IN_LEFT = "__in_left"
 IN_RIGHT = "__in_right"
 STATUS = "_merge"
 BOTH, LEFT_ONLY, RIGHT_ONLY = "both", "left_only", "right_only"
+SIDE = "__side"
+BUCKET = "__bucket"
+POS = "__pos"
+MULT = "__mult"
 
-# Rows of one key above which its ordinal is computed in salt buckets.
+# Rows of one key above which runs are spread over salt buckets.
 HOT_GROUP_ROWS = 2_000_000
+# Rows one task generates at most when a long run is expanded back to rows.
+EXPAND_CHUNK = 100_000
 # Columns above which the per-column statistics are unpivoted before
 # aggregating (keeps the generated aggregate code small).
 WIDE_COLUMNS = 100
@@ -51,71 +62,44 @@ def lower_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Key values occurring more than once, with their count (AGG-5)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
 
 
-def key_profile(df: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """(number of repeated key values, rows of the largest key)."""
-    r = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-         .agg(F.count_if(F.col("n") > 1).alias("dups"), F.max("n").alias("top"))
-         .collect()[0])
-    return int(r["dups"] or 0), int(r["top"] or 0)
-
-
 def key_profiles(left: DataFrame, right: DataFrame, keys: list[str]) -> tuple[int, int]:
     """Repeated key values and largest key size over both loads, in one job:
     only the key columns are read, counted with map-side partial aggregation."""
-    side = "__side"
-    both = (left.select(*keys, F.lit(0).alias(side))
-            .unionByName(right.select(*keys, F.lit(1).alias(side))))
-    r = (both.groupBy(side, *keys).agg(F.count(F.lit(1)).alias("n"))
+    both = (left.select(*keys, F.lit(0).alias(SIDE))
+            .unionByName(right.select(*[F.col(k).cast(left.schema[k].dataType).alias(k) for k in keys],
+                                      F.lit(1).alias(SIDE))))
+    r = (both.groupBy(SIDE, *keys).agg(F.count(F.lit(1)).alias("n"))
          .agg(F.count_if(F.col("n") > 1).alias("dups"), F.max("n").alias("top"))
          .collect()[0])
     return int(r["dups"] or 0), int(r["top"] or 0)
 
 
-def _order_cols(df: DataFrame, others: list[str]) -> list[Column]:
-    return [F.col(c).asc_nulls_first() for c in others]
-
-
 def with_ordinal(df: DataFrame, keys: list[str], others: list[str], salt: int = 1) -> DataFrame:
-    """Add ``__ord``: 1-based position of the row within its key (WIN-1).
-
-    ``salt == 1``: ``row_number()`` over the key ordered by the other
-    columns.  ``salt > 1``: rows go to ``salt`` buckets by a hash of their
-    content, are numbered within (key, bucket), and shifted by the sizes of
-    the key's earlier buckets.  Identical rows land in the same bucket on
-    both sides, so identical loads still pair row for row."""
-    order = _order_cols(df, others)
+    """Add ``__ord``: 1-based position of the row within its key, ordered by
+    ``others`` (WIN-1, as a row-level operator).
+
+    ``salt > 1`` spreads a key over buckets by a hash of row content, numbers
+    rows per (key, bucket) and shifts them by the sizes of the key's earlier
+    buckets (a table with one row per (key, bucket))."""
+    order = [F.col(c).asc_nulls_first() for c in others]
     if salt <= 1:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(ORD, F.row_number().over(w))
-    bucket = "__bucket"
+        return df.withColumn(ORD, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     hashed = F.xxhash64(*[F.col(c) for c in others]) if others else F.lit(0)
-    b = df.withColumn(bucket, F.pmod(hashed, F.lit(salt)))
-    w = Window.partitionBy(*keys, bucket).orderBy(*order)
-    numbered = (b.withColumn("__r", F.row_number().over(w))
-                 .withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*keys, bucket))))
-    # One row per (key, bucket): a hot key has only ``salt`` rows here.
-    sizes = numbered.groupBy(*keys, bucket).agg(F.max("__n").alias("__n"))
+    b = df.withColumn(BUCKET, F.pmod(hashed, F.lit(salt)))
+    numbered = (b.withColumn("__r", F.row_number().over(Window.partitionBy(*keys, BUCKET).orderBy(*order)))
+                 .withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*keys, BUCKET))))
+    sizes = numbered.groupBy(*keys, BUCKET).agg(F.max("__n").alias("__n"))
     renamed = [f"__ok{i}" for i in range(len(keys))]
     offsets = sizes.select(
-        *[F.col(k).alias(o) for k, o in zip(keys, renamed)], F.col(bucket).alias("__ob"),
-        F.coalesce(F.sum("__n").over(
-            Window.partitionBy(*keys).orderBy(bucket)
-            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
-    on = [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, renamed)] + \
-        [F.col(bucket) == F.col("__ob")]
+        *[F.col(k).alias(o) for k, o in zip(keys, renamed)], F.col(BUCKET).alias("__ob"),
+        F.coalesce(F.sum("__n").over(Window.partitionBy(*keys).orderBy(BUCKET)
+                                     .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
+    on = [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, renamed)] + [F.col(BUCKET) == F.col("__ob")]
     return (numbered.drop("__n").join(offsets, on, "inner")
             .select(*[F.col(c) for c in df.columns],
                     (F.col("__off") + F.col("__r")).cast(T.IntegerType()).alias(ORD)))
@@ -125,34 +109,58 @@ def with_ordinal(df: DataFrame, keys: list[str], others: list[str], salt: int =
 class Reconciliation:
     spark: SparkSession
     keys: list[str]
-    join_keys: list[str]
+    join_keys: list[str]       # row-level pairing columns (keys [+ bucket] [+ __ord])
     left_cols: list[str]
     right_cols: list[str]
     compare: list[tuple[str, T.DataType, T.DataType]]
-    joined: DataFrame
+    joined: DataFrame          # one row per pair, or per run of pairs (MULT)
     left: DataFrame
     right: DataFrame
     left_name: str = "left"
     right_name: str = "right"
     abs_tol: float = 0.0
     rel_tol: float = 0.0
-    used_ordinal: bool = False
+    weighted: bool = False
     _stats: DataFrame | None = field(default=None, repr=False)
 
-    # ---- joins ---------------------------------------------------------------
+    # ---- row-level outputs -----------------------------------------------------
+    def rows(self, limit: int | None = None) -> DataFrame:
+        """The joined pairs, one row each.  Runs of identical pairs are
+        expanded in chunks of at most ``EXPAND_CHUNK`` rows spread over all
+        tasks; with ``limit`` at most that many rows per run are produced
+        (enough for any top-``limit`` sample)."""
+        if not self.weighted:
+            return self.joined
+        m = F.col(MULT)
+        if limit is not None:
+            expanded = self.joined.withColumn("__i", F.explode(F.sequence(
+                F.lit(0).cast("long"), F.least(m, F.lit(limit).cast("long")) - 1)))
+        else:
+            c = F.lit(EXPAND_CHUNK).cast("long")
+            last_chunk = ((m - 1) - (m - 1) % c) / c
+            chunks = self.joined.withColumn("__c", F.explode(F.sequence(
+                F.lit(0).cast("long"), last_chunk.cast("long"))))
+            n_parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            spread = chunks.repartition(n_parts)
+            expanded = spread.withColumn("__i", F.explode(F.sequence(
+                F.col("__c") * c, F.least(m, (F.col("__c") + 1) * c) - 1)))
+        return expanded.withColumn(ORD, (F.col(POS) + F.col("__i") + 1).cast(T.IntegerType()))
+
     def status(self) -> DataFrame:
         """Every key (and ordinal) with where it occurs (JOIN-1)."""
-        return self.joined.select(*self.join_keys, STATUS)
+        return self.rows().select(*self.join_keys, STATUS)
 
     def left_only(self) -> DataFrame:
         """Rows only in the left load, its own columns (JOIN-2)."""
-        return (self.joined.where(F.col(STATUS) == LEFT_ONLY)
-                .select(*[self._side(c, "left").alias(c) for c in self.left_cols]))
+        return self._one_side(self.rows(), "left")
 
     def right_only(self) -> DataFrame:
         """Rows only in the right load, its own columns (JOIN-3)."""
-        return (self.joined.where(F.col(STATUS) == RIGHT_ONLY)
-                .select(*[self._side(c, "right").alias(c) for c in self.right_cols]))
+        return self._one_side(self.rows(), "right")
+
+    def _one_side(self, rows: DataFrame, side: str) -> DataFrame:
+        status, cols = (LEFT_ONLY, self.left_cols) if side == "left" else (RIGHT_ONLY, self.right_cols)
+        return rows.where(F.col(STATUS) == status).select(*[self._side(c, side).alias(c) for c in cols])
 
     def common(self) -> DataFrame:
         """Rows in both: keys, both values and the match flag per column (JOIN-4)."""
@@ -161,33 +169,40 @@ class Reconciliation:
             cols += [F.col(f"{name}__l").alias(f"{name}_{self.left_name}"),
                      F.col(f"{name}__r").alias(f"{name}_{self.right_name}"),
                      F.col(f"{name}__eq").alias(f"{name}_match")]
-        return self.joined.where(F.col(STATUS) == BOTH).select(*cols)
+        return self.rows().where(F.col(STATUS) == BOTH).select(*cols)
 
     def _side(self, c: str, side: str) -> Column:
-        if c in self.join_keys:
+        if c in self.keys:
             return F.col(c)
         if c in self.right_cols and c in self.left_cols:
             return F.col(f"{c}__l" if side == "left" else f"{c}__r")
         return F.col(f"{c}__lo" if side == "left" else f"{c}__ro")
 
     # ---- statistics ------------------------------------------------------------
+    def _w(self) -> Column:
+        return F.col(MULT) if self.weighted else F.lit(1).cast("long")
+
+    def _count(self, cond: Column) -> Column:
+        return F.coalesce(F.sum(F.when(cond, self._w()).otherwise(F.lit(0).cast("long"))),
+                          F.lit(0).cast("long"))
+
     def stats(self) -> DataFrame:
         """One row: every count and per-column statistic, from one aggregate."""
         if self._stats is not None:
             return self._stats
         both = F.col(STATUS) == BOTH
-        aggs = [F.count_if(F.col(IN_LEFT)).alias("rows_left"),
-                F.count_if(F.col(IN_RIGHT)).alias("rows_right"),
-                F.count_if(both).alias("rows_common"),
-                F.count_if(F.col(STATUS) == LEFT_ONLY).alias("rows_left_only"),
-                F.count_if(F.col(STATUS) == RIGHT_ONLY).alias("rows_right_only"),
-                F.count_if(both & F.col("__all_eq")).alias("rows_all_equal"),
-                F.count_if(both & ~F.col("__all_eq")).alias("rows_some_unequal")]
+        aggs = [self._count(F.col(IN_LEFT)).alias("rows_left"),
+                self._count(F.col(IN_RIGHT)).alias("rows_right"),
+                self._count(both).alias("rows_common"),
+                self._count(F.col(STATUS) == LEFT_ONLY).alias("rows_left_only"),
+                self._count(F.col(STATUS) == RIGHT_ONLY).alias("rows_right_only"),
+                self._count(both & F.col("__all_eq")).alias("rows_all_equal"),
+                self._count(both & ~F.col("__all_eq")).alias("rows_some_unequal")]
         if len(self.compare) <= WIDE_COLUMNS:
             for i, (name, _, _) in enumerate(self.compare):
-                aggs += [F.count_if(both & ~F.col(f"{name}__eq")).alias(f"u{i}"),
+                aggs += [self._count(both & ~F.col(f"{name}__eq")).alias(f"u{i}"),
                          F.max(F.when(both, F.col(f"{name}__diff"))).alias(f"d{i}"),
-                         F.count_if(both & F.col(f"{name}__nd")).alias(f"n{i}")]
+                         self._count(both & F.col(f"{name}__nd")).alias(f"n{i}")]
         self._stats = self.joined.agg(*aggs)
         return self._stats
 
@@ -203,7 +218,6 @@ class Reconciliation:
             return self.spark.createDataFrame([], COLUMN_STATS_SCHEMA)
         if len(self.compare) > WIDE_COLUMNS:
             return self._columns_unpivoted()
-        stats = self.stats()
         parts = []
         for i, (name, lt, rt) in enumerate(self.compare):
             parts.append(F.struct(
@@ -213,7 +227,7 @@ class Reconciliation:
                 F.col(f"u{i}").alias("unequal_cnt"),
                 F.coalesce(F.col(f"d{i}"), F.lit(0.0)).alias("max_diff"),
                 F.col(f"n{i}").alias("null_diff")))
-        return (stats.select(F.inline(F.array(*parts)))
+        return (self.stats().select(F.inline(F.array(*parts)))
                 .withColumn("all_match", F.col("unequal_cnt") == 0))
 
     def _columns_unpivoted(self) -> DataFrame:
@@ -221,22 +235,24 @@ class Reconciliation:
         cells = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"{n}__eq").alias("eq"),
                                    F.col(f"{n}__diff").alias("diff"), F.col(f"{n}__nd").alias("nd"))
                           for i, (n, _, _) in enumerate(self.compare)])
-        # Every common row has one cell per column, so a column's cell count
-        # is the number of common rows.
-        per = (self.joined.where(both).select(F.inline(cells))
-               .groupBy("i").agg(F.count(F.lit(1)).alias("rows_common"),
-                                 F.count_if(~F.col("eq")).alias("unequal_cnt"),
+        # Every common row has one cell per column, so a column's cell
+        # weight is the number of common rows.
+        per = (self.joined.where(both).select(self._w().alias("__w"), F.inline(cells))
+               .groupBy("i").agg(F.sum("__w").alias("rows_common"),
+                                 F.sum(F.when(~F.col("eq"), F.col("__w")).otherwise(0)).alias("unequal_cnt"),
                                  F.max("diff").alias("max_diff"),
-                                 F.count_if(F.col("nd")).alias("null_diff")))
+                                 F.sum(F.when(F.col("nd"), F.col("__w")).otherwise(0)).alias("null_diff")))
         meta = self.spark.createDataFrame(
             [(i, n, lt.simpleString(), rt.simpleString()) for i, (n, lt, rt) in enumerate(self.compare)],
             "i int, column string, left_type string, right_type string")
+        zero = F.lit(0).cast("long")
         return (meta.join(per, "i", "left")
                 .select("column", "left_type", "right_type",
-                        (F.coalesce("rows_common", F.lit(0)) - F.coalesce("unequal_cnt", F.lit(0))).alias("match_cnt"),
-                        F.coalesce("unequal_cnt", F.lit(0)).alias("unequal_cnt"),
+                        (F.coalesce("rows_common", zero) - F.coalesce("unequal_cnt", zero)).cast("long")
+                        .alias("match_cnt"),
+                        F.coalesce("unequal_cnt", zero).cast("long").alias("unequal_cnt"),
                         F.coalesce("max_diff", F.lit(0.0)).alias("max_diff"),
-                        F.coalesce("null_diff", F.lit(0)).alias("null_diff"))
+                        F.coalesce("null_diff", zero).cast("long").alias("null_diff"))
                 .withColumn("all_match", F.col("unequal_cnt") == 0))
 
     def shape(self) -> DataFrame:
@@ -271,7 +287,7 @@ class Reconciliation:
                 F.col(f"{c}__l").cast(T.StringType()).alias("left_value"),
                 F.col(f"{c}__r").cast(T.StringType()).alias("right_value")))
             for c, _, _ in self.compare]), lambda s: s.isNotNull())
-        exploded = (self.joined.where(both & ~F.col("__all_eq"))
+        exploded = (self.rows(limit=n).where(both & ~F.col("__all_eq"))
                     .select(*self.join_keys, F.inline(cells)))
         w = Window.partitionBy("column").orderBy(*[F.col(k).asc_nulls_first() for k in self.join_keys])
         return (exploded.withColumn("__rn", F.row_number().over(w))
@@ -281,7 +297,7 @@ class Reconciliation:
                          n_cols: int = SAMPLE_COLUMNS) -> DataFrame:
         """Up to ``n`` rows found on one side only, first ``n_cols`` columns,
         lowest keys first (LIM-2)."""
-        frame = self.left_only() if side == "left" else self.right_only()
+        frame = self._one_side(self.rows(limit=n), side)
         cols = frame.columns[:n_cols]
         order = [F.col(k).asc_nulls_first() for k in self.keys if k in frame.columns]
         return frame.orderBy(*order).limit(n).select(*cols)
@@ -296,7 +312,7 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[str], abs_tol: float
               dedupe: str = "auto", hot_group_rows: int = HOT_GROUP_ROWS) -> Reconciliation:
     """Pair the rows of two loads by key and compare the shared columns.
 
-    ``dedupe``: ``"auto"`` adds the within-key ordinal only when a key
+    ``dedupe``: ``"auto"`` pairs by position within the key only when a key
     repeats on either side; ``"always"`` / ``"never"`` force it."""
     keys = [k.lower() for k in keys if k and k.strip()]
     if not keys:
@@ -312,35 +328,23 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[str], abs_tol: float
     shared = [c for c in left.columns if c in rt and c not in keys]
     compare = [(c, lt[c], rt[c]) for c in shared]
 
-    use_ord = dedupe == "always"
+    positional = dedupe == "always"
     salt = 1
-    if dedupe == "auto" or use_ord:
+    if dedupe in ("auto", "always"):
         dups, top = key_profiles(left, right, keys)
-        use_ord = use_ord or dups > 0
+        positional = positional or dups > 0
         salt = max(1, math.ceil(top / hot_group_rows)) if top > hot_group_rows else 1
-    join_keys = list(keys)
-    l, r = left, right
-    if use_ord:
-        l = with_ordinal(left, keys, shared, salt)
-        r = with_ordinal(right, keys, shared, salt)
-        join_keys = keys + [ORD]
-
-    ls = l.select(*[F.col(k) for k in join_keys],
-                  *[F.col(c).alias(f"{c}__l") for c in shared],
-                  *[F.col(c).alias(f"{c}__lo") for c in left.columns if c not in keys and c not in rt],
-                  F.lit(True).alias(IN_LEFT))
-    rs = r.select(*[F.col(k).alias(f"{k}__rk") for k in join_keys],
-                  *[F.col(c).alias(f"{c}__r") for c in shared],
-                  *[F.col(c).alias(f"{c}__ro") for c in right.columns if c not in keys and c not in lt],
-                  F.lit(True).alias(IN_RIGHT))
-    cond = None
-    for k in join_keys:
-        c = ls[k].eqNullSafe(rs[f"{k}__rk"])
-        cond = c if cond is None else cond & c
-    j = ls.join(rs, cond, "full_outer")
-    in_l = F.coalesce(F.col(IN_LEFT), F.lit(False))
-    in_r = F.coalesce(F.col(IN_RIGHT), F.lit(False))
-    cols = [F.when(in_l, F.col(k)).otherwise(F.col(f"{k}__rk")).alias(k) for k in join_keys]
+
+    if positional:
+        j, part = pair_runs(left, right, keys, shared, salt)
+        cols = [F.col(k) for k in part] + [F.col(POS), F.col(MULT)]
+        join_keys = part + [ORD]
+        in_l, in_r = F.col(IN_LEFT), F.col(IN_RIGHT)
+    else:
+        j, join_keys = _join_on_keys(left, right, keys, shared, lt, rt), list(keys)
+        in_l = F.coalesce(F.col(IN_LEFT), F.lit(False))
+        in_r = F.coalesce(F.col(IN_RIGHT), F.lit(False))
+        cols = [F.when(in_l, F.col(k)).otherwise(F.col(f"{k}__rk")).alias(k) for k in join_keys]
     cols += [in_l.alias(IN_LEFT), in_r.alias(IN_RIGHT),
              F.when(in_l & in_r, F.lit(BOTH)).when(in_l, F.lit(LEFT_ONLY))
               .otherwise(F.lit(RIGHT_ONLY)).alias(STATUS)]
@@ -359,10 +363,115 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[str], abs_tol: float
     cols.append(all_eq.alias("__all_eq"))
     cols += [F.col(f"{c}__lo") for c in left.columns if c not in keys and c not in rt]
     cols += [F.col(f"{c}__ro") for c in right.columns if c not in keys and c not in lt]
-    joined = j.select(*cols)
-    rec = Reconciliation(spark, keys, join_keys, left.columns, right.columns, compare,
-                         joined, left, right, left_name, right_name, abs_tol, rel_tol, use_ord)
-    return rec
+    return Reconciliation(spark, keys, join_keys, left.columns, right.columns, compare,
+                          j.select(*cols), left, right, left_name, right_name, abs_tol, rel_tol,
+                          weighted=positional)
+
+
+def _join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], shared: list[str],
+                  lt: dict, rt: dict) -> DataFrame:
+    """Unique keys: one null-safe full outer sort-merge join."""
+    ls = left.select(*[F.col(k) for k in keys],
+                     *[F.col(c).alias(f"{c}__l") for c in shared],
+                     *[F.col(c).alias(f"{c}__lo") for c in left.columns if c not in keys and c not in rt],
+                     F.lit(True).alias(IN_LEFT))
+    rs = right.select(*[F.col(k).alias(f"{k}__rk") for k in keys],
+                      *[F.col(c).alias(f"{c}__r") for c in shared],
+                      *[F.col(c).alias(f"{c}__ro") for c in right.columns if c not in keys and c not in lt],
+                      F.lit(True).alias(IN_RIGHT))
+    cond = None
+    for k in keys:
+        c = ls[k].eqNullSafe(rs[f"{k}__rk"])
+        cond = c if cond is None else cond & c
+    return ls.join(rs, cond, "full_outer")
+
+
+def pair_runs(left: DataFrame, right: DataFrame, keys: list[str], shared: list[str],
+              salt: int = 1) -> tuple[DataFrame, list[str]]:
+    """Repeated keys: the n-th row of a key on the left pairs with the n-th
+    row of that key on the right, both sides ordered by the shared columns
+    (ties broken by the remaining columns).
+
+    1. Identical rows of a side collapse to a run ``(key, row, count)``; the
+       partial aggregate runs before the shuffle, so copies never travel.
+    2. Per (key [, salt bucket]) each run gets its start position within its
+       side: a running sum over runs, left and right in one window.
+    3. Every run contributes a start and an end boundary; a window over the
+       boundaries ordered by position carries the current left and right run
+       forward, giving segments ``[pos, next pos)`` in which one left run
+       meets one right run.  A segment stands for ``__mult`` row pairs.
+
+    Returns the segments (keys, [bucket], ``__pos``, ``__mult``, presence,
+    both sides' columns) and the partition columns."""
+    lt = {f.name: f.dataType for f in left.schema.fields}
+    rt = {f.name: f.dataType for f in right.schema.fields}
+    lpay = [c for c in left.columns if c not in keys]
+    rpay = [c for c in right.columns if c not in keys]
+    lstruct = left.select(F.struct(*lpay).alias("p")).schema[0].dataType
+    rstruct = right.select(F.struct(*rpay).alias("p")).schema[0].dataType
+    lwrap = T.StructType([T.StructField("v", lstruct)])
+    rwrap = T.StructType([T.StructField("v", rstruct)])
+
+    def runs(df: DataFrame, side: int, pay: list[str]) -> DataFrame:
+        agg = df.groupBy(*keys, *pay).agg(F.count(F.lit(1)).alias("__n"))
+        order = [(F.col(c) if lt[c] == rt[c] else F.col(c).cast(T.StringType())).alias(f"__o{i}")
+                 for i, c in enumerate(shared)]
+        mine = F.struct(*[F.col(c) for c in pay])
+        return agg.select(
+            *[F.col(k).cast(lt[k]).alias(k) for k in keys], F.lit(side).alias(SIDE), *order,
+            (mine if side == 0 else F.lit(None).cast(lstruct)).alias("__pl"),
+            (F.lit(None).cast(rstruct) if side == 0 else mine).alias("__pr"),
+            F.col("__n"))
+
+    both = runs(left, 0, lpay).unionByName(runs(right, 1, rpay))
+    part = list(keys)
+    if salt > 1:
+        hashed = F.xxhash64(*[F.col(f"__o{i}") for i in range(len(shared))]) if shared else F.lit(0)
+        both = both.withColumn(BUCKET, F.pmod(hashed, F.lit(salt)))
+        part.append(BUCKET)
+    order = ([F.col(SIDE)] + [F.col(f"__o{i}").asc_nulls_first() for i in range(len(shared))]
+             + [F.col("__pl").asc_nulls_first(), F.col("__pr").asc_nulls_first()])
+    before = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    cum = F.coalesce(F.sum("__n").over(before), F.lit(0).cast("long"))
+    left_total = F.sum(F.when(F.col(SIDE) == 0, F.col("__n")).otherwise(0)).over(Window.partitionBy(*part))
+    placed = both.withColumn("__start", F.when(F.col(SIDE) == 0, cum).otherwise(cum - left_total))
+
+    # Boundaries: kind 0 = a run ends, kind 1 = a run starts; at one
+    # position the start wins.  Values are wrapped so an end (no run) is
+    # still a non-null marker for last(..., ignorenulls).
+    is_left = F.col(SIDE) == 0
+    no_l, no_r = F.lit(None).cast(lwrap), F.lit(None).cast(rwrap)
+    start_l = F.struct(F.col("__pl").alias("v"))
+    start_r = F.struct(F.col("__pr").alias("v"))
+    end_l = F.struct(F.lit(None).cast(lstruct).alias("v"))
+    end_r = F.struct(F.lit(None).cast(rstruct).alias("v"))
+    events = placed.select(*[F.col(k) for k in part], F.inline(F.array(
+        F.struct(F.col("__start").alias("pos"), F.lit(1).alias("kind"),
+                 F.when(is_left, start_l).otherwise(no_l).alias("lw"),
+                 F.when(~is_left, start_r).otherwise(no_r).alias("rw")),
+        F.struct((F.col("__start") + F.col("__n")).alias("pos"), F.lit(0).alias("kind"),
+                 F.when(is_left, end_l).otherwise(no_l).alias("lw"),
+                 F.when(~is_left, end_r).otherwise(no_r).alias("rw")))))
+    by_pos = Window.partitionBy(*part).orderBy("pos", "kind")
+    upto = by_pos.rowsBetween(Window.unboundedPreceding, 0)
+    carried = (events
+               .withColumn("__cl", F.last("lw", ignorenulls=True).over(upto))
+               .withColumn("__cr", F.last("rw", ignorenulls=True).over(upto))
+               .withColumn("__np", F.lead("pos").over(by_pos)))
+    # the last boundary at a position holds the state of the segment after it
+    settled = carried.where(F.col("__np").isNull() | (F.col("__np") != F.col("pos")))
+    segments = (settled.withColumn("__next", F.lead("pos").over(by_pos))
+                .where(F.col("__next").isNotNull() & (F.col("__next") > F.col("pos"))))
+    pl, pr = F.col("__cl").getField("v"), F.col("__cr").getField("v")
+    out = segments.select(
+        *[F.col(k) for k in part], F.col("pos").alias(POS),
+        (F.col("__next") - F.col("pos")).alias(MULT),
+        pl.isNotNull().alias(IN_LEFT), pr.isNotNull().alias(IN_RIGHT),
+        *[pl.getField(c).alias(f"{c}__l") for c in shared],
+        *[pr.getField(c).alias(f"{c}__r") for c in shared],
+        *[pl.getField(c).alias(f"{c}__lo") for c in lpay if c not in rt],
+        *[pr.getField(c).alias(f"{c}__ro") for c in rpay if c not in lt])
+    return out.where(F.col(IN_LEFT) | F.col(IN_RIGHT)), part
 
 
 def persist_joined(rec: Reconciliation) -> Reconciliation:

@@ -123,3 +123,22 @@ def test_plan_is_one_sort_merge_join(spark, orders):
     plan = rec.stats()._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_group_of_copies_against_brute_force(spark, monkeypatch):
+    """One key holds a third of the rows as identical copies."""
+    monkeypatch.setattr(R, "EXPAND_CHUNK", 7)
+    base = [(k % 40, k % 3, float(k % 5), f"t{k % 2}") for k in range(120)]
+    copies = [(99, 1, 1.0, "same")] * 60
+    left_rows = base + copies + [(99, 1, 2.0, "other")]
+    right_rows = base[::2] + copies[:45] + [(99, 1, 2.0, "other"), (99, 1, 0.5, "new")]
+    schema = "k long, j long, v double, s string"
+    l = spark.createDataFrame(left_rows, schema)
+    r = spark.createDataFrame(right_rows, schema)
+    rec = reconcile(l, r, ["k", "j"])
+    assert counts(rec) == brute_force(left_rows, right_rows, (0, 1))
+    status = rec.status()
+    assert status.count() == counts(rec)["rows_common"] + counts(rec)["rows_left_only"] + \
+        counts(rec)["rows_right_only"]
+    assert status.groupBy("k", "j", R.ORD).count().where("count > 1").count() == 0
+    assert rec.left_only().count() == counts(rec)["rows_left_only"]
