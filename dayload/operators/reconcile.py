@@ -8,13 +8,15 @@ Plan shape:
   * unique keys: one null-safe full outer sort-merge join, keys shuffled
     once per side;
   * repeated keys: rows are paired by their position within the key, both
-    sides ordered by the shared columns.  Identical rows are first collapsed
-    into runs with a count (partial aggregation before the shuffle, so a
-    group of copies costs one row per task), then runs are laid out as
-    position intervals per side and paired by a carry-forward window over
-    the interval boundaries.  No group is sorted row by row, no pairs within
-    a group are emitted, and a key with more than ``hot_group_rows`` rows is
-    additionally split into salt buckets by a hash of row content;
+    sides ordered by the shared columns.  When no key exceeds
+    ``hot_group_rows`` (measured by the profile), one window over the union
+    of both loads numbers the rows (one shuffle).  Otherwise identical rows
+    are first collapsed into runs with a count (partial aggregation before
+    the shuffle, so a group of copies costs one row per task), runs are laid
+    out as position intervals per side and paired by a carry-forward window
+    over the interval boundaries, and keys are split into salt buckets by a
+    hash of row content.  No hot group is sorted row by row and no pairs
+    within a group are emitted;
   * every count and per-column statistic is one global aggregate (weighted
     by run length on the repeated-key path);
   * samples are ``row_number() <= k``, which Spark turns into a partial
@@ -309,11 +311,16 @@ COLUMN_STATS_SCHEMA = ("column string, left_type string, right_type string, matc
 
 def reconcile(left: DataFrame, right: DataFrame, keys: list[str], abs_tol: float = 0.0,
               rel_tol: float = 0.0, left_name: str = "left", right_name: str = "right",
-              dedupe: str = "auto", hot_group_rows: int = HOT_GROUP_ROWS) -> Reconciliation:
+              dedupe: str = "auto", hot_group_rows: int = HOT_GROUP_ROWS,
+              pairing: str = "auto") -> Reconciliation:
     """Pair the rows of two loads by key and compare the shared columns.
 
     ``dedupe``: ``"auto"`` pairs by position within the key only when a key
-    repeats on either side; ``"always"`` / ``"never"`` force it."""
+    repeats on either side; ``"always"`` / ``"never"`` force it.
+    ``pairing`` (repeated keys): ``"auto"`` numbers rows with one window when
+    no key exceeds ``hot_group_rows`` and uses collapsed runs (salted by
+    content) otherwise; ``"window"`` / ``"runs"`` force a method (``"runs"``
+    then salts only above ``hot_group_rows``).  Unsalted, both pair alike."""
     keys = [k.lower() for k in keys if k and k.strip()]
     if not keys:
         raise NoKeyError("comparison needs at least one key column")
@@ -329,17 +336,23 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[str], abs_tol: float
     compare = [(c, lt[c], rt[c]) for c in shared]
 
     positional = dedupe == "always"
-    salt = 1
+    salt, top = 1, 0
     if dedupe in ("auto", "always"):
         dups, top = key_profiles(left, right, keys)
         positional = positional or dups > 0
         salt = max(1, math.ceil(top / hot_group_rows)) if top > hot_group_rows else 1
+    use_runs = pairing == "runs" or (pairing == "auto" and top > hot_group_rows)
 
-    if positional:
+    if positional and use_runs:
         j, part = pair_runs(left, right, keys, shared, salt)
         cols = [F.col(k) for k in part] + [F.col(POS), F.col(MULT)]
         join_keys = part + [ORD]
         in_l, in_r = F.col(IN_LEFT), F.col(IN_RIGHT)
+    elif positional:
+        j, join_keys = pair_rows(left, right, keys, shared)
+        cols = [F.col(k) for k in join_keys]
+        in_l, in_r = F.col(IN_LEFT), F.col(IN_RIGHT)
+        use_runs = False
     else:
         j, join_keys = _join_on_keys(left, right, keys, shared, lt, rt), list(keys)
         in_l = F.coalesce(F.col(IN_LEFT), F.lit(False))
@@ -365,7 +378,7 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[str], abs_tol: float
     cols += [F.col(f"{c}__ro") for c in right.columns if c not in keys and c not in lt]
     return Reconciliation(spark, keys, join_keys, left.columns, right.columns, compare,
                           j.select(*cols), left, right, left_name, right_name, abs_tol, rel_tol,
-                          weighted=positional)
+                          weighted=positional and use_runs)
 
 
 def _join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], shared: list[str],
@@ -386,6 +399,62 @@ def _join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], shared: li
     return ls.join(rs, cond, "full_outer")
 
 
+def _order_and_payload(left: DataFrame, right: DataFrame, keys: list[str], shared: list[str]):
+    lt = {f.name: f.dataType for f in left.schema.fields}
+    rt = {f.name: f.dataType for f in right.schema.fields}
+    lpay = [c for c in left.columns if c not in keys]
+    rpay = [c for c in right.columns if c not in keys]
+    lstruct = left.select(F.struct(*lpay).alias("p")).schema[0].dataType
+    rstruct = right.select(F.struct(*rpay).alias("p")).schema[0].dataType
+    order = [(F.col(c) if lt[c] == rt[c] else F.col(c).cast(T.StringType())).alias(f"__o{i}")
+             for i, c in enumerate(shared)]
+    return lt, rt, lpay, rpay, lstruct, rstruct, order
+
+
+def _paired_columns(pl: Column, pr: Column, shared, lpay, rpay, lt, rt) -> list[Column]:
+    return [pl.isNotNull().alias(IN_LEFT), pr.isNotNull().alias(IN_RIGHT),
+            *[pl.getField(c).alias(f"{c}__l") for c in shared],
+            *[pr.getField(c).alias(f"{c}__r") for c in shared],
+            *[pl.getField(c).alias(f"{c}__lo") for c in lpay if c not in rt],
+            *[pr.getField(c).alias(f"{c}__ro") for c in rpay if c not in lt]]
+
+
+def pair_rows(left: DataFrame, right: DataFrame, keys: list[str],
+              shared: list[str]) -> tuple[DataFrame, list[str]]:
+    """Repeated keys, none hot: the n-th row of a key on the left pairs with
+    the n-th row on the right, both ordered by the shared columns (ties by
+    the remaining columns).  One shuffle: both loads tagged and unioned,
+    hash-partitioned by key, numbered per side, paired by an aggregate on
+    (key, number) that reuses the partitioning; each pair group holds at
+    most one row per side.  Used only when no key exceeds the hot-group
+    bound, so a key's rows always fit one task's sort."""
+    lt, rt, lpay, rpay, lstruct, rstruct, order = _order_and_payload(left, right, keys, shared)
+
+    def tagged(df: DataFrame, side: int, pay: list[str]) -> DataFrame:
+        mine = F.struct(*[F.col(c) for c in pay])
+        return df.select(
+            *[F.col(k).cast(lt[k]).alias(k) for k in keys], F.lit(side).alias(SIDE), *order,
+            (mine if side == 0 else F.lit(None).cast(lstruct)).alias("__pl"),
+            (F.lit(None).cast(rstruct) if side == 0 else mine).alias("__pr"))
+
+    both = tagged(left, 0, lpay).unionByName(tagged(right, 1, rpay))
+    ranking = ([F.col(SIDE)] + [F.col(f"__o{i}").asc_nulls_first() for i in range(len(shared))]
+               + [F.col("__pl").asc_nulls_first(), F.col("__pr").asc_nulls_first()])
+    numbered = (both
+                .withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*ranking)))
+                .withColumn("__nl", F.sum(F.when(F.col(SIDE) == 0, 1).otherwise(0))
+                            .over(Window.partitionBy(*keys))))
+    numbered = numbered.withColumn(
+        ORD, F.when(F.col(SIDE) == 0, F.col("__rn")).otherwise(F.col("__rn") - F.col("__nl"))
+        .cast(T.IntegerType()))
+    paired = numbered.groupBy(*keys, ORD).agg(
+        F.first("__pl", ignorenulls=True).alias("__pl"),
+        F.first("__pr", ignorenulls=True).alias("__pr"))
+    out = paired.select(*[F.col(k) for k in keys], F.col(ORD),
+                        *_paired_columns(F.col("__pl"), F.col("__pr"), shared, lpay, rpay, lt, rt))
+    return out, keys + [ORD]
+
+
 def pair_runs(left: DataFrame, right: DataFrame, keys: list[str], shared: list[str],
               salt: int = 1) -> tuple[DataFrame, list[str]]:
     """Repeated keys: the n-th row of a key on the left pairs with the n-th

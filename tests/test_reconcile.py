@@ -135,8 +135,10 @@ def test_group_of_copies_against_brute_force(spark, monkeypatch):
     schema = "k long, j long, v double, s string"
     l = spark.createDataFrame(left_rows, schema)
     r = spark.createDataFrame(right_rows, schema)
-    rec = reconcile(l, r, ["k", "j"])
+    rec = reconcile(l, r, ["k", "j"], pairing="runs")
+    assert rec.weighted
     assert counts(rec) == brute_force(left_rows, right_rows, (0, 1))
+    assert counts(reconcile(l, r, ["k", "j"], pairing="window")) == counts(rec)
     status = rec.status()
     assert status.count() == counts(rec)["rows_common"] + counts(rec)["rows_left_only"] + \
         counts(rec)["rows_right_only"]
