@@ -411,6 +411,16 @@ def _order_and_payload(left: DataFrame, right: DataFrame, keys: list[str], share
     return lt, rt, lpay, rpay, lstruct, rstruct, order
 
 
+def _tiebreak(lpay: list[str], rpay: list[str], lt: dict, rt: dict) -> list[Column]:
+    """After the shared columns, ties are broken by each side's own columns
+    (the other side's are null there); without one-sided columns a tie means
+    identical rows and needs no further order."""
+    only_l = [c for c in lpay if c not in rt]
+    only_r = [c for c in rpay if c not in lt]
+    return ([F.col("__pl").getField(c).asc_nulls_first() for c in only_l]
+            + [F.col("__pr").getField(c).asc_nulls_first() for c in only_r])
+
+
 def _paired_columns(pl: Column, pr: Column, shared, lpay, rpay, lt, rt) -> list[Column]:
     return [pl.isNotNull().alias(IN_LEFT), pr.isNotNull().alias(IN_RIGHT),
             *[pl.getField(c).alias(f"{c}__l") for c in shared],
@@ -439,7 +449,7 @@ def pair_rows(left: DataFrame, right: DataFrame, keys: list[str],
 
     both = tagged(left, 0, lpay).unionByName(tagged(right, 1, rpay))
     ranking = ([F.col(SIDE)] + [F.col(f"__o{i}").asc_nulls_first() for i in range(len(shared))]
-               + [F.col("__pl").asc_nulls_first(), F.col("__pr").asc_nulls_first()])
+               + _tiebreak(lpay, rpay, lt, rt))
     numbered = (both
                 .withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*ranking)))
                 .withColumn("__nl", F.sum(F.when(F.col(SIDE) == 0, 1).otherwise(0))
@@ -499,7 +509,7 @@ def pair_runs(left: DataFrame, right: DataFrame, keys: list[str], shared: list[s
         both = both.withColumn(BUCKET, F.pmod(hashed, F.lit(salt)))
         part.append(BUCKET)
     order = ([F.col(SIDE)] + [F.col(f"__o{i}").asc_nulls_first() for i in range(len(shared))]
-             + [F.col("__pl").asc_nulls_first(), F.col("__pr").asc_nulls_first()])
+             + _tiebreak(lpay, rpay, lt, rt))
     before = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     cum = F.coalesce(F.sum("__n").over(before), F.lit(0).cast("long"))
     left_total = F.sum(F.when(F.col(SIDE) == 0, F.col("__n")).otherwise(0)).over(Window.partitionBy(*part))

@@ -109,10 +109,18 @@ VIEW_BUILDERS = {
 }
 
 
+REGISTERED_CONF = "dayload.vendor_views.dir"
+
+
 def register_vendor_views(spark: SparkSession, sf_dir: str) -> None:
-    """Register every vendor view over the given tables in ``sf_dir``."""
+    """Register every vendor view over the given tables in ``sf_dir`` (once
+    per session and folder)."""
+    if (spark.conf.get(REGISTERED_CONF, None) == sf_dir
+            and all(spark.catalog.tableExists(v) for v in VIEW_BUILDERS)):
+        return
     for view, (table, build) in VIEW_BUILDERS.items():
         build(read_table(spark, sf_dir, table)).createOrReplaceTempView(view)
+    spark.conf.set(REGISTERED_CONF, sf_dir)
 
 
 def _cols(*rows: tuple[str, str, str, str]) -> tuple[ColumnSpec, ...]:
