@@ -12,12 +12,11 @@ import traceback
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..catalog import TableSpec
 from ..operators.filters import BY_BUSINESS, incremental_filter
 from ..operators.project import CHANGE, PROFILES, LoadProfile, normalize
-from ..sinks.writers import (WriteResult, append_audit, audit_row, write_sidecar,
+from ..sinks.writers import (AUDIT_SCHEMA, append_audit, audit_row, write_sidecar,
                              write_slice, write_snapshot)
 from ..sources.query import CHUNK_ROWS, source_frame
 
@@ -37,22 +36,25 @@ def sidecar_date_column(spec: TableSpec, profile: LoadProfile) -> str | None:
 
 
 def load_plan(spark: SparkSession, spec: TableSpec, load_date: str,
-              profile: LoadProfile | str = CHANGE, source: DataFrame | None = None) -> DataFrame:
+              profile: LoadProfile | str = CHANGE, source: DataFrame | None = None,
+              connections: dict | None = None) -> DataFrame:
     """The stored rows of one table and day, not yet written."""
     profile = _profile(profile)
-    src = source if source is not None else source_frame(spark, spec, load_date)
+    src = source if source is not None else source_frame(spark, spec, load_date, connections)
     rows = incremental_filter(src, spec, load_date, profile.by) if spec.dynamic else src
     return normalize(rows, spec, load_date, profile)
 
 
 def load_table(spark: SparkSession, spec: TableSpec, load_date: str, root: str,
                profile: LoadProfile | str = CHANGE, source: DataFrame | None = None,
-               max_records: int = CHUNK_ROWS, write_audit: bool = True) -> DataFrame:
-    """Load one table for one day into ``root``; returns its audit row."""
+               max_records: int = CHUNK_ROWS, write_audit: bool = True,
+               connections: dict | None = None) -> DataFrame:
+    """Load one table for one day into ``root``; returns its audit row.
+    ``connections`` maps a vendor family to its ``JdbcSource``."""
     profile = _profile(profile)
     date_col = sidecar_date_column(spec, profile)
     try:
-        out = load_plan(spark, spec, load_date, profile, source)
+        out = load_plan(spark, spec, load_date, profile, source, connections)
         if spec.dynamic:
             result = write_slice(out, root, spec.original_table, load_date, max_records)
         else:
@@ -72,16 +74,16 @@ def load_table(spark: SparkSession, spec: TableSpec, load_date: str, root: str,
 
 def load_all(spark: SparkSession, specs: list[TableSpec], load_date: str, root: str,
              profile: LoadProfile | str = CHANGE, threads: int = LOAD_THREADS,
-             max_records: int = CHUNK_ROWS) -> DataFrame:
+             max_records: int = CHUNK_ROWS, connections: dict | None = None) -> DataFrame:
     """Load every given table for the day as concurrent Spark jobs; one audit
     row per table, failures included (PIP-4)."""
     profile = _profile(profile)
     if not specs:
-        return spark.createDataFrame([], "select_table string")
+        return spark.createDataFrame([], AUDIT_SCHEMA)
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
         audits = list(pool.map(
-            lambda s: load_table(spark, s, load_date, root, profile,
-                                 max_records=max_records, write_audit=False), specs))
+            lambda s: load_table(spark, s, load_date, root, profile, max_records=max_records,
+                                 write_audit=False, connections=connections), specs))
     out = audits[0]
     for a in audits[1:]:
         out = out.unionByName(a)

@@ -22,7 +22,17 @@ def scan_sql_query(spark: SparkSession, sql: str, load_date: str | None = None)
     return spark.sql(sql)
 
 
-def source_frame(spark: SparkSession, spec: TableSpec, load_date: str | None = None) -> DataFrame:
+def source_frame(spark: SparkSession, spec: TableSpec, load_date: str | None = None,
+                 connections: dict[str, "JdbcSource"] | None = None) -> DataFrame:
+    """The table's source rows: over JDBC when a connection is registered for
+    its vendor family (``data_base``), else as SQL on the session.  Row
+    filters applied later are pushed into the JDBC query by Spark."""
+    conn = (connections or {}).get(spec.data_base)
+    if conn is not None:
+        sql = spec.source_sql
+        if load_date is not None and LOAD_DATE_MARKER in sql:
+            sql = sql.replace(LOAD_DATE_MARKER, f"'{int(load_date)}'")  # digits only
+        return conn.scan(spark, sql)
     return scan_sql_query(spark, spec.source_sql, load_date)
 
 

@@ -29,3 +29,21 @@ def test_sql_scan_binds_the_date(spark):
     m = spark.table("vendor_windevents").where("TRADE_DT = '20240115'").count()
     assert n == m and n > 0
     assert scan_sql_query(spark, "SELECT 1 AS x").collect()[0]["x"] == 1
+
+
+def test_source_frame_routes_by_vendor(spark, monkeypatch):
+    from dayload.sources import query as Q
+    seen = {}
+
+    def fake_scan(self, spark_, sql):
+        seen["sql"] = sql
+        return spark_.range(1)
+
+    monkeypatch.setattr(Q.JdbcSource, "scan", fake_scan)
+    spec = V.WINDEVENTS.__class__(**{**V.WINDEVENTS.__dict__,
+                                     "source_sql": "SELECT * FROM T WHERE D >= :load_date"})
+    conns = {"wind": JdbcSource(url="jdbc:x")}
+    Q.source_frame(spark, spec, "20240115", conns)
+    assert seen["sql"] == "SELECT * FROM T WHERE D >= '20240115'"
+    V.register_vendor_views(spark, SF_SMALL)
+    assert Q.source_frame(spark, V.WINDEVENTS, "20240115", {"other": JdbcSource(url="jdbc:y")}).count() > 0
