@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..catalog import LOAD_DATE, TableSpec
+from ..catalog import TableSpec
 from ..operators.reconcile import NoKeyError, Reconciliation, reconcile
 from ..sinks.writers import read_audit
 from ..sources.store import comparable_tables, scan_load_date, scan_snapshot_table
@@ -76,6 +76,72 @@ def report_frames(rec: Reconciliation) -> dict[str, DataFrame]:
             "sample_one_sided": one_sided[0].unionByName(one_sided[1])}
 
 
+def render_report(rec: Reconciliation, table: str, load_date: str, keys: list[str] | None = None,
+                  frames: dict[str, DataFrame] | None = None) -> str:
+    """The comparison as readable text (the reference's per-table report).
+    Only the small report frames are collected: one counts row, one row per
+    column, at most ten samples per column and side."""
+    f = frames or report_frames(rec)
+    c = f["counts"].collect()[0].asDict()
+    cols = f["columns"].orderBy("column").collect()
+    shape = {r["side"]: r for r in f["shape"].collect()}
+    schema = f["schema"].collect()
+    lines = [f"Comparison of {table} on {load_date}", "",
+             "Frames", f"  {'name':<12}{'columns':>10}{'rows':>14}"]
+    for side in (rec.left_name, rec.right_name):
+        r = shape[side]
+        lines.append(f"  {side:<12}{r['n_columns']:>10}{r['n_rows']:>14}")
+    common = [r["column"] for r in schema if r["in_left"] and r["in_right"]]
+    only_l = [r["column"] for r in schema if r["in_left"] and not r["in_right"]]
+    only_r = [r["column"] for r in schema if r["in_right"] and not r["in_left"]]
+    lines += ["", "Columns",
+              f"  in common: {len(common)}",
+              f"  only in {rec.left_name}: {len(only_l)} {only_l}",
+              f"  only in {rec.right_name}: {len(only_r)} {only_r}",
+              "", "Rows",
+              f"  matched on: {', '.join(keys or rec.keys)}",
+              f"  repeated keys: {'yes' if len(rec.join_keys) > len(rec.keys) else 'no'}",
+              f"  absolute tolerance: {rec.abs_tol}", f"  relative tolerance: {rec.rel_tol}",
+              f"  in common: {c['rows_common']}",
+              f"  only in {rec.left_name}: {c['rows_left_only']}",
+              f"  only in {rec.right_name}: {c['rows_right_only']}",
+              f"  with some values unequal: {c['rows_some_unequal']}",
+              f"  with all compared values equal: {c['rows_all_equal']}"]
+    unequal = [r for r in cols if not r["all_match"]]
+    lines += ["", "Column comparison",
+              f"  columns with some values unequal: {len(unequal)}",
+              f"  columns with all values equal: {len(cols) - len(unequal)}",
+              f"  values unequal in total: {sum(r['unequal_cnt'] for r in cols)}"]
+    if unequal or any(r["left_type"] != r["right_type"] for r in cols):
+        lines += ["", "Columns with unequal values or types",
+                  f"  {'column':<24}{'left type':<16}{'right type':<16}{'# unequal':>10}"
+                  f"{'max diff':>14}{'# null diff':>12}"]
+        for r in cols:
+            if r["all_match"] and r["left_type"] == r["right_type"]:
+                continue
+            lines.append(f"  {r['column']:<24}{r['left_type']:<16}{r['right_type']:<16}"
+                         f"{r['unequal_cnt']:>10}{r['max_diff']:>14.6g}{r['null_diff']:>12}")
+    samples = f["sample_unequal"].orderBy("column", "key").collect()
+    if samples:
+        lines += ["", "Sample rows with unequal values"]
+        for r in samples:
+            lines.append(f"  {r['column']}  key={r['key']}  {rec.left_name}={r['left_value']}  "
+                         f"{rec.right_name}={r['right_value']}")
+    for side, name in (("left", rec.left_name), ("right", rec.right_name)):
+        rows = f["sample_one_sided"].where(F.col("side") == side).orderBy("key").collect()
+        if rows:
+            lines += ["", f"Sample rows only in {name}"] + [f"  {r['row']}" for r in rows]
+    return "\n".join(lines) + "\n"
+
+
+def write_text_report(spark: SparkSession, text: str, log_root: str, table: str,
+                      load_date: str) -> str:
+    """``<log_root>/<table>/<load_date>.txt`` (a one-file text dataset)."""
+    path = f"{log_root.rstrip('/')}/{table}/{load_date}.txt"
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return path
+
+
 def write_report(rec: Reconciliation, log_root: str, table: str, load_date: str) -> dict[str, str]:
     """Write every report section under ``log_root/<section>``, replacing
     only this table's day (SNK-7).  The joined rows are kept for the
@@ -83,12 +149,18 @@ def write_report(rec: Reconciliation, log_root: str, table: str, load_date: str)
     rec.joined = rec.joined.persist(StorageLevel.MEMORY_AND_DISK)
     paths = {}
     try:
-        for name, df in report_frames(rec).items():
+        frames = report_frames(rec)
+        for name, df in frames.items():
             path = f"{log_root.rstrip('/')}/{name}"
             (_tag(df, table, load_date).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic")
              .partitionBy("table_name", "load_date").parquet(path))
             paths[name] = path
+        written = {n: read_report(rec.spark, log_root, n)
+                   .where((F.col("table_name") == table) & (F.col("load_date") == load_date))
+                   for n in frames}
+        text = render_report(rec, table, load_date, frames=written)
+        paths["text"] = write_text_report(rec.spark, text, log_root, table, load_date)
     finally:
         rec.joined.unpersist()
     return paths

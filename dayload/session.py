@@ -48,14 +48,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     A cluster names a folder every executor can reach.  Only when the session
     has none (local tests) do we create one and register it.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = sc.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote session exposes no context
+        sc = None
+    if not root and sc is not None:
+        root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="dayload-ckpt-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
+        else:
+            spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 

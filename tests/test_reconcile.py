@@ -144,3 +144,17 @@ def test_group_of_copies_against_brute_force(spark, monkeypatch):
         counts(rec)["rows_right_only"]
     assert status.groupBy("k", "j", R.ORD).count().where("count > 1").count() == 0
     assert rec.left_only().count() == counts(rec)["rows_left_only"]
+
+
+def test_report_sink_writes_sections_and_text(spark, orders):
+    from dayload.plans.reconcile import read_report, write_report
+    from dayload.session import scratch_dir
+    rec = reconcile(orders, V.changed_orders(orders), ["o_orderkey"], left_name="df_load",
+                    right_name="df_opdate")
+    log = scratch_dir(spark, "report-test")
+    paths = write_report(rec, log, "ORDERS", "20240115")
+    write_report(rec, log, "ORDERS", "20240116")
+    counts_rows = read_report(spark, log, "counts").collect()
+    assert sorted(r["load_date"] for r in counts_rows) == ["20240115", "20240116"]
+    text = "\n".join(r.value for r in spark.read.text(paths["text"]).collect())
+    assert "only in df_opdate: 1 ['o_flag']" in text and "o_totalprice" in text
