@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .timefmt import to_epoch_seconds
-from .types import is_fractional, is_integral, is_numeric, is_timestamp
+from .types import is_fractional, is_numeric, is_timestamp
 
 NONE_TEXT = "None"
 

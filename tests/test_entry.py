@@ -1,7 +1,6 @@
 """Driver contract and every registered query against its DuckDB oracle."""
 
 import math
-import os
 
 import duckdb
 import pytest

@@ -1,7 +1,6 @@
 """Physical plan shapes that matter at scale."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from dayload.operators import reconcile as R
