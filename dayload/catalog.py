@@ -237,3 +237,51 @@ def catalog_columns(catalog: DataFrame) -> DataFrame:
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     """Catalog JSON (an array of table records, or one record per line)."""
     return spark.read.schema(CATALOG_SCHEMA).json(path, multiLine=True)
+
+
+# ---------------------------------------------------------------------------
+# Keyed catalogs: {table: {sql, dynamic, data_base, original_table,
+# date_column, is_important, primary_key, all_cols: {column: {...}}}} as
+# the daily loaders keep them, plus the first loader's field names.
+# ---------------------------------------------------------------------------
+DATE_PLACEHOLDER = "%s"
+LOAD_DATE_MARKER = ":load_date"
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    # A configuration file of a few kilobytes, read through Spark so any
+    # Hadoop-visible path works.
+    return spark.read.text(path, wholetext=True).collect()[0][0]
+
+
+def specs_from_keyed(obj: dict) -> list[TableSpec]:
+    """Table specs from a keyed catalog.  A ``%s`` date placeholder in the
+    SQL becomes the ``:load_date`` parameter marker (bound, never formatted);
+    column order is the order of ``all_cols``."""
+    specs = []
+    for name, t in obj.items():
+        cols = t.get("all_cols", t.get("all_columns")) or {}
+        sql = t.get("sql", "")
+        sql = sql.replace(f"'{DATE_PLACEHOLDER}'", LOAD_DATE_MARKER).replace(DATE_PLACEHOLDER, LOAD_DATE_MARKER)
+        specs.append(TableSpec(
+            table_name=name, data_base=t.get("data_base", ""),
+            original_table=t.get("original_table", t.get("oraignal_table")) or name,
+            source_sql=sql, dynamic=bool(t.get("dynamic", False)),
+            is_important=bool(t.get("is_important", True)),
+            date_column=t.get("date_column", t.get("date_where")),
+            primary_key=tuple(t["primary_key"]) if t.get("primary_key") is not None else None,
+            all_cols=tuple(ColumnSpec(c, d.get("database_type", ""),
+                                      d.get("pandas_type", d.get("logical_type", "")),
+                                      d.get("parquet_type", "")) for c, d in cols.items())))
+    return specs
+
+
+def read_keyed_catalog(spark: SparkSession, path: str) -> list[TableSpec]:
+    import json
+    return specs_from_keyed(json.loads(_read_text(spark, path)))
+
+
+def read_table_list(spark: SparkSession, path: str, field: str = "need_tables") -> list[str]:
+    """Names from a ``{"need_tables": [...]}`` file (the list-driven run)."""
+    import json
+    return list(json.loads(_read_text(spark, path))[field])

@@ -13,7 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..catalog import TableSpec
+from ..catalog import LOAD_DATE_MARKER, TableSpec
 from ..operators.filters import BY_BUSINESS, incremental_filter
 from ..operators.project import CHANGE, PROFILES, LoadProfile, normalize
 from ..sinks.writers import (AUDIT_SCHEMA, append_audit, audit_row, write_sidecar,
@@ -40,6 +40,12 @@ def load_plan(spark: SparkSession, spec: TableSpec, load_date: str,
               connections: dict | None = None) -> DataFrame:
     """The stored rows of one table and day, not yet written."""
     profile = _profile(profile)
+    if (source is None and spec.dynamic and profile.by != BY_BUSINESS
+            and LOAD_DATE_MARKER in spec.source_sql):
+        # The text filters on the business date itself; a change-date load
+        # would silently keep that test.  Such SQL needs its base query.
+        raise ValueError(f"{spec.table_name}: source SQL filters on the load date; "
+                         "a change-date load needs the query without its date test")
     src = source if source is not None else source_frame(spark, spec, load_date, connections)
     rows = incremental_filter(src, spec, load_date, profile.by) if spec.dynamic else src
     return normalize(rows, spec, load_date, profile)

@@ -7,9 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 
-from ..catalog import TableSpec
-
-LOAD_DATE_MARKER = ":load_date"
+from ..catalog import LOAD_DATE_MARKER, TableSpec
 # The vendor loads fetch at most this many rows per round trip / file.
 CHUNK_ROWS = 1_000_000
 

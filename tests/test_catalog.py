@@ -60,3 +60,35 @@ def test_primary_key_of_registry_and_unknown(spark):
     unknown = spark.createDataFrame([("mystery", None)], "table_name string, primary_key array<string>")
     with pytest.raises(PySparkException):
         primary_key_of(unknown, reg).collect()
+
+
+def test_keyed_catalog_and_table_list(spark, tmp_path):
+    from dayload.catalog import read_keyed_catalog, read_table_list
+    from dayload.plans.load import load_plan
+    from dayload.sources import vendor as V
+    from conftest import SF_SMALL
+    keyed = {
+        "windevents": {
+            "sql": "SELECT * FROM vendor_windevents WHERE TRADE_DT = '%s'",
+            "dynamic": True, "data_base": "wind", "original_table": "WINDEVENTS",
+            "date_column": "TRADE_DT", "is_important": True, "primary_key": ["event_id"],
+            "all_cols": {"event_id": {"database_type": "bigint", "pandas_type": "int64", "parquet_type": "int64"},
+                         "OPDATE": {"database_type": "datetime", "pandas_type": "int64", "parquet_type": "int64"},
+                         "TRADE_DT": {"database_type": "varchar", "pandas_type": "str", "parquet_type": "string"}}},
+        "nationsnap": {"sql": "SELECT * FROM vendor_nationsnap", "dynamic": False, "data_base": "x",
+                       "oraignal_table": "NATIONSNAP", "date_where": "OPDATE",
+                       "all_columns": {"n_nationkey": {"database_type": "int", "pandas_type": "int64",
+                                                       "parquet_type": "int64"}}},
+    }
+    (tmp_path / "cat.json").write_text(json.dumps(keyed))
+    (tmp_path / "need.json").write_text(json.dumps({"need_tables": ["nationsnap"]}))
+    specs = {s.table_name: s for s in read_keyed_catalog(spark, str(tmp_path / "cat.json"))}
+    assert [c.name for c in specs["windevents"].all_cols] == ["event_id", "OPDATE", "TRADE_DT"]
+    assert specs["windevents"].source_sql.endswith("TRADE_DT = :load_date")
+    assert specs["nationsnap"].original_table == "NATIONSNAP"
+    assert read_table_list(spark, str(tmp_path / "need.json")) == ["nationsnap"]
+    V.register_vendor_views(spark, SF_SMALL)
+    out = load_plan(spark, specs["windevents"], "20240115", "business")
+    assert out.count() == spark.table("vendor_windevents").where("TRADE_DT = '20240115'").count()
+    with pytest.raises(ValueError):
+        load_plan(spark, specs["windevents"], "20240115", "change")
