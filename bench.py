@@ -25,6 +25,7 @@ HEADLINE = [
     "reconcile_counts",        # whole orders vs changed copy
     "reconcile_columns",
     "reconcile_dup_counts",    # whole lineitem, repeating keys
+    "reconcile_hot_key",       # a third of lineitem on one key, mostly copies
     "reconcile_sample_unequal",
     "load_bounded_files",      # whole lineitem written in bounded files
     "project_tolerant",

@@ -669,3 +669,28 @@ def _():
 def _():
     return ("SELECT l_orderkey, CAST(l_orderkey AS INTEGER) AS l_orderkey32, "
             "CAST(l_quantity AS INTEGER) AS l_quantity FROM lineitem")
+
+
+def _hot_lineitem_sql(changed: bool) -> str:
+    src = "lineitem"
+    if changed:
+        src = ("(SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
+               "l_discount, CASE WHEN l_suppkey % 11 = 0 THEN l_tax + 0.01 ELSE l_tax END AS l_tax, "
+               "l_returnflag, l_linestatus, l_shipdate FROM lineitem WHERE l_partkey % 7 <> 0)")
+    h = "l_orderkey % 3 = 0"
+    return (f"SELECT CASE WHEN {h} THEN CAST(0 AS BIGINT) ELSE l_orderkey END AS l_orderkey, "
+            f"CASE WHEN {h} THEN l_partkey % 4 ELSE l_partkey END AS l_partkey, "
+            f"CASE WHEN {h} THEN CAST(0 AS BIGINT) ELSE l_suppkey END AS l_suppkey, "
+            f"CASE WHEN {h} THEN 1 ELSE l_linenumber END AS l_linenumber, "
+            f"CASE WHEN {h} THEN 1.0 ELSE l_quantity END AS l_quantity, "
+            f"CASE WHEN {h} THEN 1.0 ELSE l_extendedprice END AS l_extendedprice, "
+            f"CASE WHEN {h} THEN 0.0 ELSE l_discount END AS l_discount, "
+            f"CASE WHEN {h} THEN 0.0 ELSE l_tax END AS l_tax, l_returnflag, l_linestatus, "
+            f"CASE WHEN {h} THEN TIMESTAMP '1998-01-01' ELSE l_shipdate END AS l_shipdate FROM {src} s")
+
+
+@oracle("reconcile_hot_key")
+def _():
+    j = joined_sql(_hot_lineitem_sql(False), _hot_lineitem_sql(True), LINE_KEYS, LINE_OTHER,
+                   order=[c for c, _ in LINE_OTHER])
+    return counts_sql(j)

@@ -497,3 +497,12 @@ def q_reconcile_dup_keys(spark, sf_dir):
 def q_reconcile_dup_counts(spark, sf_dir):
     left, right = _lineitem_pair(spark, sf_dir)
     return reconcile(left, right, LINE_KEYS).counts()
+
+
+@query("reconcile_hot_key")
+def q_reconcile_hot_key(spark, sf_dir):
+    """A key holding a third of all rows, nearly all exact copies, compared
+    through collapsed runs (the path every hot key takes at scale)."""
+    li = _table(spark, sf_dir, "lineitem")
+    rec = reconcile(V.hot_lineitem(li), V.hot_lineitem(li, changed=True), LINE_KEYS, pairing="runs")
+    return rec.counts()

@@ -98,6 +98,34 @@ def changed_orders(orders: DataFrame) -> DataFrame:
     return kept.unionByName(added)
 
 
+def hot_lineitem(lineitem: DataFrame, changed: bool = False) -> DataFrame:
+    """``lineitem`` with one hot key: every third order collapses onto key
+    (0, 1) with only a few distinct row contents, so that key holds a third
+    of all rows, nearly all of them exact copies.  ``changed`` drops every
+    7th part and raises the tax of every 11th supplier first."""
+    df = lineitem
+    if changed:
+        df = (df.where(F.col("l_partkey") % 7 != 0)
+              .withColumn("l_tax", F.when(F.col("l_suppkey") % 11 == 0, F.col("l_tax") + F.lit(0.01))
+                          .otherwise(F.col("l_tax"))))
+    hot = F.col("l_orderkey") % 3 == 0
+
+    def pick(hot_value, col: str):
+        return F.when(hot, hot_value).otherwise(F.col(col)).alias(col)
+
+    return df.select(
+        pick(F.lit(0).cast("long"), "l_orderkey"),
+        pick(F.col("l_partkey") % 4, "l_partkey"),
+        pick(F.lit(0).cast("long"), "l_suppkey"),
+        pick(F.lit(1), "l_linenumber"),
+        pick(F.lit(1.0), "l_quantity"),
+        pick(F.lit(1.0), "l_extendedprice"),
+        pick(F.lit(0.0), "l_discount"),
+        pick(F.lit(0.0), "l_tax"),
+        "l_returnflag", "l_linestatus",
+        pick(F.lit("1998-01-01 00:00:00").cast("timestamp_ntz"), "l_shipdate"))
+
+
 VIEW_BUILDERS = {
     "vendor_windevents": ("events", windevents),
     "vendor_ordersfeed": ("orders", ordersfeed),
