@@ -270,9 +270,7 @@ def specs_from_keyed(obj: dict) -> list[TableSpec]:
             is_important=bool(t.get("is_important", True)),
             date_column=t.get("date_column", t.get("date_where")),
             primary_key=tuple(t["primary_key"]) if t.get("primary_key") is not None else None,
-            all_cols=tuple(ColumnSpec(c, d.get("database_type", ""),
-                                      d.get("pandas_type", d.get("logical_type", "")),
-                                      d.get("parquet_type", "")) for c, d in cols.items())))
+            all_cols=columns_from_keyed(cols)))
     return specs
 
 
@@ -285,3 +283,15 @@ def read_table_list(spark: SparkSession, path: str, field: str = "need_tables")
     """Names from a ``{"need_tables": [...]}`` file (the list-driven run)."""
     import json
     return list(json.loads(_read_text(spark, path))[field])
+
+
+def columns_from_keyed(cols: dict) -> tuple[ColumnSpec, ...]:
+    """``{column: {database_type, pandas_type, parquet_type}}`` in file order."""
+    return tuple(ColumnSpec(c, d.get("database_type", ""), d.get("pandas_type", d.get("logical_type", "")),
+                            d.get("parquet_type", "")) for c, d in cols.items())
+
+
+def read_column_types(spark: SparkSession, path: str) -> tuple[ColumnSpec, ...]:
+    """A per-table column-type file, as the first loader keeps them (SRC-5)."""
+    import json
+    return columns_from_keyed(json.loads(_read_text(spark, path)))

@@ -156,10 +156,8 @@ def write_report(rec: Reconciliation, log_root: str, table: str, load_date: str)
              .option("partitionOverwriteMode", "dynamic")
              .partitionBy("table_name", "load_date").parquet(path))
             paths[name] = path
-        written = {n: read_report(rec.spark, log_root, n)
-                   .where((F.col("table_name") == table) & (F.col("load_date") == load_date))
-                   for n in frames}
-        text = render_report(rec, table, load_date, frames=written)
+        # the sections are small and the joined rows are still cached
+        text = render_report(rec, table, load_date, frames=frames)
         paths["text"] = write_text_report(rec.spark, text, log_root, table, load_date)
     finally:
         rec.joined.unpersist()
