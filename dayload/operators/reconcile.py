@@ -124,6 +124,7 @@ class Reconciliation:
     rel_tol: float = 0.0
     weighted: bool = False
     _stats: DataFrame | None = field(default=None, repr=False)
+    report_counts: dict | None = field(default=None, repr=False)
 
     # ---- row-level outputs -----------------------------------------------------
     def rows(self, limit: int | None = None) -> DataFrame:

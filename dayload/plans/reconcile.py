@@ -147,6 +147,8 @@ def write_report(rec: Reconciliation, log_root: str, table: str, load_date: str)
     only this table's day (SNK-7).  The joined rows are kept for the
     duration so the join runs once for all sections."""
     rec.joined = rec.joined.persist(StorageLevel.MEMORY_AND_DISK)
+    rec._stats = None
+    stats = rec.stats().persist()  # one row, shared by counts/columns/shape
     paths = {}
     try:
         frames = report_frames(rec)
@@ -159,7 +161,9 @@ def write_report(rec: Reconciliation, log_root: str, table: str, load_date: str)
         # the sections are small and the joined rows are still cached
         text = render_report(rec, table, load_date, frames=frames)
         paths["text"] = write_text_report(rec.spark, text, log_root, table, load_date)
+        rec.report_counts = frames["counts"].collect()[0].asDict()
     finally:
+        stats.unpersist()
         rec.joined.unpersist()
     return paths
 
@@ -202,7 +206,9 @@ def reconcile_all(spark: SparkSession, specs: list[TableSpec], load_date: str, l
             rec = reconcile_day(spark, spec, load_date, left_root, right_root)
             if log_root:
                 write_report(rec, log_root, name, load_date)
-            counts = rec.counts().collect()[0].asDict()
+                counts = rec.report_counts
+            else:
+                counts = rec.counts().collect()[0].asDict()
             return _summary_row(name, load_date, "compared", counts)
         except Exception as exc:  # reported, the run goes on
             return _summary_row(name, load_date, "failed",
