@@ -326,6 +326,9 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[str], abs_tol: float
     if not keys:
         raise NoKeyError("comparison needs at least one key column")
     spark = left.sparkSession
+    # Constraint inference over the comparison's aliased expressions grows
+    # combinatorially at planning time; see session.ENGINE_CONF.
+    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
     left, right = lower_names(left), lower_names(right)
     for side, df in (("left", left), ("right", right)):
         missing = [k for k in keys if k not in df.columns]
@@ -513,25 +516,32 @@ def pair_runs(left: DataFrame, right: DataFrame, keys: list[str], shared: list[s
              + _tiebreak(lpay, rpay, lt, rt))
     before = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     cum = F.coalesce(F.sum("__n").over(before), F.lit(0).cast("long"))
-    left_total = F.sum(F.when(F.col(SIDE) == 0, F.col("__n")).otherwise(0)).over(Window.partitionBy(*part))
-    placed = both.withColumn("__start", F.when(F.col(SIDE) == 0, cum).otherwise(cum - left_total))
-
-    # Boundaries: kind 0 = a run ends, kind 1 = a run starts; at one
-    # position the start wins.  Values are wrapped so an end (no run) is
-    # still a non-null marker for last(..., ignorenulls).
+    whole = Window.partitionBy(*part)
+    left_total = F.sum(F.when(F.col(SIDE) == 0, F.col("__n")).otherwise(0)).over(whole)
+    right_total = F.sum(F.when(F.col(SIDE) == 1, F.col("__n")).otherwise(0)).over(whole)
+    placed = (both.withColumn("__start", F.when(F.col(SIDE) == 0, cum).otherwise(cum - left_total))
+              .withColumn("__last", F.col("__start") + F.col("__n")
+                          == F.when(F.col(SIDE) == 0, left_total).otherwise(right_total)))
+
+    # Boundaries: every run starts one (kind 1); a side's runs are
+    # contiguous, so only its last run adds an end (kind 0).  At one position
+    # the start wins.  Values are wrapped so an end (no run) is still a
+    # non-null marker for last(..., ignorenulls).
     is_left = F.col(SIDE) == 0
     no_l, no_r = F.lit(None).cast(lwrap), F.lit(None).cast(rwrap)
     start_l = F.struct(F.col("__pl").alias("v"))
     start_r = F.struct(F.col("__pr").alias("v"))
     end_l = F.struct(F.lit(None).cast(lstruct).alias("v"))
     end_r = F.struct(F.lit(None).cast(rstruct).alias("v"))
-    events = placed.select(*[F.col(k) for k in part], F.inline(F.array(
-        F.struct(F.col("__start").alias("pos"), F.lit(1).alias("kind"),
-                 F.when(is_left, start_l).otherwise(no_l).alias("lw"),
-                 F.when(~is_left, start_r).otherwise(no_r).alias("rw")),
-        F.struct((F.col("__start") + F.col("__n")).alias("pos"), F.lit(0).alias("kind"),
-                 F.when(is_left, end_l).otherwise(no_l).alias("lw"),
-                 F.when(~is_left, end_r).otherwise(no_r).alias("rw")))))
+    start = F.struct(F.col("__start").alias("pos"), F.lit(1).alias("kind"),
+                     F.when(is_left, start_l).otherwise(no_l).alias("lw"),
+                     F.when(~is_left, start_r).otherwise(no_r).alias("rw"))
+    end = F.when(F.col("__last"), F.struct(
+        (F.col("__start") + F.col("__n")).alias("pos"), F.lit(0).alias("kind"),
+        F.when(is_left, end_l).otherwise(no_l).alias("lw"),
+        F.when(~is_left, end_r).otherwise(no_r).alias("rw")))
+    events = placed.select(*[F.col(k) for k in part], F.inline(
+        F.filter(F.array(start, end), lambda e: e.isNotNull())))
     by_pos = Window.partitionBy(*part).orderBy("pos", "kind")
     upto = by_pos.rowsBetween(Window.unboundedPreceding, 0)
     carried = (events

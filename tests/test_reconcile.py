@@ -158,3 +158,16 @@ def test_report_sink_writes_sections_and_text(spark, orders):
     assert sorted(r["load_date"] for r in counts_rows) == ["20240115", "20240116"]
     text = "\n".join(r.value for r in spark.read.text(paths["text"]).collect())
     assert "only in df_opdate: 1 ['o_flag']" in text and "o_totalprice" in text
+
+
+def test_weighted_path_plans_stay_small(spark, lineitem_small=None):
+    """Samples and row outputs over collapsed runs on a 9-column table plan
+    and run (constraint inference would exhaust the heap here)."""
+    li = V.read_table(spark, SF_SMALL, "lineitem")
+    rec = reconcile(V.hot_lineitem(li), V.hot_lineitem(li, changed=True),
+                    ["l_orderkey", "l_linenumber"], hot_group_rows=50)
+    assert rec.weighted
+    c = counts(rec)
+    assert rec.sample_unequal().count() <= 10 * len(rec.compare)
+    assert rec.left_only().count() == c["rows_left_only"]
+    assert rec.common().count() == c["rows_common"]
