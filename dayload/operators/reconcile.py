@@ -479,10 +479,11 @@ def pair_runs(left: DataFrame, right: DataFrame, keys: list[str], shared: list[s
        partial aggregate runs before the shuffle, so copies never travel.
     2. Per (key [, salt bucket]) each run gets its start position within its
        side: a running sum over runs, left and right in one window.
-    3. Every run contributes a start and an end boundary; a window over the
-       boundaries ordered by position carries the current left and right run
-       forward, giving segments ``[pos, next pos)`` in which one left run
-       meets one right run.  A segment stands for ``__mult`` row pairs.
+    3. Every run contributes its start as a boundary, each side's last run
+       also its end; a window over the boundaries ordered by position carries
+       the current left and right run forward, giving segments
+       ``[pos, next pos)`` in which one left run meets one right run.  A
+       segment stands for ``__mult`` row pairs.
 
     Returns the segments (keys, [bucket], ``__pos``, ``__mult``, presence,
     both sides' columns) and the partition columns."""
@@ -495,24 +496,33 @@ def pair_runs(left: DataFrame, right: DataFrame, keys: list[str], shared: list[s
     lwrap = T.StructType([T.StructField("v", lstruct)])
     rwrap = T.StructType([T.StructField("v", rstruct)])
 
+    # Shared columns of one type are ordered straight from the payload;
+    # only columns whose types differ get a text copy to order by.
+    differing = [c for c in shared if lt[c] != rt[c]]
+
     def runs(df: DataFrame, side: int, pay: list[str]) -> DataFrame:
         agg = df.groupBy(*keys, *pay).agg(F.count(F.lit(1)).alias("__n"))
-        order = [(F.col(c) if lt[c] == rt[c] else F.col(c).cast(T.StringType())).alias(f"__o{i}")
-                 for i, c in enumerate(shared)]
         mine = F.struct(*[F.col(c) for c in pay])
         return agg.select(
-            *[F.col(k).cast(lt[k]).alias(k) for k in keys], F.lit(side).alias(SIDE), *order,
+            *[F.col(k).cast(lt[k]).alias(k) for k in keys], F.lit(side).alias(SIDE),
+            *[F.col(c).cast(T.StringType()).alias(f"__o{shared.index(c)}") for c in differing],
             (mine if side == 0 else F.lit(None).cast(lstruct)).alias("__pl"),
             (F.lit(None).cast(rstruct) if side == 0 else mine).alias("__pr"),
             F.col("__n"))
 
+    def shared_value(i: int, c: str) -> Column:
+        if c in differing:
+            return F.col(f"__o{i}")
+        return F.coalesce(F.col("__pl").getField(c), F.col("__pr").getField(c))
+
     both = runs(left, 0, lpay).unionByName(runs(right, 1, rpay))
     part = list(keys)
     if salt > 1:
-        hashed = F.xxhash64(*[F.col(f"__o{i}") for i in range(len(shared))]) if shared else F.lit(0)
+        hashed = (F.xxhash64(*[shared_value(i, c) for i, c in enumerate(shared)])
+                  if shared else F.lit(0))
         both = both.withColumn(BUCKET, F.pmod(hashed, F.lit(salt)))
         part.append(BUCKET)
-    order = ([F.col(SIDE)] + [F.col(f"__o{i}").asc_nulls_first() for i in range(len(shared))]
+    order = ([F.col(SIDE)] + [shared_value(i, c).asc_nulls_first() for i, c in enumerate(shared)]
              + _tiebreak(lpay, rpay, lt, rt))
     before = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     cum = F.coalesce(F.sum("__n").over(before), F.lit(0).cast("long"))
