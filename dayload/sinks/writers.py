@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..catalog import LOAD_DATE, TableSpec
 from ..sources.query import CHUNK_ROWS
-from ..sources.store import slice_path, table_path
+from ..sources.store import CURRENT, SNAPSHOT, slice_path, snapshot_path, table_path
 
 SIDECAR = "_sidecar"
 AUDIT = "_audit"
@@ -102,16 +102,23 @@ def write_slice(df: DataFrame, root: str, table: str, load_date: str,
 
 def write_snapshot(df: DataFrame, root: str, table: str,
                    max_records: int = CHUNK_ROWS) -> WriteResult:
-    """Replace a whole snapshot table (SNK-2).  An empty source leaves the old
-    snapshot alone (SNK-4): the limit-1 probe stops at the first row."""
+    """Replace a whole snapshot table (SNK-2).
+
+    The rows go to one constant partition written with dynamic partition
+    overwrite, so the old snapshot is swapped out only when the job commits
+    (a failed job leaves it intact, where a plain overwrite deletes it
+    first), and an empty source writes nothing and leaves it alone (SNK-4)."""
     spark = df.sparkSession
-    if df.isEmpty():
-        return WriteResult("", 0, 0)
     obs = Observation(f"snapshot_{table}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    path = table_path(root, table)
-    observed.write.mode("overwrite").option("maxRecordsPerFile", max_records).parquet(path)
-    return WriteResult(path, int(obs.get["rows"]), _count_files(spark, path))
+    observed = df.withColumn(SNAPSHOT, F.lit(CURRENT)).observe(obs, F.count(F.lit(1)).alias("rows"))
+    (observed.write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .option("maxRecordsPerFile", max_records)
+     .partitionBy(SNAPSHOT)
+     .parquet(table_path(root, table)))
+    rows = int(obs.get["rows"])
+    path = snapshot_path(root, table)
+    return WriteResult(path if rows else "", rows, _count_files(spark, path) if rows else 0)
 
 
 def sidecar_frame(spark: SparkSession, spec: TableSpec, date_column: str | None,

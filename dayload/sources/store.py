@@ -13,6 +13,16 @@ def table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
+# Snapshot tables live in one constant partition so they can be replaced
+# atomically by dynamic partition overwrite.
+SNAPSHOT = "SNAPSHOT"
+CURRENT = "current"
+
+
+def snapshot_path(root: str, table: str) -> str:
+    return f"{table_path(root, table)}/{SNAPSHOT}={CURRENT}"
+
+
 def slice_path(root: str, table: str, load_date: str) -> str:
     return f"{table_path(root, table)}/{LOAD_DATE}={int(load_date)}"
 
@@ -31,7 +41,8 @@ def scan_load_date(spark: SparkSession, root: str, table: str, load_date: str,
 
 
 def scan_snapshot_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.parquet(table_path(root, table))
+    """The current snapshot of a table (its folder only, no partition column)."""
+    return spark.read.parquet(snapshot_path(root, table))
 
 
 def list_loaded_tables(audit: DataFrame, load_date: str | None = None) -> DataFrame:

@@ -101,3 +101,13 @@ def test_failed_table_does_not_stop_the_run(spark, root):
     out = {r["select_table"]: r["status"] for r in
            load_all(spark, [broken, V.WINDEVENTS], "20240115", root, "change").collect()}
     assert out == {"BROKEN": "failed", "WINDEVENTS": "loaded"}
+
+
+def test_failed_snapshot_job_keeps_old_snapshot(spark, root):
+    from pyspark.errors import PySparkException
+    write_snapshot(spark.range(5), root, "S2")
+    bad = spark.range(10).select(F.when(F.col("id") == 7, F.raise_error(F.lit("boom")))
+                                 .otherwise(F.col("id")).cast("long").alias("id"))
+    with pytest.raises(PySparkException):
+        write_snapshot(bad, root, "S2")
+    assert scan_snapshot_table(spark, root, "S2").count() == 5
