@@ -442,17 +442,25 @@ def pair_rows(left: DataFrame, right: DataFrame, keys: list[str],
     (key, number) that reuses the partitioning; each pair group holds at
     most one row per side.  Used only when no key exceeds the hot-group
     bound, so a key's rows always fit one task's sort."""
-    lt, rt, lpay, rpay, lstruct, rstruct, order = _order_and_payload(left, right, keys, shared)
+    lt, rt, lpay, rpay, lstruct, rstruct, _ = _order_and_payload(left, right, keys, shared)
+    differing = [c for c in shared if lt[c] != rt[c]]
 
     def tagged(df: DataFrame, side: int, pay: list[str]) -> DataFrame:
         mine = F.struct(*[F.col(c) for c in pay])
         return df.select(
-            *[F.col(k).cast(lt[k]).alias(k) for k in keys], F.lit(side).alias(SIDE), *order,
+            *[F.col(k).cast(lt[k]).alias(k) for k in keys], F.lit(side).alias(SIDE),
+            *[F.col(c).cast(T.StringType()).alias(f"__o{shared.index(c)}") for c in differing],
             (mine if side == 0 else F.lit(None).cast(lstruct)).alias("__pl"),
             (F.lit(None).cast(rstruct) if side == 0 else mine).alias("__pr"))
 
-    both = tagged(left, 0, lpay).unionByName(tagged(right, 1, rpay))
-    ranking = ([F.col(SIDE)] + [F.col(f"__o{i}").asc_nulls_first() for i in range(len(shared))]
+    def shared_value(i: int, c: str) -> Column:
+        if c in differing:
+            return F.col(f"__o{i}")
+        return F.coalesce(F.col("__pl").getField(c), F.col("__pr").getField(c))
+
+    # one exchange of the tagged rows; ordering values are derived after it
+    both = tagged(left, 0, lpay).unionByName(tagged(right, 1, rpay)).repartition(*keys)
+    ranking = ([F.col(SIDE)] + [shared_value(i, c).asc_nulls_first() for i, c in enumerate(shared)]
                + _tiebreak(lpay, rpay, lt, rt))
     numbered = (both
                 .withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*ranking)))
@@ -522,6 +530,9 @@ def pair_runs(left: DataFrame, right: DataFrame, keys: list[str], shared: list[s
                   if shared else F.lit(0))
         both = both.withColumn(BUCKET, F.pmod(hashed, F.lit(salt)))
         part.append(BUCKET)
+    # Shuffle the runs as they are; the window's ordering values are then
+    # computed after the exchange instead of travelling with the rows.
+    both = both.repartition(*part)
     order = ([F.col(SIDE)] + [shared_value(i, c).asc_nulls_first() for i, c in enumerate(shared)]
              + _tiebreak(lpay, rpay, lt, rt))
     before = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
