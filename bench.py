@@ -18,10 +18,10 @@ from dayload.queries import QUERIES  # noqa: E402
 from dayload.session import build_session  # noqa: E402
 
 HEADLINE = [
-    "pipeline_load_change",    # flagship: one day by change date
-    "pipeline_load_business",
-    "pipeline_load_all",
-    "pipeline_reconcile",      # business-date vs change-date load of a day
+    "daily_load_change",    # flagship: one day by change date
+    "daily_load_business",
+    "daily_load_all",
+    "daily_reconcile",      # business-date vs change-date load of a day
     "reconcile_counts",        # whole orders vs changed copy
     "reconcile_columns",
     "reconcile_dup_counts",    # whole lineitem, repeating keys

@@ -196,17 +196,17 @@ def load_sql(spec: TableSpec, load_date: str, by: str, change_day: bool = True,
 W, O = V.WIND_LOAD_DATE, V.OTHER_LOAD_DATE
 
 
-@oracle("pipeline_load_change")
+@oracle("daily_load_change")
 def _():
     return load_sql(V.WINDEVENTS, W, "change")
 
 
-@oracle("pipeline_load_business")
+@oracle("daily_load_business")
 def _():
     return load_sql(V.WINDEVENTS, W, "business")
 
 
-@oracle("pipeline_load_v1")
+@oracle("daily_load_v1")
 def _():
     return load_sql(V.ORDERSFEED, O, "business", change_day=False, with_load_date=False)
 
@@ -228,7 +228,7 @@ def _audit_rows(specs, day, by) -> str:
 FLAGGED = [V.WINDEVENTS, V.ORDERSFEED]
 
 
-@oracle("pipeline_load_all")
+@oracle("daily_load_all")
 def _():
     return _audit_rows(FLAGGED, W, "change")
 
@@ -481,12 +481,12 @@ def _wind_pair_j() -> str:
                       ["event_id"], cols)
 
 
-@oracle("pipeline_reconcile")
+@oracle("daily_reconcile")
 def _():
     return counts_sql(_wind_pair_j())
 
 
-@oracle("pipeline_reconcile_all")
+@oracle("daily_reconcile_all")
 def _():
     biz = change_rows_sql(V.ORDERSFEED, W).replace("SELECT *", "SELECT 1", 1)
     c = counts_sql(_wind_pair_j())

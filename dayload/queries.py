@@ -65,8 +65,8 @@ def _dtype(df: DataFrame, c: str) -> T.DataType:
 # ---------------------------------------------------------------------------
 # pipelines
 # ---------------------------------------------------------------------------
-@query("pipeline_load_change")
-def pipeline_load_change(spark, sf_dir):
+@query("daily_load_change")
+def daily_load_change(spark, sf_dir):
     """Flagship: load the wind change log for one day by change date."""
     _views(spark, sf_dir)
     root = scratch_dir(spark, "load_change")
@@ -74,16 +74,16 @@ def pipeline_load_change(spark, sf_dir):
     return scan_load_date(spark, root, V.WINDEVENTS.original_table, W)
 
 
-@query("pipeline_load_business")
-def pipeline_load_business(spark, sf_dir):
+@query("daily_load_business")
+def daily_load_business(spark, sf_dir):
     _views(spark, sf_dir)
     root = scratch_dir(spark, "load_business")
     load_table(spark, V.WINDEVENTS, W, root, "business")
     return scan_load_date(spark, root, V.WINDEVENTS.original_table, W)
 
 
-@query("pipeline_load_v1")
-def pipeline_load_v1(spark, sf_dir):
+@query("daily_load_v1")
+def daily_load_v1(spark, sf_dir):
     """First loader: business date, every declared column required, change
     time kept as epoch seconds, no LOAD_DATE in the rows."""
     _views(spark, sf_dir)
@@ -92,8 +92,8 @@ def pipeline_load_v1(spark, sf_dir):
     return scan_load_date(spark, root, V.ORDERSFEED.original_table, O, keep_load_date=False)
 
 
-@query("pipeline_load_all")
-def pipeline_load_all(spark, sf_dir):
+@query("daily_load_all")
+def daily_load_all(spark, sf_dir):
     """The daily run: every important incremental table, by change date."""
     _views(spark, sf_dir)
     root = scratch_dir(spark, "load_all")
@@ -125,16 +125,16 @@ def _two_stores(spark, specs, day):
     return left, right
 
 
-@query("pipeline_reconcile")
-def pipeline_reconcile(spark, sf_dir):
+@query("daily_reconcile")
+def daily_reconcile(spark, sf_dir):
     """The day's business-date load against its change-date load, by key."""
     _views(spark, sf_dir)
     left, right = _two_stores(spark, [V.WINDEVENTS], W)
     return reconcile_day(spark, V.WINDEVENTS, W, left, right).counts()
 
 
-@query("pipeline_reconcile_all")
-def pipeline_reconcile_all(spark, sf_dir):
+@query("daily_reconcile_all")
+def daily_reconcile_all(spark, sf_dir):
     _views(spark, sf_dir)
     left, right = _two_stores(spark, flagged(V.demo_catalog()), W)
     return reconcile_all(spark, V.demo_catalog(), W, left, right).drop("error")
