@@ -47,8 +47,11 @@ MULT = "__mult"
 
 # Rows of one key above which runs are spread over salt buckets.
 HOT_GROUP_ROWS = 2_000_000
-# Rows one task generates at most when a long run is expanded back to rows.
+# Rows one task generates per chunk when a long run is expanded back to
+# rows; the chunk grows for very long runs so a run has at most
+# EXPAND_MAX_CHUNKS chunks (bounding the chunk list built per run).
 EXPAND_CHUNK = 100_000
+EXPAND_MAX_CHUNKS = 100_000
 # Columns above which the per-column statistics are unpivoted before
 # aggregating (keeps the generated aggregate code small).
 WIDE_COLUMNS = 100
@@ -139,7 +142,8 @@ class Reconciliation:
             expanded = self.joined.withColumn("__i", F.explode(F.sequence(
                 F.lit(0).cast("long"), F.least(m, F.lit(limit).cast("long")) - 1)))
         else:
-            c = F.lit(EXPAND_CHUNK).cast("long")
+            per = F.ceil(m / F.lit(EXPAND_MAX_CHUNKS)).cast("long")
+            c = F.greatest(F.lit(EXPAND_CHUNK).cast("long"), per)
             last_chunk = ((m - 1) - (m - 1) % c) / c
             chunks = self.joined.withColumn("__c", F.explode(F.sequence(
                 F.lit(0).cast("long"), last_chunk.cast("long"))))

@@ -125,9 +125,11 @@ def test_plan_is_one_sort_merge_join(spark, orders):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-def test_group_of_copies_against_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("chunk,max_chunks", [(7, 100_000), (1, 2)])
+def test_group_of_copies_against_brute_force(spark, monkeypatch, chunk, max_chunks):
     """One key holds a third of the rows as identical copies."""
-    monkeypatch.setattr(R, "EXPAND_CHUNK", 7)
+    monkeypatch.setattr(R, "EXPAND_CHUNK", chunk)
+    monkeypatch.setattr(R, "EXPAND_MAX_CHUNKS", max_chunks)
     base = [(k % 40, k % 3, float(k % 5), f"t{k % 2}") for k in range(120)]
     copies = [(99, 1, 1.0, "same")] * 60
     left_rows = base + copies + [(99, 1, 2.0, "other")]
