@@ -407,34 +407,64 @@ def _join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], shared: li
     return ls.join(rs, cond, "full_outer")
 
 
-def _order_and_payload(left: DataFrame, right: DataFrame, keys: list[str], shared: list[str]):
-    lt = {f.name: f.dataType for f in left.schema.fields}
-    rt = {f.name: f.dataType for f in right.schema.fields}
-    lpay = [c for c in left.columns if c not in keys]
-    rpay = [c for c in right.columns if c not in keys]
-    lstruct = left.select(F.struct(*lpay).alias("p")).schema[0].dataType
-    rstruct = right.select(F.struct(*rpay).alias("p")).schema[0].dataType
-    order = [(F.col(c) if lt[c] == rt[c] else F.col(c).cast(T.StringType())).alias(f"__o{i}")
-             for i, c in enumerate(shared)]
-    return lt, rt, lpay, rpay, lstruct, rstruct, order
-
-
-def _tiebreak(lpay: list[str], rpay: list[str], lt: dict, rt: dict) -> list[Column]:
-    """After the shared columns, ties are broken by each side's own columns
-    (the other side's are null there); without one-sided columns a tie means
-    identical rows and needs no further order."""
-    only_l = [c for c in lpay if c not in rt]
-    only_r = [c for c in rpay if c not in lt]
-    return ([F.col("__pl").getField(c).asc_nulls_first() for c in only_l]
-            + [F.col("__pr").getField(c).asc_nulls_first() for c in only_r])
-
+@dataclass(frozen=True)
+class _Sides:
+    """Column bookkeeping shared by both positional pairings."""
+    keys: list[str]
+    shared: list[str]
+    lt: dict
+    rt: dict
+    lpay: list[str]
+    rpay: list[str]
+    lstruct: T.DataType
+    rstruct: T.DataType
+
+    @staticmethod
+    def of(left: DataFrame, right: DataFrame, keys: list[str], shared: list[str]) -> "_Sides":
+        lpay = [c for c in left.columns if c not in keys]
+        rpay = [c for c in right.columns if c not in keys]
+        return _Sides(keys, shared, {f.name: f.dataType for f in left.schema.fields},
+                      {f.name: f.dataType for f in right.schema.fields}, lpay, rpay,
+                      left.select(F.struct(*lpay).alias("p")).schema[0].dataType,
+                      right.select(F.struct(*rpay).alias("p")).schema[0].dataType)
+
+    @property
+    def differing(self) -> list[str]:
+        return [c for c in self.shared if self.lt[c] != self.rt[c]]
+
+    def text_copies(self) -> list[Column]:
+        """Shared columns whose types differ are ordered as text; only these
+        get a materialised copy."""
+        return [F.col(c).cast(T.StringType()).alias(f"__o{self.shared.index(c)}")
+                for c in self.differing]
+
+    def payloads(self, side: int) -> list[Column]:
+        mine = F.struct(*[F.col(c) for c in (self.lpay if side == 0 else self.rpay)])
+        return [(mine if side == 0 else F.lit(None).cast(self.lstruct)).alias("__pl"),
+                (F.lit(None).cast(self.rstruct) if side == 0 else mine).alias("__pr")]
+
+    def shared_value(self, i: int, c: str) -> Column:
+        if c in self.differing:
+            return F.col(f"__o{i}")
+        return F.coalesce(F.col("__pl").getField(c), F.col("__pr").getField(c))
 
-def _paired_columns(pl: Column, pr: Column, shared, lpay, rpay, lt, rt) -> list[Column]:
-    return [pl.isNotNull().alias(IN_LEFT), pr.isNotNull().alias(IN_RIGHT),
-            *[pl.getField(c).alias(f"{c}__l") for c in shared],
-            *[pr.getField(c).alias(f"{c}__r") for c in shared],
-            *[pl.getField(c).alias(f"{c}__lo") for c in lpay if c not in rt],
-            *[pr.getField(c).alias(f"{c}__ro") for c in rpay if c not in lt]]
+    def ranking(self) -> list[Column]:
+        """Side first, then the shared columns, then each side's own columns
+        (the other side's are null there); without one-sided columns a tie
+        means identical rows and needs no further order."""
+        only_l = [c for c in self.lpay if c not in self.rt]
+        only_r = [c for c in self.rpay if c not in self.lt]
+        return ([F.col(SIDE)]
+                + [self.shared_value(i, c).asc_nulls_first() for i, c in enumerate(self.shared)]
+                + [F.col("__pl").getField(c).asc_nulls_first() for c in only_l]
+                + [F.col("__pr").getField(c).asc_nulls_first() for c in only_r])
+
+    def output(self, pl: Column, pr: Column) -> list[Column]:
+        return [pl.isNotNull().alias(IN_LEFT), pr.isNotNull().alias(IN_RIGHT),
+                *[pl.getField(c).alias(f"{c}__l") for c in self.shared],
+                *[pr.getField(c).alias(f"{c}__r") for c in self.shared],
+                *[pl.getField(c).alias(f"{c}__lo") for c in self.lpay if c not in self.rt],
+                *[pr.getField(c).alias(f"{c}__ro") for c in self.rpay if c not in self.lt]]
 
 
 def pair_rows(left: DataFrame, right: DataFrame, keys: list[str],
@@ -446,26 +476,15 @@ def pair_rows(left: DataFrame, right: DataFrame, keys: list[str],
     (key, number) that reuses the partitioning; each pair group holds at
     most one row per side.  Used only when no key exceeds the hot-group
     bound, so a key's rows always fit one task's sort."""
-    lt, rt, lpay, rpay, lstruct, rstruct, _ = _order_and_payload(left, right, keys, shared)
-    differing = [c for c in shared if lt[c] != rt[c]]
-
-    def tagged(df: DataFrame, side: int, pay: list[str]) -> DataFrame:
-        mine = F.struct(*[F.col(c) for c in pay])
-        return df.select(
-            *[F.col(k).cast(lt[k]).alias(k) for k in keys], F.lit(side).alias(SIDE),
-            *[F.col(c).cast(T.StringType()).alias(f"__o{shared.index(c)}") for c in differing],
-            (mine if side == 0 else F.lit(None).cast(lstruct)).alias("__pl"),
-            (F.lit(None).cast(rstruct) if side == 0 else mine).alias("__pr"))
-
-    def shared_value(i: int, c: str) -> Column:
-        if c in differing:
-            return F.col(f"__o{i}")
-        return F.coalesce(F.col("__pl").getField(c), F.col("__pr").getField(c))
+    sd = _Sides.of(left, right, keys, shared)
+
+    def tagged(df: DataFrame, side: int) -> DataFrame:
+        return df.select(*[F.col(k).cast(sd.lt[k]).alias(k) for k in keys],
+                         F.lit(side).alias(SIDE), *sd.text_copies(), *sd.payloads(side))
 
     # one exchange of the tagged rows; ordering values are derived after it
-    both = tagged(left, 0, lpay).unionByName(tagged(right, 1, rpay)).repartition(*keys)
-    ranking = ([F.col(SIDE)] + [shared_value(i, c).asc_nulls_first() for i, c in enumerate(shared)]
-               + _tiebreak(lpay, rpay, lt, rt))
+    both = tagged(left, 0).unionByName(tagged(right, 1)).repartition(*keys)
+    ranking = sd.ranking()
     numbered = (both
                 .withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*ranking)))
                 .withColumn("__nl", F.sum(F.when(F.col(SIDE) == 0, 1).otherwise(0))
@@ -477,7 +496,7 @@ def pair_rows(left: DataFrame, right: DataFrame, keys: list[str],
         F.first("__pl", ignorenulls=True).alias("__pl"),
         F.first("__pr", ignorenulls=True).alias("__pr"))
     out = paired.select(*[F.col(k) for k in keys], F.col(ORD),
-                        *_paired_columns(F.col("__pl"), F.col("__pr"), shared, lpay, rpay, lt, rt))
+                        *sd.output(F.col("__pl"), F.col("__pr")))
     return out, keys + [ORD]
 
 
@@ -499,47 +518,29 @@ def pair_runs(left: DataFrame, right: DataFrame, keys: list[str], shared: list[s
 
     Returns the segments (keys, [bucket], ``__pos``, ``__mult``, presence,
     both sides' columns) and the partition columns."""
-    lt = {f.name: f.dataType for f in left.schema.fields}
-    rt = {f.name: f.dataType for f in right.schema.fields}
-    lpay = [c for c in left.columns if c not in keys]
-    rpay = [c for c in right.columns if c not in keys]
-    lstruct = left.select(F.struct(*lpay).alias("p")).schema[0].dataType
-    rstruct = right.select(F.struct(*rpay).alias("p")).schema[0].dataType
+    sd = _Sides.of(left, right, keys, shared)
+    lstruct, rstruct = sd.lstruct, sd.rstruct
     lwrap = T.StructType([T.StructField("v", lstruct)])
     rwrap = T.StructType([T.StructField("v", rstruct)])
 
-    # Shared columns of one type are ordered straight from the payload;
-    # only columns whose types differ get a text copy to order by.
-    differing = [c for c in shared if lt[c] != rt[c]]
-
-    def runs(df: DataFrame, side: int, pay: list[str]) -> DataFrame:
+    def runs(df: DataFrame, side: int) -> DataFrame:
+        pay = sd.lpay if side == 0 else sd.rpay
         agg = df.groupBy(*keys, *pay).agg(F.count(F.lit(1)).alias("__n"))
-        mine = F.struct(*[F.col(c) for c in pay])
-        return agg.select(
-            *[F.col(k).cast(lt[k]).alias(k) for k in keys], F.lit(side).alias(SIDE),
-            *[F.col(c).cast(T.StringType()).alias(f"__o{shared.index(c)}") for c in differing],
-            (mine if side == 0 else F.lit(None).cast(lstruct)).alias("__pl"),
-            (F.lit(None).cast(rstruct) if side == 0 else mine).alias("__pr"),
-            F.col("__n"))
-
-    def shared_value(i: int, c: str) -> Column:
-        if c in differing:
-            return F.col(f"__o{i}")
-        return F.coalesce(F.col("__pl").getField(c), F.col("__pr").getField(c))
+        return agg.select(*[F.col(k).cast(sd.lt[k]).alias(k) for k in keys],
+                          F.lit(side).alias(SIDE), *sd.text_copies(), *sd.payloads(side),
+                          F.col("__n"))
 
-    both = runs(left, 0, lpay).unionByName(runs(right, 1, rpay))
+    both = runs(left, 0).unionByName(runs(right, 1))
     part = list(keys)
     if salt > 1:
-        hashed = (F.xxhash64(*[shared_value(i, c) for i, c in enumerate(shared)])
+        hashed = (F.xxhash64(*[sd.shared_value(i, c) for i, c in enumerate(shared)])
                   if shared else F.lit(0))
         both = both.withColumn(BUCKET, F.pmod(hashed, F.lit(salt)))
         part.append(BUCKET)
     # Shuffle the runs as they are; the window's ordering values are then
     # computed after the exchange instead of travelling with the rows.
     both = both.repartition(*part)
-    order = ([F.col(SIDE)] + [shared_value(i, c).asc_nulls_first() for i, c in enumerate(shared)]
-             + _tiebreak(lpay, rpay, lt, rt))
-    before = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*part).orderBy(*sd.ranking()).rowsBetween(Window.unboundedPreceding, -1)
     cum = F.coalesce(F.sum("__n").over(before), F.lit(0).cast("long"))
     whole = Window.partitionBy(*part)
     left_total = F.sum(F.when(F.col(SIDE) == 0, F.col("__n")).otherwise(0)).over(whole)
@@ -578,14 +579,8 @@ def pair_runs(left: DataFrame, right: DataFrame, keys: list[str], shared: list[s
     segments = (settled.withColumn("__next", F.lead("pos").over(by_pos))
                 .where(F.col("__next").isNotNull() & (F.col("__next") > F.col("pos"))))
     pl, pr = F.col("__cl").getField("v"), F.col("__cr").getField("v")
-    out = segments.select(
-        *[F.col(k) for k in part], F.col("pos").alias(POS),
-        (F.col("__next") - F.col("pos")).alias(MULT),
-        pl.isNotNull().alias(IN_LEFT), pr.isNotNull().alias(IN_RIGHT),
-        *[pl.getField(c).alias(f"{c}__l") for c in shared],
-        *[pr.getField(c).alias(f"{c}__r") for c in shared],
-        *[pl.getField(c).alias(f"{c}__lo") for c in lpay if c not in rt],
-        *[pr.getField(c).alias(f"{c}__ro") for c in rpay if c not in lt])
+    out = segments.select(*[F.col(k) for k in part], F.col("pos").alias(POS),
+                          (F.col("__next") - F.col("pos")).alias(MULT), *sd.output(pl, pr))
     return out.where(F.col(IN_LEFT) | F.col(IN_RIGHT)), part
 
 
