@@ -3,7 +3,7 @@ JDBC (SRC-1, SRC-2)."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 
@@ -67,6 +67,19 @@ class JdbcSource:
             opts["query"] = sql
         return opts
 
+    def with_bounds(self, spark: SparkSession, sql: str) -> "JdbcSource":
+        """Fill missing bounds of the partition column from the source
+        itself: one single-row MIN/MAX query run by the database."""
+        if not self.partition_column or (self.lower_bound is not None and self.upper_bound is not None):
+            return self
+        probe = replace(self, partition_column=None, num_partitions=None)
+        c = self.partition_column
+        row = probe.scan(spark, f"SELECT MIN({c}) AS lo, MAX({c}) AS hi FROM ({sql}) b").collect()[0]
+        lo, hi = row["lo"], row["hi"]
+        if lo is None:  # empty source: a single range is enough
+            return replace(self, partition_column=None, num_partitions=None)
+        return replace(self, lower_bound=lo, upper_bound=hi)
+
     def reader(self, spark: SparkSession, sql: str) -> DataFrameReader:
         return spark.read.format("jdbc").options(**self.options(sql))
 

@@ -47,3 +47,18 @@ def test_source_frame_routes_by_vendor(spark, monkeypatch):
     assert seen["sql"] == "SELECT * FROM T WHERE D >= '20240115'"
     V.register_vendor_views(spark, SF_SMALL)
     assert Q.source_frame(spark, V.WINDEVENTS, "20240115", {"other": JdbcSource(url="jdbc:y")}).count() > 0
+
+
+def test_jdbc_bounds_from_the_source(spark, monkeypatch):
+    from dayload.sources import query as Q
+    asked = []
+
+    def fake_scan(self, spark_, sql):
+        asked.append((sql, self.partition_column))
+        return spark_.createDataFrame([(5, 905)], "lo long, hi long")
+
+    monkeypatch.setattr(Q.JdbcSource, "scan", fake_scan)
+    src = JdbcSource(url="jdbc:x", partition_column="ID", num_partitions=8).with_bounds(spark, "SELECT * FROM T")
+    assert (src.lower_bound, src.upper_bound) == (5, 905)
+    assert asked == [("SELECT MIN(ID) AS lo, MAX(ID) AS hi FROM (SELECT * FROM T) b", None)]
+    assert src.options("SELECT * FROM T")["numPartitions"] == "8"
