@@ -30,7 +30,7 @@ def source_frame(spark: SparkSession, spec: TableSpec, load_date: str | None = N
         sql = spec.source_sql
         if load_date is not None and LOAD_DATE_MARKER in sql:
             sql = sql.replace(LOAD_DATE_MARKER, f"'{int(load_date)}'")  # digits only
-        return conn.scan(spark, sql)
+        return conn.with_bounds(spark, sql).scan(spark, sql)
     return scan_sql_query(spark, spec.source_sql, load_date)
 
 
