@@ -52,7 +52,11 @@ def main() -> None:
     times = {}
     for name in HEADLINE:
         times[name] = round(run(spark, name, sf_dir), 3)
-    sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    sf_name = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        sf: float | str = float(sf_name)
+    except ValueError:
+        sf = sf_name
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf}))
     spark.stop()
