@@ -46,14 +46,15 @@ def read_day(spark: SparkSession, root: str, spec: TableSpec, load_date: str) ->
 
 def reconcile_day(spark: SparkSession, spec: TableSpec, load_date: str, left_root: str,
                   right_root: str, left_name: str = "df_load",
-                  right_name: str = "df_opdate") -> Reconciliation:
-    """Compare one table's day in two stores by its catalog key (PIP-5)."""
+                  right_name: str = "df_opdate", dedupe: str = "auto") -> Reconciliation:
+    """Compare one table's day in two stores by its catalog key (PIP-5).
+    ``dedupe="never"`` skips the key profile when keys are known unique."""
     keys = spec.keys()
     if not keys:
         raise NoKeyError(f"table {spec.table_name} has no key")
     left = read_day(spark, left_root, spec, load_date)
     right = read_day(spark, right_root, spec, load_date)
-    return reconcile(left, right, keys, left_name=left_name, right_name=right_name)
+    return reconcile(left, right, keys, left_name=left_name, right_name=right_name, dedupe=dedupe)
 
 
 def _tag(df: DataFrame, table: str, load_date: str) -> DataFrame:
