@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -168,4 +169,10 @@ def append_audit(audit: DataFrame, root: str) -> None:
 
 
 def read_audit(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(AUDIT_SCHEMA).parquet(f"{root.rstrip('/')}/{AUDIT}")
+    """The store's audit rows; a store never loaded has none."""
+    try:
+        return spark.read.schema(AUDIT_SCHEMA).parquet(f"{root.rstrip('/')}/{AUDIT}")
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+            raise
+        return spark.createDataFrame([], AUDIT_SCHEMA)

@@ -18,3 +18,12 @@ def test_statuses_of_a_daily_comparison(spark):
     assert out["REGIONSNAP"]["status"] == "no_key"
     assert out["NATIONSNAP"]["status"] == "compared"
     assert out["NATIONSNAP"]["rows_all_equal"] == 25
+
+
+def test_store_never_loaded(spark):
+    V.register_vendor_views(spark, SF_SMALL)
+    left, right = scratch_dir(spark, "none-l"), scratch_dir(spark, "none-r")
+    load_all(spark, [V.WINDEVENTS], "20240115", right, "change")
+    out = {r["table_name"]: r["status"]
+           for r in reconcile_all(spark, [V.WINDEVENTS], "20240115", left, right).collect()}
+    assert out == {"WINDEVENTS": "missing"}
