@@ -283,8 +283,9 @@ class Reconciliation:
                   "right_type string, is_key boolean")
 
     # ---- samples ---------------------------------------------------------------
-    def sample_unequal(self, n: int = SAMPLE_ROWS) -> DataFrame:
-        """Up to ``n`` unequal rows per column, lowest keys first (LIM-1)."""
+    def sample_unequal(self, n: int = SAMPLE_ROWS, keep_rank: bool = False) -> DataFrame:
+        """Up to ``n`` unequal rows per column, lowest keys first (LIM-1);
+        ``keep_rank`` keeps each row's 1-based position as ``rank``."""
         if not self.compare:
             return self.spark.createDataFrame([], "column string")
         both = F.col(STATUS) == BOTH
@@ -297,8 +298,8 @@ class Reconciliation:
         exploded = (self.rows(limit=n).where(both & ~F.col("__all_eq"))
                     .select(*self.join_keys, F.inline(cells)))
         w = Window.partitionBy("column").orderBy(*[F.col(k).asc_nulls_first() for k in self.join_keys])
-        return (exploded.withColumn("__rn", F.row_number().over(w))
-                .where(F.col("__rn") <= n).drop("__rn"))
+        ranked = exploded.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n)
+        return ranked.withColumnRenamed("__rn", "rank") if keep_rank else ranked.drop("__rn")
 
     def sample_one_sided(self, side: str, n: int = SAMPLE_ROWS,
                          n_cols: int = SAMPLE_COLUMNS) -> DataFrame:

@@ -64,12 +64,14 @@ def _tag(df: DataFrame, table: str, load_date: str) -> DataFrame:
 def report_frames(rec: Reconciliation) -> dict[str, DataFrame]:
     """The comparison's outputs, each with a table-independent schema."""
     key_json = F.to_json(F.struct(*[F.col(k) for k in rec.join_keys]))
-    unequal = rec.sample_unequal().select(
-        "column", key_json.alias("key"), "left_value", "right_value")
+    unequal = rec.sample_unequal(keep_rank=True).select(
+        "column", "rank", key_json.alias("key"), "left_value", "right_value")
     one_sided = []
     for side in ("left", "right"):
         s = rec.sample_one_sided(side)
+        # the sample is one sorted partition of at most ten rows
         one_sided.append(s.select(F.lit(side).alias("side"),
+                                  (F.monotonically_increasing_id() + 1).alias("rank"),
                                   F.to_json(F.struct(*[F.col(k) for k in rec.keys])).alias("key"),
                                   F.to_json(F.struct(*[F.col(c) for c in s.columns])).alias("row")))
     return {"counts": rec.counts(), "columns": rec.columns(), "shape": rec.shape(),
@@ -122,14 +124,14 @@ def render_report(rec: Reconciliation, table: str, load_date: str, keys: list[st
                 continue
             lines.append(f"  {r['column']:<24}{r['left_type']:<16}{r['right_type']:<16}"
                          f"{r['unequal_cnt']:>10}{r['max_diff']:>14.6g}{r['null_diff']:>12}")
-    samples = f["sample_unequal"].orderBy("column", "key").collect()
+    samples = f["sample_unequal"].orderBy("column", "rank").collect()
     if samples:
         lines += ["", "Sample rows with unequal values"]
         for r in samples:
             lines.append(f"  {r['column']}  key={r['key']}  {rec.left_name}={r['left_value']}  "
                          f"{rec.right_name}={r['right_value']}")
     for side, name in (("left", rec.left_name), ("right", rec.right_name)):
-        rows = f["sample_one_sided"].where(F.col("side") == side).orderBy("key").collect()
+        rows = f["sample_one_sided"].where(F.col("side") == side).orderBy("rank").collect()
         if rows:
             lines += ["", f"Sample rows only in {name}"] + [f"  {r['row']}" for r in rows]
     return "\n".join(lines) + "\n"
