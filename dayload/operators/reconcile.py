@@ -47,6 +47,10 @@ MULT = "__mult"
 
 # Rows of one key above which runs are spread over salt buckets.
 HOT_GROUP_ROWS = 2_000_000
+# Hot keys up to which their list is broadcast to route only their rows
+# through collapsed runs (the profile counts them first); beyond it every
+# row takes the run path.
+MAX_HOT_KEYS = 100_000
 # Rows one task generates per chunk when a long run is expanded back to
 # rows; the chunk grows for very long runs so a run has at most
 # EXPAND_MAX_CHUNKS chunks (bounding the chunk list built per run).
@@ -72,16 +76,30 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
 
 
-def key_profiles(left: DataFrame, right: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """Repeated key values and largest key size over both loads, in one job:
-    only the key columns are read, counted with map-side partial aggregation."""
+def _key_counts(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     both = (left.select(*keys, F.lit(0).alias(SIDE))
             .unionByName(right.select(*[F.col(k).cast(left.schema[k].dataType).alias(k) for k in keys],
                                       F.lit(1).alias(SIDE))))
-    r = (both.groupBy(SIDE, *keys).agg(F.count(F.lit(1)).alias("n"))
-         .agg(F.count_if(F.col("n") > 1).alias("dups"), F.max("n").alias("top"))
+    return both.groupBy(SIDE, *keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def key_profiles(left: DataFrame, right: DataFrame, keys: list[str],
+                 hot_rows: int = HOT_GROUP_ROWS) -> tuple[int, int, int]:
+    """Repeated key values, largest key size and number of hot keys (more
+    than ``hot_rows`` rows on a side) over both loads, in one job: only the
+    key columns are read, counted with map-side partial aggregation."""
+    r = (_key_counts(left, right, keys)
+         .agg(F.count_if(F.col("n") > 1).alias("dups"), F.max("n").alias("top"),
+              F.count_if(F.col("n") > hot_rows).alias("hot"))
          .collect()[0])
-    return int(r["dups"] or 0), int(r["top"] or 0)
+    return int(r["dups"] or 0), int(r["top"] or 0), int(r["hot"] or 0)
+
+
+def hot_keys(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+    """Key values with more than ``hot_rows`` rows on either side, renamed
+    ``__hk<i>`` (at most total rows / ``hot_rows`` of them)."""
+    return (_key_counts(left, right, keys).where(F.col("n") > hot_rows)
+            .select(*[F.col(k).alias(f"__hk{i}") for i, k in enumerate(keys)]).distinct())
 
 
 def with_ordinal(df: DataFrame, keys: list[str], others: list[str], salt: int = 1) -> DataFrame:
@@ -345,14 +363,21 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[str], abs_tol: float
     compare = [(c, lt[c], rt[c]) for c in shared]
 
     positional = dedupe == "always"
-    salt, top = 1, 0
+    salt, top, n_hot = 1, 0, 0
     if dedupe in ("auto", "always"):
-        dups, top = key_profiles(left, right, keys)
+        dups, top, n_hot = key_profiles(left, right, keys, hot_group_rows)
         positional = positional or dups > 0
         salt = max(1, math.ceil(top / hot_group_rows)) if top > hot_group_rows else 1
     use_runs = pairing == "runs" or (pairing == "auto" and top > hot_group_rows)
+    split = pairing in ("auto", "split") and top > hot_group_rows and 0 < n_hot <= MAX_HOT_KEYS
 
-    if positional and use_runs:
+    if positional and split:
+        j, part = pair_split(left, right, keys, shared, salt, hot_group_rows)
+        cols = [F.col(k) for k in part] + [F.col(POS), F.col(MULT)]
+        join_keys = part + [ORD]
+        in_l, in_r = F.col(IN_LEFT), F.col(IN_RIGHT)
+        use_runs = True
+    elif positional and use_runs:
         j, part = pair_runs(left, right, keys, shared, salt)
         cols = [F.col(k) for k in part] + [F.col(POS), F.col(MULT)]
         join_keys = part + [ORD]
@@ -585,6 +610,30 @@ def pair_runs(left: DataFrame, right: DataFrame, keys: list[str], shared: list[s
     return out.where(F.col(IN_LEFT) | F.col(IN_RIGHT)), part
 
 
+def pair_split(left: DataFrame, right: DataFrame, keys: list[str], shared: list[str],
+               salt: int, hot_rows: int) -> tuple[DataFrame, list[str]]:
+    """Route only the hot keys' rows through collapsed runs and every other
+    row through the one-shuffle window pairing, then put both in one
+    weighted frame.  The hot-key list is broadcast: the profile has counted
+    it (at most ``MAX_HOT_KEYS``) before this plan is built."""
+    hot = F.broadcast(hot_keys(left, right, keys, hot_rows).withColumn("__hot", F.lit(True)))
+
+    def routed(df: DataFrame, want_hot: bool) -> DataFrame:
+        on = [df[k].eqNullSafe(F.col(f"__hk{i}")) for i, k in enumerate(keys)]
+        flagged = df.join(hot, on, "left")
+        cond = F.col("__hot").isNotNull() if want_hot else F.col("__hot").isNull()
+        return flagged.where(cond).select(*[df[c] for c in df.columns])
+
+    hot_pairs, part = pair_runs(routed(left, True), routed(right, True), keys, shared, salt)
+    cold_pairs, _ = pair_rows(routed(left, False), routed(right, False), keys, shared)
+    cold = cold_pairs.select(
+        *[F.col(k) for k in keys],
+        *([F.lit(0).cast(hot_pairs.schema[BUCKET].dataType).alias(BUCKET)] if BUCKET in part else []),
+        (F.col(ORD) - 1).cast(T.LongType()).alias(POS), F.lit(1).cast(T.LongType()).alias(MULT),
+        *[c for c in cold_pairs.columns if c not in keys and c != ORD])
+    return hot_pairs.unionByName(cold), part
+
+
 def persist_joined(rec: Reconciliation) -> Reconciliation:
     """Keep the joined rows for several outputs (recomputed if lost)."""
     rec.joined = rec.joined.persist(StorageLevel.MEMORY_AND_DISK)

@@ -42,7 +42,8 @@ def test_repeated_keys_window_path_one_exchange(spark, lineitem):
 
 
 def test_repeated_keys_runs_path_collapses_copies_before_shuffle(spark, lineitem):
-    rec = R.reconcile(lineitem, lineitem, ["l_orderkey", "l_linenumber"], hot_group_rows=2)
+    rec = R.reconcile(lineitem, lineitem, ["l_orderkey", "l_linenumber"], hot_group_rows=2,
+                      pairing="runs")
     assert rec.weighted and R.BUCKET in rec.join_keys
     p = plan(rec.stats())
     # per side: partial count -> exchange on the whole row -> final count;
@@ -64,3 +65,12 @@ def test_expansion_spreads_long_runs(spark, lineitem):
     rec = R.reconcile(lineitem, lineitem, ["l_orderkey", "l_linenumber"], pairing="runs")
     p = plan(rec.status())
     assert "RoundRobinPartitioning" in p
+
+
+def test_hot_key_split_broadcasts_only_the_counted_hot_list(spark, lineitem):
+    left = V.hot_lineitem(lineitem)
+    rec = R.reconcile(left, left, ["l_orderkey", "l_linenumber"], hot_group_rows=100)
+    p = plan(rec.stats())
+    # the hot-key list routes each side into a hot and a cold branch
+    assert p.count("BroadcastHashJoin") == 4 and "LeftOuter" in p
+    assert "NestedLoop" not in p and "Cartesian" not in p
