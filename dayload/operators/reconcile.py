@@ -8,15 +8,16 @@ Plan shape:
   * unique keys: one null-safe full outer sort-merge join, keys shuffled
     once per side;
   * repeated keys: rows are paired by their position within the key, both
-    sides ordered by the shared columns.  When no key exceeds
-    ``hot_group_rows`` (measured by the profile), one window over the union
-    of both loads numbers the rows (one shuffle).  Otherwise identical rows
-    are first collapsed into runs with a count (partial aggregation before
-    the shuffle, so a group of copies costs one row per task), runs are laid
-    out as position intervals per side and paired by a carry-forward window
-    over the interval boundaries, and keys are split into salt buckets by a
-    hash of row content.  No hot group is sorted row by row and no pairs
-    within a group are emitted;
+    sides ordered by the shared columns.  Keys up to ``hot_group_rows`` rows
+    are numbered by one window over the union of both loads (one shuffle).
+    Rows of hotter keys are routed (by a broadcast of the hot-key list, whose
+    length the profile has counted) to collapsed runs: identical rows become
+    one run with a count (partial aggregation before the shuffle, so a group
+    of copies costs one row per task), runs are laid out as position
+    intervals per side and paired by a carry-forward window over the
+    interval boundaries, split into salt buckets by a hash of row content.
+    No hot group is sorted row by row and no pairs within a group are
+    emitted;
   * every count and per-column statistic is one global aggregate (weighted
     by run length on the repeated-key path);
   * samples are ``row_number() <= k``, which Spark turns into a partial
