@@ -4,7 +4,7 @@ python; cluster settings come from the submitting environment).
     python -m dayload load --catalog CAT.json --root STORE [--date yyyyMMdd]
            [--profile change|business|v1] [--tables NEED.json] [--all]
     python -m dayload reconcile --catalog CAT.json --left STORE_A --right STORE_B
-           --log LOG [--date yyyyMMdd]
+           --log LOG [--date yyyyMMdd] [--abs-tol X] [--rel-tol Y]
 
 Prints one JSON line per table (the audit or comparison summary).
 """
@@ -48,6 +48,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
     rc.add_argument("--log", default=None)
     rc.add_argument("--date", default=None)
     rc.add_argument("--threads", type=int, default=5)
+    rc.add_argument("--abs-tol", type=float, default=0.0, help="numbers equal within this")
+    rc.add_argument("--rel-tol", type=float, default=0.0, help="... plus this times |right|")
     args = ap.parse_args(argv)
 
     spark = spark or apply_engine_conf(SparkSession.builder.appName(f"dayload-{args.cmd}").getOrCreate())
@@ -60,7 +62,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
             chosen = specs if args.all else flagged(specs)
         out = load_all(spark, chosen, day, args.root, args.profile, threads=args.threads)
     else:
-        out = reconcile_all(spark, specs, day, args.left, args.right, args.log, threads=args.threads)
+        out = reconcile_all(spark, specs, day, args.left, args.right, args.log, threads=args.threads,
+                            abs_tol=args.abs_tol, rel_tol=args.rel_tol)
     rows = [r.asDict() for r in out.collect()]  # one row per table
     for r in rows:
         print(json.dumps(r, default=str))

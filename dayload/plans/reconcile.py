@@ -46,7 +46,8 @@ def read_day(spark: SparkSession, root: str, spec: TableSpec, load_date: str) ->
 
 def reconcile_day(spark: SparkSession, spec: TableSpec, load_date: str, left_root: str,
                   right_root: str, left_name: str = "df_load",
-                  right_name: str = "df_opdate", dedupe: str = "auto") -> Reconciliation:
+                  right_name: str = "df_opdate", dedupe: str = "auto",
+                  abs_tol: float = 0.0, rel_tol: float = 0.0) -> Reconciliation:
     """Compare one table's day in two stores by its catalog key (PIP-5).
     ``dedupe="never"`` skips the key profile when keys are known unique."""
     keys = spec.keys()
@@ -54,7 +55,8 @@ def reconcile_day(spark: SparkSession, spec: TableSpec, load_date: str, left_roo
         raise NoKeyError(f"table {spec.table_name} has no key")
     left = read_day(spark, left_root, spec, load_date)
     right = read_day(spark, right_root, spec, load_date)
-    return reconcile(left, right, keys, left_name=left_name, right_name=right_name, dedupe=dedupe)
+    return reconcile(left, right, keys, abs_tol=abs_tol, rel_tol=rel_tol, left_name=left_name,
+                     right_name=right_name, dedupe=dedupe)
 
 
 def _tag(df: DataFrame, table: str, load_date: str) -> DataFrame:
@@ -184,7 +186,8 @@ def _summary_row(table: str, load_date: str, status: str, counts=None, error=Non
 
 
 def reconcile_all(spark: SparkSession, specs: list[TableSpec], load_date: str, left_root: str,
-                  right_root: str, log_root: str | None = None, threads: int = 5) -> DataFrame:
+                  right_root: str, log_root: str | None = None, threads: int = 5,
+                  abs_tol: float = 0.0, rel_tol: float = 0.0) -> DataFrame:
     """Compare every table whose day is present in both stores (PIP-6).
 
     The table list comes from the two stores' audit rows (SRC-6, SRC-7);
@@ -206,7 +209,8 @@ def reconcile_all(spark: SparkSession, specs: list[TableSpec], load_date: str, l
         if not spec.keys():
             return _summary_row(name, load_date, "no_key")
         try:
-            rec = reconcile_day(spark, spec, load_date, left_root, right_root)
+            rec = reconcile_day(spark, spec, load_date, left_root, right_root,
+                                abs_tol=abs_tol, rel_tol=rel_tol)
             if log_root:
                 write_report(rec, log_root, name, load_date)
                 counts = rec.report_counts

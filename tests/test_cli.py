@@ -18,7 +18,8 @@ def test_load_and_reconcile_from_the_command_line(spark, tmp_path):
     b = main(["load", "--catalog", str(cat), "--root", right, "--date", "20240115"], spark)
     assert {r["select_table"] for r in a} == {r["select_table"] for r in b} == {"WINDEVENTS", "ORDERSFEED"}
     out = {r["table_name"]: r for r in main(["reconcile", "--catalog", str(cat), "--left", left,
-                                              "--right", right, "--log", log, "--date", "20240115"], spark)}
+                                              "--right", right, "--log", log, "--date", "20240115",
+                                              "--abs-tol", "0.0", "--rel-tol", "0.0"], spark)}
     assert out["WINDEVENTS"]["status"] == "compared" and out["ORDERSFEED"]["status"] == "missing"
     need = tmp_path / "need.json"
     need.write_text(json.dumps({"need_tables": ["nationsnap"]}))
