@@ -341,7 +341,9 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[str], abs_tol: float
     """Pair the rows of two loads by key and compare the shared columns.
 
     ``dedupe``: ``"auto"`` pairs by position within the key only when a key
-    repeats on either side; ``"always"`` / ``"never"`` force it.
+    repeats on either side; ``"always"`` forces it.  The keys are always
+    profiled first: a join on keys that repeat would emit every pair within
+    the key, so uniqueness is measured, never assumed.
     ``pairing`` (repeated keys): ``"auto"`` numbers rows with one window when
     no key exceeds ``hot_group_rows`` and uses collapsed runs (salted by
     content) otherwise; ``"window"`` / ``"runs"`` force a method (``"runs"``
@@ -349,6 +351,8 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[str], abs_tol: float
     keys = [k.lower() for k in keys if k and k.strip()]
     if not keys:
         raise NoKeyError("comparison needs at least one key column")
+    if dedupe not in ("auto", "always"):
+        raise ValueError(f"dedupe must be 'auto' or 'always', not {dedupe!r}")
     spark = left.sparkSession
     # Constraint inference over the comparison's aliased expressions grows
     # combinatorially at planning time; see session.ENGINE_CONF.
@@ -363,12 +367,10 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[str], abs_tol: float
     shared = [c for c in left.columns if c in rt and c not in keys]
     compare = [(c, lt[c], rt[c]) for c in shared]
 
-    positional = dedupe == "always"
-    salt, top, n_hot = 1, 0, 0
-    if dedupe in ("auto", "always"):
-        dups, top, n_hot = key_profiles(left, right, keys, hot_group_rows)
-        positional = positional or dups > 0
-        salt = max(1, math.ceil(top / hot_group_rows)) if top > hot_group_rows else 1
+    # The profile decides the plan: repeated keys, largest key, hot keys.
+    dups, top, n_hot = key_profiles(left, right, keys, hot_group_rows)
+    positional = dedupe == "always" or dups > 0
+    salt = max(1, math.ceil(top / hot_group_rows)) if top > hot_group_rows else 1
     use_runs = pairing == "runs" or (pairing == "auto" and top > hot_group_rows)
     split = pairing in ("auto", "split") and top > hot_group_rows and 0 < n_hot <= MAX_HOT_KEYS
 

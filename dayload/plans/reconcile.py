@@ -49,7 +49,7 @@ def reconcile_day(spark: SparkSession, spec: TableSpec, load_date: str, left_roo
                   right_name: str = "df_opdate", dedupe: str = "auto",
                   abs_tol: float = 0.0, rel_tol: float = 0.0) -> Reconciliation:
     """Compare one table's day in two stores by its catalog key (PIP-5).
-    ``dedupe="never"`` skips the key profile when keys are known unique."""
+    Keys are profiled first, so repeated keys are found, never assumed away."""
     keys = spec.keys()
     if not keys:
         raise NoKeyError(f"table {spec.table_name} has no key")
