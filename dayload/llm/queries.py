@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
+from .bpe_lexicon import build_lexicon, encode_digests
 from .common import importable
 from .token_files import read_documents, write_tokens
 
@@ -30,3 +31,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     manifest = write_tokens(docs, scratch_dir(spark, "tokens"), public_tokenizers.path("word_bpe_49k.json"), vocabulary=49_408, end_id=1)
     return read_documents(manifest)
+
+
+@query
+def op6_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, tokenizer = table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    lexicon = build_lexicon(docs, f"{scratch_dir(spark, 'lexicon')}/words.lex", tokenizer)
+    return encode_digests(docs, tokenizer, lexicon)
