@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 from .bpe_lexicon import build_lexicon, encode_digests
 from .common import importable
+from .substring_dedup import kept_digests
 from .token_files import read_documents, write_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +39,8 @@ def op6_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, tokenizer = table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
     lexicon = build_lexicon(docs, f"{scratch_dir(spark, 'lexicon')}/words.lex", tokenizer)
     return encode_digests(docs, tokenizer, lexicon)
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kept_digests(table(spark, sf_dir, "documents"))
