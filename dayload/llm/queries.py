@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 from .bpe_lexicon import build_lexicon, encode_digests
 from .common import importable
+from .ngram_join import linked_documents
 from .substring_dedup import kept_digests
 from .token_files import read_documents, write_tokens
 
@@ -44,3 +45,8 @@ def op6_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_documents(table(spark, sf_dir, "documents"))
