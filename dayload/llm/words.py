@@ -109,6 +109,45 @@ def find_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Wo
     return Words(data, start, end, np.searchsorted(start, offsets).astype(np.int64))
 
 
+_KIND = np.full(256, 3, np.uint8)  # 0 white space, 1 letters, 2 digits, 3 other ASCII, 4 what splitting must not touch
+_KIND[[32, 9, 10, 11, 12, 13]] = 0
+_KIND[65:91] = _KIND[97:123] = 1
+_KIND[48:58] = 2
+_KIND[128:] = _KIND[[39, 60, *range(0, 9), *range(14, 32)]] = 4
+
+
+def split_plain(data: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cut units at changes between ASCII letters, digits and other signs; white space stays with what follows.
+
+    Units that hold an apostrophe, ``<``, a control character or non-ASCII text
+    stay whole.  ``first`` (the first unit of each row) follows the new units.
+    """
+    if not len(start):
+        return start, end, first
+    kind = _KIND[data]
+    cut = np.flatnonzero((kind[1:] != kind[:-1]) & (kind[:-1] != 0)) + 1
+    unit = np.searchsorted(start, cut, "right") - 1
+    whole = np.concatenate([[0], np.cumsum(kind == 4, dtype=np.int32)])
+    plain = whole[end] == whole[start]
+    ok = (unit >= 0) & plain[unit] & (cut > start[unit]) & (cut < end[unit])
+    cut, unit = cut[ok], unit[ok]
+    before = np.concatenate([[0], np.cumsum(np.bincount(unit, minlength=len(start)))])
+    at = np.arange(len(start)) + before[:-1]
+    starts = np.empty(len(start) + len(cut), np.int64)
+    starts[at] = start
+    inner = unit + 1 + np.arange(len(cut))
+    starts[inner] = cut
+    ends = np.empty_like(starts)
+    ends[:-1] = starts[1:]
+    ends[at + np.diff(before)] = end
+    return starts, ends, first + before[first]
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z in lower case."""
+    return _LOWER[data]
+
+
 def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each byte span, eight bytes a step."""
     padded = np.zeros(len(data) + 8, np.uint8)
