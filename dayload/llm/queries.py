@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
+from . import license_scan, toxicity, url_filter
 from .bpe_lexicon import build_lexicon, encode_digests
 from .common import importable
 from .ngram_join import linked_documents
@@ -50,3 +51,25 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model).select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score")
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scanned(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op8_license_scan"] = license_scan.oracle()
+ORACLES["op9_url_filter"] = url_filter.oracle()
