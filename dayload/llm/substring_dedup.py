@@ -45,7 +45,7 @@ from .words import batches_of, gram_starts, grams, hashed, mix
 #: Words of a window, and of the grams that route it.
 WINDOW, ROUTE = 13, 4
 #: Windows that a task decides together.
-CHUNK_WINDOWS = 2_000_000
+CHUNK_WINDOWS = 700_000
 #: A run of windows in one entry of a payload.
 LONGEST_RUN = 255
 #: Times the hashes are changed before a mismatch is an error.
