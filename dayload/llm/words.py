@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Text bytes that one slice of a batch holds at most (one longer text is a slice of its own).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
