@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import license_scan, toxicity, url_filter
+from . import license_scan, lm_score, toxicity, url_filter
 from .bpe_lexicon import build_lexicon, encode_digests
 from .common import importable
 from .ngram_join import linked_documents
@@ -73,3 +73,8 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op8_license_scan"] = license_scan.oracle()
 ORACLES["op9_url_filter"] = url_filter.oracle()
+
+
+@query
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.scored(table(spark, sf_dir, "documents"))

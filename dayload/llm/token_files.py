@@ -34,9 +34,11 @@ from pyspark.sql import functions as F
 from .common import partitions, saved
 from .files import read_bytes, replace_file
 from .unit_cache import UnitCache
-from .words import find_words, slices, text_buffer
+from .words import find_words, lowered, slices, split_plain, text_buffer
 
 MAGIC = b"TOKIDX01"
+#: Letter runs that go through the tokenizer as one text.
+JOINED = 256
 _ENCODERS: dict[str, UnitCache] = {}
 
 
@@ -50,9 +52,30 @@ def word_cache(tokenizer_path: str) -> UnitCache:
         tok.no_truncation()
         tok.no_padding()
 
-        def encode(units: list[bytes]) -> list[list[int]]:
+        last = np.zeros(tok.get_vocab_size(with_added_tokens=True), bool)  # tokens that end a piece
+        for t, i in tok.get_vocab(with_added_tokens=False).items():
+            last[i] = t.endswith("</w>")
+
+        def one_by_one(units: list[bytes]) -> list[list[int]]:
             return [e.ids for e in tok.encode_batch([u.decode("utf-8") for u in units], add_special_tokens=False)]
 
+        def encode(units: list[bytes]) -> list[list[int]]:
+            """Runs of letters are one piece each, so many go through the tokenizer as one text."""
+            out: list = [None] * len(units)
+            runs = [i for i, u in enumerate(units) if u.decode("utf-8").isalpha()]
+            for a in range(0, len(runs), JOINED):
+                at = runs[a:a + JOINED]
+                ids = np.array(tok.encode(b" ".join([units[i] for i in at]).decode(), add_special_tokens=False).ids, np.int64)
+                ends = np.flatnonzero(last[ids]) + 1
+                if len(ends) == len(at) and ends[-1] == len(ids):
+                    ids, ends = ids.tolist(), ends.tolist()
+                    for i, x, y in zip(at, [0, *ends], ends):
+                        out[i] = ids[x:y]
+            rest = [i for i, ids in enumerate(out) if ids is None]
+            for i, ids in zip(rest, one_by_one([units[i] for i in rest])):
+                out[i] = ids
+            return out
+
         _ENCODERS[tokenizer_path] = UnitCache(encode)
     return _ENCODERS[tokenizer_path]
 
@@ -62,8 +85,12 @@ def encode_column(column: pa.Array, cache: UnitCache, end_id: int) -> Iterator[t
     data, offsets = text_buffer(column)
     for a, b in slices(offsets):
         words = find_words(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-        ids, sizes = cache.gather(cache.index(words.data, words.start, words.end))
-        ends = np.concatenate([[0], np.cumsum(sizes)])[words.first]
+        raw = words.data
+        if b"<|" not in raw.tobytes():  # the tokenizer ignores case but in special tokens
+            raw = lowered(raw)
+        start, end, first = split_plain(raw, words.start, words.end, words.first)
+        ids, sizes = cache.gather(cache.index(raw, start, end))
+        ends = np.concatenate([[0], np.cumsum(sizes)])[first]
         per_row = np.diff(ends)
         out = np.insert(ids, ends[1:], end_id)
         yield out, per_row + 1

@@ -15,7 +15,7 @@ import numpy as np
 from .words import hash_spans
 
 #: Units a worker remembers before it starts again.
-CACHE_UNITS = 400_000
+CACHE_UNITS = 1_000_000
 
 
 class UnitCache:
