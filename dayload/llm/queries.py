@@ -12,6 +12,7 @@ from ..session import scratch_dir
 from . import license_scan, lm_score, toxicity, url_filter
 from .bpe_lexicon import build_lexicon, encode_digests
 from .common import importable
+from .multi_index import nearest
 from .ngram_join import linked_documents
 from .substring_dedup import kept_digests
 from .token_files import read_documents, write_tokens
@@ -78,3 +79,8 @@ ORACLES["op9_url_filter"] = url_filter.oracle()
 @query
 def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.scored(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
