@@ -12,6 +12,7 @@ from ..session import scratch_dir
 from . import license_scan, lm_score, toxicity, url_filter
 from .bpe_lexicon import build_lexicon, encode_digests
 from .common import importable
+from .decontaminate import contaminated
 from .multi_index import nearest
 from .ngram_join import linked_documents
 from .substring_dedup import kept_digests
@@ -84,3 +85,8 @@ def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -196,3 +196,13 @@ def batches_of(batch: pa.RecordBatch, column: str, lower: bool = False) -> Itera
     data, offsets = text_buffer(batch.column(column))
     for a, b in slices(offsets):
         yield a, b, find_words(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], lower)
+
+
+_PLAIN = np.zeros(256, bool)
+_PLAIN[48:58] = _PLAIN[65:91] = _PLAIN[97:123] = True
+_PLAIN[128:] = True
+
+
+def plain_words(data: np.ndarray, offsets: np.ndarray) -> Words:
+    """Runs of ASCII letters, digits and non-ASCII bytes, ASCII in lower case; every other sign is a break."""
+    return find_words(np.where(_PLAIN[data], data, 32).astype(np.uint8), offsets, lower=True)
