@@ -38,13 +38,15 @@ from .words import Words, hashed, plain_words, slices, text_buffer
 #: Latent dimensions, and those the sketch has beyond them; words of a passage that the matrix has a row for.
 RANK, OVERSAMPLE, PASSAGE = 48, 8, 32
 #: Least cosine of a window with an item, and least share of the item's vector that the window must hold.
-COSINE, SHARE = 0.6, 0.6
+COSINE, SHARE = 0.65, 0.6
 #: Parts of an item's words that the common subsequence must hold: alone, or together with the answer; and of the answer.
 SAME, LOOSE, ANSWER = 0.75, 0.5, 0.8
-#: Window lengths grow by this factor; a window moves on by its length over ``STEPS``.
-GROW, STEPS = 1.3, 5
+#: Window lengths grow by this factor; a window moves on by its length over ``STEPS``; both in groups of ``GRAIN`` words.
+GROW, STEPS, GRAIN = 1.4, 5, 3
+#: Share of an item that the nearest window covers at least; windows times items of one product.
+HELD, CELLS = 0.8, 2_000_000
 #: Bytes of items that are searched together.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 _PARTS = 32
 
 
@@ -172,8 +174,10 @@ class Space:
         small = (small + small.T) / 2
         values, vectors = np.linalg.eigh(small)
         keep = values > max(values.max(), 0) * 1e-9 if len(values) else np.zeros(0, bool)
-        u = np.linalg.svd(y @ (vectors[:, keep] / np.sqrt(values[keep])), full_matrices=False)[0] if keep.any() else np.zeros((d, 0))
-        self.vectors = (u[:, :RANK] * idf[:, None]).astype(np.float32)
+        u, sizes, _ = np.linalg.svd(y @ (vectors[:, keep] / np.sqrt(values[keep])), full_matrices=False) if keep.any() else (np.zeros((d, 0)), np.ones(0), None)
+        # every direction counts alike: left to their sizes, the commonest words would decide all cosines
+        self.vectors = (u[:, :RANK] / np.maximum(sizes[:RANK], 1e-9) * idf[:, None]).astype(np.float32)
+        self.vectors *= np.float32(1 / max(float(np.abs(self.vectors).max(initial=0)), 1e-9))
 
 
 def _bit_lcs(a: list[int], b: list[int]) -> int:
@@ -204,22 +208,40 @@ class Searcher:
             at = np.flatnonzero(step == s)
             zi = z[at]
             norm = np.maximum(np.linalg.norm(zi, axis=1), 1e-9)
-            self.classes.append((max(1, int(round(GROW ** s))), at, (zi / norm[:, None]).T.copy(), norm))
+            self.classes.append((max(1, int(round(GROW ** s / GRAIN))), at, (zi / norm[:, None]).T.copy(), norm))
+        self.features, self.sizes = len(items.known), sizes
+        self.pairs = np.unique(np.concatenate([i * self.features + items.features(h) for i, h in enumerate(items.words)]))
         self.lists = [h.tolist() for h in items.words]
         self.answer_lists = [h.tolist() for h in items.answers]
 
     def candidates(self, f: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(start, window length, item) over the words of a slice."""
-        n = len(f)
+        n = -(-len(f) // GRAIN)
+        padded = np.full(n * GRAIN, -1)
+        padded[:len(f)] = f
         run = np.zeros((n + 1, self.vectors.shape[1]), np.float32)
-        np.cumsum(self.vectors[f], axis=0, out=run[1:])
+        np.cumsum(self.vectors[padded].reshape(n, GRAIN, -1).sum(axis=1), axis=0, out=run[1:])
         for size, at, unit, norm in self.classes:
-            start = np.arange(0, max(1, n - size + 1 + size // STEPS), max(1, size // STEPS))
-            z = run[np.minimum(start + size, n)] - run[start]
-            dot = z @ unit
-            length = np.maximum(np.linalg.norm(z, axis=1), 1e-9)
-            for i, j in zip(*np.nonzero((dot >= COSINE * length[:, None]) & (dot >= SHARE * norm[None, :]))):
-                yield int(start[i]), size, int(at[j])
+            move = max(1, size // STEPS)
+            start = np.arange(0, max(1, n - size + 1 + move), move)
+            step = max(1, CELLS // len(at))
+            for lo in range(0, len(start), step):
+                s = start[lo:lo + step]
+                z = run[np.minimum(s + size, n)] - run[s]
+                dot = z @ unit
+                length = np.sqrt(np.einsum("ij,ij->i", z, z))
+                i, j = np.nonzero((dot >= COSINE * length[:, None]) & (dot >= SHARE * norm[None, :]))
+                i, j = s[i] * GRAIN, at[j]
+                for c in range(0, len(i), 1 << 12):
+                    yield from self._holding(padded, i[c:c + (1 << 12)], j[c:c + (1 << 12)], size * GRAIN)
+
+    def _holding(self, f: np.ndarray, start: np.ndarray, item: np.ndarray, size: int) -> Iterator[tuple[int, int, int]]:
+        """The candidates whose window holds enough words of the item, whatever their order."""
+        words = f[np.minimum(start[:, None] + np.arange(size), len(f) - 1)]
+        key = item[:, None] * self.features + words
+        found = self.pairs[np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)] == key
+        keep = ((found & (words >= 0)).sum(axis=1) >= LOOSE * HELD * self.sizes[item])
+        yield from zip(start[keep].tolist(), [size] * int(keep.sum()), item[keep].tolist())
 
     def verify(self, words: list[int], item: int) -> float:
         """The part of the item's words in the common subsequence with a text, 0 if that is no hit."""

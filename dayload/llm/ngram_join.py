@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_bits, bucket_of, by_bucket, count_locally, each_bucket, heavy_hashes, payload_batches, saved, scatter, whole_groups
+from .common import bucket_bits, bucket_of, by_bucket, count_locally, each_bucket, heavy_hashes, partitions, payload_batches, saved, scatter, whole_groups
 from .components import components
 from .words import Words, batches_of, gram_starts, grams, hashed, mix
 
@@ -49,6 +49,8 @@ SHINGLE, ABOVE, OF = 4, 85, 100
 CHUNK_MEMBERS = 2_000_000
 #: Nodes of one shared member that meet in one tree; larger groups are cut into blocks of about this size.
 BLOCK = 1000
+#: Nodes of a shared member up to which hopeless ones are dropped before prefixes are sent; trees drop the others.
+FEW = 16
 
 
 def _sets(words: Words, n: int) -> Iterator[np.ndarray]:
@@ -98,7 +100,7 @@ def _heavy(rows: DataFrame, n: int, bits: int) -> np.ndarray:
 
 
 def set_prefixes(rows: DataFrame, n: int, above: int, of: int) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit digest of the set, and its prefix in the global order."""
+    """doc_id, n_shingles, a 128-bit digest of the set, and its prefix in the global order (also by the high 32 bits of its members)."""
     spark = rows.sparkSession
     heavy = _heavy(rows, n, bucket_bits(spark))
     by = np.argsort(heavy)
@@ -107,17 +109,20 @@ def set_prefixes(rows: DataFrame, n: int, above: int, of: int) -> DataFrame:
     def run(batches):
         hot, rank = order.value
         for batch in batches:
-            sizes, one, two, prefixes = [], [], [], []
+            sizes, one, two, prefixes, shorts = [], [], [], [], []
             for _, _, w in batches_of(batch, "text", lower=True):
                 for s in _sets(w, n):
                     sizes.append(len(s))
                     one.append(int(mix(s).sum(dtype=np.uint64).view(np.int64)))
                     two.append(int(mix(s ^ np.uint64(0x5BF03635)).sum(dtype=np.uint64).view(np.int64)))
-                    prefixes.append(_ordered(s, hot, rank)[:prefix_length(len(s), above, of)].tobytes() if len(s) else b"")
+                    prefix = _ordered(s, hot, rank)[:prefix_length(len(s), above, of)] if len(s) else s
+                    prefixes.append(prefix.tobytes())
+                    shorts.append((prefix >> np.uint64(32)).astype("<u4").tobytes())  # in the same order; equal members stay equal
             yield pa.record_batch([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
-                                   pa.array(prefixes, pa.binary())], names=["doc_id", "n_shingles", "fp_a", "fp_b", "prefix"])
+                                   pa.array(prefixes, pa.binary()), pa.array(shorts, pa.binary())],
+                                  names=["doc_id", "n_shingles", "fp_a", "fp_b", "prefix", "short"])
 
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, fp_a long, fp_b long, prefix binary")
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, fp_a long, fp_b long, prefix binary, short binary")
 
 
 _MEMBER = ["<u8", "<i8", "<u4", "<u4", "u1"]
@@ -287,19 +292,34 @@ def tree_pairs(group: list[tuple], blocks: list[int], above: int, of: int) -> It
             tree.add(e)
 
 
+def _with_partner(entries: DataFrame, above: int, of: int, few: int = FEW) -> DataFrame:
+    """Without the entries of small groups that no other entry of the group could link with, by sizes and places alone."""
+
+    def could(e, f):
+        n, m = e["n"], f["n"]
+        rest = F.least(n - e["pos"], m - f["pos"])
+        return (e["component"] != f["component"]) & (F.least(n, m) * of >= F.greatest(n, m) * above) & (rest * (above + of) >= (n + m) * above)
+
+    fields = ["rep", "n", "pos", "component"]
+    small = entries.where(F.col("held") <= few).groupBy("token", "held").agg(F.collect_list(F.struct(*fields)).alias("g"))
+    kept = small.select("token", "held", F.filter("g", lambda e: F.exists("g", lambda f: could(e, f))).alias("g")).where("size(g) > 1")
+    kept = kept.select("token", "held", F.inline("g"))
+    return entries.where(F.col("held") > few).select("token", "held", *fields).union(kept)
+
+
 def tree_candidates(entries: DataFrame, nodes: DataFrame, above: int, of: int, block: int = BLOCK) -> DataFrame:
     """Pairs of nodes of different components that share a member and pass the trees' bounds; entries: token, rep, n, pos, component."""
     sizes = entries.groupBy("token").agg(F.count("*").alias("held"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
     mixed = entries.join(sizes.select("token", "held"), "token")
+    mixed = _with_partner(mixed, above, of)
     parts = F.ceil(F.col("held") / F.lit(block)).cast("int")
     own = F.pmod(F.xxhash64("rep"), parts).cast("int")
     mixed = mixed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     unit = F.xxhash64("token", F.least("own", "other"), F.greatest("own", "other"))
-    # the tail as 32-bit members in the same order (equal members stay equal)
-    tails = nodes.select("rep", "n", "prefix")
+    tails = nodes.select("rep", "n", "short")
     dealt = (mixed.withColumn("unit", unit).select("unit", "token", "rep", "n", "pos", "component", "own", "other")
              .join(tails, ["rep", "n"]).select("unit", "token", "rep", "n", "pos", "component", "own", "other",
-                                               F.expr("substring(prefix, 8 * (pos + 1) + 1)").alias("tail")))
+                                               F.expr("substring(short, 4 * (pos + 1) + 1)").alias("tail")))
 
     def meet(batches):
         for table in whole_groups(batches, "unit"):
@@ -313,11 +333,10 @@ def tree_candidates(entries: DataFrame, nodes: DataFrame, above: int, of: int, b
                 by_token: dict[tuple, list[int]] = {}
                 for i in range(lo, hi):
                     by_token.setdefault((cols[0][i], min(cols[5][i], cols[6][i]), max(cols[5][i], cols[6][i])), []).append(i)
-                for at in by_token.values():
+                for key, at in by_token.items():
                     if len({cols[3][i] for i in at}) < 2:
                         continue
-                    group = [(cols[1][i], cols[2][i], cols[3][i], cols[4][i], (np.frombuffer(cols[7][i], "<u8") >> np.uint64(32)).tolist()) for i in at]
-                    key = next(k for k, v in by_token.items() if v is at)
+                    group = [(cols[1][i], cols[2][i], cols[3][i], cols[4][i], np.frombuffer(cols[7][i], "<u4").tolist()) for i in at]
                     blocks = [cols[5][i] for i in at]
                     if key[1] != key[2] and len(set(blocks)) < 2:
                         continue
@@ -325,8 +344,6 @@ def tree_candidates(entries: DataFrame, nodes: DataFrame, above: int, of: int, b
             a, b = zip(*sorted(found)) if found else ((), ())
             yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    from .common import partitions
-
     spread = dealt.repartition(partitions(entries.sparkSession), "unit").sortWithinPartitions("unit")
     return spread.mapInArrow(meet, "a long, b long").distinct()
 
@@ -338,8 +355,8 @@ def linked_documents(docs: DataFrame, n: int = SHINGLE, above: int = ABOVE, of:
     known = saved(set_prefixes(rows, n, above, of), "prefixes")
     fp = ["fp_a", "fp_b", "n_shingles"]
     whole = known.where("doc_id is not null and n_shingles > 0")
-    nodes = saved(whole.groupBy(*fp).agg(F.min(F.struct("doc_id", "prefix")).alias("x"))
-                  .select(*fp, F.col("x.doc_id").alias("rep"), F.col("n_shingles").cast("int").alias("n"), F.col("x.prefix").alias("prefix")), "nodes")
+    nodes = saved(whole.groupBy(*fp).agg(F.min(F.struct("doc_id", "prefix", "short")).alias("x"))
+                  .select(*fp, F.col("x.doc_id").alias("rep"), F.col("n_shingles").cast("int").alias("n"), "x.prefix", "x.short"), "nodes")
     members = saved(shared_members(nodes), "members")
 
     # each node against the smallest node of each of its shared members
