@@ -321,3 +321,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         hits = rows.mapInArrow(search, schema)
         found = hits if found is None else found.union(hits)
     return found if found is not None else spark.createDataFrame([], schema)
+
+
+def clean_rows(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, in whose text no item is found."""
+    spark, names = docs.sparkSession, docs.columns
+    kept = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    text = f"c{names.index(text_col)}"
+    for items in item_blocks(benchmark, item_col, item_text_col):
+        space = Space(docs.select(F.col(text_col).alias("text")), items)
+        shared = spark.sparkContext.broadcast(Searcher(items, space.vectors))
+
+        def keep(batches, shared=shared):
+            for batch in batches:
+                clean = np.ones(batch.num_rows, bool)
+                for a, _, w in _slices(batch, text):
+                    for row, _ in shared.value.hits(w):
+                        clean[a + row] = False
+                yield batch.filter(pa.array(clean))
+
+        kept = kept.mapInArrow(keep, kept.schema)
+    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
