@@ -28,7 +28,7 @@ import public_tokenizers  # noqa: E402
 from dayload.llm import toxicity as tox  # noqa: E402
 from dayload.llm.bpe_lexicon import build_lexicon, encode_digests  # noqa: E402
 from dayload.llm.common import importable, saved  # noqa: E402
-from dayload.llm.decontaminate import contaminated  # noqa: E402
+from dayload.llm.decontaminate import clean_rows  # noqa: E402
 from dayload.llm.ngram_join import linked_documents  # noqa: E402
 from dayload.llm.substring_dedup import dedup_texts  # noqa: E402
 from dayload.session import scratch_dir  # noqa: E402
@@ -54,9 +54,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     importable(spark)
-    hits = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    bad = saved(hits.select("doc_id").distinct(), "contaminated")
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    return clean_rows(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def bpe_lexicon(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
