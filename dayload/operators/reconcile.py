@@ -1,40 +1,42 @@
 """Keyed comparison of two loads of one table (JOIN-1..4, AGG-1..6, WIN-1,
 LIM-1..2, SET-2..3, SCA-10, PRJ-6).
 
+One definition of a pair, whatever the size of a key: the n-th row of a key on
+the left meets the n-th row of that key on the right, both sides ordered by the
+shared columns and then by their own; a unique key is position 1.  Column names
+are case-folded and keys cast to one type first.
+
 Plan shape:
-  * column names are case-folded on both sides;
-  * the keys of both loads are profiled in one job (key columns only,
-    map-side partial counts);
-  * unique keys: one null-safe full outer sort-merge join, keys shuffled
-    once per side;
-  * repeated keys: rows are paired by their position within the key, both
-    sides ordered by the shared columns.  Keys up to ``hot_group_rows`` rows
-    are numbered by one window over the union of both loads (one shuffle).
-    Rows of hotter keys are routed (by a broadcast of the hot-key list, whose
-    length the profile has counted) to collapsed runs: identical rows become
-    one run with a count (partial aggregation before the shuffle, so a group
-    of copies costs one row per task), runs are laid out as position
-    intervals per side and paired by a carry-forward window over the
-    interval boundaries, split into salt buckets by a hash of row content.
-    No hot group is sorted row by row and no pairs within a group are
-    emitted;
-  * every count and per-column statistic is one global aggregate (weighted
-    by run length on the repeated-key path);
+  * building a comparison starts no job; the rows are paired when an output
+    first needs them;
+  * a load has no hot key if it has no more rows than ``hot_group_rows``; only
+    beyond that are the keys counted (key columns, map-side partial counts);
+  * ordinary keys: both loads are tagged and unioned, shuffled once by key,
+    numbered per side by one window, and paired by an aggregate that reuses the
+    partitioning;
+  * hot keys: identical rows collapse to runs with a count before the shuffle;
+    the runs are dealt by ranges of (key, side, ordering), so a key's runs lie
+    in ordered bins; sums of the bins give each bin its offset and each run its
+    exact position; the axis of positions is cut into blocks, and a window over
+    the run boundaries of one (key, block) pairs what stands side by side.
+    Ranges and blocks only balance the work: positions don't depend on them;
+  * counts and per-column statistics are one global aggregate, weighted by run
+    length;
   * samples are ``row_number() <= k``, which Spark turns into a partial
     per-partition top-k before the shuffle.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.compare import abs_difference, null_mismatch, values_equal
+from ..functions.types import is_integral, is_numeric
+from ..session import scratch_dir
 
 ORD = "__ord"
 IN_LEFT = "__in_left"
@@ -42,16 +44,14 @@ IN_RIGHT = "__in_right"
 STATUS = "_merge"
 BOTH, LEFT_ONLY, RIGHT_ONLY = "both", "left_only", "right_only"
 SIDE = "__side"
-BUCKET = "__bucket"
 POS = "__pos"
 MULT = "__mult"
+BIN, BLOCK = "__bin", "__blk"
 
-# Rows of one key above which runs are spread over salt buckets.
+# Rows of one key from which its runs are spread over bins and blocks.
 HOT_GROUP_ROWS = 2_000_000
-# Hot keys up to which their list is broadcast to route only their rows
-# through collapsed runs (the profile counts them first); beyond it every
-# row takes the run path.
-MAX_HOT_KEYS = 100_000
+# Positions of one key that one window pairs.
+BLOCK_ROWS = 500_000
 # Rows one task generates per chunk when a long run is expanded back to
 # rows; the chunk grows for very long runs so a run has at most
 # EXPAND_MAX_CHUNKS chunks (bounding the chunk list built per run).
@@ -84,18 +84,6 @@ def _key_counts(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame
     return both.groupBy(SIDE, *keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def key_profiles(left: DataFrame, right: DataFrame, keys: list[str],
-                 hot_rows: int = HOT_GROUP_ROWS) -> tuple[int, int, int]:
-    """Repeated key values, largest key size and number of hot keys (more
-    than ``hot_rows`` rows on a side) over both loads, in one job: only the
-    key columns are read, counted with map-side partial aggregation."""
-    r = (_key_counts(left, right, keys)
-         .agg(F.count_if(F.col("n") > 1).alias("dups"), F.max("n").alias("top"),
-              F.count_if(F.col("n") > hot_rows).alias("hot"))
-         .collect()[0])
-    return int(r["dups"] or 0), int(r["top"] or 0), int(r["hot"] or 0)
-
-
 def hot_keys(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
     """Key values with more than ``hot_rows`` rows on either side, renamed
     ``__hk<i>`` (at most total rows / ``hot_rows`` of them)."""
@@ -103,74 +91,115 @@ def hot_keys(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int)
             .select(*[F.col(k).alias(f"__hk{i}") for i, k in enumerate(keys)]).distinct())
 
 
-def with_ordinal(df: DataFrame, keys: list[str], others: list[str], salt: int = 1) -> DataFrame:
-    """Add ``__ord``: 1-based position of the row within its key, ordered by
-    ``others`` (WIN-1, as a row-level operator).
-
-    ``salt > 1`` spreads a key over buckets by a hash of row content, numbers
-    rows per (key, bucket) and shifts them by the sizes of the key's earlier
-    buckets (a table with one row per (key, bucket))."""
-    order = [F.col(c).asc_nulls_first() for c in others]
-    if salt <= 1:
-        return df.withColumn(ORD, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    hashed = F.xxhash64(*[F.col(c) for c in others]) if others else F.lit(0)
-    b = df.withColumn(BUCKET, F.pmod(hashed, F.lit(salt)))
-    numbered = (b.withColumn("__r", F.row_number().over(Window.partitionBy(*keys, BUCKET).orderBy(*order)))
-                 .withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*keys, BUCKET))))
-    sizes = numbered.groupBy(*keys, BUCKET).agg(F.max("__n").alias("__n"))
-    renamed = [f"__ok{i}" for i in range(len(keys))]
-    offsets = sizes.select(
-        *[F.col(k).alias(o) for k, o in zip(keys, renamed)], F.col(BUCKET).alias("__ob"),
-        F.coalesce(F.sum("__n").over(Window.partitionBy(*keys).orderBy(BUCKET)
-                                     .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
-    on = [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, renamed)] + [F.col(BUCKET) == F.col("__ob")]
-    return (numbered.drop("__n").join(offsets, on, "inner")
-            .select(*[F.col(c) for c in df.columns],
-                    (F.col("__off") + F.col("__r")).cast(T.IntegerType()).alias(ORD)))
+def common_key_type(name: str, a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type both sides of a key are cast to; raises where there is none."""
+    if a == b:
+        return a
+    if is_integral(a) and is_integral(b):
+        return T.LongType()
+    if is_numeric(a) and is_numeric(b):
+        decimal = [t for t in (a, b) if isinstance(t, T.DecimalType)]
+        other = [t for t in (a, b) if not isinstance(t, T.DecimalType)]
+        if decimal and all(is_integral(t) for t in other):
+            scale = max(t.scale for t in decimal)
+            whole = max([t.precision - t.scale for t in decimal] + [19 for _ in other])
+            if whole + scale <= 38:
+                return T.DecimalType(whole + scale, scale)
+        return T.DoubleType()
+    times = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    if isinstance(a, times) and isinstance(b, times):
+        return T.TimestampType() if T.TimestampType() in (a, b) else T.TimestampNTZType()
+    raise ValueError(f"key {name!r} has no common type: {a.simpleString()} and {b.simpleString()}")
 
 
 @dataclass
 class Reconciliation:
     spark: SparkSession
     keys: list[str]
-    join_keys: list[str]       # row-level pairing columns (keys [+ bucket] [+ __ord])
     left_cols: list[str]
     right_cols: list[str]
     compare: list[tuple[str, T.DataType, T.DataType]]
-    joined: DataFrame          # one row per pair, or per run of pairs (MULT)
     left: DataFrame
     right: DataFrame
     left_name: str = "left"
     right_name: str = "right"
     abs_tol: float = 0.0
     rel_tol: float = 0.0
-    weighted: bool = False
+    hot_group_rows: int = HOT_GROUP_ROWS
+    block_rows: int = BLOCK_ROWS
+    _joined: DataFrame | None = field(default=None, repr=False)
+    _weighted: bool = field(default=False, repr=False)
     _stats: DataFrame | None = field(default=None, repr=False)
     report_counts: dict | None = field(default=None, repr=False)
 
+    @property
+    def join_keys(self) -> list[str]:
+        """What identifies a pair: the key and the position within it."""
+        return [*self.keys, ORD]
+
+    @property
+    def joined(self) -> DataFrame:
+        """One row per pair, or per run of equal pairs (``MULT`` of them from ``POS`` on)."""
+        if self._joined is None:
+            shared = [c for c, _, _ in self.compare]
+            hot = self._hot_keys()
+            self._weighted = hot is not None
+            pairs = pair_rows(self.left, self.right, self.keys, shared) if hot is None else \
+                pair_split(self.left, self.right, self.keys, shared, hot, self.block_rows)
+            status = (F.when(F.col(IN_LEFT) & F.col(IN_RIGHT), F.lit(BOTH))
+                      .when(F.col(IN_LEFT), F.lit(LEFT_ONLY)).otherwise(F.lit(RIGHT_ONLY)))
+            self._joined = pairs.withColumn(STATUS, status)
+        return self._joined
+
+    def _hot_keys(self) -> DataFrame | None:
+        """The keys with more than ``hot_group_rows`` rows on a side, None if there are none."""
+        if max(self.left.count(), self.right.count()) <= self.hot_group_rows:
+            return None
+        path = scratch_dir(self.spark, "hot-keys")
+        hot_keys(self.left, self.right, self.keys, self.hot_group_rows).write.parquet(path)
+        hot = self.spark.read.parquet(path)
+        return hot if hot.limit(1).count() else None
+
+    def _equal(self, name: str, lt: T.DataType, rt: T.DataType) -> Column:
+        return values_equal(F.col(f"{name}__l"), F.col(f"{name}__r"), lt, rt, self.abs_tol, self.rel_tol)
+
+    def _difference(self, name: str, lt: T.DataType, rt: T.DataType) -> Column:
+        diff = abs_difference(F.col(f"{name}__l"), F.col(f"{name}__r"), lt, rt)
+        return diff if diff is not None else F.lit(0.0)
+
+    def _null_mismatch(self, name: str, lt: T.DataType, rt: T.DataType) -> Column:
+        return null_mismatch(F.col(f"{name}__l"), F.col(f"{name}__r"), lt, rt)
+
+    def _all_equal(self) -> Column:
+        whole = F.lit(True)
+        for c in self.compare:
+            whole = whole & self._equal(*c)
+        return whole
+
     # ---- row-level outputs -----------------------------------------------------
     def rows(self, limit: int | None = None) -> DataFrame:
         """The joined pairs, one row each.  Runs of identical pairs are
         expanded in chunks of at most ``EXPAND_CHUNK`` rows spread over all
         tasks; with ``limit`` at most that many rows per run are produced
         (enough for any top-``limit`` sample)."""
-        if not self.weighted:
-            return self.joined
+        joined = self.joined
+        if not self._weighted:
+            return joined.withColumn(ORD, F.col(POS) + 1)
         m = F.col(MULT)
         if limit is not None:
-            expanded = self.joined.withColumn("__i", F.explode(F.sequence(
+            expanded = joined.withColumn("__i", F.explode(F.sequence(
                 F.lit(0).cast("long"), F.least(m, F.lit(limit).cast("long")) - 1)))
         else:
             per = F.ceil(m / F.lit(EXPAND_MAX_CHUNKS)).cast("long")
             c = F.greatest(F.lit(EXPAND_CHUNK).cast("long"), per)
             last_chunk = ((m - 1) - (m - 1) % c) / c
-            chunks = self.joined.withColumn("__c", F.explode(F.sequence(
+            chunks = joined.withColumn("__c", F.explode(F.sequence(
                 F.lit(0).cast("long"), last_chunk.cast("long"))))
             n_parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
             spread = chunks.repartition(n_parts)
             expanded = spread.withColumn("__i", F.explode(F.sequence(
                 F.col("__c") * c, F.least(m, (F.col("__c") + 1) * c) - 1)))
-        return expanded.withColumn(ORD, (F.col(POS) + F.col("__i") + 1).cast(T.IntegerType()))
+        return expanded.withColumn(ORD, F.col(POS) + F.col("__i") + 1)
 
     def status(self) -> DataFrame:
         """Every key (and ordinal) with where it occurs (JOIN-1)."""
@@ -191,10 +220,10 @@ class Reconciliation:
     def common(self) -> DataFrame:
         """Rows in both: keys, both values and the match flag per column (JOIN-4)."""
         cols = [F.col(k) for k in self.join_keys]
-        for name, _, _ in self.compare:
+        for name, lt, rt in self.compare:
             cols += [F.col(f"{name}__l").alias(f"{name}_{self.left_name}"),
                      F.col(f"{name}__r").alias(f"{name}_{self.right_name}"),
-                     F.col(f"{name}__eq").alias(f"{name}_match")]
+                     self._equal(name, lt, rt).alias(f"{name}_match")]
         return self.rows().where(F.col(STATUS) == BOTH).select(*cols)
 
     def _side(self, c: str, side: str) -> Column:
@@ -205,11 +234,8 @@ class Reconciliation:
         return F.col(f"{c}__lo" if side == "left" else f"{c}__ro")
 
     # ---- statistics ------------------------------------------------------------
-    def _w(self) -> Column:
-        return F.col(MULT) if self.weighted else F.lit(1).cast("long")
-
     def _count(self, cond: Column) -> Column:
-        return F.coalesce(F.sum(F.when(cond, self._w()).otherwise(F.lit(0).cast("long"))),
+        return F.coalesce(F.sum(F.when(cond, F.col(MULT)).otherwise(F.lit(0).cast("long"))),
                           F.lit(0).cast("long"))
 
     def stats(self) -> DataFrame:
@@ -222,13 +248,14 @@ class Reconciliation:
                 self._count(both).alias("rows_common"),
                 self._count(F.col(STATUS) == LEFT_ONLY).alias("rows_left_only"),
                 self._count(F.col(STATUS) == RIGHT_ONLY).alias("rows_right_only"),
-                self._count(both & F.col("__all_eq")).alias("rows_all_equal"),
-                self._count(both & ~F.col("__all_eq")).alias("rows_some_unequal")]
+                self._count(both & self._all_equal()).alias("rows_all_equal"),
+                self._count(both & ~self._all_equal()).alias("rows_some_unequal"),
+                F.coalesce(F.max(F.col(POS) + F.col(MULT)), F.lit(0).cast("long")).alias("top_position")]
         if len(self.compare) <= WIDE_COLUMNS:
-            for i, (name, _, _) in enumerate(self.compare):
-                aggs += [self._count(both & ~F.col(f"{name}__eq")).alias(f"u{i}"),
-                         F.max(F.when(both, F.col(f"{name}__diff"))).alias(f"d{i}"),
-                         self._count(both & F.col(f"{name}__nd")).alias(f"n{i}")]
+            for i, c in enumerate(self.compare):
+                aggs += [self._count(both & ~self._equal(*c)).alias(f"u{i}"),
+                         F.max(F.when(both, self._difference(*c))).alias(f"d{i}"),
+                         self._count(both & self._null_mismatch(*c)).alias(f"n{i}")]
         self._stats = self.joined.agg(*aggs)
         return self._stats
 
@@ -258,12 +285,12 @@ class Reconciliation:
 
     def _columns_unpivoted(self) -> DataFrame:
         both = F.col(STATUS) == BOTH
-        cells = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"{n}__eq").alias("eq"),
-                                   F.col(f"{n}__diff").alias("diff"), F.col(f"{n}__nd").alias("nd"))
-                          for i, (n, _, _) in enumerate(self.compare)])
+        cells = F.array(*[F.struct(F.lit(i).alias("i"), self._equal(*c).alias("eq"),
+                                   self._difference(*c).alias("diff"), self._null_mismatch(*c).alias("nd"))
+                          for i, c in enumerate(self.compare)])
         # Every common row has one cell per column, so a column's cell
         # weight is the number of common rows.
-        per = (self.joined.where(both).select(self._w().alias("__w"), F.inline(cells))
+        per = (self.joined.where(both).select(F.col(MULT).alias("__w"), F.inline(cells))
                .groupBy("i").agg(F.sum("__w").alias("rows_common"),
                                  F.sum(F.when(~F.col("eq"), F.col("__w")).otherwise(0)).alias("unequal_cnt"),
                                  F.max("diff").alias("max_diff"),
@@ -283,13 +310,10 @@ class Reconciliation:
 
     def shape(self) -> DataFrame:
         """Columns and rows of both loads (AGG-6)."""
-        return self.stats().select(F.inline(F.array(
-            F.struct(F.lit(self.left_name).alias("side"),
-                     F.lit(len(self.left_cols)).alias("n_columns"),
-                     F.col("rows_left").alias("n_rows")),
-            F.struct(F.lit(self.right_name).alias("side"),
-                     F.lit(len(self.right_cols)).alias("n_columns"),
-                     F.col("rows_right").alias("n_rows")))))
+        def side(df: DataFrame, name: str) -> DataFrame:
+            return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+                F.lit(name).alias("side"), F.lit(len(df.columns)).alias("n_columns"), "n_rows")
+        return side(self.left, self.left_name).unionByName(side(self.right, self.right_name))
 
     def schema(self) -> DataFrame:
         """Column presence and types on each side (SET-2, SET-3)."""
@@ -309,13 +333,12 @@ class Reconciliation:
             return self.spark.createDataFrame([], "column string")
         both = F.col(STATUS) == BOTH
         cells = F.filter(F.array(*[
-            F.when(~F.col(f"{c}__eq"), F.struct(
+            F.when(~self._equal(c, lt, rt), F.struct(
                 F.lit(c).alias("column"),
                 F.col(f"{c}__l").cast(T.StringType()).alias("left_value"),
                 F.col(f"{c}__r").cast(T.StringType()).alias("right_value")))
-            for c, _, _ in self.compare]), lambda s: s.isNotNull())
-        exploded = (self.rows(limit=n).where(both & ~F.col("__all_eq"))
-                    .select(*self.join_keys, F.inline(cells)))
+            for c, lt, rt in self.compare]), lambda s: s.isNotNull())
+        exploded = self.rows(limit=n).where(both).select(*self.join_keys, F.inline(cells))
         w = Window.partitionBy("column").orderBy(*[F.col(k).asc_nulls_first() for k in self.join_keys])
         ranked = exploded.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n)
         return ranked.withColumnRenamed("__rn", "rank") if keep_rank else ranked.drop("__rn")
@@ -323,11 +346,25 @@ class Reconciliation:
     def sample_one_sided(self, side: str, n: int = SAMPLE_ROWS,
                          n_cols: int = SAMPLE_COLUMNS) -> DataFrame:
         """Up to ``n`` rows found on one side only, first ``n_cols`` columns,
-        lowest keys first (LIM-2)."""
-        frame = self._one_side(self.rows(limit=n), side)
-        cols = frame.columns[:n_cols]
-        order = [F.col(k).asc_nulls_first() for k in self.keys if k in frame.columns]
-        return frame.orderBy(*order).limit(n).select(*cols)
+        lowest keys first, then by position within the key (LIM-2)."""
+        cols = (self.left_cols if side == "left" else self.right_cols)[:n_cols]
+        return self._first_one_sided(side, n).select(*[self._side(c, side).alias(c) for c in cols])
+
+    def _first_one_sided(self, side: str, n: int) -> DataFrame:
+        status = LEFT_ONLY if side == "left" else RIGHT_ONLY
+        order = [F.col(k).asc_nulls_first() for k in self.join_keys]
+        return self.rows(limit=n).where(F.col(STATUS) == status).orderBy(*order).limit(n)
+
+    def sample_one_sided_json(self, side: str, n: int = SAMPLE_ROWS,
+                              n_cols: int = SAMPLE_COLUMNS) -> DataFrame:
+        """The same sample as (side, rank, key, row) with key and row as JSON;
+        the key is whole wherever its columns stand."""
+        cols = (self.left_cols if side == "left" else self.right_cols)[:n_cols]
+        rank = F.row_number().over(Window.orderBy(*[F.col(k).asc_nulls_first() for k in self.join_keys]))
+        return self._first_one_sided(side, n).select(
+            F.lit(side).alias("side"), rank.cast("long").alias("rank"),
+            F.to_json(F.struct(*[F.col(k) for k in self.keys])).alias("key"),
+            F.to_json(F.struct(*[self._side(c, side).alias(c) for c in cols])).alias("row"))
 
 
 COLUMN_STATS_SCHEMA = ("column string, left_type string, right_type string, match_cnt bigint, "
@@ -336,109 +373,37 @@ COLUMN_STATS_SCHEMA = ("column string, left_type string, right_type string, matc
 
 def reconcile(left: DataFrame, right: DataFrame, keys: list[str], abs_tol: float = 0.0,
               rel_tol: float = 0.0, left_name: str = "left", right_name: str = "right",
-              dedupe: str = "auto", hot_group_rows: int = HOT_GROUP_ROWS,
-              pairing: str = "auto") -> Reconciliation:
+              hot_group_rows: int = HOT_GROUP_ROWS, block_rows: int = BLOCK_ROWS) -> Reconciliation:
     """Pair the rows of two loads by key and compare the shared columns.
 
-    ``dedupe``: ``"auto"`` pairs by position within the key only when a key
-    repeats on either side; ``"always"`` forces it.  The keys are always
-    profiled first: a join on keys that repeat would emit every pair within
-    the key, so uniqueness is measured, never assumed.
-    ``pairing`` (repeated keys): ``"auto"`` numbers rows with one window when
-    no key exceeds ``hot_group_rows`` and uses collapsed runs (salted by
-    content) otherwise; ``"window"`` / ``"runs"`` force a method (``"runs"``
-    then salts only above ``hot_group_rows``).  Unsalted, both pair alike."""
+    Starts no job.  ``hot_group_rows`` and ``block_rows`` decide how the work
+    is dealt, never what is paired."""
     keys = [k.lower() for k in keys if k and k.strip()]
     if not keys:
         raise NoKeyError("comparison needs at least one key column")
-    if dedupe not in ("auto", "always"):
-        raise ValueError(f"dedupe must be 'auto' or 'always', not {dedupe!r}")
-    spark = left.sparkSession
-    # Constraint inference over the comparison's aliased expressions grows
-    # combinatorially at planning time; see session.ENGINE_CONF.
-    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
     left, right = lower_names(left), lower_names(right)
     for side, df in (("left", left), ("right", right)):
         missing = [k for k in keys if k not in df.columns]
         if missing:
             raise ValueError(f"{side} load lacks key columns {missing}")
+    for k in keys:
+        kind = common_key_type(k, left.schema[k].dataType, right.schema[k].dataType)
+        left, right = (df if df.schema[k].dataType == kind else df.withColumn(k, F.col(k).cast(kind)) for df in (left, right))
     lt = {f.name: f.dataType for f in left.schema.fields}
     rt = {f.name: f.dataType for f in right.schema.fields}
-    shared = [c for c in left.columns if c in rt and c not in keys]
-    compare = [(c, lt[c], rt[c]) for c in shared]
-
-    # The profile decides the plan: repeated keys, largest key, hot keys.
-    dups, top, n_hot = key_profiles(left, right, keys, hot_group_rows)
-    positional = dedupe == "always" or dups > 0
-    salt = max(1, math.ceil(top / hot_group_rows)) if top > hot_group_rows else 1
-    use_runs = pairing == "runs" or (pairing == "auto" and top > hot_group_rows)
-    split = pairing in ("auto", "split") and top > hot_group_rows and 0 < n_hot <= MAX_HOT_KEYS
-
-    if positional and split:
-        j, part = pair_split(left, right, keys, shared, salt, hot_group_rows)
-        cols = [F.col(k) for k in part] + [F.col(POS), F.col(MULT)]
-        join_keys = part + [ORD]
-        in_l, in_r = F.col(IN_LEFT), F.col(IN_RIGHT)
-        use_runs = True
-    elif positional and use_runs:
-        j, part = pair_runs(left, right, keys, shared, salt)
-        cols = [F.col(k) for k in part] + [F.col(POS), F.col(MULT)]
-        join_keys = part + [ORD]
-        in_l, in_r = F.col(IN_LEFT), F.col(IN_RIGHT)
-    elif positional:
-        j, join_keys = pair_rows(left, right, keys, shared)
-        cols = [F.col(k) for k in join_keys]
-        in_l, in_r = F.col(IN_LEFT), F.col(IN_RIGHT)
-        use_runs = False
-    else:
-        j, join_keys = _join_on_keys(left, right, keys, shared, lt, rt), list(keys)
-        in_l = F.coalesce(F.col(IN_LEFT), F.lit(False))
-        in_r = F.coalesce(F.col(IN_RIGHT), F.lit(False))
-        cols = [F.when(in_l, F.col(k)).otherwise(F.col(f"{k}__rk")).alias(k) for k in join_keys]
-    cols += [in_l.alias(IN_LEFT), in_r.alias(IN_RIGHT),
-             F.when(in_l & in_r, F.lit(BOTH)).when(in_l, F.lit(LEFT_ONLY))
-              .otherwise(F.lit(RIGHT_ONLY)).alias(STATUS)]
-    eqs = []
-    for name, a, b in compare:
-        lc, rc = F.col(f"{name}__l"), F.col(f"{name}__r")
-        eq = values_equal(lc, rc, a, b, abs_tol, rel_tol)
-        diff = abs_difference(lc, rc, a, b)
-        cols += [lc, rc, eq.alias(f"{name}__eq"),
-                 (diff if diff is not None else F.lit(0.0)).alias(f"{name}__diff"),
-                 null_mismatch(lc, rc, a, b).alias(f"{name}__nd")]
-        eqs.append(eq)
-    all_eq = F.lit(True)
-    for e in eqs:
-        all_eq = all_eq & e
-    cols.append(all_eq.alias("__all_eq"))
-    cols += [F.col(f"{c}__lo") for c in left.columns if c not in keys and c not in rt]
-    cols += [F.col(f"{c}__ro") for c in right.columns if c not in keys and c not in lt]
-    return Reconciliation(spark, keys, join_keys, left.columns, right.columns, compare,
-                          j.select(*cols), left, right, left_name, right_name, abs_tol, rel_tol,
-                          weighted=positional and use_runs)
-
-
-def _join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], shared: list[str],
-                  lt: dict, rt: dict) -> DataFrame:
-    """Unique keys: one null-safe full outer sort-merge join."""
-    ls = left.select(*[F.col(k) for k in keys],
-                     *[F.col(c).alias(f"{c}__l") for c in shared],
-                     *[F.col(c).alias(f"{c}__lo") for c in left.columns if c not in keys and c not in rt],
-                     F.lit(True).alias(IN_LEFT))
-    rs = right.select(*[F.col(k).alias(f"{k}__rk") for k in keys],
-                      *[F.col(c).alias(f"{c}__r") for c in shared],
-                      *[F.col(c).alias(f"{c}__ro") for c in right.columns if c not in keys and c not in lt],
-                      F.lit(True).alias(IN_RIGHT))
-    cond = None
-    for k in keys:
-        c = ls[k].eqNullSafe(rs[f"{k}__rk"])
-        cond = c if cond is None else cond & c
-    return ls.join(rs, cond, "full_outer")
+    compare = [(c, lt[c], rt[c]) for c in left.columns if c in rt and c not in keys]
+    return Reconciliation(left.sparkSession, keys, left.columns, right.columns, compare, left, right,
+                          left_name, right_name, abs_tol, rel_tol, hot_group_rows, block_rows)
+
+
+def _payload(columns: list[str]) -> Column:
+    """All columns of a row but its key (never an empty struct)."""
+    return F.struct(*[F.col(c) for c in columns]) if columns else F.struct(F.lit(True).alias("__row"))
 
 
 @dataclass(frozen=True)
 class _Sides:
-    """Column bookkeeping shared by both positional pairings."""
+    """Column bookkeeping shared by both ways of pairing."""
     keys: list[str]
     shared: list[str]
     lt: dict
@@ -454,8 +419,8 @@ class _Sides:
         rpay = [c for c in right.columns if c not in keys]
         return _Sides(keys, shared, {f.name: f.dataType for f in left.schema.fields},
                       {f.name: f.dataType for f in right.schema.fields}, lpay, rpay,
-                      left.select(F.struct(*lpay).alias("p")).schema[0].dataType,
-                      right.select(F.struct(*rpay).alias("p")).schema[0].dataType)
+                      left.select(_payload(lpay).alias("p")).schema[0].dataType,
+                      right.select(_payload(rpay).alias("p")).schema[0].dataType)
 
     @property
     def differing(self) -> list[str]:
@@ -468,7 +433,7 @@ class _Sides:
                 for c in self.differing]
 
     def payloads(self, side: int) -> list[Column]:
-        mine = F.struct(*[F.col(c) for c in (self.lpay if side == 0 else self.rpay)])
+        mine = _payload(self.lpay if side == 0 else self.rpay)
         return [(mine if side == 0 else F.lit(None).cast(self.lstruct)).alias("__pl"),
                 (F.lit(None).cast(self.rstruct) if side == 0 else mine).alias("__pr")]
 
@@ -496,148 +461,117 @@ class _Sides:
                 *[pr.getField(c).alias(f"{c}__ro") for c in self.rpay if c not in self.lt]]
 
 
-def pair_rows(left: DataFrame, right: DataFrame, keys: list[str],
-              shared: list[str]) -> tuple[DataFrame, list[str]]:
-    """Repeated keys, none hot: the n-th row of a key on the left pairs with
-    the n-th row on the right, both ordered by the shared columns (ties by
-    the remaining columns).  One shuffle: both loads tagged and unioned,
-    hash-partitioned by key, numbered per side, paired by an aggregate on
-    (key, number) that reuses the partitioning; each pair group holds at
-    most one row per side.  Used only when no key exceeds the hot-group
-    bound, so a key's rows always fit one task's sort."""
+def pair_rows(left: DataFrame, right: DataFrame, keys: list[str], shared: list[str]) -> DataFrame:
+    """Pairs of keys that are not hot.  One shuffle: both loads tagged and
+    unioned, hash-partitioned by key, numbered per side, paired by an
+    aggregate on (key, position) that reuses the partitioning; each group
+    holds at most one row per side."""
     sd = _Sides.of(left, right, keys, shared)
 
     def tagged(df: DataFrame, side: int) -> DataFrame:
-        return df.select(*[F.col(k).cast(sd.lt[k]).alias(k) for k in keys],
-                         F.lit(side).alias(SIDE), *sd.text_copies(), *sd.payloads(side))
+        return df.select(*keys, F.lit(side).alias(SIDE), *sd.text_copies(), *sd.payloads(side))
 
     # one exchange of the tagged rows; ordering values are derived after it
     both = tagged(left, 0).unionByName(tagged(right, 1)).repartition(*keys)
-    ranking = sd.ranking()
-    numbered = (both
-                .withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*ranking)))
-                .withColumn("__nl", F.sum(F.when(F.col(SIDE) == 0, 1).otherwise(0))
-                            .over(Window.partitionBy(*keys))))
-    numbered = numbered.withColumn(
-        ORD, F.when(F.col(SIDE) == 0, F.col("__rn")).otherwise(F.col("__rn") - F.col("__nl"))
-        .cast(T.IntegerType()))
-    paired = numbered.groupBy(*keys, ORD).agg(
-        F.first("__pl", ignorenulls=True).alias("__pl"),
-        F.first("__pr", ignorenulls=True).alias("__pr"))
-    out = paired.select(*[F.col(k) for k in keys], F.col(ORD),
-                        *sd.output(F.col("__pl"), F.col("__pr")))
-    return out, keys + [ORD]
-
-
-def pair_runs(left: DataFrame, right: DataFrame, keys: list[str], shared: list[str],
-              salt: int = 1) -> tuple[DataFrame, list[str]]:
-    """Repeated keys: the n-th row of a key on the left pairs with the n-th
-    row of that key on the right, both sides ordered by the shared columns
-    (ties broken by the remaining columns).
+    row = F.row_number().over(Window.partitionBy(*keys).orderBy(*sd.ranking())).cast("long")
+    n_left = F.count_if(F.col(SIDE) == 0).over(Window.partitionBy(*keys))
+    placed = both.withColumn("__rn", row).withColumn("__nl", n_left).withColumn(
+        POS, F.when(F.col(SIDE) == 0, F.col("__rn")).otherwise(F.col("__rn") - F.col("__nl")) - 1)
+    paired = placed.groupBy(*keys, POS).agg(F.first("__pl", ignorenulls=True).alias("__pl"),
+                                            F.first("__pr", ignorenulls=True).alias("__pr"))
+    return paired.select(*keys, POS, F.lit(1).cast("long").alias(MULT), *sd.output(F.col("__pl"), F.col("__pr")))
+
+
+def _same(a: list[Column], b: list[Column]) -> Column:
+    whole = F.lit(True)
+    for x, y in zip(a, b):
+        whole = whole & x.eqNullSafe(y)
+    return whole
+
+
+def pair_runs(left: DataFrame, right: DataFrame, keys: list[str], shared: list[str], block_rows: int) -> DataFrame:
+    """Pairs of hot keys, a row for each stretch of equal pairs.
 
     1. Identical rows of a side collapse to a run ``(key, row, count)``; the
        partial aggregate runs before the shuffle, so copies never travel.
-    2. Per (key [, salt bucket]) each run gets its start position within its
-       side: a running sum over runs, left and right in one window.
-    3. Every run contributes its start as a boundary, each side's last run
-       also its end; a window over the boundaries ordered by position carries
-       the current left and right run forward, giving segments
-       ``[pos, next pos)`` in which one left run meets one right run.  A
-       segment stands for ``__mult`` row pairs.
-
-    Returns the segments (keys, [bucket], ``__pos``, ``__mult``, presence,
-    both sides' columns) and the partition columns."""
+    2. Ranges of (key, side, ordering) deal the runs into ordered bins.  The
+       sums of a key's bins give offsets, a running sum inside the bin the
+       rest: every run gets its exact start position on its side.
+    3. Positions are cut into blocks of ``block_rows``; a run becomes one
+       piece for each block it reaches into.  In a (key, block) each piece is a
+       boundary where it starts, and the last piece of a side where it ends; a
+       window over the boundaries carries the current row of either side
+       forward, which gives the stretches in which one left row meets one
+       right row."""
     sd = _Sides.of(left, right, keys, shared)
-    lstruct, rstruct = sd.lstruct, sd.rstruct
-    lwrap = T.StructType([T.StructField("v", lstruct)])
-    rwrap = T.StructType([T.StructField("v", rstruct)])
+    spark = left.sparkSession
+    lwrap = T.StructType([T.StructField("v", sd.lstruct)])
+    rwrap = T.StructType([T.StructField("v", sd.rstruct)])
 
     def runs(df: DataFrame, side: int) -> DataFrame:
-        pay = sd.lpay if side == 0 else sd.rpay
-        agg = df.groupBy(*keys, *pay).agg(F.count(F.lit(1)).alias("__n"))
-        return agg.select(*[F.col(k).cast(sd.lt[k]).alias(k) for k in keys],
-                          F.lit(side).alias(SIDE), *sd.text_copies(), *sd.payloads(side),
-                          F.col("__n"))
-
-    both = runs(left, 0).unionByName(runs(right, 1))
-    part = list(keys)
-    if salt > 1:
-        hashed = (F.xxhash64(*[sd.shared_value(i, c) for i, c in enumerate(shared)])
-                  if shared else F.lit(0))
-        both = both.withColumn(BUCKET, F.pmod(hashed, F.lit(salt)))
-        part.append(BUCKET)
-    # Shuffle the runs as they are; the window's ordering values are then
-    # computed after the exchange instead of travelling with the rows.
-    both = both.repartition(*part)
-    before = Window.partitionBy(*part).orderBy(*sd.ranking()).rowsBetween(Window.unboundedPreceding, -1)
-    cum = F.coalesce(F.sum("__n").over(before), F.lit(0).cast("long"))
-    whole = Window.partitionBy(*part)
-    left_total = F.sum(F.when(F.col(SIDE) == 0, F.col("__n")).otherwise(0)).over(whole)
-    right_total = F.sum(F.when(F.col(SIDE) == 1, F.col("__n")).otherwise(0)).over(whole)
-    placed = (both.withColumn("__start", F.when(F.col(SIDE) == 0, cum).otherwise(cum - left_total))
-              .withColumn("__last", F.col("__start") + F.col("__n")
-                          == F.when(F.col(SIDE) == 0, left_total).otherwise(right_total)))
-
-    # Boundaries: every run starts one (kind 1); a side's runs are
-    # contiguous, so only its last run adds an end (kind 0).  At one position
-    # the start wins.  Values are wrapped so an end (no run) is still a
-    # non-null marker for last(..., ignorenulls).
+        counted = df.groupBy(*keys, *(sd.lpay if side == 0 else sd.rpay)).agg(F.count(F.lit(1)).alias("__n"))
+        return counted.select(*keys, F.lit(side).alias(SIDE), *sd.text_copies(), *sd.payloads(side), "__n")
+
+    # 2. ordered bins, exact positions
+    n_bins = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = (runs(left, 0).unionByName(runs(right, 1))
+             .repartitionByRange(n_bins, *[F.col(k).asc_nulls_first() for k in keys], *sd.ranking())
+             .withColumn(BIN, F.spark_partition_id()))
+    path = scratch_dir(spark, "runs")  # bins are read twice and must not move
+    dealt.write.parquet(path)
+    dealt = spark.read.schema(dealt.schema).parquet(path)
+    sums = dealt.groupBy(*keys, SIDE, BIN).agg(F.sum("__n").alias("__s"))
+    of_side = Window.partitionBy(*keys, SIDE)
+    offsets = sums.select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(SIDE).alias("__os"), F.col(BIN).alias("__ob"),
+        F.coalesce(F.sum("__s").over(of_side.orderBy(BIN).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"),
+        F.sum("__s").over(of_side).alias("__total"))
+    on = (_same([F.col(k) for k in keys], [F.col(f"__k{i}") for i in range(len(keys))])
+          & (F.col(SIDE) == F.col("__os")) & (F.col(BIN) == F.col("__ob")))
+    in_bin = Window.partitionBy(*keys, SIDE, BIN).orderBy(*sd.ranking()).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("__n").over(in_bin), F.lit(0).cast("long"))
+    placed = (dealt.withColumn("__before", before).join(offsets, on)
+              .withColumn("__start", F.col("__off") + F.col("__before")))
+
+    # 3. pieces of blocks, and their boundaries
+    size = F.lit(block_rows).cast("long")
+    end = F.col("__start") + F.col("__n")
+    first, last = F.expr(f"__start div {block_rows}"), F.expr(f"(__start + __n - 1) div {block_rows}")
+    pieces = placed.withColumn(BLOCK, F.explode(F.sequence(first, last)))
+    lo, hi = F.greatest("__start", F.col(BLOCK) * size), F.least(end, (F.col(BLOCK) + 1) * size)
+    pieces = pieces.withColumn("__lo", lo).withColumn("__hi", hi)
+    closes = (F.col("__hi") == (F.col(BLOCK) + 1) * size) | (F.col("__hi") == F.col("__total"))
     is_left = F.col(SIDE) == 0
     no_l, no_r = F.lit(None).cast(lwrap), F.lit(None).cast(rwrap)
-    start_l = F.struct(F.col("__pl").alias("v"))
-    start_r = F.struct(F.col("__pr").alias("v"))
-    end_l = F.struct(F.lit(None).cast(lstruct).alias("v"))
-    end_r = F.struct(F.lit(None).cast(rstruct).alias("v"))
-    start = F.struct(F.col("__start").alias("pos"), F.lit(1).alias("kind"),
-                     F.when(is_left, start_l).otherwise(no_l).alias("lw"),
-                     F.when(~is_left, start_r).otherwise(no_r).alias("rw"))
-    end = F.when(F.col("__last"), F.struct(
-        (F.col("__start") + F.col("__n")).alias("pos"), F.lit(0).alias("kind"),
-        F.when(is_left, end_l).otherwise(no_l).alias("lw"),
-        F.when(~is_left, end_r).otherwise(no_r).alias("rw")))
-    events = placed.select(*[F.col(k) for k in part], F.inline(
-        F.filter(F.array(start, end), lambda e: e.isNotNull())))
+    # a value is wrapped, so that an end (no row) is still a non-null marker for last(..., ignorenulls)
+    start = F.struct(F.col("__lo").alias("pos"), F.lit(1).alias("kind"),
+                     F.when(is_left, F.struct(F.col("__pl").alias("v"))).otherwise(no_l).alias("lw"),
+                     F.when(~is_left, F.struct(F.col("__pr").alias("v"))).otherwise(no_r).alias("rw"))
+    stop = F.when(closes, F.struct(F.col("__hi").alias("pos"), F.lit(0).alias("kind"),
+                                   F.when(is_left, F.struct(F.lit(None).cast(sd.lstruct).alias("v"))).otherwise(no_l).alias("lw"),
+                                   F.when(~is_left, F.struct(F.lit(None).cast(sd.rstruct).alias("v"))).otherwise(no_r).alias("rw")))
+    part = [*keys, BLOCK]
+    events = pieces.select(*part, F.inline(F.filter(F.array(start, stop), lambda e: e.isNotNull())))
     by_pos = Window.partitionBy(*part).orderBy("pos", "kind")
     upto = by_pos.rowsBetween(Window.unboundedPreceding, 0)
-    carried = (events
-               .withColumn("__cl", F.last("lw", ignorenulls=True).over(upto))
+    carried = (events.withColumn("__cl", F.last("lw", ignorenulls=True).over(upto))
                .withColumn("__cr", F.last("rw", ignorenulls=True).over(upto))
                .withColumn("__np", F.lead("pos").over(by_pos)))
-    # the last boundary at a position holds the state of the segment after it
+    # the last boundary at a position holds the state of the stretch after it
     settled = carried.where(F.col("__np").isNull() | (F.col("__np") != F.col("pos")))
-    segments = (settled.withColumn("__next", F.lead("pos").over(by_pos))
-                .where(F.col("__next").isNotNull() & (F.col("__next") > F.col("pos"))))
-    pl, pr = F.col("__cl").getField("v"), F.col("__cr").getField("v")
-    out = segments.select(*[F.col(k) for k in part], F.col("pos").alias(POS),
-                          (F.col("__next") - F.col("pos")).alias(MULT), *sd.output(pl, pr))
-    return out.where(F.col(IN_LEFT) | F.col(IN_RIGHT)), part
-
-
-def pair_split(left: DataFrame, right: DataFrame, keys: list[str], shared: list[str],
-               salt: int, hot_rows: int) -> tuple[DataFrame, list[str]]:
-    """Route only the hot keys' rows through collapsed runs and every other
-    row through the one-shuffle window pairing, then put both in one
-    weighted frame.  The hot-key list is broadcast: the profile has counted
-    it (at most ``MAX_HOT_KEYS``) before this plan is built."""
-    hot = F.broadcast(hot_keys(left, right, keys, hot_rows).withColumn("__hot", F.lit(True)))
-
-    def routed(df: DataFrame, want_hot: bool) -> DataFrame:
-        on = [df[k].eqNullSafe(F.col(f"__hk{i}")) for i, k in enumerate(keys)]
-        flagged = df.join(hot, on, "left")
-        cond = F.col("__hot").isNotNull() if want_hot else F.col("__hot").isNull()
-        return flagged.where(cond).select(*[df[c] for c in df.columns])
-
-    hot_pairs, part = pair_runs(routed(left, True), routed(right, True), keys, shared, salt)
-    cold_pairs, _ = pair_rows(routed(left, False), routed(right, False), keys, shared)
-    cold = cold_pairs.select(
-        *[F.col(k) for k in keys],
-        *([F.lit(0).cast(hot_pairs.schema[BUCKET].dataType).alias(BUCKET)] if BUCKET in part else []),
-        (F.col(ORD) - 1).cast(T.LongType()).alias(POS), F.lit(1).cast(T.LongType()).alias(MULT),
-        *[c for c in cold_pairs.columns if c not in keys and c != ORD])
-    return hot_pairs.unionByName(cold), part
-
-
-def persist_joined(rec: Reconciliation) -> Reconciliation:
-    """Keep the joined rows for several outputs (recomputed if lost)."""
-    rec.joined = rec.joined.persist(StorageLevel.MEMORY_AND_DISK)
-    return rec
+    stretches = settled.withColumn("__next", F.lead("pos").over(by_pos)).where("__next is not null")
+    out = stretches.select(*keys, F.col("pos").alias(POS), (F.col("__next") - F.col("pos")).alias(MULT),
+                           *sd.output(F.col("__cl").getField("v"), F.col("__cr").getField("v")))
+    return out.where(F.col(IN_LEFT) | F.col(IN_RIGHT))
+
+
+def pair_split(left: DataFrame, right: DataFrame, keys: list[str], shared: list[str], hot: DataFrame,
+               block_rows: int) -> DataFrame:
+    """Hot keys by runs, all others by rows; both ways give the same pairs."""
+    def routed(df: DataFrame, how: str) -> DataFrame:
+        on = _same([df[k] for k in keys], [hot[f"__hk{i}"] for i in range(len(keys))])
+        return df.join(hot, on, how)
+
+    by_runs = pair_runs(routed(left, "left_semi"), routed(right, "left_semi"), keys, shared, block_rows)
+    by_rows = pair_rows(routed(left, "left_anti"), routed(right, "left_anti"), keys, shared)
+    return by_runs.unionByName(by_rows)

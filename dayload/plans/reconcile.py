@@ -23,6 +23,8 @@ from ..sources.store import comparable_tables, scan_load_date, scan_snapshot_tab
 # Report datasets written per table and day.
 SECTIONS = ("counts", "columns", "shape", "schema", "sample_unequal", "sample_one_sided")
 
+REPORT_KEYS = [T.StructField("table_name", T.StringType()), T.StructField("load_date", T.StringType())]
+
 SUMMARY_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("load_date", T.StringType()),
@@ -46,17 +48,15 @@ def read_day(spark: SparkSession, root: str, spec: TableSpec, load_date: str) ->
 
 def reconcile_day(spark: SparkSession, spec: TableSpec, load_date: str, left_root: str,
                   right_root: str, left_name: str = "df_load",
-                  right_name: str = "df_opdate", dedupe: str = "auto",
-                  abs_tol: float = 0.0, rel_tol: float = 0.0) -> Reconciliation:
-    """Compare one table's day in two stores by its catalog key (PIP-5).
-    Keys are profiled first, so repeated keys are found, never assumed away."""
+                  right_name: str = "df_opdate", abs_tol: float = 0.0, rel_tol: float = 0.0) -> Reconciliation:
+    """Compare one table's day in two stores by its catalog key (PIP-5)."""
     keys = spec.keys()
     if not keys:
         raise NoKeyError(f"table {spec.table_name} has no key")
     left = read_day(spark, left_root, spec, load_date)
     right = read_day(spark, right_root, spec, load_date)
     return reconcile(left, right, keys, abs_tol=abs_tol, rel_tol=rel_tol, left_name=left_name,
-                     right_name=right_name, dedupe=dedupe)
+                     right_name=right_name)
 
 
 def _tag(df: DataFrame, table: str, load_date: str) -> DataFrame:
@@ -68,17 +68,9 @@ def report_frames(rec: Reconciliation) -> dict[str, DataFrame]:
     key_json = F.to_json(F.struct(*[F.col(k) for k in rec.join_keys]))
     unequal = rec.sample_unequal(keep_rank=True).select(
         "column", "rank", key_json.alias("key"), "left_value", "right_value")
-    one_sided = []
-    for side in ("left", "right"):
-        s = rec.sample_one_sided(side)
-        # the sample is one sorted partition of at most ten rows
-        one_sided.append(s.select(F.lit(side).alias("side"),
-                                  (F.monotonically_increasing_id() + 1).alias("rank"),
-                                  F.to_json(F.struct(*[F.col(k) for k in rec.keys])).alias("key"),
-                                  F.to_json(F.struct(*[F.col(c) for c in s.columns])).alias("row")))
     return {"counts": rec.counts(), "columns": rec.columns(), "shape": rec.shape(),
             "schema": rec.schema(), "sample_unequal": unequal,
-            "sample_one_sided": one_sided[0].unionByName(one_sided[1])}
+            "sample_one_sided": rec.sample_one_sided_json("left").unionByName(rec.sample_one_sided_json("right"))}
 
 
 def render_report(rec: Reconciliation, table: str, load_date: str, keys: list[str] | None = None,
@@ -105,7 +97,7 @@ def render_report(rec: Reconciliation, table: str, load_date: str, keys: list[st
               f"  only in {rec.right_name}: {len(only_r)} {only_r}",
               "", "Rows",
               f"  matched on: {', '.join(keys or rec.keys)}",
-              f"  repeated keys: {'yes' if len(rec.join_keys) > len(rec.keys) else 'no'}",
+              f"  repeated keys: {'yes' if rec.stats().first()['top_position'] > 1 else 'no'}",
               f"  absolute tolerance: {rec.abs_tol}", f"  relative tolerance: {rec.rel_tol}",
               f"  in common: {c['rows_common']}",
               f"  only in {rec.left_name}: {c['rows_left_only']}",
@@ -151,8 +143,8 @@ def write_report(rec: Reconciliation, log_root: str, table: str, load_date: str)
     """Write every report section under ``log_root/<section>``, replacing
     only this table's day (SNK-7).  The joined rows are kept for the
     duration so the join runs once for all sections."""
-    rec.joined = rec.joined.persist(StorageLevel.MEMORY_AND_DISK)
-    rec._stats = None
+    joined = rec.joined.persist(StorageLevel.MEMORY_AND_DISK)  # both sides' values only; recomputed if lost
+    rec._joined, rec._stats = joined, None
     stats = rec.stats().persist()  # one row, shared by counts/columns/shape
     paths = {}
     try:
@@ -163,13 +155,15 @@ def write_report(rec: Reconciliation, log_root: str, table: str, load_date: str)
              .option("partitionOverwriteMode", "dynamic")
              .partitionBy("table_name", "load_date").parquet(path))
             paths[name] = path
-        # the sections are small and the joined rows are still cached
-        text = render_report(rec, table, load_date, frames=frames)
+        # an empty section has no files, so its schema is given
+        written = {name: rec.spark.read.schema(T.StructType([*df.schema.fields, *REPORT_KEYS])).parquet(paths[name])
+                   .where((F.col("table_name") == table) & (F.col("load_date") == load_date)) for name, df in frames.items()}
+        text = render_report(rec, table, load_date, frames=written)
         paths["text"] = write_text_report(rec.spark, text, log_root, table, load_date)
-        rec.report_counts = frames["counts"].collect()[0].asDict()
+        rec.report_counts = written["counts"].collect()[0].asDict()
     finally:
         stats.unpersist()
-        rec.joined.unpersist()
+        joined.unpersist()
     return paths
 
 
@@ -219,7 +213,7 @@ def reconcile_all(spark: SparkSession, specs: list[TableSpec], load_date: str, l
             return _summary_row(name, load_date, "compared", counts)
         except Exception as exc:  # reported, the run goes on
             return _summary_row(name, load_date, "failed",
-                                error=f"{type(exc).__name__}: {exc}".splitlines()[0][:2000])
+                                error=f"{type(exc).__name__}: {exc}")
 
     names = sorted(listed)
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:

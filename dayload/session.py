@@ -17,11 +17,6 @@ ENGINE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    # The comparison stacks filters over many aliased comparison expressions;
-    # inferring constraints from them grows combinatorially at planning time
-    # (it exhausted the driver heap on a 9-column table).  The plans carry
-    # their own null handling and need none of the inferred filters.
-    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
@@ -50,8 +45,8 @@ def apply_engine_conf(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a folder every executor can reach.  Only when the session
-    has none (local tests) do we create one and register it.
+    A cluster must name a folder every executor can reach.  Only a local
+    session that has none gets one created and registered.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -61,12 +56,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
         root = tempfile.mkdtemp(prefix="dayload-ckpt-")
-        if sc is not None:
-            sc.setCheckpointDir(root)
-            root = sc.getCheckpointDir() or root
-        else:
-            spark.conf.set("spark.checkpoint.dir", root)
+        sc.setCheckpointDir(root)
+        root = sc.getCheckpointDir() or root
     return root.rstrip("/")
 
 

@@ -25,32 +25,33 @@ def test_load_plan_has_no_shuffle(spark):
         assert "Exchange" not in p and p.count("FileScan parquet") == 1
 
 
-def test_unique_keys_one_exchange_per_side(spark):
+def test_one_exchange_pairs_any_key(spark, lineitem):
     orders = V.read_table(spark, SF_SMALL, "orders")
-    p = plan(R.reconcile(orders, V.changed_orders(orders), ["o_orderkey"]).stats())
-    assert p.count("Exchange hashpartitioning") == 2
-    assert "SortMergeJoin" in p and "FullOuter" in p
-    assert "NestedLoop" not in p and "Cartesian" not in p and "Broadcast" not in p
-
-
-def test_repeated_keys_window_path_one_exchange(spark, lineitem):
-    rec = R.reconcile(lineitem, lineitem.where("l_partkey % 3 != 0"), ["l_orderkey", "l_linenumber"])
-    assert not rec.weighted
-    p = plan(rec.stats())
-    assert p.count("Exchange hashpartitioning") == 1
-    assert "Join" not in p
-
-
-def test_repeated_keys_runs_path_collapses_copies_before_shuffle(spark, lineitem):
-    rec = R.reconcile(lineitem, lineitem, ["l_orderkey", "l_linenumber"], hot_group_rows=2,
-                      pairing="runs")
-    assert rec.weighted and R.BUCKET in rec.join_keys
+    for l, r, keys in ((orders, V.changed_orders(orders), ["o_orderkey"]),
+                       (lineitem, lineitem.where("l_partkey % 3 != 0"), ["l_orderkey", "l_linenumber"])):
+        p = plan(R.reconcile(l, r, keys).stats())
+        assert p.count("Exchange hashpartitioning") == 1
+        assert "Join" not in p and "Broadcast" not in p
+
+
+def test_building_a_comparison_starts_no_job_and_leaves_the_session_alone(spark, lineitem):
+    key = "spark.sql.constraintPropagation.enabled"
+    before, tracker = spark.conf.get(key, None), spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "building a comparison")
+    rec = R.reconcile(lineitem, lineitem, ["l_orderkey", "l_linenumber"], hot_group_rows=2)
+    rec.schema()
+    shape = rec.shape()
+    assert not tracker.getJobIdsForGroup("lazy")
+    assert "Join" not in plan(shape) and "Window" not in plan(shape)
+    assert spark.conf.get(key, None) == before
+    spark.sparkContext.setJobGroup("", "")
+
+
+def test_hot_keys_collapse_copies_before_the_shuffle(spark, lineitem):
+    left = V.hot_lineitem(lineitem)
+    rec = R.reconcile(left, left, ["l_orderkey", "l_linenumber"], hot_group_rows=100)
     p = plan(rec.stats())
-    # per side: partial count -> exchange on the whole row -> final count;
-    # then one exchange on (key, bucket) for the boundary windows
-    assert p.count("partial_count") == 2
-    assert p.count("Exchange hashpartitioning") == 3
-    assert "Join" not in p
+    assert "NestedLoop" not in p and "Cartesian" not in p
 
 
 def test_samples_are_partial_top_k(spark):
@@ -62,15 +63,6 @@ def test_samples_are_partial_top_k(spark):
 
 
 def test_expansion_spreads_long_runs(spark, lineitem):
-    rec = R.reconcile(lineitem, lineitem, ["l_orderkey", "l_linenumber"], pairing="runs")
+    rec = R.reconcile(lineitem, lineitem, ["l_orderkey", "l_linenumber"], hot_group_rows=1)
     p = plan(rec.status())
     assert "RoundRobinPartitioning" in p
-
-
-def test_hot_key_split_broadcasts_only_the_counted_hot_list(spark, lineitem):
-    left = V.hot_lineitem(lineitem)
-    rec = R.reconcile(left, left, ["l_orderkey", "l_linenumber"], hot_group_rows=100)
-    p = plan(rec.stats())
-    # the hot-key list routes each side into a hot and a cold branch
-    assert p.count("BroadcastHashJoin") == 4 and "LeftOuter" in p
-    assert "NestedLoop" not in p and "Cartesian" not in p

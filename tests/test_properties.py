@@ -79,8 +79,8 @@ def test_reconcile_matches_brute_force(spark, left_rows, right_rows):
     l = spark.createDataFrame(left_rows, schema)
     r = spark.createDataFrame(right_rows, schema)
     exp = brute_force(left_rows, right_rows, (0,))
-    for pairing in ("window", "runs"):
-        got = reconcile(l, r, ["k"], pairing=pairing, dedupe="always").counts().collect()[0].asDict()
-        assert got == exp, pairing
+    for split in ({}, {"hot_group_rows": 1, "block_rows": 2}):
+        got = reconcile(l, r, ["k"], **split).counts().collect()[0].asDict()
+        assert got == exp, split
     same = reconcile(l, l, ["k"]).counts().collect()[0].asDict()
     assert same["rows_all_equal"] == len(left_rows) and same["rows_left_only"] == 0

@@ -83,31 +83,59 @@ def brute_force(left_rows, right_rows, key_idx):
             "rows_all_equal": equal, "rows_some_unequal": len(common) - equal}
 
 
-@pytest.mark.parametrize("hot", [R.HOT_GROUP_ROWS, 3])
-def test_duplicate_keys_against_brute_force(spark, hot):
+@pytest.mark.parametrize("hot,block", [(R.HOT_GROUP_ROWS, R.BLOCK_ROWS), (3, 4), (1, 1)])
+def test_duplicate_keys_against_brute_force(spark, hot, block):
     li = V.read_table(spark, SF_SMALL, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
     right = li.where(F.col("l_partkey") % 7 != 0).withColumn(
         "l_quantity", F.when(F.col("l_partkey") % 5 == 0, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")))
-    got = counts(reconcile(li, right, ["l_orderkey", "l_linenumber"], hot_group_rows=hot))
-    # the salted path numbers rows in a different order; identical loads
-    # must still pair row for row, and totals must always hold
-    same = counts(reconcile(li, li, ["l_orderkey", "l_linenumber"], hot_group_rows=hot))
-    assert same["rows_all_equal"] == li.count()
-    assert got["rows_left"] == li.count() and got["rows_right"] == right.count()
-    if hot == R.HOT_GROUP_ROWS:
-        exp = brute_force([tuple(r) for r in li.collect()], [tuple(r) for r in right.collect()], (0, 1))
-        assert got == exp
-
-
-def test_salted_ordinal_is_a_numbering(spark):
-    li = V.read_table(spark, SF_SMALL, "lineitem")
+    got = counts(reconcile(li, right, ["l_orderkey", "l_linenumber"], hot_group_rows=hot, block_rows=block))
+    assert got == brute_force([tuple(r) for r in li.collect()], [tuple(r) for r in right.collect()], (0, 1))
+
+
+@pytest.mark.parametrize("parts", [1, 7, 64])
+def test_results_do_not_depend_on_the_split(spark, parts):
+    """Same counts, columns, pairs and output columns for every bound and number of partitions."""
+    li = V.read_table(spark, SF_SMALL, "lineitem").where("l_orderkey < 700")
+    left, right = V.hot_lineitem(li), V.hot_lineitem(li, changed=True)
     keys = ["l_orderkey", "l_linenumber"]
-    others = [c for c in li.columns if c not in keys]
-    out = R.with_ordinal(li, keys, others, salt=4)
-    agg = (out.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(R.ORD).alias("lo"),
-                                  F.max(R.ORD).alias("hi"), F.countDistinct(R.ORD).alias("d")))
-    assert agg.where("lo != 1 OR hi != n OR d != n").count() == 0
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        want = None
+        for hot, block in ((10**9, 10**6), (50, 10**6), (50, 13), (1, 5)):
+            rec = reconcile(left, right, keys, hot_group_rows=hot, block_rows=block)
+            got = (counts(rec), sorted(map(tuple, rec.columns().collect())), sorted(map(tuple, rec.status().collect())), rec.common().columns)
+            want = want or got
+            assert got == want, (hot, block)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_keys_of_two_types_become_one(spark):
+    l = spark.createDataFrame([(1, 1), (1, 2), (2, 3)], "k long, v int")
+    r = spark.createDataFrame([(1.0, 1), (1.5, 2), (2.0, 3)], "k double, v int")
+    assert counts(reconcile(l, r, ["k"]))["rows_common"] == 2
+    with pytest.raises(ValueError):
+        reconcile(l, r.withColumn("k", F.lit("x")), ["k"])
+
+
+def test_exact_values(spark):
+    l = spark.createDataFrame([(1, 2**53, float("inf")), (2, 2**53 + 1, float("nan")), (3, 5, 1.0)], "k int, b long, d double")
+    r = spark.createDataFrame([(1, 2**53 + 1, float("inf")), (2, 2**53 + 1, None), (3, 5, float("-inf"))], "k int, b long, d double")
+    got = {x["column"]: x for x in reconcile(l, r, ["k"]).columns().collect()}
+    assert (got["b"]["unequal_cnt"], got["b"]["max_diff"]) == (1, 1.0)
+    assert (got["d"]["unequal_cnt"], got["d"]["max_diff"]) == (1, float("inf"))
+
+
+def test_report_keeps_a_key_beyond_the_sampled_columns(spark):
+    from dayload.plans.reconcile import read_report, write_report
+    from dayload.session import scratch_dir
+    cols = ", ".join(f"{i} as c{i}" for i in range(14))
+    rec = reconcile(spark.sql(f"select {cols}, 1 as k"), spark.sql(f"select {cols}, 2 as k"), ["k"])
+    log = scratch_dir(spark, "report-test")
+    write_report(rec, log, "T", "20240115")
+    assert {r["key"] for r in read_report(spark, log, "sample_one_sided").collect()} == {'{"k":1}', '{"k":2}'}
 
 
 def test_wide_tables_unpivot_path(spark, orders, monkeypatch):
@@ -118,13 +146,6 @@ def test_wide_tables_unpivot_path(spark, orders, monkeypatch):
     assert narrow == wide
 
 
-def test_plan_is_one_sort_merge_join(spark, orders):
-    rec = reconcile(orders, V.changed_orders(orders), ["o_orderkey"])
-    plan = rec.stats()._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
-
-
 @pytest.mark.parametrize("chunk,max_chunks", [(7, 100_000), (1, 2)])
 def test_group_of_copies_against_brute_force(spark, monkeypatch, chunk, max_chunks):
     """One key holds a third of the rows as identical copies."""
@@ -137,10 +158,9 @@ def test_group_of_copies_against_brute_force(spark, monkeypatch, chunk, max_chun
     schema = "k long, j long, v double, s string"
     l = spark.createDataFrame(left_rows, schema)
     r = spark.createDataFrame(right_rows, schema)
-    rec = reconcile(l, r, ["k", "j"], pairing="runs")
-    assert rec.weighted
+    rec = reconcile(l, r, ["k", "j"], hot_group_rows=2, block_rows=11)
     assert counts(rec) == brute_force(left_rows, right_rows, (0, 1))
-    assert counts(reconcile(l, r, ["k", "j"], pairing="window")) == counts(rec)
+    assert counts(reconcile(l, r, ["k", "j"])) == counts(rec)
     status = rec.status()
     assert status.count() == counts(rec)["rows_common"] + counts(rec)["rows_left_only"] + \
         counts(rec)["rows_right_only"]
@@ -168,28 +188,7 @@ def test_weighted_path_plans_stay_small(spark, lineitem_small=None):
     li = V.read_table(spark, SF_SMALL, "lineitem")
     rec = reconcile(V.hot_lineitem(li), V.hot_lineitem(li, changed=True),
                     ["l_orderkey", "l_linenumber"], hot_group_rows=50)
-    assert rec.weighted
     c = counts(rec)
     assert rec.sample_unequal().count() <= 10 * len(rec.compare)
     assert rec.left_only().count() == c["rows_left_only"]
     assert rec.common().count() == c["rows_common"]
-
-
-def test_hot_keys_split_from_the_rest(spark):
-    """Only the hot key takes collapsed runs; the rest pair by window.  With
-    the hot key's rows the same on both sides, counts equal brute force."""
-    li = V.read_table(spark, SF_SMALL, "lineitem")
-    cold_change = (li.where((F.col("l_orderkey") % 3 == 0) | (F.col("l_partkey") % 7 != 0))
-                   .withColumn("l_tax", F.when((F.col("l_orderkey") % 3 != 0) & (F.col("l_suppkey") % 11 == 0),
-                                               F.col("l_tax") + F.lit(0.01)).otherwise(F.col("l_tax"))))
-    left, right = V.hot_lineitem(li), V.hot_lineitem(cold_change)
-    keys = ["l_orderkey", "l_linenumber"]
-    rec = reconcile(left, right, keys, hot_group_rows=100)
-    assert rec.weighted and R.BUCKET in rec.join_keys
-    plan = rec.stats()._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
-    exp = brute_force([tuple(r) for r in left.collect()], [tuple(r) for r in right.collect()], (0, 3))
-    assert counts(rec) == exp
-    assert rec.status().count() == exp["rows_common"] + exp["rows_left_only"] + exp["rows_right_only"]
-    same = counts(reconcile(left, left, keys, hot_group_rows=100))
-    assert same["rows_all_equal"] == left.count()
