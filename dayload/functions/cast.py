@@ -16,12 +16,15 @@ def cast_declared(c: Column, target: T.DataType) -> Column:
 
 def narrows(source: T.DataType, target: T.DataType) -> bool:
     """Whether a cast from ``source`` to ``target`` can lose values the way a
-    safe Arrow conversion refuses: narrower integers, or fractions to integers."""
+    safe Arrow conversion refuses: narrower integers, fractions to integers,
+    integers too wide for a floating type, or doubles to floats."""
     if is_integral(target) and is_fractional(source):
         return True
     if is_integral(target) and is_integral(source):
         return integral_width(target) < integral_width(source)
-    return False
+    if is_integral(source) and is_fractional(target):
+        return integral_width(source) > (4 if isinstance(target, T.DoubleType) else 2)
+    return isinstance(source, T.DoubleType) and isinstance(target, T.FloatType)
 
 
 def check_write_schema(c: Column, source: T.DataType, target: T.DataType, name: str) -> Column:
@@ -32,7 +35,8 @@ def check_write_schema(c: Column, source: T.DataType, target: T.DataType, name:
     out = c.cast(target)
     if not narrows(source, target):
         return out
-    survives = out.cast(source).eqNullSafe(c)
+    back = out.cast(T.DecimalType(38, 0)).cast(source) if is_integral(source) and is_fractional(target) else out.cast(source)
+    survives = back.eqNullSafe(c)
     return F.when(survives, out).otherwise(
         F.raise_error(F.concat(F.lit(f"lossy cast of column {name} to {target.simpleString()}: "),
                                c.cast(T.StringType()))).cast(target))

@@ -85,3 +85,9 @@ def day_bounds(load_date: str) -> tuple[str, str]:
     """Half-open ``[day, next day)`` bounds as ISO text for a ``yyyyMMdd`` date."""
     d = _dt.datetime.strptime(load_date, "%Y%m%d").date()
     return d.isoformat(), (d + _dt.timedelta(days=1)).isoformat()
+
+
+def epoch_bounds(load_date: str) -> tuple[int, int]:
+    """The first second of the ``yyyyMMdd`` day and of the next one, as UTC epoch seconds."""
+    start, end = (_dt.datetime.fromisoformat(d).replace(tzinfo=_dt.timezone.utc) for d in day_bounds(load_date))
+    return int(start.timestamp()), int(end.timestamp())

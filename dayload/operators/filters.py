@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..catalog import MODE_COLUMN, TableSpec
-from ..functions.timefmt import day_bounds
+from ..functions.timefmt import day_bounds, epoch_bounds
 from ..functions.types import is_integral, is_numeric
 
 # Row modes of the vendor's change log.
@@ -65,6 +65,9 @@ def change_day_predicate(df: DataFrame, column: str, load_date: str) -> Column:
     if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
         start, end = day_bounds(load_date)
         return (c >= F.lit(start + " 00:00:00").cast(dtype)) & (c < F.lit(end + " 00:00:00").cast(dtype))
+    if is_integral(dtype):  # epoch seconds, as change_day_int reads them
+        start, end = epoch_bounds(load_date)
+        return (c >= F.lit(start).cast(dtype)) & (c < F.lit(end).cast(dtype))
     return c == date_literal(dtype, load_date)
 
 
@@ -73,7 +76,10 @@ def filter_change_day(df: DataFrame, column: str, load_date: str) -> DataFrame:
 
 
 def entry_time_predicate(df: DataFrame, column: str, load_date: str) -> Column:
-    """Change time equals the load date exactly; no day truncation (FLT-4)."""
+    """Change time equals the load date exactly; no day truncation (FLT-4).
+    A whole number is epoch seconds."""
+    if is_integral(_dtype(df, column)):
+        return F.col(column) == F.lit(epoch_bounds(load_date)[0]).cast(_dtype(df, column))
     return F.col(column) == date_literal(_dtype(df, column), load_date)
 
 

@@ -110,8 +110,3 @@ def normalize(df: DataFrame, spec: TableSpec, load_date: str, profile: LoadProfi
     if spec.dynamic or profile.with_load_date:
         cols.append(load_date_column(load_date))
     return df.select(*cols)
-
-
-def lower_column_names(df: DataFrame) -> DataFrame:
-    """Case-fold all column names, as the comparison does (PRJ-6)."""
-    return df.toDF(*[c.lower() for c in df.columns])

@@ -259,9 +259,8 @@ def _():
 # comparison in SQL
 # --------------------------------------------------------------------------
 def _num(kind: str, x: str) -> str:
-    if kind == "num":
-        return f"(CASE WHEN isnan({x}) THEN NULL ELSE {x} END)"
-    return f"CAST({x} AS DOUBLE)"
+    """NaN counts as missing; whole numbers stay whole."""
+    return f"(CASE WHEN isnan({x}) THEN NULL ELSE {x} END)" if kind == "num" else x
 
 
 def joined_sql(left: str, right: str, keys: list[str], cols: list[tuple[str, str]],
@@ -287,7 +286,8 @@ def joined_sql(left: str, right: str, keys: list[str], cols: list[tuple[str, str
         a, b = f"l.{c}", f"r.{c}"
         if kind in ("num", "int"):
             eq = f"({_num(kind, a)} IS NOT DISTINCT FROM {_num(kind, b)})"
-            diff = f"abs(CAST({a} AS DOUBLE) - CAST({b} AS DOUBLE))"
+            apart = f"abs({a} - {b})" if kind == "num" else f"abs(CAST({a} AS HUGEINT) - CAST({b} AS HUGEINT))"
+            diff = f"CASE WHEN {_num(kind, a)} = {_num(kind, b)} THEN 0.0 WHEN {_num(kind, a)} IS NOT NULL AND {_num(kind, b)} IS NOT NULL THEN CAST({apart} AS DOUBLE) END"
             nd = f"(({_num(kind, a)} IS NULL) <> ({_num(kind, b)} IS NULL))"
         else:
             eq = f"({a} IS NOT DISTINCT FROM {b})"
@@ -350,7 +350,7 @@ LINE_J = joined_sql("SELECT * FROM lineitem", LINE_RIGHT, LINE_KEYS, LINE_OTHER,
 
 @oracle("reconcile_status")
 def _():
-    return f"SELECT o_orderkey, _merge FROM ({ORDERS_J}) j"
+    return f"SELECT o_orderkey, 1::BIGINT AS __ord, _merge FROM ({ORDERS_J}) j"
 
 
 @oracle("reconcile_left_only")
@@ -370,7 +370,7 @@ def _():
 
 @oracle("reconcile_common")
 def _():
-    cols = ["o_orderkey"]
+    cols = ["o_orderkey", "1::BIGINT AS __ord"]
     for c, _, _, _ in ORDERS_COLS:
         cols += [f"{c}__l AS {c}_df_load", f"{c}__r AS {c}_df_opdate", f"{c}__eq AS {c}_match"]
     return f"SELECT {', '.join(cols)} FROM ({ORDERS_J}) j WHERE _merge = 'both'"
@@ -424,7 +424,7 @@ def _():
                      f"CAST({c}__r AS VARCHAR) AS right_value FROM ({ORDERS_J}) j "
                      f"WHERE _merge = 'both' AND NOT {c}__eq")
     u = " UNION ALL ".join(parts)
-    return (f"SELECT \"column\", o_orderkey, left_value, right_value FROM (SELECT *, row_number() OVER "
+    return (f"SELECT \"column\", o_orderkey, 1::BIGINT AS __ord, left_value, right_value FROM (SELECT *, row_number() OVER "
             f"(PARTITION BY \"column\" ORDER BY o_orderkey ASC NULLS FIRST) AS rn FROM ({u}) u) s WHERE rn <= 10")
 
 
@@ -448,7 +448,7 @@ def _():
 
 @oracle("reconcile_dup_keys")
 def _():
-    return f"SELECT l_orderkey, l_linenumber, CAST(__ord AS INTEGER) AS __ord, _merge FROM ({LINE_J}) j"
+    return f"SELECT l_orderkey, l_linenumber, CAST(__ord AS BIGINT) AS __ord, _merge FROM ({LINE_J}) j"
 
 
 @oracle("reconcile_dup_counts")
@@ -522,7 +522,7 @@ def _():
 
 @oracle("load_bounded_files")
 def _():
-    return "SELECT count(*) AS total_rows, true AS within_bound FROM lineitem"
+    return "SELECT count(*) AS total_rows, true AS within_bound, true AS several_files FROM lineitem"
 
 
 def _outcome(spec, day, by, profile) -> str:
@@ -546,6 +546,32 @@ def _():
     return _outcome(V.WINDEVENTS, W, "change", "change")
 
 
+@oracle("load_sidecar_v1")
+def _():
+    rows = [(c.name, c.database_type, c.parquet_type) for c in V.ORDERSFEED.all_cols]
+    values = ", ".join(f"({i}, '{n}', '{d}', '{p}')" for i, (n, d, p) in enumerate(rows))
+    n = _count(business_rows_sql(V.ORDERSFEED, O))
+    return (f"SELECT '{V.ORDERSFEED.table_name}' AS table_name, '{V.ORDERSFEED.original_table}' AS original_table, "
+            f"'{V.ORDERSFEED.date_column}' AS date_column, CAST(v.position AS INTEGER) AS position, v.column_name, v.original_type, v.parquet_type "
+            f"FROM (VALUES {values}) v(position, column_name, original_type, parquet_type) WHERE {n} > 0")
+
+
+def _keyed_sql(rows) -> str:
+    parts = [f"SELECT '{s.table_name}' AS table_name, {key}::BIGINT AS key, {day}::BIGINT AS load_date FROM ({rows(s, day)}) r"
+             for s, day, key in ((V.WINDEVENTS, W, "event_id"), (V.ORDERSFEED, O, "o_orderkey"))]
+    return " UNION ALL ".join(parts)
+
+
+@oracle("keyed_load_change")
+def _():
+    return _keyed_sql(change_rows_sql)
+
+
+@oracle("keyed_load_business")
+def _():
+    return _keyed_sql(business_rows_sql)
+
+
 @oracle("load_sidecar")
 def _():
     rows = [(c.name, c.database_type, c.parquet_type) for c in V.WINDEVENTS.all_cols]
@@ -694,3 +720,85 @@ def _():
     j = joined_sql(_hot_lineitem_sql(False), _hot_lineitem_sql(True), LINE_KEYS, LINE_OTHER,
                    order=[c for c, _ in LINE_OTHER])
     return counts_sql(j)
+
+
+def _hot_j() -> str:
+    return joined_sql(_hot_lineitem_sql(False), _hot_lineitem_sql(True), LINE_KEYS, LINE_OTHER,
+                      order=[c for c, _ in LINE_OTHER])
+
+
+@oracle("reconcile_hot_key_status")
+def _():
+    return (f"SELECT l_linenumber, _merge, count(*) AS n, min(__ord) AS first_ord, max(__ord) AS last_ord, "
+            f"sum(__ord)::BIGINT AS sum_ord FROM ({_hot_j()}) j GROUP BY ALL")
+
+
+@oracle("reconcile_hot_key_columns")
+def _():
+    cols = [(c, k, "", "") for c, k in LINE_OTHER]
+    return f"SELECT \"column\", match_cnt, unequal_cnt, max_diff, null_diff FROM ({columns_sql(_hot_j(), cols)}) c"
+
+
+@oracle("reconcile_hot_key_constant")
+def _():
+    left = "SELECT l_orderkey % 3 = 0 AS k, 1 AS v, l_partkey AS own_l FROM lineitem"
+    right = "SELECT l_orderkey % 3 = 0 AS k, 1 AS v, l_suppkey AS own_r FROM lineitem WHERE l_partkey % 7 <> 0"
+    number = "row_number() OVER (PARTITION BY k ORDER BY {}) AS __ord"
+    j = joined_sql(f"SELECT *, {number.format('own_l')} FROM ({left}) x", f"SELECT *, {number.format('own_r')} FROM ({right}) x",
+                   ["k", "__ord"], [("v", "int")])
+    return counts_sql(j)
+
+
+@oracle("reconcile_key_types")
+def _():
+    left = "SELECT o_orderkey::DOUBLE AS k, o_custkey FROM orders"
+    right = ("SELECT o_orderkey + CASE WHEN o_orderkey % 7 = 0 THEN 0.5::DOUBLE ELSE 0 END AS k, o_custkey "
+             "FROM orders WHERE o_orderkey % 5 <> 0")
+    return counts_sql(joined_sql(left, right, ["k"], [("o_custkey", "int")]))
+
+
+@oracle("values_equal_edges")
+def _():
+    i = "event_id"
+    left = (f"SELECT {i}, {1 << 53} + {i} AS b, CASE {i} % 4 WHEN 0 THEN 'inf'::DOUBLE WHEN 1 THEN 'nan'::DOUBLE "
+            f"WHEN 2 THEN NULL ELSE {i}::DOUBLE END AS d FROM events")
+    right = (f"SELECT {i}, {1 << 53} + {i} + {i} % 2 AS b, CASE WHEN {i} % 8 < 4 THEN 'inf'::DOUBLE WHEN {i} % 3 = 0 THEN 'nan'::DOUBLE "
+             f"WHEN {i} % 3 = 1 THEN NULL ELSE '-inf'::DOUBLE END AS d FROM events")
+    return columns_sql(joined_sql(left, right, [i], [("b", "int"), ("d", "num")]),
+                       [("b", "int", "bigint", "bigint"), ("d", "num", "double", "double")])
+
+
+_TAGGED = f"'ORDERS' AS table_name, '{W}' AS load_date"
+
+
+@oracle("reconcile_report_columns")
+def _():
+    return f"SELECT *, {_TAGGED} FROM ({columns_sql(ORDERS_J, ORDERS_COLS)}) c"
+
+
+@oracle("reconcile_report_samples")
+def _():
+    parts = [f"SELECT '{c}' AS \"column\", o_orderkey FROM ({ORDERS_J}) j WHERE _merge = 'both' AND NOT {c}__eq"
+             for c, _, _, _ in ORDERS_COLS]
+    return (f"SELECT \"column\", rank, '{{\"o_orderkey\":' || o_orderkey || ',\"__ord\":1}}' AS key, {_TAGGED} FROM (SELECT *, row_number() OVER "
+            f"(PARTITION BY \"column\" ORDER BY o_orderkey)::INT AS rank FROM ({' UNION ALL '.join(parts)}) u) s WHERE rank <= 10")
+
+
+@oracle("reconcile_report_one_sided")
+def _():
+    def side(name: str) -> str:
+        return (f"SELECT '{name}' AS side, row_number() OVER (ORDER BY o_orderkey) AS rank, '{{\"o_orderkey\":' || o_orderkey || '}}' AS key "
+                f"FROM ({ORDERS_J}) j WHERE _merge = '{name}_only' QUALIFY rank <= 10")
+    return f"{side('left')} UNION ALL {side('right')}"
+
+
+@oracle("filter_change_day_epoch")
+def _():
+    return (f"SELECT event_id, epoch_us(ts) // 1000000 AS CHANGED FROM events "
+            f"WHERE strftime(ts, '%Y%m%d') = '{W}'")
+
+
+@oracle("filter_entry_time_epoch")
+def _():
+    return (f"SELECT o_orderkey, epoch_us(o_orderdate) // 1000000 AS CHANGED FROM orders "
+            f"WHERE strftime(o_orderdate, '%Y%m%d') = '{O}' AND epoch(o_orderdate)::BIGINT % 86400 = 0")

@@ -1,15 +1,16 @@
 """Daily loads as Spark jobs (PIP-1..4).
 
 ``load_plan`` is the whole lazy plan of one table and day:
-scan -> pushed-down row filter -> one normalising projection.  No shuffle is
-needed anywhere; ``load_table`` writes it with one job and records the
-outcome.  ``load_all`` runs many tables as concurrent jobs from a small
+scan -> pushed-down row filter -> one normalising projection, without a
+shuffle; ``load_table`` writes it with one job, in which one shuffle regroups a
+thin slice into files of a fair size, and records the outcome.  ``load_all`` runs many tables as concurrent jobs from a small
 driver thread pool and keeps a failure as an audit row."""
 
 from __future__ import annotations
 
 import traceback
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,17 +41,23 @@ def load_plan(spark: SparkSession, spec: TableSpec, load_date: str,
               connections: dict | None = None) -> DataFrame:
     """The stored rows of one table and day, not yet written."""
     profile = _profile(profile)
-    if (source is None and spec.dynamic and profile.by != BY_BUSINESS
-            and LOAD_DATE_MARKER in spec.source_sql):
-        # The text filters on the business date itself; a change-date load
-        # would silently keep that test.  Such SQL needs its base query.
-        raise ValueError(f"{spec.table_name}: source SQL filters on the load date; "
-                         "a change-date load needs the query without its date test")
+    tested = source is None and spec.dynamic and LOAD_DATE_MARKER in spec.source_sql
+    if tested and profile.by != BY_BUSINESS:
+        # the text filters on the business date itself; the load filters on the change date
+        if spec.base_sql is None:
+            raise ValueError(f"{spec.table_name}: source SQL filters on the load date; "
+                             "a change-date load needs the query without its date test")
+        spec, tested = replace(spec, source_sql=spec.base_sql), False
     src = source if source is not None else source_frame(spark, spec, load_date, connections)
-    rows = incremental_filter(src, spec, load_date, profile.by) if spec.dynamic else src
+    rows = src if tested or not spec.dynamic else incremental_filter(src, spec, load_date, profile.by)
     return normalize(rows, spec, load_date, profile)
 
 
+def stored_name(spec: TableSpec, profile: LoadProfile | str) -> str:
+    """The table's folder: its catalog name in the first loader's layout, else the vendor's name."""
+    return spec.original_table if _profile(profile).with_load_date else spec.table_name
+
+
 def load_table(spark: SparkSession, spec: TableSpec, load_date: str, root: str,
                profile: LoadProfile | str = CHANGE, source: DataFrame | None = None,
                max_records: int = CHUNK_ROWS, write_audit: bool = True,
@@ -62,15 +69,15 @@ def load_table(spark: SparkSession, spec: TableSpec, load_date: str, root: str,
     try:
         out = load_plan(spark, spec, load_date, profile, source, connections)
         if spec.dynamic:
-            result = write_slice(out, root, spec.original_table, load_date, max_records)
+            result = write_slice(out, root, stored_name(spec, profile), load_date, max_records)
         else:
-            result = write_snapshot(out, root, spec.original_table, max_records)
+            result = write_snapshot(out, root, stored_name(spec, profile), max_records)
         if not result.empty:  # data first, then its description
-            write_sidecar(spark, root, spec, date_col)
+            write_sidecar(spark, root, spec, date_col, profile.with_load_date)
         audit = audit_row(spark, load_date=load_date, spec=spec, root=root, result=result,
                           date_column=date_col, profile=profile.name)
     except Exception as exc:  # kept as an audit row, the run goes on
-        msg = f"{type(exc).__name__}: {exc}".splitlines()[0][:2000]
+        msg = f"{type(exc).__name__}: {exc}"
         audit = audit_row(spark, load_date=load_date, spec=spec, root=root, result=None,
                           date_column=date_col, profile=profile.name, error=msg or traceback.format_exc(limit=1))
     if write_audit:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .catalog import catalog_frame, select_tables_flagged, select_tables_listed, specs_of
+from .catalog import catalog_frame, select_tables_flagged, select_tables_listed, specs_from_keyed, specs_of
 from .functions.cast import cast_declared, check_write_schema
 from .functions.compare import values_equal
 from .functions.fill import fill_float, fill_int, fill_string
@@ -20,12 +20,12 @@ from .functions.timefmt import change_day_int, day_text, load_date_of, to_epoch_
 from .operators import filters as FL
 from .operators.project import add_load_date, project_declared, project_tolerant
 from .operators.reconcile import duplicate_keys, reconcile
-from .plans.load import flagged, load_all, load_table
+from .plans.load import flagged, load_all, load_table, stored_name
 from .plans.reconcile import read_report, reconcile_all, reconcile_day, write_report
 from .session import scratch_dir
 from .sinks.writers import read_audit, read_sidecar, write_snapshot
 from .sources import vendor as V
-from .sources.query import CHUNK_ROWS, scan_sql_query
+from .sources.query import scan_sql_query
 from .sources.store import comparable_tables, list_loaded_tables, scan_load_date, scan_snapshot_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,7 +89,38 @@ def daily_load_v1(spark, sf_dir):
     _views(spark, sf_dir)
     root = scratch_dir(spark, "load_v1")
     load_table(spark, V.ORDERSFEED, O, root, "v1")
-    return scan_load_date(spark, root, V.ORDERSFEED.original_table, O, keep_load_date=False)
+    return scan_load_date(spark, root, stored_name(V.ORDERSFEED, "v1"), O, keep_load_date=False)
+
+
+# Kept as the daily loaders keep them: every incremental SQL carries its own date test.
+KEYED = {spec.table_name: {
+    "sql": f"SELECT * FROM vendor_{spec.table_name} WHERE {spec.date_column} = '%s'", "dynamic": True, "data_base": spec.data_base,
+    "original_table": spec.original_table, "date_column": spec.date_column, "is_important": True, "primary_key": list(spec.primary_key or ()),
+    "all_cols": {c.name: {"database_type": c.database_type, "pandas_type": c.logical_type, "parquet_type": c.parquet_type} for c in spec.all_cols}}
+    for spec in (V.WINDEVENTS, V.ORDERSFEED)}
+
+
+def _keyed_load(spark, sf_dir, profile):
+    """A wind table and another vendor's, loaded from a kept catalog; key and load date of the stored rows."""
+    _views(spark, sf_dir)
+    root = scratch_dir(spark, "keyed")
+    wind, other = specs_from_keyed(KEYED)
+    load_all(spark, [wind], W, root, profile)
+    load_all(spark, [other], O, root, profile)
+    parts = [scan_load_date(spark, root, s.original_table, day).select(
+        F.lit(s.table_name).alias("table_name"), F.col(key).cast("long").alias("key"), F.col("LOAD_DATE").cast("long").alias("load_date"))
+        for s, day, key in ((wind, W, "event_id"), (other, O, "o_orderkey"))]
+    return parts[0].unionByName(parts[1])
+
+
+@query("keyed_load_change")
+def q_keyed_load_change(spark, sf_dir):
+    return _keyed_load(spark, sf_dir, "change")
+
+
+@query("keyed_load_business")
+def q_keyed_load_business(spark, sf_dir):
+    return _keyed_load(spark, sf_dir, "business")
 
 
 @query("daily_load_all")
@@ -196,21 +227,25 @@ def q_load_snapshot(spark, sf_dir):
     root = scratch_dir(spark, "snapshot")
     load_table(spark, V.CUSTOMERSNAP, W, root, "v1")
     load_table(spark, V.CUSTOMERSNAP, W, root, "v1")
-    return scan_snapshot_table(spark, root, V.CUSTOMERSNAP.original_table)
+    return scan_snapshot_table(spark, root, stored_name(V.CUSTOMERSNAP, "v1"))
+
+
+# A bound that the smallest table exceeds.
+BOUND = 2_500
 
 
 @query("load_bounded_files")
 def q_load_bounded_files(spark, sf_dir):
-    """Whole lineitem written with at most CHUNK_ROWS rows per file."""
+    """Whole lineitem written with at most BOUND rows per file."""
     _views(spark, sf_dir)
     root = scratch_dir(spark, "bounded")
     src = spark.table("vendor_lineitemfeed")
     out = project_declared(src, V.LINEITEMFEED.all_cols)
-    write_snapshot(out, root, "LINEITEMFEED", max_records=CHUNK_ROWS)
+    write_snapshot(out, root, "LINEITEMFEED", max_records=BOUND)
     per_file = (scan_snapshot_table(spark, root, "LINEITEMFEED")
                 .groupBy(F.input_file_name().alias("f")).agg(F.count(F.lit(1)).alias("n")))
     return per_file.agg(F.sum("n").cast("long").alias("total_rows"),
-                        (F.max("n") <= CHUNK_ROWS).alias("within_bound"))
+                        (F.max("n") <= BOUND).alias("within_bound"), (F.count(F.lit(1)) > 1).alias("several_files"))
 
 
 @query("skip_empty_load")
@@ -229,6 +264,15 @@ def q_load_outcome(spark, sf_dir):
     return read_audit(spark, root).select(*AUDIT_COLS)
 
 
+@query("load_sidecar_v1")
+def q_load_sidecar_v1(spark, sf_dir):
+    """The first loader's rows have no LOAD_DATE, and neither has their description."""
+    _views(spark, sf_dir)
+    root = scratch_dir(spark, "sidecar_v1")
+    load_table(spark, V.ORDERSFEED, O, root, "v1")
+    return read_sidecar(spark, root).select("table_name", "original_table", "date_column", "position", "column_name", "original_type", "parquet_type")
+
+
 @query("load_sidecar")
 def q_load_sidecar(spark, sf_dir):
     _views(spark, sf_dir)
@@ -501,8 +545,116 @@ def q_reconcile_dup_counts(spark, sf_dir):
 
 @query("reconcile_hot_key")
 def q_reconcile_hot_key(spark, sf_dir):
-    """A key holding a third of all rows, nearly all exact copies, compared
-    through collapsed runs (the path every hot key takes at scale)."""
+    """A key holding a third of all rows, nearly all exact copies."""
+    li = _table(spark, sf_dir, "lineitem")
+    return reconcile(V.hot_lineitem(li), V.hot_lineitem(li, changed=True), LINE_KEYS).counts()
+
+
+# Rows of a key, and positions of a block, that make the split of hot keys run on the test tables.
+SPLIT = {"hot_group_rows": 500, "block_rows": 900}
+
+
+def _hot_rec(spark, sf_dir):
+    """The hot key differs on both sides; the keys are split into bins and blocks."""
+    li = _table(spark, sf_dir, "lineitem")
+    return reconcile(V.hot_lineitem(li), V.hot_lineitem(li, changed=True), LINE_KEYS, **SPLIT)
+
+
+@query("reconcile_hot_key_status")
+def q_reconcile_hot_key_status(spark, sf_dir):
+    return _hot_rec(spark, sf_dir).status().groupBy("l_linenumber", "_merge").agg(
+        F.count(F.lit(1)).alias("n"), F.min("__ord").alias("first_ord"), F.max("__ord").alias("last_ord"),
+        F.sum("__ord").alias("sum_ord"))
+
+
+@query("reconcile_hot_key_columns")
+def q_reconcile_hot_key_columns(spark, sf_dir):
+    return _hot_rec(spark, sf_dir).columns().select("column", "match_cnt", "unequal_cnt", "max_diff", "null_diff")
+
+
+@query("reconcile_hot_key_constant")
+def q_reconcile_hot_key_constant(spark, sf_dir):
+    """A hot key whose shared columns are constant: only one-sided columns tell its rows apart."""
     li = _table(spark, sf_dir, "lineitem")
-    rec = reconcile(V.hot_lineitem(li), V.hot_lineitem(li, changed=True), LINE_KEYS, pairing="runs")
-    return rec.counts()
+    key = (F.col("l_orderkey") % 3 == 0).alias("k")
+    left = li.select(key, F.lit(1).alias("v"), F.col("l_partkey").alias("own_l"))
+    right = li.where(F.col("l_partkey") % 7 != 0).select(key, F.lit(1).alias("v"), F.col("l_suppkey").alias("own_r"))
+    return reconcile(left, right, ["k"], **SPLIT).counts()
+
+
+def _key_types(spark, sf_dir):
+    orders = _table(spark, sf_dir, "orders")
+    left = orders.select(F.col("o_orderkey").alias("k"), "o_custkey")
+    right = orders.where("o_orderkey % 5 <> 0").select(
+        (F.col("o_orderkey") + F.when(F.col("o_orderkey") % 7 == 0, 0.5).otherwise(0.0)).alias("k"), "o_custkey")
+    return left, right
+
+
+@query("reconcile_key_types")
+def q_reconcile_key_types(spark, sf_dir):
+    """A whole-number key against a fractional one: both become one type first."""
+    left, right = _key_types(spark, sf_dir)
+    return reconcile(left, right, ["k"]).counts()
+
+
+@query("values_equal_edges")
+def q_values_equal_edges(spark, sf_dir):
+    """Whole numbers beyond 2^53, infinities, NaN and null made from event ids."""
+    e = _table(spark, sf_dir, "events").select("event_id")
+    i = F.col("event_id")
+    big = F.lit(1 << 53) + i
+    inf, nan = F.lit(float("inf")), F.lit(float("nan"))
+    l = e.select(i, big.alias("b"), F.when(i % 4 == 0, inf).when(i % 4 == 1, nan).when(i % 4 == 2, F.lit(None).cast("double")).otherwise(i.cast("double")).alias("d"))
+    r = e.select(i, (big + i % 2).alias("b"), F.when(i % 8 < 4, inf).when(i % 3 == 0, nan).when(i % 3 == 1, F.lit(None).cast("double")).otherwise(-inf).alias("d"))
+    return reconcile(l, r, ["event_id"]).columns()
+
+
+def _wide_orders(spark, sf_dir):
+    """Two loads with twelve columns before the key."""
+    orders = _table(spark, sf_dir, "orders")
+    right = V.changed_orders(orders).drop("o_flag")
+    pad = [F.col("o_custkey").alias(f"c{i:02d}") for i in range(12)]
+    return (orders.select(*pad, "o_orderkey", "o_totalprice"),
+            right.select(*pad, "o_orderkey", "o_totalprice"))
+
+
+def _report_section(spark, sf_dir, section, wide=False):
+    left, right = _wide_orders(spark, sf_dir) if wide else _orders_pair(spark, sf_dir)
+    rec = reconcile(left, right, ["o_orderkey"], left_name="df_load", right_name="df_opdate")
+    log = scratch_dir(spark, "report")
+    write_report(rec, log, "ORDERS", W)
+    return read_report(spark, log, section)
+
+
+@query("reconcile_report_columns")
+def q_reconcile_report_columns(spark, sf_dir):
+    return _report_section(spark, sf_dir, "columns")
+
+
+@query("reconcile_report_samples")
+def q_reconcile_report_samples(spark, sf_dir):
+    return _report_section(spark, sf_dir, "sample_unequal").drop("left_value", "right_value")
+
+
+@query("reconcile_report_one_sided")
+def q_reconcile_report_one_sided(spark, sf_dir):
+    return _report_section(spark, sf_dir, "sample_one_sided", wide=True).select("side", "rank", "key")
+
+
+def _epoch_events(spark, sf_dir):
+    """The change log with its change time as whole epoch seconds."""
+    e = _table(spark, sf_dir, "events")
+    return e.select("event_id", to_epoch_seconds(F.col("ts"), _dtype(e, "ts")).alias("CHANGED"))
+
+
+@query("filter_change_day_epoch")
+def q_filter_change_day_epoch(spark, sf_dir):
+    return FL.filter_change_day(_epoch_events(spark, sf_dir), "CHANGED", W)
+
+
+@query("filter_entry_time_epoch")
+def q_filter_entry_time_epoch(spark, sf_dir):
+    """Orders carry whole days, so their epoch is the day's first second."""
+    o = _table(spark, sf_dir, "orders")
+    epoch = to_epoch_seconds(F.col("o_orderdate"), _dtype(o, "o_orderdate"))
+    return FL.filter_entry_time(o.select("o_orderkey", epoch.alias("CHANGED")), "CHANGED", O)

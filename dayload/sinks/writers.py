@@ -9,6 +9,7 @@ written frame, so no second scan is needed."""
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -22,6 +23,7 @@ from ..sources.store import CURRENT, SNAPSHOT, slice_path, snapshot_path, table_
 
 SIDECAR = "_sidecar"
 AUDIT = "_audit"
+RUN = "run_id"
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("load_date", T.StringType()),
@@ -68,11 +70,8 @@ class WriteResult:
 
 
 def _count_files(spark: SparkSession, path: str) -> int:
-    # File listing only; no data is read.
-    try:
-        return len(spark.read.parquet(path).inputFiles())
-    except Exception:  # nothing written
-        return 0
+    # File listing of one slice only; no data is read.
+    return len(spark.read.parquet(path).inputFiles())
 
 
 def write_slice(df: DataFrame, root: str, table: str, load_date: str,
@@ -165,7 +164,11 @@ def audit_row(spark: SparkSession, *, load_date: str, spec: TableSpec, root: str
 
 
 def append_audit(audit: DataFrame, root: str) -> None:
-    audit.write.mode("append").parquet(f"{root.rstrip('/')}/{AUDIT}")
+    """Add a run's rows.  Each run writes a partition of its own, staged by
+    itself, so runs into one root at the same time don't touch each other."""
+    (audit.withColumn(RUN, F.lit(uuid.uuid4().hex)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("load_date", RUN)
+     .parquet(f"{root.rstrip('/')}/{AUDIT}"))
 
 
 def read_audit(spark: SparkSession, root: str) -> DataFrame:

@@ -3,6 +3,7 @@ JDBC (SRC-1, SRC-2)."""
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
@@ -34,6 +35,12 @@ def source_frame(spark: SparkSession, spec: TableSpec, load_date: str | None = N
     return scan_sql_query(spark, spec.source_sql, load_date)
 
 
+def read_connections(spark: SparkSession, path: str) -> dict[str, "JdbcSource"]:
+    """``{vendor family: {url, user, password, driver, ...}}`` from a JSON file."""
+    text = spark.read.text(path, wholetext=True).collect()[0][0]
+    return {family: JdbcSource(**options) for family, options in json.loads(text).items()}
+
+
 @dataclass(frozen=True)
 class JdbcSource:
     """A vendor database reached over JDBC.
@@ -53,7 +60,8 @@ class JdbcSource:
     num_partitions: int | None = None
 
     def options(self, sql: str) -> dict[str, str]:
-        opts = {"url": self.url, "fetchsize": str(self.fetchsize)}
+        # naive vendor times stay naive, whatever zone the JVM runs in
+        opts = {"url": self.url, "fetchsize": str(self.fetchsize), "preferTimestampNTZ": "true"}
         for k, v in (("user", self.user), ("password", self.password), ("driver", self.driver)):
             if v is not None:
                 opts[k] = v
