@@ -173,7 +173,7 @@ class Space:
         small = omega.T.astype(float) @ y
         small = (small + small.T) / 2
         values, vectors = np.linalg.eigh(small)
-        keep = values > max(values.max(), 0) * 1e-9 if len(values) else np.zeros(0, bool)
+        keep = values > max(values.max(), 0) * 1e-5 if len(values) else np.zeros(0, bool)
         u, sizes, _ = np.linalg.svd(y @ (vectors[:, keep] / np.sqrt(values[keep])), full_matrices=False) if keep.any() else (np.zeros((d, 0)), np.ones(0), None)
         # every direction counts alike: left to their sizes, the commonest words would decide all cosines
         self.vectors = (u[:, :RANK] / np.maximum(sizes[:RANK], 1e-9) * idf[:, None]).astype(np.float32)
