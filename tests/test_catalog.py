@@ -90,5 +90,29 @@ def test_keyed_catalog_and_table_list(spark, tmp_path):
     V.register_vendor_views(spark, SF_SMALL)
     out = load_plan(spark, specs["windevents"], "20240115", "business")
     assert out.count() == spark.table("vendor_windevents").where("TRADE_DT = '20240115'").count()
+    # a change-date load filters on the change date alone, whatever date its SQL tests
+    from dayload.operators.filters import incremental_filter
+    changed = incremental_filter(spark.table("vendor_windevents"), V.WINDEVENTS, "20240115", "change")
+    assert load_plan(spark, specs["windevents"], "20240115", "change").count() == changed.count()
+
+
+@pytest.mark.parametrize("sql", ["SELECT * FROM t", "SELECT * FROM t WHERE D = '%s' OR E = '%s'", "SELECT * FROM t WHERE E = '%s'",
+                                 "SELECT * FROM t WHERE D = '%s' AND D = '%s'"])
+def test_keyed_sql_must_test_its_date_once(sql):
+    from dayload.catalog import specs_from_keyed
     with pytest.raises(ValueError):
-        load_plan(spark, specs["windevents"], "20240115", "change")
+        specs_from_keyed({"t": {"sql": sql, "dynamic": True, "date_column": "D"}})
+
+
+def test_business_load_needs_no_date_column_in_its_select_list(spark):
+    from dayload.catalog import specs_from_keyed
+    from dayload.plans.load import load_plan
+    from dayload.sources import vendor as V
+    from conftest import SF_SMALL
+    V.register_vendor_views(spark, SF_SMALL)
+    col = {"database_type": "bigint", "pandas_type": "int64", "parquet_type": "int64"}
+    spec, = specs_from_keyed({"windevents": {"sql": "SELECT e.event_id FROM vendor_windevents e WHERE e.TRADE_DT = '%s' AND 1 < 2", "dynamic": True,
+                                             "data_base": "wind", "date_column": "TRADE_DT", "primary_key": ["event_id"], "all_cols": {"event_id": col}}})
+    assert spec.base_sql.endswith("WHERE 1 = 1 AND 1 < 2")
+    want = spark.table("vendor_windevents").where("TRADE_DT = '20240115'").count()
+    assert load_plan(spark, spec, "20240115", "business").count() == want
