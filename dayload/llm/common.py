@@ -64,15 +64,22 @@ def unique_names(wanted: str, taken: Iterable[str]) -> str:
     return wanted
 
 
+def planes(a: np.ndarray) -> bytes:
+    """The bytes of an array by significance, which compresses where values are small or close."""
+    return np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
+
+
 def pack(arrays: Iterable[np.ndarray]) -> bytes:
-    return b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
+    """Columns of equal length as one payload."""
+    return b"".join(planes(a) for a in arrays)
 
 
 def unpack(payload: bytes, dtypes: list) -> list[np.ndarray]:
     kinds = [np.dtype(d) for d in dtypes]
     n, at, out = len(payload) // sum(k.itemsize for k in kinds), 0, []
     for k in kinds:
-        out.append(np.frombuffer(payload, k, n, at))
+        raw = np.frombuffer(payload, np.uint8, n * k.itemsize, at)
+        out.append(np.ascontiguousarray(raw.reshape(k.itemsize, n).T).view(k).ravel())
         at += n * k.itemsize
     return out
 

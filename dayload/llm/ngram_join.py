@@ -16,7 +16,9 @@ share one of their first ``|s| - ceil(t |s|) + 1`` members, their prefix.
    and leaves a subtree as soon as the lengths that remain can't reach the
    overlap needed.  Large groups are cut into blocks that meet in pairs.
    Pairs within a component are skipped (they can't change it).
-5. The pairs left are compared exactly, and components are taken again.
+5. Pairs whose signatures differ in more bits than the threshold lets the sets
+   differ in members are out; the sets of the pairs left are built again from
+   their texts and compared exactly, and components are taken again.
 
 No link between different texts is lost: step 4 visits every pair of nodes in
 different components that shares a prefix member.
@@ -49,8 +51,10 @@ SHINGLE, ABOVE, OF = 4, 85, 100
 CHUNK_MEMBERS = 2_000_000
 #: Nodes of one shared member that meet in one tree; larger groups are cut into blocks of about this size.
 BLOCK = 1000
+#: log2 of the bits (2 MB) by which texts that no pair needs are passed over.
+FILTER_BITS = 24
 #: Nodes of a shared member up to which hopeless ones are dropped before prefixes are sent; trees drop the others.
-FEW = 16
+FEW = 64
 
 
 def _sets(words: Words, n: int) -> Iterator[np.ndarray]:
@@ -99,8 +103,28 @@ def _heavy(rows: DataFrame, n: int, bits: int) -> np.ndarray:
     return heavy_hashes(rows.select("text").mapInArrow(count, "bucket int, payload binary"))
 
 
+PARTS = ["high", "low", "marks"]  # of a node: the halves of its prefix's members, and its signature
+
+
+def signature(s: np.ndarray) -> bytes:
+    """The members hashed into about four bits each; a power of two bytes, so signatures fold onto each other."""
+    bits = max(64, 1 << (4 * max(1, len(s)) - 1).bit_length())
+    held = np.zeros(bits, np.uint8)
+    held[(s & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(held).tobytes()
+
+
+def differing(a: np.ndarray, b: np.ndarray) -> int:
+    """A lower bound of the members that only one of two sets has, from their signatures: bits that differ."""
+    while len(a) > len(b):
+        a = a[:len(a) // 2] | a[len(a) // 2:]
+    while len(b) > len(a):
+        b = b[:len(b) // 2] | b[len(b) // 2:]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def set_prefixes(rows: DataFrame, n: int, above: int, of: int) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit digest of the set, and its prefix in the global order (also by the high 32 bits of its members)."""
+    """doc_id, n_shingles, a 128-bit digest of the set, and the ``PARTS`` of a node."""
     spark = rows.sparkSession
     heavy = _heavy(rows, n, bucket_bits(spark))
     by = np.argsort(heavy)
@@ -109,20 +133,20 @@ def set_prefixes(rows: DataFrame, n: int, above: int, of: int) -> DataFrame:
     def run(batches):
         hot, rank = order.value
         for batch in batches:
-            sizes, one, two, prefixes, shorts = [], [], [], [], []
+            sizes, one, two, high, low, marks = [], [], [], [], [], []
             for _, _, w in batches_of(batch, "text", lower=True):
                 for s in _sets(w, n):
                     sizes.append(len(s))
                     one.append(int(mix(s).sum(dtype=np.uint64).view(np.int64)))
                     two.append(int(mix(s ^ np.uint64(0x5BF03635)).sum(dtype=np.uint64).view(np.int64)))
                     prefix = _ordered(s, hot, rank)[:prefix_length(len(s), above, of)] if len(s) else s
-                    prefixes.append(prefix.tobytes())
-                    shorts.append((prefix >> np.uint64(32)).astype("<u4").tobytes())  # in the same order; equal members stay equal
+                    high.append((prefix >> np.uint64(32)).astype("<u4").tobytes())  # in the same order; equal members stay equal
+                    low.append(prefix.astype("<u4").tobytes())
+                    marks.append(signature(s))
             yield pa.record_batch([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
-                                   pa.array(prefixes, pa.binary()), pa.array(shorts, pa.binary())],
-                                  names=["doc_id", "n_shingles", "fp_a", "fp_b", "prefix", "short"])
+                                   *(pa.array(x, pa.binary()) for x in (high, low, marks))], names=["doc_id", "n_shingles", "fp_a", "fp_b", *PARTS])
 
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, fp_a long, fp_b long, prefix binary, short binary")
+    return rows.mapInArrow(run, f"doc_id long, n_shingles long, fp_a long, fp_b long, {', '.join(c + ' binary' for c in PARTS)}")
 
 
 _MEMBER = ["<u8", "<i8", "<u4", "<u4", "u1"]
@@ -154,8 +178,8 @@ def shared_members(nodes: DataFrame) -> DataFrame:
         def parts():
             nonlocal held, size
             for batch in batches:
-                for rep, n, prefix in zip(batch.column("rep").to_pylist(), batch.column("n").to_pylist(), batch.column("prefix")):
-                    t = np.frombuffer(prefix.as_buffer(), "<u8")
+                for rep, n, high, low in zip(*(batch.column(c).to_pylist() for c in ("rep", "n", "high", "low"))):
+                    t = np.frombuffer(high, "<u4").astype(np.uint64) << np.uint64(32) | np.frombuffer(low, "<u4")
                     held.append((t, np.full(len(t), rep, np.int64), np.full(len(t), n, np.uint32), np.arange(len(t), dtype=np.uint32)))
                     size += len(t)
                 if size > CHUNK_MEMBERS:
@@ -178,21 +202,70 @@ def shared_members(nodes: DataFrame) -> DataFrame:
                 yield pa.record_batch([pa.array(token.view(np.int64)), pa.array(rep), pa.array(n.astype(np.int32)), pa.array(pos.astype(np.int32))],
                                       names=["token", "rep", "n", "pos"])
 
-    return by_bucket(nodes.mapInArrow(send, "bucket int, payload binary"), receive, "token long, rep long, n int, pos int")
+    return by_bucket(nodes.select("rep", "n", "high", "low").mapInArrow(send, "bucket int, payload binary"), receive, "token long, rep long, n int, pos int")
+
+
+def _not_refuted(pairs: DataFrame, nodes: DataFrame, above: int, of: int) -> DataFrame:
+    """The pairs (a, b) whose signatures differ in no more bits than the threshold lets their sets differ in members."""
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for x, y, n, m in zip(*(batch.column(c).to_pylist() for c in ("x", "y", "n", "m"))):
+                # J >= t needs |A - B| + |B - A| <= (1 - t) / (1 + t) * (|A| + |B|)
+                keep.append(differing(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)) * (of + above) <= (of - above) * (n + m))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    sides = (pairs.join(nodes.select(F.col("rep").alias("b"), F.col("n").alias("m"), F.col("marks").alias("y")), "b")
+             .join(nodes.select(F.col("rep").alias("a"), "n", F.col("marks").alias("x")), "a").where(_alike_in_size(above, of)))
+    return sides.select("a", "b", "n", "m", "x", "y").mapInArrow(run, "a long, b long").distinct()
 
-def _verified(pairs: DataFrame, rows: DataFrame, n: int, above: int, of: int) -> DataFrame:
+
+def _id_filter(ids: DataFrame) -> np.ndarray:
+    """A bit for the hash of each id, of fixed size: a text whose bit is unset isn't wanted."""
+    size = 1 << FILTER_BITS
+
+    def mark(batches):
+        held = np.zeros(size, bool)
+        for batch in batches:
+            held[(mix(batch.column(0).to_numpy().view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+        yield from payload_batches((i, np.packbits(x).tobytes()) for i, x in enumerate(np.split(held, 64)) if x.any())
+
+    def join(batches):
+        now, total = None, None
+        for batch in batches:
+            for b, p in zip(batch.column(0).to_pylist(), batch.column(1)):
+                x = np.frombuffer(p.as_buffer(), np.uint8)
+                if b != now:
+                    if now is not None:
+                        yield next(payload_batches([(now, total.tobytes())]))
+                    now, total = b, x.copy()
+                else:
+                    total |= x
+        if now is not None:
+            yield next(payload_batches([(now, total.tobytes())]))
+
+    out = np.zeros((64, size // 512), np.uint8)
+    for r in by_bucket(ids.mapInArrow(mark, "bucket int, payload binary"), join, "bucket int, payload binary").collect():
+        out[r["bucket"]] = np.frombuffer(bytes(r["payload"]), np.uint8)
+    return out.ravel()
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, n: int, above: int, of: int) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the threshold."""
-    pairs = saved(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = rows.where("doc_id is not null").join(wanted, "doc_id", "left_semi")
+    pairs = saved(_not_refuted(pairs, nodes, above, of), "pairs")
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    bits = rows.sparkSession.sparkContext.broadcast(_id_filter(wanted))
 
     def build(batches):
         for batch in batches:
+            at = (mix(batch.column("doc_id").to_numpy().view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+            batch = batch.filter(pa.array(bits.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1 > 0))
             sets = [s.tobytes() for _, _, w in batches_of(batch, "text", lower=True) for s in _sets(w, n)]
             yield pa.record_batch([batch.column("doc_id"), pa.array(sets, pa.binary())], names=["id", "members"])
 
-    sets = saved(texts.mapInArrow(build, "id long, members binary"), "sets")
+    sets = rows.where("doc_id is not null").mapInArrow(build, "id long, members binary")
+    sets = saved(sets.join(wanted, "id", "left_semi"), "sets")
 
     def compare(batches):
         for batch in batches:
@@ -213,51 +286,83 @@ def _alike_in_size(above: int, of: int):
 
 
 class PrefixTree:
-    """Ordered member lists in a trie; each node knows the sizes of the sets below it.
+    """Ordered member lists in a trie whose paths are split only where sets part.
 
     A set is (rep, size, component, place, tail): ``tail`` is what its prefix
-    holds after the member that all sets of the tree share, at ``place``.
+    holds after the member that all sets of the tree share, at ``place``.  A
+    node knows the sizes, rests and components below it; a set that shares its
+    path with no other hangs as a leaf with the rest of its members.
     """
 
     def __init__(self) -> None:
-        # children, sets that end here, smallest and largest size below, largest rest below, components below
+        # children by member, sets that end here, smallest and largest size below, largest rest below, components below
         self.root = [{}, [], 1 << 60, 0, 0, set()]
 
+    @staticmethod
+    def _note(node: list, entry: tuple, depth: int) -> None:
+        size = entry[1]
+        node[2] = min(node[2], size)
+        node[3] = max(node[3], size)
+        node[4] = max(node[4], size - entry[3] - 1 - depth)
+        if len(node[5]) < 2:
+            node[5].add(entry[2])
+
     def add(self, entry: tuple) -> None:
-        _, size, component, place, tail = entry
-        node, rest = self.root, size - place - 1
-        for t in (None, *tail):
-            if t is not None:
-                node = node[0].setdefault(t, [{}, [], 1 << 60, 0, 0, set()])
-                rest -= 1
-            node[2] = min(node[2], size)
-            node[3] = max(node[3], size)
-            node[4] = max(node[4], rest)
-            if len(node[5]) < 2:
-                node[5].add(component)
+        node, tail, depth = self.root, entry[4], 0
+        self._note(node, entry, 0)
+        while depth < len(tail):
+            children, t = node[0], tail[depth]
+            child = children.get(t)
+            depth += 1
+            if child is None:
+                children[t] = (entry, depth, frozenset(tail[depth:]))
+                return
+            if isinstance(child, tuple):  # a second set on this path
+                held = child[0]
+                child = children[t] = [{}, [], 1 << 60, 0, 0, set()]
+                self._note(child, held, depth)
+                if depth < len(held[4]):
+                    child[0][held[4][depth]] = (held, depth + 1, frozenset(held[4][depth + 1:]))
+                else:
+                    child[1].append(held)
+            node = child
+            self._note(node, entry, depth)
         node[1].append(entry)
 
     def probe(self, entry: tuple, above: int, of: int) -> Iterator[tuple]:
         """The sets of other components that could reach the threshold with ``entry``."""
-        rep, size, component, place, tail = entry
-        whole, stop = size - place - 1, len(tail)
+        _, size, component, place, tail = entry
+        whole, stop, members, both = size - place - 1, len(tail), frozenset(tail), above + of
+        least, most = -(-above * size // of), of * size // above
         stack = [(self.root, 1, 0)]  # node, members shared so far, tail members passed
         while stack:
             node, shared, at = stack.pop()
             if len(node[5]) == 1 and component in node[5]:
                 continue
-            if of * min(size, node[3]) < above * max(size, node[2]) and not (node[2] <= size <= node[3]):
+            if node[3] < least or node[2] > most:
                 continue
-            need = -(-above * (size + node[2]) // (above + of))
-            if shared + min(whole - at, node[4]) < need:
+            if (shared + min(whole - at, node[4])) * both < above * (size + max(node[2], least)):
                 continue
             for other in node[1]:
                 if other[2] != component and self._reaches(entry, other, shared, above, of):
                     yield other
             for t, child in node[0].items():
-                i = bisect_left(tail, t, at)
-                hit = i < stop and tail[i] == t
-                stack.append((child, shared + hit, i + hit))
+                if isinstance(child, tuple):
+                    other = child[0]
+                    n = other[1]
+                    if n < least or n > most or other[2] == component:
+                        continue
+                    needed = above * (size + n)
+                    if (shared + min(whole - at, n - other[3] - child[1])) * both < needed:
+                        continue
+                    met = shared + (t in members) + len(members & child[2])
+                    unseen = max(whole - stop, n - other[3] - 1 - len(other[4]))  # beyond the shorter reach of the two prefixes
+                    if (met + unseen) * both >= needed and self._reaches(entry, other, met, above, of):
+                        yield other
+                else:
+                    i = bisect_left(tail, t, at)
+                    hit = i < stop and tail[i] == t
+                    stack.append((child, shared + hit, i + hit))
 
     @staticmethod
     def _reaches(x: tuple, y: tuple, shared: int, above: int, of: int) -> bool:
@@ -316,10 +421,10 @@ def tree_candidates(entries: DataFrame, nodes: DataFrame, above: int, of: int, b
     own = F.pmod(F.xxhash64("rep"), parts).cast("int")
     mixed = mixed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     unit = F.xxhash64("token", F.least("own", "other"), F.greatest("own", "other"))
-    tails = nodes.select("rep", "n", "short")
+    tails = nodes.select("rep", "n", "high")
     dealt = (mixed.withColumn("unit", unit).select("unit", "token", "rep", "n", "pos", "component", "own", "other")
              .join(tails, ["rep", "n"]).select("unit", "token", "rep", "n", "pos", "component", "own", "other",
-                                               F.expr("substring(short, 4 * (pos + 1) + 1)").alias("tail")))
+                                               F.expr("substring(high, 4 * (pos + 1) + 1)").alias("tail")))
 
     def meet(batches):
         for table in whole_groups(batches, "unit"):
@@ -355,14 +460,14 @@ def linked_documents(docs: DataFrame, n: int = SHINGLE, above: int = ABOVE, of:
     known = saved(set_prefixes(rows, n, above, of), "prefixes")
     fp = ["fp_a", "fp_b", "n_shingles"]
     whole = known.where("doc_id is not null and n_shingles > 0")
-    nodes = saved(whole.groupBy(*fp).agg(F.min(F.struct("doc_id", "prefix", "short")).alias("x"))
-                  .select(*fp, F.col("x.doc_id").alias("rep"), F.col("n_shingles").cast("int").alias("n"), "x.prefix", "x.short"), "nodes")
+    nodes = saved(whole.groupBy(*fp).agg(F.min(F.struct("doc_id", *PARTS)).alias("x"))
+                  .select(*fp, F.col("x.doc_id").alias("rep"), F.col("n_shingles").cast("int").alias("n"), *[f"x.{c}" for c in PARTS]), "nodes")
     members = saved(shared_members(nodes), "members")
 
     # each node against the smallest node of each of its shared members
     hubs = members.groupBy("token").agg(F.min(F.struct("rep", "n")).alias("hub")).select("token", F.col("hub.rep").alias("a"), F.col("hub.n").alias("m"))
     stars = members.join(hubs, "token").where("rep <> a").where(_alike_in_size(above, of)).select("a", F.col("rep").alias("b")).distinct()
-    links = _verified(stars, rows, n, above, of)
+    links = _verified(stars, rows, nodes, n, above, of)
 
     classes = whole.select("doc_id", *fp).distinct().join(nodes.select(*fp, "rep"), fp).select("doc_id", "rep")
     # a document with several rows may stand in several classes
@@ -373,7 +478,7 @@ def linked_documents(docs: DataFrame, n: int = SHINGLE, above: int = ABOVE, of:
     first = saved(components(links), "components")
 
     placed = members.join(first, members.rep == first.v, "left").select("token", "rep", "n", "pos", F.coalesce("component", "rep").alias("component"))
-    more = _verified(tree_candidates(saved(placed, "placed"), nodes, above, of), rows, n, above, of)
+    more = _verified(tree_candidates(saved(placed, "placed"), nodes, above, of), rows, nodes, n, above, of)
     merged = more.join(first.select(F.col("v").alias("a"), F.col("component").alias("ca")), "a", "left").join(
         first.select(F.col("v").alias("b"), F.col("component").alias("cb")), "b", "left")
     merged = saved(merged.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")), "merged")

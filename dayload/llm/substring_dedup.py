@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bucket_bits, bucket_of, count_locally, heavy_hashes, partitions, payload_batches, saved
+from .common import bucket_bits, bucket_of, count_locally, heavy_hashes, partitions, payload_batches, planes, saved
 from .words import batches_of, gram_starts, grams, hashed, mix
 
 #: Words of a window, and of the grams that route it.
@@ -56,11 +56,6 @@ _SPAN_NAMES = [c.split()[0] for c in SPANS.split(", ")]
 _SPAN_KINDS = [np.dtype("<i8"), np.dtype("<i8"), np.dtype("<i4"), np.dtype("<i4"), np.dtype("<i8"), np.dtype("<i8"), np.dtype("<i4")]
 
 
-def _planes(a: np.ndarray) -> bytes:
-    """The bytes of an array by significance, which compresses where values are close."""
-    return np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
-
-
 def _unplanes(raw: np.ndarray, n: int, kind: np.dtype) -> np.ndarray:
     return np.ascontiguousarray(raw[:n * kind.itemsize].reshape(kind.itemsize, n).T).view(kind).ravel()
 
@@ -78,7 +73,7 @@ def _widen(raw: np.ndarray, n: int, size: int) -> np.ndarray:
 
 def _entries(docs, discs, pos, key, run, wh) -> bytes:
     """One payload: count, then the columns of its runs, then the window hashes of all runs."""
-    return b"".join([np.array([len(docs)], "<u4").tobytes(), _planes(docs), _planes(discs), _planes(pos.astype("<i4")),
+    return b"".join([np.array([len(docs)], "<u4").tobytes(), planes(docs), planes(discs), planes(pos.astype("<i4")),
                      _narrow(key, 6), run.astype(np.uint8).tobytes(), wh.astype("<u4").tobytes()])
 
 
@@ -165,7 +160,7 @@ class _Chunk:
             cut = np.flatnonzero(np.r_[True, to[order][1:] != to[order][:-1]])
             for lo, hi in zip(cut, np.r_[cut[1:], len(order)]):
                 at = order[lo:hi]
-                yield -1 - int(to[at[0]]), b"".join(_planes(c[at].astype(k)) for c, k in zip(paths, _SPAN_KINDS))
+                yield -1 - int(to[at[0]]), b"".join(planes(c[at].astype(k)) for c, k in zip(paths, _SPAN_KINDS))
         keep = ~gone
         doc, disc, pos, key, wh = (a[keep] for a in (doc, disc, pos, key, wh))
         if not len(doc):
