@@ -173,12 +173,12 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = FIT_DOCS, id_col: str
           label_col: str = "toxic") -> Model:
     found = labelled_sample(docs, labels, limit, id_col, text_col, label_col).toArrow()
     if not found.num_rows:
-        return Model(np.zeros(1 << BITS), 0.0)
+        return Model(np.full(1 << BITS, 10 * START), 0.0)  # nothing is known to be toxic
     order = np.argsort(found.column("doc_id").to_numpy(), kind="stable")
     found = found.take(pa.array(order))
     y = found.column("y").to_numpy() > 0
     if y.all() or not y.any():
-        return Model(np.zeros(1 << BITS), 0.0)
+        return Model(np.full(1 << BITS, 10 * START), 0.0)  # nothing is known to be toxic
     return fit(found.column("text").combine_chunks(), y)
 
 

@@ -247,7 +247,7 @@ def test_toxicity_held_out(engine):
     right = sum((r["score"] >= .5) == (r["toxic"] == 1) for r in scored)
     assert right >= .95 * len(scored)
     found = toxicity.offending_sentences("the cat sat on it. you worthless idiot, loser and scum! the end of it.", model)
-    assert [(a, b) for a, b, _ in found] == [(18, 54)]
+    assert [(a, b) for a, b, _ in found] == [(18, 55)]
 
 
 def test_toxicity_on_odd_rows(engine, odd):
@@ -292,7 +292,8 @@ def test_url_filter(engine):
     got = {r["page_id"]: tuple(r)[1:] for r in url_filter.judged(df).collect()}
     assert got == {**dict(enumerate(urls.values())), None: ("", "", None, "allow")}
     assert url_filter.judged(df.where("false")).count() == 0
-    many = engine.createDataFrame([(i, f"https://bad.net/{'es' if i % 2 else 'xx'}/{i}") for i in range(200)] + [(1000 + i, f"https://w{i}.org/a") for i in range(5)], "page_id long, url string")
+    many = engine.createDataFrame([(i, f"https://bad.net/{'es' if i % 2 else 'xx'}/{i}") for i in range(200)] + [(500 + i, f"https://c{i}.com/a") for i in range(100)]
+                                  + [(1000 + i, f"https://w{i}.org/a") for i in range(5)], "page_id long, url string")
     verdicts = {r["page_id"]: r["verdict"] for r in url_filter.judged(many).collect()}
     assert verdicts[0] == "block" and verdicts[1000] == "allow"
 
