@@ -1,3 +1,5 @@
+"""Fixtures and rows that the tests of this folder share (imported by name; the session is that of tests/conftest.py)."""
+
 import os
 import sys
 

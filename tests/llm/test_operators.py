@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from brute import base_scores, exact_items, linked, without_repeats, words
-from conftest import ODD, SF_SMALL
+from cases import ODD, SF_SMALL, engine, odd, small  # noqa: F401 (fixtures)
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 

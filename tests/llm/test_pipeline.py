@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 from brute import exact_items, linked, without_repeats
-from conftest import ODD, SF_SMALL
+from cases import ODD, SF_SMALL, engine, odd, small  # noqa: F401 (fixtures)
 
 import corpus_pipeline as P
 from dayload.llm import queries as Q
