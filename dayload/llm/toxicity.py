@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .words import find_words, grams, hash_spans, mix, slices, text_buffer
 
 #: Buckets of hashed words; labelled texts that are fitted at most; passes over them.
-BITS, FIT_DOCS, PASSES = 18, 12_000, 150
+BITS, FIT_DOCS, PASSES = 18, 7_000, 150
 #: Step of the fit, and the pull of every weight towards zero (for each text and pass).
 RATE, DECAY = 0.3, 1e-5
 #: Logit of a sentence that holds no word the model knows: nearly innocent, so that thousands of them stay so.
@@ -152,11 +152,11 @@ def fit(column: pa.Array, label: np.ndarray) -> Model:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int = FIT_DOCS, id_col: str = "doc_id", text_col: str = "text",
                     label_col: str = "toxic") -> DataFrame:
-    """At most ``limit`` labelled texts outside the held-out fifth, half of them positive where there are enough."""
+    """At most ``limit`` labelled texts outside the held-out fifth, a quarter of them positive where there are enough."""
     ids = F.col(id_col).cast("long")
     marks = (labels.select(ids.alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("doc_id is not null and y is not null")
              .groupBy("doc_id").agg(F.max("y").alias("y")).where(~held_out("doc_id")))
-    half = limit // 2
+    half = limit // 4
     picked = marks.where("y = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(half).union(
         marks.where("y <> 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit - half))
     texts = docs.select(ids.alias("doc_id"), F.col(text_col).alias("text"))
