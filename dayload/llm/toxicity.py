@@ -7,8 +7,9 @@ that no sentence explains.  Only texts carry labels, so the words are fitted
 through the noisy-or: every sentence of a positive text shares the push in
 proportion to its own score, and every sentence of a negative text is pushed
 down.  Words whose presence goes with the label no more than chance allows are
-left out first; a sentence without any other word is all but innocent, however
-many of them a long text has.
+left out first (Fisher's exact test, which holds for empty cells and for any
+number of texts, with a bound on the share of false finds); a sentence without
+any other word is all but innocent, however many of them a long text has.
 
 The sample that is fitted is bounded (``FIT_DOCS`` labelled rows, by hash of
 their id); scoring covers every text whole.
@@ -38,8 +39,8 @@ BITS, FIT_DOCS, PASSES = 18, 7_000, 150
 RATE, DECAY = 0.3, 1e-5
 #: Logit of a sentence that holds no word the model knows: nearly innocent, so that thousands of them stay so.
 START = -10.0
-#: Standard errors by which a word's log odds ratio between the labels must differ from 0, and texts that must hold it.
-SIGNAL, TEXTS = 5.0, 5
+#: Share of the words let in that may go with the label by chance alone, and texts that must hold a word.
+FALSE, TEXTS = 0.05, 5
 
 _STOP = np.zeros(256, bool)
 _STOP[[33, 46, 63, 10]] = True  # . ! ? and line ends close a sentence
@@ -102,6 +103,26 @@ class Model:
         return 1 - (1 - self.leak) * np.exp(left)
 
 
+def by_chance(held: np.ndarray, with_pos: np.ndarray, pos: int, n: int) -> np.ndarray:
+    """For words in ``held`` of ``n`` texts, ``with_pos`` of them among the ``pos`` positive ones: the probability of a
+    split at least as uneven to the same side if labels were dealt at random, doubled (Fisher's exact test)."""
+    log = np.r_[0.0, np.cumsum(np.log(np.arange(1, n + 1)))]
+    pairs, of = np.unique(np.stack([held, with_pos], axis=1), axis=0, return_inverse=True)
+    out = np.ones(len(pairs))
+    for i, (m, k) in enumerate(pairs):
+        x = np.arange(max(0, m - (n - pos)), min(m, pos) + 1)
+        chance = np.exp(log[pos] - log[x] - log[pos - x] + log[n - pos] - log[m - x] - log[n - pos - m + x] - log[n] + log[m] + log[n - m])
+        out[i] = min(1.0, 2 * min(chance[x >= k].sum(), chance[x <= k].sum()))
+    return out[of.ravel()]
+
+
+def telling(chance: np.ndarray, false: float = FALSE) -> np.ndarray:
+    """Whether each probability is so small that at most ``false`` of those let in are expected to be chance (Benjamini and Hochberg)."""
+    low = np.sort(chance)
+    good = np.flatnonzero(low <= false * np.arange(1, len(low) + 1) / max(len(low), 1))
+    return chance <= low[good[-1]] if len(good) else np.zeros(len(chance), bool)
+
+
 def fit(column: pa.Array, label: np.ndarray) -> Model:
     """Fit the words of labelled texts through the noisy-or (full-batch gradient, per-word step sizes)."""
     words, sents, rows, base, at = [], [], [], 0, 0
@@ -128,7 +149,8 @@ def fit(column: pa.Array, label: np.ndarray) -> Model:
     with_pos = np.bincount(held, of, len(used))
     cells = [with_pos + .5, pos - with_pos + .5, all_n - with_pos + .5, (first.sum() - pos) - (all_n - with_pos) + .5]
     odds, error = np.log(cells[0] * cells[3] / (cells[1] * cells[2])), np.sqrt(sum(1 / c for c in cells))
-    known = (np.abs(odds) >= SIGNAL * error) & (all_n >= TEXTS)
+    known = all_n >= TEXTS
+    known[known] = telling(by_chance(all_n[known], with_pos[known].astype(np.int64), int(pos), int(first.sum())))
     keep = known[word]
     word, sent = (np.cumsum(known) - 1)[word[keep]], sent[keep]
     used = used[known]

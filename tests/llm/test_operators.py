@@ -4,6 +4,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from brute import base_scores, exact_items, linked, without_repeats, words
@@ -250,6 +251,32 @@ def test_toxicity_held_out(engine):
     assert [(a, b) for a, b, _ in found] == [(18, 55)]
 
 
+def test_toxicity_knows_words_no_clean_text_holds():
+    rng = np.random.default_rng(2)
+
+    def texts(n, insult):
+        return [" ".join(f"w{x}" for x in rng.integers(0, 3000, 40)) + (". clown. " if insult(i) else ". ") for i in range(n)]
+
+    for toxic, clean, holding in ((40, 280, 15), (400, 1200, 34)):  # the word is in 15 of 40, 34 of 400 toxic texts and in no clean one
+        rows = texts(toxic, lambda i: i < holding) + texts(clean, lambda i: False)
+        model = toxicity.fit(pa.array(rows), np.arange(len(rows)) < toxic)
+        new = pa.array(["all is well. what a clown he is.", "all is well. what a day it is.", "w1 w2 w3. w4 w5."])
+        score = np.concatenate([model.rows(*s) for s in toxicity.sentences(new)])
+        assert score[0] >= .5 and (score[1:] < .5).all(), (toxic, score)
+    # the test itself: 18 of 45 toxic and 0 of 284 clean texts; both splits of two in four; the bound on false finds
+    assert toxicity.by_chance(np.array([18]), np.array([18]), 45, 329)[0] < 1e-15
+    assert np.allclose(toxicity.by_chance(np.array([2, 2]), np.array([2, 1]), 2, 4), [1 / 3, 1])
+    assert toxicity.telling(np.array([.5, .001, .04, .9])).tolist() == [False, True, False, False] and not len(toxicity.telling(np.zeros(0)))
+
+
+def test_toxicity_recall_on_small_tables(engine):
+    d = "/root/testdata/sf0.01"
+    docs, labels = engine.read.parquet(f"{d}/documents.parquet"), engine.read.parquet(f"{d}/labels.parquet")
+    scored = toxicity.score(docs, toxicity.train(docs, labels)).join(labels, "doc_id").where(toxicity.held_out("doc_id")).select("toxic", "score").collect()
+    toxic = [r["score"] >= .5 for r in scored if r["toxic"] == 1]
+    assert sum(toxic) >= .6 * len(toxic) and not any(r["score"] >= .5 for r in scored if r["toxic"] == 0)
+
+
 def test_toxicity_on_odd_rows(engine, odd):
     labels = engine.createDataFrame([(1, 0), (4, 1), (4, 0), (7, None), (None, 1)], "doc_id long, toxic int")
     model = toxicity.train(odd, labels)
