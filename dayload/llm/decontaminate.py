@@ -6,7 +6,10 @@ random matrix over its passages, the driver finishes the small Nystroem step)
 gives each word a short vector.  A window of a document is the sum of its
 words' vectors; windows of about an item's length slide over every whole text,
 and those whose cosine with an item, and whose share of the item's own vector,
-are high enough become candidates.
+are high enough become candidates.  The latent space may miss paraphrases, so
+every stretch of up to ``SPAN`` times an item's length that can pass the check
+becomes a candidate too: one that keeps ``LOOSE`` of an item's words must hold
+some of its rarest, and those are looked up word by word.
 
 A candidate is checked on the words: the longest common subsequence of the item
 and the text around the window must hold ``SAME`` of the item's words, or, for
@@ -45,6 +48,11 @@ SAME, LOOSE, ANSWER = 0.75, 0.5, 0.8
 GROW, STEPS, GRAIN = 1.4, 5, 3
 #: Share of an item that the nearest window covers at least; windows times items of one product.
 HELD, CELLS = 0.8, 2_000_000
+#: A stretch to be found is at most so many times an item's length; part of an item's words that are looked up
+#: beyond those of which a hit holds one at least; items whose words are looked up together.
+SPAN, MORE, TOGETHER = 1.5, 0.15, 256
+#: Cells of the table of items by words; beyond it their pairs are searched.
+TABLE = 1 << 23
 #: Bytes of items that are searched together.
 BLOCK_BYTES = 1 << 20
 _PARTS = 32
@@ -197,8 +205,9 @@ def _bit_lcs(a: list[int], b: list[int]) -> int:
 class Searcher:
     """Finds the items of a block in slices of texts."""
 
-    def __init__(self, items: Items, vectors: np.ndarray):
+    def __init__(self, items: Items, vectors: np.ndarray, idf: np.ndarray):
         self.items = items
+        self._look_up(idf)
         self.vectors = np.vstack([vectors, np.zeros((1, vectors.shape[1]), np.float32)])  # -1: no item's word
         z = np.array([vectors[items.features(h)].sum(axis=0) for h in items.words])
         sizes = np.array([len(h) for h in items.words])
@@ -211,9 +220,75 @@ class Searcher:
             self.classes.append((max(1, int(round(GROW ** s / GRAIN))), at, (zi / norm[:, None]).T.copy(), norm))
         self.features, self.sizes = len(items.known), sizes
         self.pairs = np.unique(np.concatenate([i * self.features + items.features(h) for i, h in enumerate(items.words)]))
+        self.table = None
+        if len(items.words) * self.features <= TABLE:
+            self.table = np.zeros((len(items.words), self.features), bool)
+            self.table.ravel()[self.pairs] = True
         self.lists = [h.tolist() for h in items.words]
         self.answer_lists = [h.tolist() for h in items.answers]
 
+    def _look_up(self, idf: np.ndarray) -> None:
+        """For groups of items: where the items of each word begin, and the items; only an item's rarest words count."""
+        items = self.items
+        sizes = np.array([len(h) for h in items.words])
+        self.needed = np.ceil(LOOSE * sizes - 1e-9).astype(np.int64)  # least common subsequence of any hit
+        self.span = np.maximum(1, (SPAN * sizes).astype(np.int64))
+        self.grid = np.maximum(1, sizes // 2)
+        # all but needed - 1 words (no hit is without them) and some more: a hit holds ``least`` of them
+        kept = np.minimum(sizes, sizes - self.needed + 1 + (MORE * sizes).astype(np.int64))
+        self.least = kept - (sizes - self.needed)
+        self.groups = []
+        for a in range(0, len(sizes), TOGETHER):
+            words = [items.features(h) for h in items.words[a:a + TOGETHER]]
+            words = [np.unique(g[np.argsort(-idf[g], kind="stable")[:k]]) for g, k in zip(words, kept[a:a + TOGETHER])]
+            of, word = np.repeat(np.arange(a, a + len(words)), [len(g) for g in words]), np.concatenate(words)
+            order = np.argsort(word, kind="stable")
+            self.groups.append((np.searchsorted(word[order], np.arange(len(items.known) + 1)), of[order]))
+
+    def stretches(self, f: np.ndarray, w: Words) -> Iterator[tuple[int, int, int, int]]:
+        """(row, item, start, end): stretches of two lengths of the item that cover every shorter one with enough of its words."""
+        sizes, row_of = self.sizes, w.row_of()
+        known = np.flatnonzero(f >= 0)
+        for begin, of in self.groups:
+            many = begin[f[known] + 1] - begin[f[known]]
+            at, many = known[many > 0], many[many > 0]
+            if not len(at):
+                continue
+            item = of[np.repeat(begin[f[at]] - np.cumsum(many) + many, many) + np.arange(many.sum())]
+            key = np.sort(item * len(f) + np.repeat(at, many))
+            item, at = key // len(f), key % len(f)
+            last = np.arange(len(key)) + self.least[item] - 1
+            inside = last < len(key)
+            k, last = np.flatnonzero(inside), last[inside]
+            near = (item[last] == item[k]) & (row_of[at[last]] == row_of[at[k]]) & (at[last] - at[k] < self.span[item[k]])
+            item, at, end = item[k[near]], at[k[near]], at[last[near]]
+            if not len(item):
+                continue
+            row = row_of[at]
+            step, top = self.grid[item], w.first[row]
+            low = np.maximum(0, end - top - self.span[item] + 1) // step
+            looks = (at - top) // step - low + 1
+            q = np.repeat(low - np.cumsum(looks) + looks, looks) + np.arange(looks.sum())
+            wide = int(q.max()) + 1
+            key = np.unique((np.repeat(item, looks) * w.rows + np.repeat(row, looks)) * wide + q)
+            item, row, q = key // wide // w.rows, key // wide % w.rows, key % wide
+            start = w.first[row] + q * self.grid[item]
+            # up to the step beyond the span: what begins before the next look ends within this one
+            end = np.minimum(start + self.span[item] + self.grid[item], w.first[row + 1])
+            for a, b in self._blocks(end - start):
+                width = np.arange(int((end[a:b] - start[a:b]).max()))
+                words = f[np.minimum(start[a:b, None] + width, len(f) - 1)]
+                found = self._has(item[a:b], words) & (width < (end - start)[a:b, None])
+                for x in a + np.flatnonzero(found.sum(axis=1) >= self.needed[item[a:b]]):
+                    yield int(row[x]), int(item[x]), int(start[x]), int(end[x])
+
+    @staticmethod
+    def _blocks(width: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Ranges of looks whose words fit a bounded table."""
+        step = max(1, CELLS // max(1, int(width.max())))
+        for a in range(0, len(width), step):
+            yield a, min(a + step, len(width))
+
     def candidates(self, f: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(start, window length, item) over the words of a slice."""
         n = -(-len(f) // GRAIN)
@@ -235,12 +310,17 @@ class Searcher:
                 for c in range(0, len(i), 1 << 12):
                     yield from self._holding(padded, i[c:c + (1 << 12)], j[c:c + (1 << 12)], size * GRAIN)
 
+    def _has(self, item: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Whether the item of a row has each of the row's words."""
+        if self.table is not None:
+            return self.table[item[:, None], words] & (words >= 0)
+        key = item[:, None] * self.features + words
+        return (self.pairs[np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)] == key) & (words >= 0)
+
     def _holding(self, f: np.ndarray, start: np.ndarray, item: np.ndarray, size: int) -> Iterator[tuple[int, int, int]]:
         """The candidates whose window holds enough words of the item, whatever their order."""
         words = f[np.minimum(start[:, None] + np.arange(size), len(f) - 1)]
-        key = item[:, None] * self.features + words
-        found = self.pairs[np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)] == key
-        keep = ((found & (words >= 0)).sum(axis=1) >= LOOSE * HELD * self.sizes[item])
+        keep = self._has(item, words).sum(axis=1) >= LOOSE * HELD * self.sizes[item]
         yield from zip(start[keep].tolist(), [size] * int(keep.sum()), item[keep].tolist())
 
     def verify(self, words: list[int], item: int) -> float:
@@ -270,6 +350,10 @@ class Searcher:
                 part = self.verify(h[lo:hi][f[lo:hi] >= 0].tolist(), item)
                 if part > out.get((row, item), (0.0, 0, 0))[0]:
                     out[row, item] = (part, lo - int(w.first[row]), hi - int(w.first[row]))
+        for row, item, lo, hi in self.stretches(f, w):
+            part = self.verify(h[lo:hi][f[lo:hi] >= 0].tolist(), item)
+            if part > out.get((row, item), (0.0, 0, 0))[0]:
+                out[row, item] = (part, lo - int(w.first[row]), hi - int(w.first[row]))
         return out
 
 
@@ -299,7 +383,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     found = None
     for items in item_blocks(benchmark, item_col, item_text_col):
         space = Space(rows.select("text"), items)
-        shared = spark.sparkContext.broadcast(Searcher(items, space.vectors))
+        shared = spark.sparkContext.broadcast(Searcher(items, space.vectors, space.idf))
 
         def search(batches, shared=shared):
             item_type = None
@@ -330,7 +414,7 @@ def clean_rows(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
     text = f"c{names.index(text_col)}"
     for items in item_blocks(benchmark, item_col, item_text_col):
         space = Space(docs.select(F.col(text_col).alias("text")), items)
-        shared = spark.sparkContext.broadcast(Searcher(items, space.vectors))
+        shared = spark.sparkContext.broadcast(Searcher(items, space.vectors, space.idf))
 
         def keep(batches, shared=shared):
             for batch in batches:

@@ -191,6 +191,40 @@ def test_decontaminate(engine, small, odd):
     assert decontaminate.clean_rows(odd, bench.where("false")).count() == len(ODD)
 
 
+@pytest.mark.parametrize("table", [True, False])
+def test_decontaminate_finds_every_paraphrase(engine, monkeypatch, table):
+    if not table:
+        monkeypatch.setattr(decontaminate, "TABLE", 0)
+        monkeypatch.setattr(decontaminate, "TOGETHER", 7)
+    d, rng = "/root/testdata/sf0.01", np.random.default_rng(5)
+    docs, bench = engine.read.parquet(f"{d}/documents.parquet").select("doc_id", "text"), engine.read.parquet(f"{d}/benchmark.parquet")
+    items = [tuple(r) for r in bench.select("item_id", "text").orderBy("item_id").collect()]
+    corpus = " ".join(r["text"] or "" for r in docs.orderBy("doc_id").limit(200).collect()).split()
+    rows, planted = [], set()
+    for i, t in items:
+        w = t.split()
+        tail = len(decontaminate.Items._answer(t).split())
+        for kept in (.5, .6, .7, .8, .9):
+            body = np.arange(len(w) - tail)
+            gone = rng.permutation(body)[:min(len(body), int(len(w) * (1 - kept)))]
+            new = [corpus[rng.integers(len(corpus))] if x in gone else w[x] for x in range(len(w))]
+            doc = 10**6 + len(rows)
+            rows.append((doc, " ".join([corpus[x] for x in rng.integers(len(corpus), size=50)] + new + [corpus[x] for x in rng.integers(len(corpus), size=50)])))
+            planted.add((doc, i))
+    got = decontaminate.contaminated(docs.union(engine.createDataFrame(rows, "doc_id long, text string")), bench).select("doc_id", "item_id").collect()
+    got = {tuple(r) for r in got}
+    assert planted <= got
+    # a scan of all stretches by brute force: nothing else is missed either
+    held = decontaminate.Items([i for i, _ in items], [t for _, t in items])
+    check = decontaminate.Searcher(held, np.zeros((len(held.known), 2), np.float32), np.ones(len(held.known)))
+    for doc, text in rows[::10]:
+        h = held._hashes(text).tolist()
+        for n, i in enumerate(held.ids):
+            span = int(1.5 * len(held.words[n]))
+            if any(check.verify(h[a:a + span], n) for a in range(max(1, len(h) - span + 1))):
+                assert (doc, i) in got, (doc, i)
+
+
 def test_bit_lcs():
     rng = np.random.default_rng(1)
     for _ in range(50):
