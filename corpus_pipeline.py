@@ -5,8 +5,9 @@ returns a DataFrame that is written as Parquet and read again as the next one's
 ``docs``.  All but the last return the columns of ``docs``.
 
 1. ``toxicity``: documents that the model scores 0.5 or more go.
-2. ``ngram_join``: of each component of near copies the document with the
-   smallest id stays (rows without an id stay).
+2. ``ngram_join``: of each component of near copies (five words, 0.8; the query
+   op1 has its own four and 0.85) the document with the smallest id stays (rows
+   without an id stay).
 3. ``substring_dedup``: words of 13-word windows that also start in a document
    with a smaller id are cut out of the text; ``n_chars`` follows the text.
 4. ``decontaminate``: documents in which a benchmark item is found go.
@@ -42,7 +43,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     importable(spark)
-    others = linked_documents(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    others = linked_documents(docs, n=5, above=80, of=100).where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -32,6 +32,14 @@ def test_stages(stages):
     assert all(r["n_chars"] == len(r["text"]) for r in cut.collect())
 
 
+def test_ngram_join_stage_links_by_five_words_and_four_fifths(engine):
+    # one of 50 words changed, shingles shared of all: 41 of 51 (5 words, 0.804) and 43 of 51 (4 words, 0.843)
+    base = [f"a{i}" for i in range(50)]
+    rows = [(1, " ".join(base)), (2, " ".join("new" if i == 20 else w for i, w in enumerate(base))), (3, " ".join(f"b{i}" for i in range(50)))]
+    docs = engine.createDataFrame([(i, t, None, None, None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r["doc_id"] for r in P.ngram_join(engine, docs, SF_SMALL).collect()) == [1, 3]
+
+
 def test_stages_on_odd_rows(engine):
     docs = engine.createDataFrame([(i, t, None, None, None) for i, t in ODD], "doc_id long, text string, lang string, source string, n_chars long")
     for d in (docs, docs.where("false")):
