@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import license_scan, lm_score, toxicity, url_filter
+from . import license_scan, lm_score, periodic_runs, toxicity, url_filter, whitening
 from .bpe_lexicon import build_lexicon, encode_digests
 from .common import importable
 from .decontaminate import contaminated
 from .multi_index import nearest
 from .ngram_join import linked_documents
+from .packing import pack_documents
 from .substring_dedup import kept_digests
 from .token_files import read_documents, write_tokens
 
@@ -90,3 +91,18 @@ def op4_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(table(spark, sf_dir, "documents"), planted=True)
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
