@@ -7,13 +7,14 @@ catalog operators (selection, key lookup, column listing).
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .vendor_sql import MARKER, UnreadableSql, filled
+
 # Vendor family whose change column is OPDATE with day matching and mode
 # branches; every other family uses ENTRYTIME with an exact match.
 WIND = "wind"
@@ -61,7 +62,7 @@ class TableSpec:
     date_column: str | None
     primary_key: tuple[str, ...] | None
     all_cols: tuple[ColumnSpec, ...] = field(default_factory=tuple)
-    base_sql: str | None = None  # source_sql without its own date test, where it has one
+    sql_error: str | None = None  # why the source SQL can't be used; loads of the table fail with it
 
     @property
     def is_wind(self) -> bool:
@@ -246,8 +247,7 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
 # date_column, is_important, primary_key, all_cols: {column: {...}}}} as
 # the daily loaders keep them, plus the first loader's field names.
 # ---------------------------------------------------------------------------
-DATE_PLACEHOLDER = "%s"
-LOAD_DATE_MARKER = ":load_date"
+LOAD_DATE_MARKER = MARKER
 
 
 def _read_text(spark: SparkSession, path: str) -> str:
@@ -256,37 +256,29 @@ def _read_text(spark: SparkSession, path: str) -> str:
     return spark.read.text(path, wholetext=True).collect()[0][0]
 
 
-def without_date_test(table: str, sql: str, date_column: str | None) -> str:
-    """The SQL of an incremental table without its one ``<date column> = '%s'``
-    test, for loads that filter on another date.  Raises where the text holds
-    none, more than one, or a placeholder elsewhere."""
-    column = re.escape(date_column or "")
-    test = re.compile(rf"(?:\b\w+\.)?(?<!\w){column}\s*=\s*'?{DATE_PLACEHOLDER}'?", re.IGNORECASE)
-    if not date_column or len(test.findall(sql)) != 1 or sql.count(DATE_PLACEHOLDER) != 1:
-        raise ValueError(f"{table}: the source SQL must test {date_column} = '{DATE_PLACEHOLDER}' exactly once")
-    return test.sub("1 = 1", sql)
-
-
 def specs_from_keyed(obj: dict) -> list[TableSpec]:
-    """Table specs from a keyed catalog.  A ``%s`` date placeholder in the
-    SQL becomes the ``:load_date`` parameter marker (bound, never formatted);
-    an incremental table's SQL is also kept without its date test, for loads by
-    change date; column order is the order of ``all_cols``."""
+    """Table specs from a keyed catalog.  In the SQL of an incremental table a
+    ``%s`` date placeholder becomes the ``:load_date`` parameter marker (bound,
+    never formatted) and ``%%`` a single ``%``; a text that can't be read
+    fails the loads of its own table only.  Column order is the order of
+    ``all_cols``."""
     specs = []
     for name, t in obj.items():
         cols = t.get("all_cols", t.get("all_columns")) or {}
-        sql = t.get("sql", "")
-        date_column = t.get("date_column", t.get("date_where"))
-        base = without_date_test(name, sql, date_column) if t.get("dynamic", False) and sql else None
-        sql = sql.replace(f"'{DATE_PLACEHOLDER}'", LOAD_DATE_MARKER).replace(DATE_PLACEHOLDER, LOAD_DATE_MARKER)
+        sql, error = t.get("sql", ""), None
+        if t.get("dynamic", False):
+            try:
+                sql = filled(sql)
+            except UnreadableSql as exc:
+                error = str(exc)
         specs.append(TableSpec(
             table_name=name, data_base=t.get("data_base", ""),
             original_table=t.get("original_table", t.get("oraignal_table")) or name,
             source_sql=sql, dynamic=bool(t.get("dynamic", False)),
             is_important=bool(t.get("is_important", True)),
-            date_column=date_column,
+            date_column=t.get("date_column", t.get("date_where")),
             primary_key=tuple(t["primary_key"]) if t.get("primary_key") is not None else None,
-            all_cols=columns_from_keyed(cols), base_sql=base))
+            all_cols=columns_from_keyed(cols), sql_error=error))
     return specs
 
 

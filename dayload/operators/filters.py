@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..catalog import MODE_COLUMN, TableSpec
+from ..catalog import LOAD_DATE_MARKER, MODE_COLUMN, TableSpec
 from ..functions.timefmt import day_bounds, epoch_bounds
 from ..functions.types import is_integral, is_numeric
+from ..vendor_sql import DateTest
 
 # Row modes of the vendor's change log.
 MODE_NEW = "0"
@@ -139,6 +140,21 @@ def incremental_filter(df: DataFrame, spec: TableSpec, load_date: str, by: str =
     return df if pred is None else df.where(pred)
 
 
+def change_test_text(test: DateTest, spec: TableSpec, load_date: str, by: str, native: bool) -> str:
+    """The change predicate as text, for the place of a query's own date test
+    (``native``: in the vendor's dialect, else the session's)."""
+    mode = resolve_by(spec, by)
+    day, _ = day_bounds(load_date)
+    changed = test.on(spec.change_column)
+    if mode == BY_ENTRY_TIME:
+        return f"{changed} = '{int(load_date)}'" if native else f"CAST({changed} AS TIMESTAMP_NTZ) = TIMESTAMP_NTZ'{day} 00:00:00'"
+    on_day = f"convert(varchar(100), {changed}, 112) = '{int(load_date)}'" if native else f"CAST({changed} AS DATE) = DATE'{day}'"
+    if not spec.is_wind:
+        return on_day
+    kind, date = test.on(MODE_COLUMN), test.on(spec.date_column)
+    return f"({on_day} AND ({kind} = '{MODE_NEW}' OR ({kind} = '{MODE_CHANGED}' AND {date} >= {LOAD_DATE_MARKER})))"
+
+
 def change_load_union(df: DataFrame, spec: TableSpec, load_date: str) -> DataFrame:
     """The change-day load written as UNION ALL of the two mode branches
     (SET-1).  Same rows as ``incremental_filter(by='change')``; kept for

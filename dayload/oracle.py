@@ -7,6 +7,7 @@ comparisons are re-stated here in plain SQL over the driver's tables
 from __future__ import annotations
 
 from .catalog import TableSpec
+from .queries import KEYED_FORMS
 from .sources import vendor as V
 
 ORACLES: dict[str, str] = {}
@@ -572,6 +573,12 @@ def _():
     return _keyed_sql(business_rows_sql)
 
 
+for _form, (_, _business, _changed) in KEYED_FORMS.items():
+    ORACLES[f"keyed_form_{_form}"] = " UNION ALL ".join(
+        f"SELECT '{profile}' AS profile, event_id::BIGINT AS event_id FROM ({SOURCES['windevents']}) s WHERE {rule}"
+        for profile, rule in (("business", _business), ("change", _changed)) if rule)
+
+
 @oracle("load_sidecar")
 def _():
     rows = [(c.name, c.database_type, c.parquet_type) for c in V.WINDEVENTS.all_cols]

@@ -14,12 +14,13 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..catalog import LOAD_DATE_MARKER, TableSpec
-from ..operators.filters import BY_BUSINESS, incremental_filter
+from ..catalog import LOAD_DATE_MARKER, MODE_COLUMN, TableSpec
+from ..operators.filters import BY_BUSINESS, change_test_text, incremental_filter
 from ..operators.project import CHANGE, PROFILES, LoadProfile, normalize
 from ..sinks.writers import (AUDIT_SCHEMA, append_audit, audit_row, write_sidecar,
                              write_slice, write_snapshot)
 from ..sources.query import CHUNK_ROWS, source_frame
+from ..vendor_sql import VendorSql
 
 # Tables defined concurrently by one run of all tables.
 LOAD_THREADS = 5
@@ -41,18 +42,37 @@ def load_plan(spark: SparkSession, spec: TableSpec, load_date: str,
               connections: dict | None = None) -> DataFrame:
     """The stored rows of one table and day, not yet written."""
     profile = _profile(profile)
-    tested = source is None and spec.dynamic and LOAD_DATE_MARKER in spec.source_sql
-    if tested and profile.by != BY_BUSINESS:
-        # the text filters on the business date itself; the load filters on the change date
-        if spec.base_sql is None:
-            raise ValueError(f"{spec.table_name}: source SQL filters on the load date; "
-                             "a change-date load needs the query without its date test")
-        spec, tested = replace(spec, source_sql=spec.base_sql), False
-    src = source if source is not None else source_frame(spark, spec, load_date, connections)
-    rows = src if tested or not spec.dynamic else incremental_filter(src, spec, load_date, profile.by)
+    if source is not None:
+        return normalize(incremental_filter(source, spec, load_date, profile.by), spec, load_date, profile)
+    if spec.sql_error:
+        raise ValueError(f"{spec.table_name}: {spec.sql_error}")
+    if not spec.dynamic or LOAD_DATE_MARKER not in spec.source_sql:
+        rows = incremental_filter(source_frame(spark, spec, load_date, connections), spec, load_date, profile.by)
+    elif profile.by == BY_BUSINESS:  # the text tests its business date itself
+        rows = source_frame(spark, spec, load_date, connections)
+    else:
+        rows = _changed_rows(spark, spec, load_date, profile.by, connections)
     return normalize(rows, spec, load_date, profile)
 
 
+def _changed_rows(spark: SparkSession, spec: TableSpec, load_date: str, by: str, connections: dict | None) -> DataFrame:
+    """The rows of a change date from a text that tests the business date.
+
+    The text's test gives way to the change predicate.  Where the query returns
+    plain rows with the columns needed, the predicate is a filter on top of
+    it, typed and pushed down; else it is written in the test's place."""
+    sql = VendorSql.read(spec.source_sql)
+    if sql.plain and all(t.conjunct for t in sql.on_column(spec.date_column)):
+        free = replace(spec, source_sql=sql.swapped(spec.date_column, lambda t: "1 = 1"))
+        src = source_frame(spark, free, load_date, connections)
+        needed = [spec.change_column, *([MODE_COLUMN, spec.date_column] if spec.is_wind else [])]
+        if {c.lower() for c in needed} <= {c.lower() for c in src.columns}:
+            return incremental_filter(src, spec, load_date, by)
+    native = spec.data_base in (connections or {})
+    inside = sql.swapped(spec.date_column, lambda t: change_test_text(t, spec, load_date, by, native))
+    return source_frame(spark, replace(spec, source_sql=inside), load_date, connections)
+
+
 def stored_name(spec: TableSpec, profile: LoadProfile | str) -> str:
     """The table's folder: its catalog name in the first loader's layout, else the vendor's name."""
     return spec.original_table if _profile(profile).with_load_date else spec.table_name

@@ -123,6 +123,39 @@ def q_keyed_load_business(spark, sf_dir):
     return _keyed_load(spark, sf_dir, "business")
 
 
+# How kept SQL texts may test their date: (query, business rows, change rows) by form; both as conditions on the source.
+_ON_DAY = "CAST(OPDATE AS DATE) = DATE '2024-01-15' AND (OPMODE = '0' OR OPMODE = '1' AND TRADE_DT >= '20240115')"
+KEYED_FORMS = {
+    "range": ("SELECT * FROM vendor_windevents WHERE TRADE_DT >= '%s'", "TRADE_DT >= '20240115'", _ON_DAY),
+    "brackets": ("SELECT [e].* FROM [vendor_windevents] [e] WHERE [e].[TRADE_DT] = '%s' -- the day", "TRADE_DT = '20240115'", _ON_DAY),
+    "convert": ("SELECT * FROM vendor_windevents WHERE convert(varchar(100), TRADE_DT, 112) = '%s'", "TRADE_DT = '20240115'", _ON_DAY),
+    "convert_time": ("SELECT * FROM vendor_windevents WHERE convert(varchar(100), OPDATE, 112) = '%s'", "CAST(OPDATE AS DATE) = DATE '2024-01-15'", None),
+    "between": ("SELECT * FROM vendor_windevents w WHERE w.event_id %% 2 = 0 AND w.TRADE_DT BETWEEN '%s' AND '%s' AND w.value_txt LIKE '%%i%%'",
+                "TRADE_DT = '20240115' AND event_id % 2 = 0 AND value_txt LIKE '%i%'", f"{_ON_DAY} AND event_id % 2 = 0 AND value_txt LIKE '%i%'"),
+    "either": ("SELECT * FROM vendor_windevents WHERE (TRADE_DT = '%s' OR event_id < 50) AND NOT user_id IS NULL",
+               "(TRADE_DT = '20240115' OR event_id < 50) AND user_id IS NOT NULL", f"({_ON_DAY} OR event_id < 50) AND user_id IS NOT NULL"),
+    "subquery": ("SELECT s.event_id, s.value_num FROM (SELECT event_id, value_num FROM vendor_windevents x WHERE x.TRADE_DT = '%s') s WHERE s.event_id > 3",
+                 "TRADE_DT = '20240115' AND event_id > 3", f"{_ON_DAY} AND event_id > 3"),
+}
+
+
+def _keyed_form(spark, sf_dir, form):
+    """A kept text loaded by both dates; the keys that each load stored."""
+    _views(spark, sf_dir)
+    sql, _, changed = KEYED_FORMS[form]
+    spec, = specs_from_keyed({"windevents": KEYED["windevents"] | {"sql": sql, "all_cols": {"event_id": KEYED["windevents"]["all_cols"]["event_id"]}}})
+    out = []
+    for profile in ("business", "change") if changed else ("business",):
+        root = scratch_dir(spark, "form")
+        load_table(spark, spec, W, root, profile)
+        out.append(scan_load_date(spark, root, spec.original_table, W).select(F.lit(profile).alias("profile"), F.col("event_id").cast("long").alias("event_id")))
+    return out[0].unionByName(out[1]) if changed else out[0]
+
+
+for _form in KEYED_FORMS:
+    QUERIES[f"keyed_form_{_form}"] = lambda spark, sf_dir, form=_form: _keyed_form(spark, sf_dir, form)
+
+
 @query("daily_load_all")
 def daily_load_all(spark, sf_dir):
     """The daily run: every important incremental table, by change date."""

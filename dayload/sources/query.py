@@ -9,6 +9,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 
 from ..catalog import LOAD_DATE_MARKER, TableSpec
+from ..vendor_sql import spark_text
+
 # The vendor loads fetch at most this many rows per round trip / file.
 CHUNK_ROWS = 1_000_000
 
@@ -32,7 +34,7 @@ def source_frame(spark: SparkSession, spec: TableSpec, load_date: str | None = N
         if load_date is not None and LOAD_DATE_MARKER in sql:
             sql = sql.replace(LOAD_DATE_MARKER, f"'{int(load_date)}'")  # digits only
         return conn.with_bounds(spark, sql).scan(spark, sql)
-    return scan_sql_query(spark, spec.source_sql, load_date)
+    return scan_sql_query(spark, spark_text(spec.source_sql), load_date)
 
 
 def read_connections(spark: SparkSession, path: str) -> dict[str, "JdbcSource"]:
