@@ -506,6 +506,11 @@ def _():
     return f"SELECT event_id, OPDATE, OPMODE, TRADE_DT FROM ({WINDEVENTS_SRC}) s WHERE TRADE_DT = '{W}'"
 
 
+@oracle("scan_chunked")
+def _():
+    return f"SELECT event_id, event_type, ts FROM events WHERE {day_range_sql('ts', W)}"
+
+
 @oracle("scan_load_date")
 def _():
     return load_sql(V.WINDEVENTS, W, "business")

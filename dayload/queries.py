@@ -25,6 +25,7 @@ from .plans.reconcile import read_report, reconcile_all, reconcile_day, write_re
 from .session import scratch_dir
 from .sinks.writers import read_audit, read_sidecar, write_snapshot
 from .sources import vendor as V
+from .sources.chunked import scan_chunks
 from .sources.query import scan_sql_query
 from .sources.store import comparable_tables, list_loaded_tables, scan_load_date, scan_snapshot_table
 
@@ -215,6 +216,13 @@ def q_scan_sql_query(spark, sf_dir):
                "WHERE TRADE_DT = :load_date", W)
 
 
+@query("scan_chunked")
+def q_scan_chunked(spark, sf_dir):
+    """One change day fetched in chunks; the day's range reaches the row groups."""
+    events = scan_chunks(spark, f"{sf_dir}/events.parquet", ["event_id", "event_type", "ts"])
+    return FL.filter_change_day(events, "ts", W)
+
+
 @query("scan_load_date")
 def q_scan_load_date(spark, sf_dir):
     """Three loads into one store (the day, the next day, the day again);

@@ -10,9 +10,7 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 
 from ..catalog import LOAD_DATE_MARKER, TableSpec
 from ..vendor_sql import spark_text
-
-# The vendor loads fetch at most this many rows per round trip / file.
-CHUNK_ROWS = 1_000_000
+from .chunked import CHUNK_ROWS, ChunkedConnection
 
 
 def scan_sql_query(spark: SparkSession, sql: str, load_date: str | None = None) -> DataFrame:
@@ -24,7 +22,7 @@ def scan_sql_query(spark: SparkSession, sql: str, load_date: str | None = None)
 
 
 def source_frame(spark: SparkSession, spec: TableSpec, load_date: str | None = None,
-                 connections: dict[str, "JdbcSource"] | None = None) -> DataFrame:
+                 connections: dict[str, "JdbcSource | ChunkedConnection"] | None = None) -> DataFrame:
     """The table's source rows: over JDBC when a connection is registered for
     its vendor family (``data_base``), else as SQL on the session.  Row
     filters applied later are pushed into the JDBC query by Spark."""
@@ -33,14 +31,17 @@ def source_frame(spark: SparkSession, spec: TableSpec, load_date: str | None = N
         sql = spec.source_sql
         if load_date is not None and LOAD_DATE_MARKER in sql:
             sql = sql.replace(LOAD_DATE_MARKER, f"'{int(load_date)}'")  # digits only
+        if isinstance(conn, ChunkedConnection):
+            return conn.scan(spark, sql, spec.all_cols)
         return conn.with_bounds(spark, sql).scan(spark, sql)
     return scan_sql_query(spark, spark_text(spec.source_sql), load_date)
 
 
-def read_connections(spark: SparkSession, path: str) -> dict[str, "JdbcSource"]:
-    """``{vendor family: {url, user, password, driver, ...}}`` from a JSON file."""
+def read_connections(spark: SparkSession, path: str) -> dict[str, "JdbcSource | ChunkedConnection"]:
+    """``{vendor family: {url, user, password, driver, ...}}`` from a JSON file;
+    ``{connect, ...}`` names a DB-API driver's connection instead."""
     text = spark.read.text(path, wholetext=True).collect()[0][0]
-    return {family: JdbcSource(**options) for family, options in json.loads(text).items()}
+    return {family: (ChunkedConnection if "connect" in options else JdbcSource)(**options) for family, options in json.loads(text).items()}
 
 
 @dataclass(frozen=True)
