@@ -6,11 +6,22 @@ the left meets the n-th row of that key on the right, both sides ordered by the
 shared columns and then by their own; a unique key is position 1.  Column names
 are case-folded and keys cast to one type first.
 
+Shared columns are ordered by one rule, whatever the size of a key and the
+types of its sides: by what the comparison calls equal (zeros without sign, NaN
+as missing, numbers of two types as numbers).  So rows that differ only in how a
+value is written stand side by side.
+
 Plan shape:
   * building a comparison starts no job; the rows are paired when an output
     first needs them;
-  * a load has no hot key if it has no more rows than ``hot_group_rows``; only
-    beyond that are the keys counted (key columns, map-side partial counts);
+  * the keys are dealt by hash into ``2 ** leaf_bits`` ranges, and one aggregate over
+    both loads sums up 128-bit digests of the rows of each range, left minus right
+    (``ranges``).  A range whose difference is zero holds equal rows: counts, column
+    statistics, samples and one-sided rows need its number of rows and no more.
+    Only rows of ranges that differ are paired for them; loads that agree cost
+    the one narrow shuffle of the sums;
+  * a key has no more rows than its range, so a range of more than
+    ``hot_group_rows`` is where hot keys may be; only there are keys counted;
   * ordinary keys: both loads are tagged and unioned, shuffled once by key,
     numbered per side by one window, and paired by an aggregate that reuses the
     partitioning;
@@ -29,13 +40,14 @@ Plan shape:
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.compare import abs_difference, null_mismatch, values_equal
-from ..functions.types import is_integral, is_numeric
+from ..functions.compare import abs_difference, nan_to_null, null_mismatch, values_equal
+from ..functions.types import is_fractional, is_integral, is_numeric
 from ..session import scratch_dir
 
 ORD = "__ord"
@@ -57,6 +69,10 @@ BLOCK_ROWS = 500_000
 # EXPAND_MAX_CHUNKS chunks (bounding the chunk list built per run).
 EXPAND_CHUNK = 100_000
 EXPAND_MAX_CHUNKS = 100_000
+# Bits of the hash that deal the keys into ranges.  What differs comes to the
+# driver as a number for each range; more ranges (20 bits at most) tell scattered
+# differences of a very large load apart.
+LEAF_BITS, MOST_LEAF_BITS = 16, 20
 # Columns above which the per-column statistics are unpivoted before
 # aggregating (keeps the generated aggregate code small).
 WIDE_COLUMNS = 100
@@ -77,18 +93,13 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
 
 
-def _key_counts(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    both = (left.select(*keys, F.lit(0).alias(SIDE))
-            .unionByName(right.select(*[F.col(k).cast(left.schema[k].dataType).alias(k) for k in keys],
-                                      F.lit(1).alias(SIDE))))
-    return both.groupBy(SIDE, *keys).agg(F.count(F.lit(1)).alias("n"))
-
-
 def hot_keys(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
     """Key values with more than ``hot_rows`` rows on either side, renamed
     ``__hk<i>`` (at most total rows / ``hot_rows`` of them)."""
-    return (_key_counts(left, right, keys).where(F.col("n") > hot_rows)
-            .select(*[F.col(k).alias(f"__hk{i}") for i, k in enumerate(keys)]).distinct())
+    both = (left.select(*keys, F.lit(0).alias(SIDE))
+            .unionByName(right.select(*[F.col(k).cast(left.schema[k].dataType).alias(k) for k in keys], F.lit(1).alias(SIDE))))
+    counted = both.groupBy(SIDE, *keys).agg(F.count(F.lit(1)).alias("n"))
+    return counted.where(F.col("n") > hot_rows).select(*[F.col(k).alias(f"__hk{i}") for i, k in enumerate(keys)]).distinct()
 
 
 def common_key_type(name: str, a: T.DataType, b: T.DataType) -> T.DataType:
@@ -112,6 +123,71 @@ def common_key_type(name: str, a: T.DataType, b: T.DataType) -> T.DataType:
     raise ValueError(f"key {name!r} has no common type: {a.simpleString()} and {b.simpleString()}")
 
 
+def unsigned_zero(c: Column, t: T.DataType) -> Column:
+    return F.when(c == 0, F.lit(0.0).cast(t)).otherwise(c) if is_fractional(t) else c
+
+
+def _isnan(c: Column, t: T.DataType) -> Column:
+    return F.when(c.isNotNull(), F.isnan(c)) if is_fractional(t) else F.lit(None).cast("boolean")
+
+
+def order_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """The type in which a shared column is ordered and digested; None for its
+    own.  Numbers of two types become numbers, other types text."""
+    if a == b:
+        return None
+    if not (is_numeric(a) and is_numeric(b)):
+        return T.StringType()
+    return common_key_type("", a, b)
+
+
+def canonical(c: Column, own: T.DataType, other: T.DataType) -> Column:
+    """A shared value such that values the comparison calls equal are equal here."""
+    kind = order_type(own, other)
+    if kind is None:
+        return nan_to_null(c, own)
+    return c.cast(kind) if isinstance(kind, T.StringType) else nan_to_null(c, own).cast(kind)
+
+
+def _digestible(a: T.DataType, b: T.DataType) -> bool:
+    """Whether equal digests of a column mean equal values: not for maps, nor where decimals are ordered as doubles."""
+    if "map<" in a.simpleString() or "map<" in b.simpleString() or "variant" in a.simpleString() + b.simpleString():
+        return False
+    return a == b or is_fractional(a) or is_fractional(b) or not isinstance(order_type(a, b), T.DoubleType)
+
+
+@dataclass(frozen=True)
+class Ranges:
+    """What the digests of the key ranges say."""
+
+    equal_rows: int          # rows of either side in ranges that agree
+    differing: list[int]     # ranges that don't
+    heavy: list[int]         # ranges with more rows on a side than a key may have without being hot
+    occupied: int
+
+    @property
+    def whole(self) -> bool:
+        """Most ranges differ: telling them apart is not worth it."""
+        return 2 * len(self.differing) > self.occupied
+
+
+def leaf_of(keys: list[str], bits: int) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(*keys, *[F.col(k).isNull() for k in keys]), 64 - bits).cast("int")
+
+
+def _leaf_in(keys: list[str], bits: int, leaves: list[int]) -> Column:
+    """Whether a row's range is one of ``leaves``: a bit in a constant of ``2 ** bits`` bits."""
+    if not leaves:
+        return F.lit(False)
+    words = [0] * max(1, (1 << bits) // 32)
+    for x in leaves:
+        words[x >> 5] |= 1 << (x & 31)
+    table = F.expr(f"CAST(split('{','.join(map(str, words))}', ',') AS ARRAY<BIGINT>)")  # folded once
+    leaf = leaf_of(keys, bits)
+    bit = F.call_function("shiftright", F.get(table, F.shiftright(leaf, 5)), leaf.bitwiseAND(F.lit(31)))
+    return bit.bitwiseAND(F.lit(1).cast("long")) == 1
+
+
 @dataclass
 class Reconciliation:
     spark: SparkSession
@@ -127,8 +203,9 @@ class Reconciliation:
     rel_tol: float = 0.0
     hot_group_rows: int = HOT_GROUP_ROWS
     block_rows: int = BLOCK_ROWS
-    _joined: DataFrame | None = field(default=None, repr=False)
-    _weighted: bool = field(default=False, repr=False)
+    leaf_bits: int = LEAF_BITS
+    _pairs: dict = field(default_factory=dict, repr=False)  # by whether only what differs is paired: (pairs, weighted)
+    _ranges: Ranges | None = field(default=None, repr=False)
     _stats: DataFrame | None = field(default=None, repr=False)
     report_counts: dict | None = field(default=None, repr=False)
 
@@ -137,29 +214,94 @@ class Reconciliation:
         """What identifies a pair: the key and the position within it."""
         return [*self.keys, ORD]
 
-    @property
-    def joined(self) -> DataFrame:
-        """One row per pair, or per run of equal pairs (``MULT`` of them from ``POS`` on)."""
-        if self._joined is None:
+    def digests(self) -> DataFrame:
+        """One row for each range of keys that holds rows: rows of both sides and the difference of their digests."""
+        def tagged(df: DataFrame, side: int) -> DataFrame:
+            values = [canonical(F.col(c), *((lt, rt) if side == 0 else (rt, lt))) for c, lt, rt in self.compare]
+            missing = [v.isNull() for v in values] + [F.col(k).isNull() for k in self.keys]
+            keys = [F.col(k) for k in self.keys]
+            return df.select(leaf_of(self.keys, self.leaf_bits).alias("leaf"), F.lit(1 - 2 * side).cast("long").alias("sign"),
+                             F.xxhash64(*keys, *values, *missing).alias("a"), F.xxhash64(F.lit(1), *missing, *values[::-1], *keys).alias("b"))
+        low = F.lit(0xFFFFFFFF).cast("long")
+        # halves of 32 bits: sums stay whole; where they don't fit, null, which never agrees
+        halves = [h for c in ("a", "b") for h in (F.col(c).bitwiseAND(low), F.shiftrightunsigned(c, 32))]
+        both = tagged(self.left, 0).unionByName(tagged(self.right, 1))
+        return both.groupBy("leaf").agg(
+            F.count_if(F.col("sign") > 0).alias("n_left"), F.count_if(F.col("sign") < 0).alias("n_right"),
+            *[F.try_sum(F.col("sign") * h).alias(f"d{i}") for i, h in enumerate(halves)])
+
+    def ranges(self) -> Ranges:
+        """The ranges of keys that agree and those that don't: one aggregate of both loads, one row to the driver."""
+        if self._ranges is None:
+            agrees = F.col("n_left") == F.col("n_right")
+            for i in range(4):
+                agrees = agrees & F.coalesce(F.col(f"d{i}") == 0, F.lit(False))
+            if not all(_digestible(lt, rt) for _, lt, rt in self.compare):
+                agrees = F.lit(False)
+            heavy = F.greatest("n_left", "n_right") > self.hot_group_rows
+            row = self.digests().withColumn("agrees", agrees).agg(
+                F.coalesce(F.sum(F.when(F.col("agrees"), F.col("n_left"))), F.lit(0)).alias("equal"),
+                F.collect_list(F.when(~F.col("agrees"), F.col("leaf"))).alias("differing"),
+                F.collect_list(F.when(heavy, F.col("leaf"))).alias("heavy"), F.count(F.lit(1)).alias("n")).first()
+            self._ranges = Ranges(row["equal"], row["differing"], row["heavy"], row["n"])
+        return self._ranges
+
+    def _paired(self, changed: bool) -> tuple[DataFrame, bool]:
+        """(one row per pair, or per run of equal pairs (``MULT`` of them from
+        ``POS`` on), whether there are runs); ``changed``: only ranges that differ."""
+        found = self.ranges()
+        changed = changed and not found.whole
+        if changed not in self._pairs:
+            left, right, heavy = self.left, self.right, found.heavy
+            if changed:
+                differs = set(found.differing)
+                kept = _leaf_in(self.keys, self.leaf_bits, found.differing)
+                left, right, heavy = left.where(kept), right.where(kept), [x for x in heavy if x in differs]
             shared = [c for c, _, _ in self.compare]
-            hot = self._hot_keys()
-            self._weighted = hot is not None
-            pairs = pair_rows(self.left, self.right, self.keys, shared) if hot is None else \
-                pair_split(self.left, self.right, self.keys, shared, hot, self.block_rows)
+            hot = self._hot_keys(heavy)
+            pairs = pair_rows(left, right, self.keys, shared) if hot is None else \
+                pair_split(left, right, self.keys, shared, hot, self.block_rows)
             status = (F.when(F.col(IN_LEFT) & F.col(IN_RIGHT), F.lit(BOTH))
                       .when(F.col(IN_LEFT), F.lit(LEFT_ONLY)).otherwise(F.lit(RIGHT_ONLY)))
-            self._joined = pairs.withColumn(STATUS, status)
-        return self._joined
+            self._pairs[changed] = pairs.withColumn(STATUS, status), hot is not None
+        return self._pairs[changed]
 
-    def _hot_keys(self) -> DataFrame | None:
-        """The keys with more than ``hot_group_rows`` rows on a side, None if there are none."""
-        if max(self.left.count(), self.right.count()) <= self.hot_group_rows:
+    @property
+    def joined(self) -> DataFrame:
+        """All pairs of both loads."""
+        return self._paired(False)[0]
+
+    @property
+    def changed(self) -> DataFrame:
+        """The pairs of the ranges that differ (all pairs where most do)."""
+        return self._paired(True)[0]
+
+    def keep_changed(self, df: DataFrame) -> None:
+        """Use ``df`` (the same rows, stored somewhere) for the pairs of the ranges that differ."""
+        self._pairs[not self.ranges().whole] = df, self._paired(True)[1]
+        self._stats = None
+
+    @property
+    def _agreeing(self) -> int:
+        """Rows that are not in ``changed``, because their ranges agree."""
+        found = self.ranges()
+        return 0 if found.whole else found.equal_rows
+
+    def _hot_keys(self, heavy: list[int]) -> DataFrame | None:
+        """The keys with more than ``hot_group_rows`` rows on a side, None if
+        there are none; only rows of ``heavy`` ranges are counted."""
+        if not heavy:
             return None
+        here = _leaf_in(self.keys, self.leaf_bits, heavy)
         path = scratch_dir(self.spark, "hot-keys")
-        hot_keys(self.left, self.right, self.keys, self.hot_group_rows).write.parquet(path)
+        hot_keys(self.left.where(here), self.right.where(here), self.keys, self.hot_group_rows).write.parquet(path)
         hot = self.spark.read.parquet(path)
         return hot if hot.limit(1).count() else None
 
+    def repeated_keys(self) -> bool:
+        """Whether a key occurs more than once on a side."""
+        return any(duplicate_keys(df, self.keys).limit(1).count() for df in (self.left, self.right))
+
     def _equal(self, name: str, lt: T.DataType, rt: T.DataType) -> Column:
         return values_equal(F.col(f"{name}__l"), F.col(f"{name}__r"), lt, rt, self.abs_tol, self.rel_tol)
 
@@ -177,13 +319,13 @@ class Reconciliation:
         return whole
 
     # ---- row-level outputs -----------------------------------------------------
-    def rows(self, limit: int | None = None) -> DataFrame:
-        """The joined pairs, one row each.  Runs of identical pairs are
+    def rows(self, limit: int | None = None, changed: bool = False) -> DataFrame:
+        """The joined pairs (``changed``: of the ranges that differ), one row each.  Runs of identical pairs are
         expanded in chunks of at most ``EXPAND_CHUNK`` rows spread over all
         tasks; with ``limit`` at most that many rows per run are produced
         (enough for any top-``limit`` sample)."""
-        joined = self.joined
-        if not self._weighted:
+        joined, weighted = self._paired(changed)
+        if not weighted:
             return joined.withColumn(ORD, F.col(POS) + 1)
         m = F.col(MULT)
         if limit is not None:
@@ -207,11 +349,11 @@ class Reconciliation:
 
     def left_only(self) -> DataFrame:
         """Rows only in the left load, its own columns (JOIN-2)."""
-        return self._one_side(self.rows(), "left")
+        return self._one_side(self.rows(changed=True), "left")
 
     def right_only(self) -> DataFrame:
         """Rows only in the right load, its own columns (JOIN-3)."""
-        return self._one_side(self.rows(), "right")
+        return self._one_side(self.rows(changed=True), "right")
 
     def _one_side(self, rows: DataFrame, side: str) -> DataFrame:
         status, cols = (LEFT_ONLY, self.left_cols) if side == "left" else (RIGHT_ONLY, self.right_cols)
@@ -234,29 +376,28 @@ class Reconciliation:
         return F.col(f"{c}__lo" if side == "left" else f"{c}__ro")
 
     # ---- statistics ------------------------------------------------------------
-    def _count(self, cond: Column) -> Column:
-        return F.coalesce(F.sum(F.when(cond, F.col(MULT)).otherwise(F.lit(0).cast("long"))),
-                          F.lit(0).cast("long"))
+    def _count(self, cond: Column, more: int = 0) -> Column:
+        found = F.coalesce(F.sum(F.when(cond, F.col(MULT)).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"))
+        return found + F.lit(more).cast("long") if more else found
 
     def stats(self) -> DataFrame:
         """One row: every count and per-column statistic, from one aggregate."""
         if self._stats is not None:
             return self._stats
-        both = F.col(STATUS) == BOTH
-        aggs = [self._count(F.col(IN_LEFT)).alias("rows_left"),
-                self._count(F.col(IN_RIGHT)).alias("rows_right"),
-                self._count(both).alias("rows_common"),
+        both, same = F.col(STATUS) == BOTH, self._agreeing
+        aggs = [self._count(F.col(IN_LEFT), same).alias("rows_left"),
+                self._count(F.col(IN_RIGHT), same).alias("rows_right"),
+                self._count(both, same).alias("rows_common"),
                 self._count(F.col(STATUS) == LEFT_ONLY).alias("rows_left_only"),
                 self._count(F.col(STATUS) == RIGHT_ONLY).alias("rows_right_only"),
-                self._count(both & self._all_equal()).alias("rows_all_equal"),
-                self._count(both & ~self._all_equal()).alias("rows_some_unequal"),
-                F.coalesce(F.max(F.col(POS) + F.col(MULT)), F.lit(0).cast("long")).alias("top_position")]
+                self._count(both & self._all_equal(), same).alias("rows_all_equal"),
+                self._count(both & ~self._all_equal()).alias("rows_some_unequal")]
         if len(self.compare) <= WIDE_COLUMNS:
             for i, c in enumerate(self.compare):
                 aggs += [self._count(both & ~self._equal(*c)).alias(f"u{i}"),
                          F.max(F.when(both, self._difference(*c))).alias(f"d{i}"),
                          self._count(both & self._null_mismatch(*c)).alias(f"n{i}")]
-        self._stats = self.joined.agg(*aggs)
+        self._stats = self.changed.agg(*aggs)
         return self._stats
 
     def counts(self) -> DataFrame:
@@ -290,7 +431,7 @@ class Reconciliation:
                           for i, c in enumerate(self.compare)])
         # Every common row has one cell per column, so a column's cell
         # weight is the number of common rows.
-        per = (self.joined.where(both).select(F.col(MULT).alias("__w"), F.inline(cells))
+        per = (self.changed.where(both).select(F.col(MULT).alias("__w"), F.inline(cells))
                .groupBy("i").agg(F.sum("__w").alias("rows_common"),
                                  F.sum(F.when(~F.col("eq"), F.col("__w")).otherwise(0)).alias("unequal_cnt"),
                                  F.max("diff").alias("max_diff"),
@@ -301,7 +442,7 @@ class Reconciliation:
         zero = F.lit(0).cast("long")
         return (meta.join(per, "i", "left")
                 .select("column", "left_type", "right_type",
-                        (F.coalesce("rows_common", zero) - F.coalesce("unequal_cnt", zero)).cast("long")
+                        (F.coalesce("rows_common", zero) + F.lit(self._agreeing) - F.coalesce("unequal_cnt", zero)).cast("long")
                         .alias("match_cnt"),
                         F.coalesce("unequal_cnt", zero).cast("long").alias("unequal_cnt"),
                         F.coalesce("max_diff", F.lit(0.0)).alias("max_diff"),
@@ -338,7 +479,7 @@ class Reconciliation:
                 F.col(f"{c}__l").cast(T.StringType()).alias("left_value"),
                 F.col(f"{c}__r").cast(T.StringType()).alias("right_value")))
             for c, lt, rt in self.compare]), lambda s: s.isNotNull())
-        exploded = self.rows(limit=n).where(both).select(*self.join_keys, F.inline(cells))
+        exploded = self.rows(limit=n, changed=True).where(both).select(*self.join_keys, F.inline(cells))
         w = Window.partitionBy("column").orderBy(*[F.col(k).asc_nulls_first() for k in self.join_keys])
         ranked = exploded.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n)
         return ranked.withColumnRenamed("__rn", "rank") if keep_rank else ranked.drop("__rn")
@@ -353,7 +494,7 @@ class Reconciliation:
     def _first_one_sided(self, side: str, n: int) -> DataFrame:
         status = LEFT_ONLY if side == "left" else RIGHT_ONLY
         order = [F.col(k).asc_nulls_first() for k in self.join_keys]
-        return self.rows(limit=n).where(F.col(STATUS) == status).orderBy(*order).limit(n)
+        return self.rows(limit=n, changed=True).where(F.col(STATUS) == status).orderBy(*order).limit(n)
 
     def sample_one_sided_json(self, side: str, n: int = SAMPLE_ROWS,
                               n_cols: int = SAMPLE_COLUMNS) -> DataFrame:
@@ -373,11 +514,14 @@ COLUMN_STATS_SCHEMA = ("column string, left_type string, right_type string, matc
 
 def reconcile(left: DataFrame, right: DataFrame, keys: list[str], abs_tol: float = 0.0,
               rel_tol: float = 0.0, left_name: str = "left", right_name: str = "right",
-              hot_group_rows: int = HOT_GROUP_ROWS, block_rows: int = BLOCK_ROWS) -> Reconciliation:
+              hot_group_rows: int = HOT_GROUP_ROWS, block_rows: int = BLOCK_ROWS,
+              leaf_bits: int = LEAF_BITS) -> Reconciliation:
     """Pair the rows of two loads by key and compare the shared columns.
 
-    Starts no job.  ``hot_group_rows`` and ``block_rows`` decide how the work
-    is dealt, never what is paired."""
+    Starts no job.  ``hot_group_rows``, ``block_rows`` and ``leaf_bits`` decide
+    how the work is dealt, never what is paired.  Zeros lose their sign."""
+    if not 1 <= leaf_bits <= MOST_LEAF_BITS:
+        raise ValueError(f"leaf_bits must be between 1 and {MOST_LEAF_BITS}")
     keys = [k.lower() for k in keys if k and k.strip()]
     if not keys:
         raise NoKeyError("comparison needs at least one key column")
@@ -389,11 +533,12 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[str], abs_tol: float
     for k in keys:
         kind = common_key_type(k, left.schema[k].dataType, right.schema[k].dataType)
         left, right = (df if df.schema[k].dataType == kind else df.withColumn(k, F.col(k).cast(kind)) for df in (left, right))
+    left, right = (df.select(*[unsigned_zero(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields]) for df in (left, right))
     lt = {f.name: f.dataType for f in left.schema.fields}
     rt = {f.name: f.dataType for f in right.schema.fields}
     compare = [(c, lt[c], rt[c]) for c in left.columns if c in rt and c not in keys]
     return Reconciliation(left.sparkSession, keys, left.columns, right.columns, compare, left, right,
-                          left_name, right_name, abs_tol, rel_tol, hot_group_rows, block_rows)
+                          left_name, right_name, abs_tol, rel_tol, hot_group_rows, block_rows, leaf_bits)
 
 
 def _payload(columns: list[str]) -> Column:
@@ -426,11 +571,11 @@ class _Sides:
     def differing(self) -> list[str]:
         return [c for c in self.shared if self.lt[c] != self.rt[c]]
 
-    def text_copies(self) -> list[Column]:
-        """Shared columns whose types differ are ordered as text; only these
-        get a materialised copy."""
-        return [F.col(c).cast(T.StringType()).alias(f"__o{self.shared.index(c)}")
-                for c in self.differing]
+    def order_copies(self, side: int) -> list[Column]:
+        """Shared columns whose types differ are ordered in one type; only
+        these get a materialised copy."""
+        mine, other = (self.lt, self.rt) if side == 0 else (self.rt, self.lt)
+        return [canonical(F.col(c), mine[c], other[c]).alias(f"__o{self.shared.index(c)}") for c in self.differing]
 
     def payloads(self, side: int) -> list[Column]:
         mine = _payload(self.lpay if side == 0 else self.rpay)
@@ -440,18 +585,24 @@ class _Sides:
     def shared_value(self, i: int, c: str) -> Column:
         if c in self.differing:
             return F.col(f"__o{i}")
-        return F.coalesce(F.col("__pl").getField(c), F.col("__pr").getField(c))
+        return nan_to_null(F.coalesce(F.col("__pl").getField(c), F.col("__pr").getField(c)), self.lt[c])
 
     def ranking(self) -> list[Column]:
         """Side first, then the shared columns, then each side's own columns
-        (the other side's are null there); without one-sided columns a tie
-        means identical rows and needs no further order."""
+        (the other side's are null there), then what the shared order leaves
+        open (NaN after missing, decimals that were ordered as doubles);
+        without one-sided columns a tie means identical rows."""
         only_l = [c for c in self.lpay if c not in self.rt]
         only_r = [c for c in self.rpay if c not in self.lt]
+        left, right = (F.col(p).getField for p in ("__pl", "__pr"))
+        nan = [c for c in self.shared if is_fractional(self.lt[c]) or is_fractional(self.rt[c])]
+        open_ = [c for c in self.shared if c not in nan and not _digestible(self.lt[c], self.rt[c]) and "map<" not in self.lt[c].simpleString()]
+        flags = [F.coalesce(_isnan(left(c), self.lt[c]), _isnan(right(c), self.rt[c]), F.lit(False)).cast("long") for c in nan]
+        packed = [reduce(lambda a, b: a * 2 + b, flags[i:i + 60]) for i in range(0, len(flags), 60)]
         return ([F.col(SIDE)]
                 + [self.shared_value(i, c).asc_nulls_first() for i, c in enumerate(self.shared)]
-                + [F.col("__pl").getField(c).asc_nulls_first() for c in only_l]
-                + [F.col("__pr").getField(c).asc_nulls_first() for c in only_r])
+                + [left(c).asc_nulls_first() for c in only_l] + [right(c).asc_nulls_first() for c in only_r] + packed
+                + [F.coalesce(left(c).cast("string"), right(c).cast("string")).asc_nulls_first() for c in open_])
 
     def output(self, pl: Column, pr: Column) -> list[Column]:
         return [pl.isNotNull().alias(IN_LEFT), pr.isNotNull().alias(IN_RIGHT),
@@ -469,7 +620,7 @@ def pair_rows(left: DataFrame, right: DataFrame, keys: list[str], shared: list[s
     sd = _Sides.of(left, right, keys, shared)
 
     def tagged(df: DataFrame, side: int) -> DataFrame:
-        return df.select(*keys, F.lit(side).alias(SIDE), *sd.text_copies(), *sd.payloads(side))
+        return df.select(*keys, F.lit(side).alias(SIDE), *sd.order_copies(side), *sd.payloads(side))
 
     # one exchange of the tagged rows; ordering values are derived after it
     both = tagged(left, 0).unionByName(tagged(right, 1)).repartition(*keys)
@@ -510,7 +661,7 @@ def pair_runs(left: DataFrame, right: DataFrame, keys: list[str], shared: list[s
 
     def runs(df: DataFrame, side: int) -> DataFrame:
         counted = df.groupBy(*keys, *(sd.lpay if side == 0 else sd.rpay)).agg(F.count(F.lit(1)).alias("__n"))
-        return counted.select(*keys, F.lit(side).alias(SIDE), *sd.text_copies(), *sd.payloads(side), "__n")
+        return counted.select(*keys, F.lit(side).alias(SIDE), *sd.order_copies(side), *sd.payloads(side), "__n")
 
     # 2. ordered bins, exact positions
     n_bins = int(spark.conf.get("spark.sql.shuffle.partitions"))

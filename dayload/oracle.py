@@ -769,6 +769,23 @@ def _():
     return counts_sql(joined_sql(left, right, ["k"], [("o_custkey", "int")]))
 
 
+@oracle("reconcile_written_values")
+def _():
+    """Zeros without sign and NaN as missing from the start; then the plain rule."""
+    value = ("CASE l_partkey % 6 WHEN 0 THEN 0.0::DOUBLE WHEN 1 THEN NULL WHEN 2 THEN 'inf'::DOUBLE WHEN 3 THEN NULL "
+             "ELSE (l_partkey % 5)::DOUBLE END AS v FROM lineitem")
+    j = joined_sql(f"SELECT l_orderkey % 40 AS k, {value}", f"SELECT l_orderkey % 40 AS k, {value} WHERE l_suppkey % 9 <> 0",
+                   ["k"], [("v", "num")], order=["v"])
+    return " UNION ALL ".join(f"SELECT *, '{way}' AS way FROM ({counts_sql(j)}) c" for way in ("rows", "runs"))
+
+
+@oracle("reconcile_mostly_equal")
+def _():
+    right = ("SELECT * REPLACE (CASE WHEN l_orderkey % 2000 = 7 THEN l_tax + 0.01::DOUBLE ELSE l_tax END AS l_tax) "
+             "FROM lineitem WHERE l_orderkey % 2000 <> 9")
+    return counts_sql(joined_sql("SELECT * FROM lineitem", right, LINE_KEYS, LINE_OTHER, order=[c for c, _ in LINE_OTHER]))
+
+
 @oracle("values_equal_edges")
 def _():
     i = "event_id"

@@ -97,7 +97,7 @@ def render_report(rec: Reconciliation, table: str, load_date: str, keys: list[st
               f"  only in {rec.right_name}: {len(only_r)} {only_r}",
               "", "Rows",
               f"  matched on: {', '.join(keys or rec.keys)}",
-              f"  repeated keys: {'yes' if rec.stats().first()['top_position'] > 1 else 'no'}",
+              f"  repeated keys: {'yes' if rec.repeated_keys() else 'no'}",
               f"  absolute tolerance: {rec.abs_tol}", f"  relative tolerance: {rec.rel_tol}",
               f"  in common: {c['rows_common']}",
               f"  only in {rec.left_name}: {c['rows_left_only']}",
@@ -141,10 +141,10 @@ def write_text_report(spark: SparkSession, text: str, log_root: str, table: str,
 
 def write_report(rec: Reconciliation, log_root: str, table: str, load_date: str) -> dict[str, str]:
     """Write every report section under ``log_root/<section>``, replacing
-    only this table's day (SNK-7).  The joined rows are kept for the
-    duration so the join runs once for all sections."""
-    joined = rec.joined.persist(StorageLevel.MEMORY_AND_DISK)  # both sides' values only; recomputed if lost
-    rec._joined, rec._stats = joined, None
+    only this table's day (SNK-7).  The pairs of what differs are kept for the
+    duration so they are made once for all sections."""
+    joined = rec.changed.persist(StorageLevel.MEMORY_AND_DISK)  # both sides' values only; recomputed if lost
+    rec.keep_changed(joined)
     stats = rec.stats().persist()  # one row, shared by counts/columns/shape
     paths = {}
     try:

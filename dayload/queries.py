@@ -650,6 +650,33 @@ def q_values_equal_edges(spark, sf_dir):
     return reconcile(l, r, ["event_id"]).columns()
 
 
+def _written_values(spark, sf_dir):
+    """Lineitem by a repeating key, with a shared column of two types: zeros of
+    both signs, NaN, null and infinities, written differently on either side."""
+    li = _table(spark, sf_dir, "lineitem")
+    k, p = (F.col("l_orderkey") % 40).alias("k"), F.col("l_partkey")
+    inf, nan, none = F.lit(float("inf")), F.lit(float("nan")), F.lit(None).cast("double")
+    left = F.when(p % 6 == 0, F.lit(-0.0)).when(p % 6 == 1, nan).when(p % 6 == 2, inf).when(p % 6 == 3, none).otherwise((p % 5).cast("double"))
+    right = F.when(p % 6 == 0, F.lit(0.0)).when(p % 6 == 1, none).when(p % 6 == 2, inf).when(p % 6 == 3, nan).otherwise((p % 5).cast("double"))
+    return li.select(k, left.alias("v")), li.where("l_suppkey % 9 <> 0").select(k, right.cast("float").alias("v"))
+
+
+@query("reconcile_written_values")
+def q_reconcile_written_values(spark, sf_dir):
+    """What counts as equal stands side by side, however it is written and however a key is paired."""
+    left, right = _written_values(spark, sf_dir)
+    by_rows, by_runs = (reconcile(left, right, ["k"], **more).counts() for more in ({}, SPLIT))
+    return by_rows.withColumn("way", F.lit("rows")).unionByName(by_runs.withColumn("way", F.lit("runs")))
+
+
+@query("reconcile_mostly_equal")
+def q_reconcile_mostly_equal(spark, sf_dir):
+    """Lineitem against itself with one order in two thousand changed: few key ranges differ, the rest is counted."""
+    li = _table(spark, sf_dir, "lineitem")
+    changed = li.withColumn("l_tax", F.when(F.col("l_orderkey") % 2000 == 7, F.col("l_tax") + F.lit(0.01)).otherwise(F.col("l_tax")))
+    return reconcile(li, changed.where("l_orderkey % 2000 <> 9"), LINE_KEYS).counts()
+
+
 def _wide_orders(spark, sf_dir):
     """Two loads with twelve columns before the key."""
     orders = _table(spark, sf_dir, "orders")
