@@ -56,6 +56,8 @@ TABLE = 1 << 23
 #: Bytes of items that are searched together.
 BLOCK_BYTES = 1 << 20
 _PARTS = 32
+#: Top bits of a word's hash by which its feature is looked up.
+SLOT_BITS = 16
 
 
 class Items:
@@ -67,6 +69,11 @@ class Items:
         self.ids, self.words = [f[0] for f in found], [f[2] for f in found]
         self.answers = [self._hashes(self._answer(f[1])) for f in found]
         self.known = np.unique(np.concatenate(self.words)) if found else np.zeros(0, np.uint64)
+        # a word's slot holds the first feature there; only where a slot has several is the rest searched
+        slot = (self.known >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        used, first, many = np.unique(slot, return_index=True, return_counts=True)
+        self.slots, self.crowded = np.zeros(1 << SLOT_BITS, np.int32), np.zeros(1 << SLOT_BITS, bool)
+        self.slots[used], self.crowded[used] = first, many > 1
 
     @staticmethod
     def _hashes(text: str) -> np.ndarray:
@@ -81,8 +88,14 @@ class Items:
 
     def features(self, h: np.ndarray) -> np.ndarray:
         """The feature of each word, -1 for words that no item has."""
-        at = np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)
-        return np.where(self.known[at] == h, at, -1)
+        slot = (h >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+        at = self.slots[slot].astype(np.int64)
+        missed = self.known[at] != h
+        rest = np.flatnonzero(missed & self.crowded[slot])
+        at[missed] = -1
+        found = np.minimum(np.searchsorted(self.known, h[rest]), len(self.known) - 1)
+        at[rest] = np.where(self.known[found] == h[rest], found, -1)
+        return at
 
 
 def _slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, Words]]:
@@ -295,7 +308,11 @@ class Searcher:
         padded = np.full(n * GRAIN, -1)
         padded[:len(f)] = f
         run = np.zeros((n + 1, self.vectors.shape[1]), np.float32)
-        np.cumsum(self.vectors[padded].reshape(n, GRAIN, -1).sum(axis=1), axis=0, out=run[1:])
+        parts = padded.reshape(n, GRAIN)
+        run[1:] = self.vectors[parts[:, 0]]
+        for k in range(1, GRAIN):
+            run[1:] += self.vectors[parts[:, k]]
+        np.cumsum(run, axis=0, out=run)
         for size, at, unit, norm in self.classes:
             move = max(1, size // STEPS)
             start = np.arange(0, max(1, n - size + 1 + move), move)
@@ -305,7 +322,9 @@ class Searcher:
                 z = run[np.minimum(s + size, n)] - run[s]
                 dot = z @ unit
                 length = np.sqrt(np.einsum("ij,ij->i", z, z))
-                i, j = np.nonzero((dot >= COSINE * length[:, None]) & (dot >= SHARE * norm[None, :]))
+                i, j = np.divmod(np.flatnonzero(dot >= (COSINE * length)[:, None]), len(at))
+                held = dot[i, j] >= SHARE * norm[j]
+                i, j = i[held], j[held]
                 i, j = s[i] * GRAIN, at[j]
                 for c in range(0, len(i), 1 << 12):
                     yield from self._holding(padded, i[c:c + (1 << 12)], j[c:c + (1 << 12)], size * GRAIN)
