@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import pack, saved, unpack
 from .words import find_words, grams, hash_spans, mix, slices, text_buffer
 
 #: Buckets of hashed words; labelled texts that are fitted at most; passes over them.
@@ -42,6 +43,7 @@ START = -10.0
 #: Share of the words let in that may go with the label by chance alone, and texts that must hold a word.
 FALSE, TEXTS = 0.05, 5
 
+_OTHER = np.uint64(0xA0761D6478BD642F)
 _STOP = np.zeros(256, bool)
 _STOP[[33, 46, 63, 10]] = True  # . ! ? and line ends close a sentence
 _WORD = np.zeros(256, bool)
@@ -77,7 +79,7 @@ def sentences(column: pa.Array):
 
 
 def sketch(column: pa.Array) -> np.ndarray:
-    """One hash for each text, the same for copies with a few changed words: the smallest of its 6-word grams (or of its words)."""
+    """Two hashes for each text, the same for copies with a few changed words: the smallest of its 6-word grams (or of its words) in two orders."""
     out = []
     data, offsets = text_buffer(column)
     for a, b in slices(offsets):
@@ -85,8 +87,9 @@ def sketch(column: pa.Array) -> np.ndarray:
         h = hash_spans(w.data, w.start, w.end)
         g = grams(h, 6)
         for x, z in zip(w.first[:-1], w.first[1:]):
-            out.append(int(g[x:z - 5].min()) if z - x >= 6 else int(h[x:z].min()) if z > x else 0)
-    return np.array(out, np.uint64)
+            held = g[x:z - 5] if z - x >= 6 else h[x:z]
+            out.append((held.min(), mix(held ^ _OTHER).min()) if len(held) else (0, 0))
+    return np.array(out, np.uint64).reshape(-1, 2)
 
 
 @dataclass
@@ -123,55 +126,71 @@ def telling(chance: np.ndarray, false: float = FALSE) -> np.ndarray:
     return chance <= low[good[-1]] if len(good) else np.zeros(len(chance), bool)
 
 
-def fit(column: pa.Array, label: np.ndarray) -> Model:
-    """Fit the words of labelled texts through the noisy-or (full-batch gradient, per-word step sizes)."""
-    words, sents, rows, base, at = [], [], [], 0, 0
-    sketches = [sketch(column)]
-    for word, sent, n_sent, row, n_rows in sentences(column):
-        words.append(word)
-        sents.append(sent + base)
-        rows.append(row + at)
-        base += n_sent
-        at += n_rows
-    word, sent, row = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (words, sents, rows))
-    # copies of one text are one witness: only the first text of each sketch counts
-    first = np.zeros(len(label), bool)
-    first[np.unique(np.concatenate(sketches) if sketches else np.zeros(0, np.uint64), return_index=True)[1]] = True
-    keep = first[row[sent]] if len(sent) else np.zeros(0, bool)
-    word, sent = word[keep], sent[keep]
-    y = label.astype(float)
-    used, word = np.unique(word, return_inverse=True)
-    # in how many texts of either kind each word is
-    n, pos = len(y), y[first].sum()
-    pair = np.unique(word * np.int64(n) + row[sent])
-    held, of = pair // n, y[pair % n]
-    all_n = np.bincount(held, minlength=len(used))
-    with_pos = np.bincount(held, of, len(used))
-    cells = [with_pos + .5, pos - with_pos + .5, all_n - with_pos + .5, (first.sum() - pos) - (all_n - with_pos) + .5]
-    odds, error = np.log(cells[0] * cells[3] / (cells[1] * cells[2])), np.sqrt(sum(1 / c for c in cells))
-    known = all_n >= TEXTS
-    known[known] = telling(by_chance(all_n[known], with_pos[known].astype(np.int64), int(pos), int(first.sum())))
-    keep = known[word]
-    word, sent = (np.cumsum(known) - 1)[word[keep]], sent[keep]
-    used = used[known]
-    w, gain, leak = np.maximum(0, odds - error)[known], np.full(len(used), 1e-12), float(pos / n) / 2
-    for _ in range(PASSES if len(used) else 0):
-        x = np.bincount(sent, w[word], base) + START
+def fitted(word: np.ndarray, sent: np.ndarray, row: np.ndarray, plain: np.ndarray, y: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, float]:
+    """(weights, leak) by full-batch gradient through the noisy-or, with step sizes for each word.
+
+    ``word`` and ``sent`` are the words the model knows and their sentences, ``row`` the text of each such sentence;
+    ``plain`` counts a text's other sentences, which are all alike."""
+    n, w, gain, leak = len(y), start.copy(), np.full(len(start), 1e-12), float(y.mean()) / 2
+    alike = -np.logaddexp(0, START) * plain
+    for _ in range(PASSES if len(start) else 0):
+        x = np.bincount(sent, w[word], len(row)) + START
         p = 1 / (1 + np.exp(-x))
-        rest = np.exp(np.bincount(row, -np.logaddexp(0, x), n))  # what the sentences leave
+        rest = np.exp(np.bincount(row, -np.logaddexp(0, x), n) + alike)  # what the sentences leave
         q = 1 - (1 - leak) * rest
         # d log-likelihood / d x of a sentence: positive text p (1 - q) / q, negative text -p
         g = p * np.where(y[row] > 0, (1 - q[row]) / q[row], -1.0)
-        push = np.bincount(word, g[sent], len(used)) - DECAY * n * w
+        push = np.bincount(word, g[sent], len(w)) - DECAY * n * w
         gain = np.maximum(gain, push * push)
         w += RATE * push / np.sqrt(gain)
         # the leak takes its share of each positive text (one step of expectation maximisation)
         leak = float(np.clip((y * leak / q).sum() / n, 1e-4, .4))
+    return w, leak
+
+
+def let_in(word: np.ndarray, held: np.ndarray, with_pos: np.ndarray, pos: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(words that tell, in order, their first weights) from how many of ``n`` texts hold each, and of the ``pos`` positive ones."""
+    enough = held >= TEXTS
+    word, held, with_pos = word[enough], held[enough], with_pos[enough]
+    tells = telling(by_chance(held, with_pos, pos, n)) if len(word) else np.zeros(0, bool)
+    order = np.argsort(word[tells])
+    word, held, with_pos = (x[tells][order] for x in (word, held, with_pos))
+    cells = [with_pos + .5, pos - with_pos + .5, held - with_pos + .5, (n - pos) - (held - with_pos) + .5]
+    return word, np.maximum(0, np.log(cells[0] * cells[3] / (cells[1] * cells[2])) - np.sqrt(sum(1 / c for c in cells)))
+
+
+def modelled(word: np.ndarray, start: np.ndarray, text: np.ndarray, sent: np.ndarray, at: np.ndarray, sentences_of: np.ndarray, y: np.ndarray) -> Model:
+    """The model of ``word``, fitted on where they stand: text, sentence within it, place in ``word``."""
+    order = np.lexsort((at, sent, text))  # the fit adds up in one order
+    text, sent, at = text[order], sent[order], at[order]
+    new = np.ones(len(text), bool)
+    new[1:] = (text[1:] != text[:-1]) | (sent[1:] != sent[:-1])
+    w, leak = fitted(at, np.cumsum(new) - 1, text[new], sentences_of - np.bincount(text[new], minlength=len(y)), y, start)
     weights = np.zeros(1 << BITS)
-    weights[used] = w
+    weights[word] = w
     return Model(weights, leak)
 
 
+def fit(column: pa.Array, label: np.ndarray) -> Model:
+    """As ``train``, for a few texts at hand."""
+    first = np.sort(np.unique(sketch(column), axis=0, return_index=True)[1])
+    y, texts, n_sent, base = label.astype(float)[first], [], [], 0
+    for word, sent, _, row, n in sentences(column):
+        texts.append(np.stack([row[sent] + base, sent - np.searchsorted(row, row[sent]), word]))
+        n_sent.append(np.bincount(row, minlength=n))
+        base += n
+    text, sent, word = np.concatenate(texts, axis=1)
+    at = np.minimum(np.searchsorted(first, text), len(first) - 1)
+    keep = first[at] == text
+    text, sent, word = at[keep], sent[keep], word[keep]
+    pair = np.unique(word * len(y) + text)
+    every, of = np.unique(pair // len(y), return_inverse=True)
+    known, start = let_in(every, np.bincount(of), np.bincount(of, y[pair % len(y)]).astype(np.int64), int(y.sum()), len(y))
+    at = np.minimum(np.searchsorted(known, word), max(len(known) - 1, 0))
+    keep = known[at] == word if len(known) else np.zeros(len(word), bool)
+    return modelled(known, start, text[keep], sent[keep], at[keep], np.concatenate(n_sent)[first], y)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int = FIT_DOCS, id_col: str = "doc_id", text_col: str = "text",
                     label_col: str = "toxic") -> DataFrame:
     """At most ``limit`` labelled texts outside the held-out fifth, a quarter of them positive where there are enough."""
@@ -193,15 +212,62 @@ def held_out(column: str):
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = FIT_DOCS, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic") -> Model:
-    found = labelled_sample(docs, labels, limit, id_col, text_col, label_col).toArrow()
-    if not found.num_rows:
-        return Model(np.full(1 << BITS, 10 * START), 0.0)  # nothing is known to be toxic
-    order = np.argsort(found.column("doc_id").to_numpy(), kind="stable")
-    found = found.take(pa.array(order))
-    y = found.column("y").to_numpy() > 0
+    """Fit the model.  Texts are hashed where they lie: the driver gets a few numbers for each of the sample's texts, the
+    counts of words by label, and the places of the words that tell."""
+    nothing = Model(np.full(1 << BITS, 10 * START), 0.0)  # nothing is known to be toxic
+    sample = saved(labelled_sample(docs, labels, limit, id_col, text_col, label_col), "labelled")
+
+    def read(batches):
+        for batch in batches:
+            ids, y, at = batch.column("doc_id"), batch.column("y"), 0
+            sketches = sketch(batch.column("text")).view(np.int64)
+            for word, sent, n_sent, row, n in sentences(batch.column("text")):
+                first = np.searchsorted(row, np.arange(n + 1))  # a text's sentences
+                cut = np.searchsorted(sent, first)
+                held = [pack([word[a:b].astype("<i4"), (sent[a:b] - f).astype("<i4")]) for a, b, f in zip(cut[:-1], cut[1:], first[:-1])]
+                yield pa.record_batch([ids.slice(at, n), y.slice(at, n), pa.array(sketches[at:at + n, 0]), pa.array(sketches[at:at + n, 1]), pa.array(np.diff(first)),
+                                       pa.array(held, pa.binary())], names=["doc_id", "y", "a", "b", "sentences", "words"])
+                at += n
+
+    texts = saved(sample.mapInArrow(read, "doc_id long, y int, a long, b long, sentences long, words binary"), "sentences")
+    heads = texts.select("doc_id", "y", "a", "b", "sentences").toArrow().sort_by("doc_id")
+    if not heads.num_rows:
+        return nothing
+    # copies of one text are one witness: only the first text of each sketch counts
+    first = np.sort(np.unique(np.stack([heads.column("a").to_numpy(), heads.column("b").to_numpy()]), axis=1, return_index=True)[1])
+    ids, y = heads.column("doc_id").to_numpy()[first], (heads.column("y").to_numpy()[first] > 0).astype(float)
     if y.all() or not y.any():
-        return Model(np.full(1 << BITS, 10 * START), 0.0)  # nothing is known to be toxic
-    return fit(found.column("text").combine_chunks(), y)
+        return nothing
+
+    def places(batches):
+        """(place in ``ids``, words, sentences) of the texts that count."""
+        for batch in batches:
+            doc = batch.column("doc_id").to_numpy()
+            at = np.minimum(np.searchsorted(ids, doc), len(ids) - 1)
+            for i in np.flatnonzero(ids[at] == doc):
+                yield int(at[i]), *unpack(batch.column("words")[int(i)].as_buffer().to_pybytes(), ["<i4", "<i4"])
+
+    def count(batches):
+        held = np.zeros((1 << BITS, 2), np.int64)
+        for i, word, _ in places(batches):
+            held[np.unique(word)] += (1, int(y[i]))
+        some = np.flatnonzero(held[:, 0])
+        yield pa.record_batch([pa.array(some), pa.array(held[some, 0]), pa.array(held[some, 1])], names=["word", "n", "pos"])
+
+    counted = texts.mapInArrow(count, "word long, n long, pos long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")).where(F.col("n") >= TEXTS).toArrow()
+    word, held, with_pos = (counted.column(c).to_numpy().astype(np.int64) for c in ("word", "n", "pos"))
+    n, pos = len(y), int(y.sum())
+    word, start = let_in(word, held, with_pos, pos, n)
+
+    def known(batches):
+        for i, w, sent in places(batches):
+            at = np.minimum(np.searchsorted(word, w), len(word) - 1)
+            keep = word[at] == w
+            if keep.any():
+                yield pa.record_batch([pa.array(np.full(keep.sum(), i)), pa.array(sent[keep].astype(np.int64)), pa.array(at[keep])], names=["text", "sent", "word"])
+
+    found = texts.mapInArrow(known, "text long, sent long, word long").toArrow() if len(word) else pa.table({c: pa.array([], pa.int64()) for c in ("text", "sent", "word")})
+    return modelled(word, start, *(found.column(c).to_numpy() for c in ("text", "sent", "word")), heads.column("sentences").to_numpy()[first], y)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", to: str = "score") -> DataFrame:
