@@ -17,9 +17,10 @@ How the work is dealt:
   each task;
 * a bucket finds the smallest document of each edge and compacts consecutive
   repeats; Spark joins the pieces of a path that lie in different buckets;
-* the words of every path are compared with those at its source coordinates by
-  a 128-bit digest.  Should two different windows ever share a hash, the
-  comparison finds it and everything is done again with other hashes.
+* a window is told from others by a 64-bit hash of its words, and the words of
+  every path are compared with those at its source coordinates by a 128-bit
+  digest.  Should two different windows ever share a hash, the comparison finds
+  it, and the windows are sent again with 128 bits each.
 
 Defined results: a null text has no words; a row with a null id repeats nothing
 and is repeated by nobody; rows that share an id are never each other's source,
@@ -45,11 +46,11 @@ from .words import batches_of, gram_starts, grams, hashed, mix
 #: Words of a window, and of the grams that route it.
 WINDOW, ROUTE = 13, 4
 #: Windows that a task decides together.
-CHUNK_WINDOWS = 700_000
+CHUNK_WINDOWS = 500_000
 #: A run of windows in one entry of a payload.
 LONGEST_RUN = 255
-#: Times the hashes are changed before a mismatch is an error.
-TRIES = 4
+#: Bits of a window's hash in the first try, and tries: the later ones have other hashes, of 128 bits.
+NARROW, TRIES = 64, 4
 
 SPANS = "doc_id long, disc long, start int, windows int, src_id long, src_disc long, src_start int"
 _SPAN_NAMES = [c.split()[0] for c in SPANS.split(", ")]
@@ -60,34 +61,36 @@ def _unplanes(raw: np.ndarray, n: int, kind: np.dtype) -> np.ndarray:
     return np.ascontiguousarray(raw[:n * kind.itemsize].reshape(kind.itemsize, n).T).view(kind).ravel()
 
 
-def _narrow(keys: np.ndarray, size: int) -> bytes:
-    """The low ``size`` bytes of each unsigned value."""
-    return np.ascontiguousarray(keys).view(np.uint8).reshape(len(keys), keys.itemsize)[:, :size].tobytes()
-
-
-def _widen(raw: np.ndarray, n: int, size: int) -> np.ndarray:
-    out = np.zeros((n, 8), np.uint8)
-    out[:, :size] = raw[:n * size].reshape(n, size)
-    return out.view("<u8").ravel()
-
-
-def _entries(docs, discs, pos, key, run, wh) -> bytes:
+def _entries(docs, discs, pos, run, hashes: list[np.ndarray]) -> bytes:
     """One payload: count, then the columns of its runs, then the window hashes of all runs."""
-    return b"".join([np.array([len(docs)], "<u4").tobytes(), planes(docs), planes(discs), planes(pos.astype("<i4")),
-                     _narrow(key, 6), run.astype(np.uint8).tobytes(), wh.astype("<u4").tobytes()])
+    return b"".join([np.array([len(docs)], "<u4").tobytes(), planes(docs), planes(discs), planes(pos.astype("<i4")), run.astype(np.uint8).tobytes(),
+                     *(h.astype("<u8").tobytes() for h in hashes)])
 
 
 def _open_entries(payload: bytes):
+    """docs, discs, pos, run, and as many hash columns as were packed."""
     raw = np.frombuffer(payload, np.uint8)
     n, at, out = int(np.frombuffer(payload, "<u4", 1)[0]), 4, []
     for kind in (np.dtype("<i8"), np.dtype("<i8"), np.dtype("<i4")):
         out.append(_unplanes(raw[at:], n, kind))
         at += n * kind.itemsize
-    out.append(_widen(raw[at:], n, 6))
-    at += 6 * n
     out.append(raw[at:at + n].astype(np.int64))
-    at += n
-    out.append(np.frombuffer(raw[at:].tobytes(), "<u4"))
+    hashes = np.frombuffer(raw[at + n:].tobytes(), "<u8")
+    m = int(out[-1].sum())
+    return out + [hashes[i:i + m] for i in range(0, len(hashes), m)]
+
+
+def _identity(hashes: list[np.ndarray]) -> np.ndarray:
+    """One value for each different window: the hash, or the rank of a pair of hashes."""
+    if len(hashes) == 1:
+        return hashes[0]
+    order = np.lexsort(hashes[::-1])
+    new = np.zeros(len(order), np.uint64)
+    for h in hashes:
+        held = h[order]
+        new[1:] |= held[1:] != held[:-1]
+    out = np.empty(len(order), np.uint64)
+    out[order] = np.cumsum(new, dtype=np.uint64)
     return out
 
 
@@ -149,9 +152,9 @@ class _Chunk:
         """Payloads: entries at bucket >= 0; local repeats at -1 - (some bucket)."""
         if not self.n:
             return
-        doc, disc, pos, key, wh = (np.concatenate(c) for c in zip(*self.parts))
+        doc, disc, pos, key, *hashes = (np.concatenate(c) for c in zip(*self.parts))
         self.parts, self.n = [], 0
-        src, src_disc, src_pos = _smallest(wh, doc, disc, pos)
+        src, src_disc, src_pos = _smallest(_identity(hashes), doc, disc, pos)
         gone = src < doc
         if gone.any():
             paths = _paths(*(a[gone] for a in (doc, disc, pos, src, src_disc, src_pos)))
@@ -162,7 +165,7 @@ class _Chunk:
                 at = order[lo:hi]
                 yield -1 - int(to[at[0]]), b"".join(planes(c[at].astype(k)) for c, k in zip(paths, _SPAN_KINDS))
         keep = ~gone
-        doc, disc, pos, key, wh = (a[keep] for a in (doc, disc, pos, key, wh))
+        doc, disc, pos, key, *hashes = (a[keep] for a in (doc, disc, pos, key, *hashes))
         if not len(doc):
             return
         new = np.ones(len(doc), bool)
@@ -171,16 +174,14 @@ class _Chunk:
         within = np.arange(len(doc)) - np.repeat(at, np.diff(np.r_[at, len(doc)]))
         at = np.flatnonzero(within % LONGEST_RUN == 0)
         run = np.diff(np.r_[at, len(doc)])
-        route = mix(key[at])
-        to = bucket_of(route, self.bits)
+        to = bucket_of(mix(key[at]), self.bits)
         order = np.argsort(to, kind="stable")
         cut = np.flatnonzero(np.r_[True, to[order][1:] != to[order][:-1]])
-        short = (wh >> np.uint64(32)).astype(np.uint32)
         for lo, hi in zip(cut, np.r_[cut[1:], len(order)]):
             e = order[lo:hi]
             sizes = run[e]
             where = np.arange(sizes.sum()) + np.repeat(at[e] - (np.cumsum(sizes) - sizes), sizes)
-            yield int(to[e[0]]), _entries(doc[at[e]], disc[at[e]], pos[at[e]], route[e], sizes, short[where])
+            yield int(to[e[0]]), _entries(doc[at[e]], disc[at[e]], pos[at[e]], sizes, [h[where] for h in hashes])
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, extra: list[str] = ()) -> DataFrame:
@@ -217,9 +218,10 @@ def route_heavy(rows: DataFrame, m: int, bits: int) -> np.ndarray:
 def repeated_pieces(rows: DataFrame, k: int = WINDOW, m: int = ROUTE, salt: int = 0) -> DataFrame:
     """Path pieces (``SPANS``): windows that also start in a document with a smaller id, compacted within a bucket."""
     spark = rows.sparkSession
-    bits = bucket_bits(spark)
+    bits = bucket_bits(spark) + 1
+    first = np.uint64((1 << NARROW) - 1)
     heavy = spark.sparkContext.broadcast(np.sort(route_heavy(rows, m, bits)))
-    turn = np.uint64(0x9E3779B97F4A7C15 * salt % (1 << 64))
+    turn, second = np.uint64(0x9E3779B97F4A7C15 * salt % (1 << 64)), np.uint64(0x94D049BB133111EB)
 
     def send(batches):
         chunk = _Chunk(bits)
@@ -245,7 +247,9 @@ def repeated_pieces(rows: DataFrame, k: int = WINDOW, m: int = ROUTE, salt: int
                     good &= ~null[a + row]
                     row = row[good]
                     pos = np.flatnonzero(good) - w.first[row]
-                    chunk.add(ids[a + row], discs[a + row], pos, key[good], grams(h, k)[good])
+                    window = grams(h, k)[good]
+                    hashes = [window, grams(mix(h ^ second), k)[good]] if salt else [window & first]
+                    chunk.add(ids[a + row], discs[a + row], pos, key[good], *hashes)
                     if chunk.n >= CHUNK_WINDOWS:
                         yield from chunk.flush()
             yield from chunk.flush()
@@ -253,10 +257,8 @@ def repeated_pieces(rows: DataFrame, k: int = WINDOW, m: int = ROUTE, salt: int
         yield from payload_batches(parts())
 
     def decide(held: list[bytes]):
-        columns = list(zip(*(_open_entries(p) for p in held)))
-        doc, disc, pos, key, run = (np.concatenate(c) for c in columns[:5])
-        short = np.concatenate(columns[5])
-        ident = mix(mix(np.repeat(key, run)) ^ short.astype(np.uint64))
+        doc, disc, pos, run, *hashes = (np.concatenate(c) for c in zip(*(_open_entries(p) for p in held)))
+        ident = _identity(hashes)
         within = np.arange(len(ident)) - np.repeat(np.cumsum(run) - run, run)
         doc, disc, pos = np.repeat(doc, run), np.repeat(disc, run), np.repeat(pos.astype(np.int64), run) + within
         src, src_disc, src_pos = _smallest(ident, doc, disc, pos)

@@ -298,3 +298,16 @@ def test_refinement_of_a_large_cluster():
     e, x = whitening.refined(a)
     assert np.abs(x.T @ x - np.eye(64)).max() < 1e-14
     assert np.abs(a @ x - x * e).max() < 1e-13
+
+
+# ---- 10: windows that share a hash, and few different words ----------------------
+@pytest.mark.parametrize("bits", [64, 12])
+def test_windows_that_share_a_hash_are_told_apart(engine, monkeypatch, bits):
+    from brute import without_repeats
+    from dayload.llm import substring_dedup
+    monkeypatch.setattr(substring_dedup, "NARROW", bits)
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 3, 300))) for i in range(120)]
+    rows += [(200 + i, f"a{i} " + rows[i][1][30:400]) for i in range(20)]
+    df = engine.createDataFrame(rows, "doc_id long, text string")
+    assert bag(substring_dedup.kept_digests(df, k=13)) == without_repeats(rows)
