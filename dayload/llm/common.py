@@ -11,6 +11,7 @@ sending task first, so a hot key costs one element per task.
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Callable, Iterable, Iterator
 
@@ -25,6 +26,20 @@ PAYLOAD = "bucket int, payload binary"
 _PAYLOAD = pa.schema([("bucket", pa.int32()), ("payload", pa.binary())])
 
 
+#: What operators keep in a Python worker between tasks: name, and how to drop it.
+WORKER_CACHES: dict[str, Callable[[], object]] = {}
+
+
+def fresh_worker(keep: str = "") -> None:
+    """At the start of a task: drop what other operators left in this worker, which outlives their stages."""
+    held = [drop for name, drop in WORKER_CACHES.items() if name != keep]
+    for drop in held:
+        drop()
+    if held:
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def importable(spark: SparkSession) -> SparkSession:
     """Let Python workers find this package where the driver found it.
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_bucket, payload_batches
+from .common import by_bucket, fresh_worker, payload_batches
 from .words import Words, hashed, plain_words, slices, text_buffer
 
 #: Latent dimensions, and those the sketch has beyond them; words of a passage that the matrix has a row for.
@@ -148,6 +148,7 @@ class Space:
         d = len(items.known)
 
         def count(batches):
+            fresh_worker()
             n, held = np.zeros(d + 1), False
             for batch in batches:
                 for _, _, w in _slices(batch, "text"):

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe_lexicon import Merges, _joined_rows, _slices, units_of
-from .common import partitions, saved
+from .common import WORKER_CACHES, fresh_worker, partitions, saved
 from .unit_cache import UnitCache
 
 #: Tokens of a sequence.
@@ -55,6 +55,7 @@ ITEM = np.dtype([("doc", "<i8"), ("null", "u1"), ("piece", "<i4"), ("start", "<i
 BINS = "sequence_id long, fill int, done boolean, items binary, ids binary"
 _BINS = pa.schema([("sequence_id", pa.int64()), ("fill", pa.int32()), ("done", pa.bool_()), ("items", pa.binary()), ("ids", pa.binary())])
 _ENCODERS: dict[str, tuple[Merges, UnitCache]] = {}
+WORKER_CACHES["packing"] = _ENCODERS.clear
 
 
 def library_encoder(tokenizer_path: str) -> tuple[Merges, UnitCache]:
@@ -192,6 +193,7 @@ def local_bins(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int,
     """The first round: every task encodes, cuts and packs what it reads (``BINS`` rows)."""
 
     def run(batches):
+        fresh_worker("packing")
         packer = _Packer(0, capacity, slack)
         for batch in batches:
             docs_of, row = batch.column(0).to_pylist(), 0

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bucket_bits, bucket_of, count_locally, heavy_hashes, partitions, payload_batches, planes, saved
+from .common import bucket_bits, bucket_of, count_locally, fresh_worker, heavy_hashes, partitions, payload_batches, planes, saved
 from .words import batches_of, gram_starts, grams, hashed, mix
 
 #: Words of a window, and of the grams that route it.
@@ -196,6 +196,7 @@ def route_heavy(rows: DataFrame, m: int, bits: int) -> np.ndarray:
     """The ``m``-grams that very many places share (all rows are counted)."""
 
     def count(batches):
+        fresh_worker()
         held, n = [], 0
 
         def parts():
@@ -224,6 +225,7 @@ def repeated_pieces(rows: DataFrame, k: int = WINDOW, m: int = ROUTE, salt: int
     turn, second = np.uint64(0x9E3779B97F4A7C15 * salt % (1 << 64)), np.uint64(0x94D049BB133111EB)
 
     def send(batches):
+        fresh_worker()
         chunk = _Chunk(bits)
         hot = heavy.value
 

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import partitions, saved
+from .common import WORKER_CACHES, fresh_worker, partitions, saved
 from .files import read_bytes, replace_file
 from .unit_cache import UnitCache
 from .words import find_words, lowered, slices, split_plain, text_buffer
@@ -40,6 +40,7 @@ MAGIC = b"TOKIDX01"
 #: Letter runs that go through the tokenizer as one text.
 JOINED = 256
 _ENCODERS: dict[str, UnitCache] = {}
+WORKER_CACHES["token_files"] = _ENCODERS.clear
 
 
 def word_cache(tokenizer_path: str) -> UnitCache:
@@ -113,6 +114,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, vocabulary:
     kind = np.dtype(f"<u{width}")
 
     def write(batches):
+        fresh_worker("token_files")
         part = TaskContext.get().partitionId()
         cache, doc_ids, sizes = word_cache(tokenizer_path), [], [np.zeros(1, np.int64)]
         path = f"{folder}/part-{part:05d}"

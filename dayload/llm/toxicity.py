@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pack, saved, unpack
+from .common import fresh_worker, pack, saved, unpack
 from .words import find_words, grams, hash_spans, mix, slices, text_buffer
 
 #: Buckets of hashed words; labelled texts that are fitted at most; passes over them.
@@ -218,6 +218,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = FIT_DOCS, id_col: str
     sample = saved(labelled_sample(docs, labels, limit, id_col, text_col, label_col), "labelled")
 
     def read(batches):
+        fresh_worker()
         for batch in batches:
             ids, y, at = batch.column("doc_id"), batch.column("y"), 0
             sketches = sketch(batch.column("text")).view(np.int64)
@@ -248,6 +249,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = FIT_DOCS, id_col: str
                 yield int(at[i]), *unpack(batch.column("words")[int(i)].as_buffer().to_pybytes(), ["<i4", "<i4"])
 
     def count(batches):
+        fresh_worker()
         held = np.zeros((1 << BITS, 2), np.int64)
         for i, word, _ in places(batches):
             held[np.unique(word)] += (1, int(y[i]))
@@ -276,6 +278,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     @F.arrow_udf("double")
     def rate(texts: pa.Array) -> pa.Array:
+        fresh_worker()
         parts = [shared.value.rows(*s) for s in sentences(texts)]
         return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
