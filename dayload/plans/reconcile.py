@@ -40,21 +40,30 @@ SUMMARY_SCHEMA = T.StructType([
 ])
 
 
-def read_day(spark: SparkSession, root: str, spec: TableSpec, load_date: str) -> DataFrame:
+def read_day(spark: SparkSession, root: str, spec: TableSpec, load_date: str, folder: str | None = None) -> DataFrame:
+    """A stored day; ``folder`` is the table's in that store (the vendor's name, but in the first loader's layout)."""
+    folder = folder or spec.original_table
     if spec.dynamic:
-        return scan_load_date(spark, root, spec.original_table, load_date)
-    return scan_snapshot_table(spark, root, spec.original_table)
+        return scan_load_date(spark, root, folder, load_date)
+    return scan_snapshot_table(spark, root, folder)
+
+
+def stored_folders(audit: DataFrame, load_date: str) -> dict[str, str]:
+    """Where the day's last load put each table, by its vendor name (one audit row for each table and load)."""
+    rows = audit.where((F.col("load_date") == load_date) & (F.col("table_path") != "")).orderBy("loaded_at").select("select_table", "table_path").collect()
+    return {r["select_table"]: r["table_path"].split("/")[0] for r in rows}
 
 
 def reconcile_day(spark: SparkSession, spec: TableSpec, load_date: str, left_root: str,
                   right_root: str, left_name: str = "df_load",
-                  right_name: str = "df_opdate", abs_tol: float = 0.0, rel_tol: float = 0.0) -> Reconciliation:
+                  right_name: str = "df_opdate", abs_tol: float = 0.0, rel_tol: float = 0.0,
+                  left_folder: str | None = None, right_folder: str | None = None) -> Reconciliation:
     """Compare one table's day in two stores by its catalog key (PIP-5)."""
     keys = spec.keys()
     if not keys:
         raise NoKeyError(f"table {spec.table_name} has no key")
-    left = read_day(spark, left_root, spec, load_date)
-    right = read_day(spark, right_root, spec, load_date)
+    left = read_day(spark, left_root, spec, load_date, left_folder)
+    right = read_day(spark, right_root, spec, load_date, right_folder)
     return reconcile(left, right, keys, abs_tol=abs_tol, rel_tol=rel_tol, left_name=left_name,
                      right_name=right_name)
 
@@ -193,6 +202,7 @@ def reconcile_all(spark: SparkSession, specs: list[TableSpec], load_date: str, l
               read_audit(spark, right_root).where(F.col("load_date") == load_date)
               .select("select_table").distinct().collect()}
     by_name = {s.original_table: s for s in specs}
+    left_folders, right_folders = (stored_folders(read_audit(spark, root), load_date) for root in (left_root, right_root))
 
     def run(name: str) -> tuple:
         spec = by_name.get(name)
@@ -204,7 +214,7 @@ def reconcile_all(spark: SparkSession, specs: list[TableSpec], load_date: str, l
             return _summary_row(name, load_date, "no_key")
         try:
             rec = reconcile_day(spark, spec, load_date, left_root, right_root,
-                                abs_tol=abs_tol, rel_tol=rel_tol)
+                                abs_tol=abs_tol, rel_tol=rel_tol, left_folder=left_folders.get(name), right_folder=right_folders.get(name))
             if log_root:
                 write_report(rec, log_root, name, load_date)
                 counts = rec.report_counts

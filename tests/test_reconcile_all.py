@@ -27,3 +27,19 @@ def test_store_never_loaded(spark):
     out = {r["table_name"]: r["status"]
            for r in reconcile_all(spark, [V.WINDEVENTS], "20240115", left, right).collect()}
     assert out == {"WINDEVENTS": "missing"}
+
+
+def test_stores_of_the_first_loader_are_compared(spark):
+    """They lie under the catalog's table name; a mixed pair is compared too."""
+    from dayload.plans.load import load_all
+    from dayload.plans.reconcile import reconcile_all
+    from dayload.session import scratch_dir
+    from dayload.sources import vendor as V
+    from conftest import SF_SMALL
+    V.register_vendor_views(spark, SF_SMALL)
+    a, b, c = (scratch_dir(spark, "v1") for _ in range(3))
+    for root, profile in ((a, "v1"), (b, "v1"), (c, "business")):
+        load_all(spark, [V.ORDERSFEED], V.OTHER_LOAD_DATE, root, profile)
+    for right in (b, c):
+        row, = reconcile_all(spark, [V.ORDERSFEED], V.OTHER_LOAD_DATE, a, right).collect()
+        assert row["status"] == "compared" and row["rows_common"] == row["rows_left"] == row["rows_right"] > 0
