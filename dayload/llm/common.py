@@ -67,7 +67,7 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared scratch folder and read it back (cuts lineage, survives lost executors)."""
     spark = df.sparkSession
     path = scratch_dir(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
