@@ -1,26 +1,34 @@
 """Language-model scores of whole texts by a log-bilinear model.
 
 The model predicts the next token from the two before it: the vectors of the
-context words add up, and their product with a word's vector plus the word's
-bias is its score.  It is trained by noise-contrastive estimation in numpy, on
-every training text: each task passes its texts once from a common start, and
-the tasks' parameters are averaged by tokens.
-
-Its vocabulary is the ``VOCABULARY`` most frequent words, the end of a text, and
-one sign for all other words, which share their probability by their smoothed
-counts.  Scoring needs no sum over the vocabulary for each token: products of
-the parameter matrices give all scores of a word after a word, and one batched
-product gives the normaliser of every pair of context words.
+context words add up to a query.  Words are dealt into classes of ``CLASS`` by
+frequency; the query's product with a class's vector plus its bias scores the
+class, its product with a word's vector plus the word's bias scores the word
+within its class.  Both are trained by noise-contrastive estimation in numpy and
+normalised exactly when a text is scored, by batched products with all
+classes and with the words of the token's class.  So a token costs classes plus
+``CLASS`` products, not the vocabulary, and no table of contexts is kept.
+
+Every word that occurs ``LEAST`` times has vectors, up to the ``VOCABULARY`` most
+frequent ones; one sign stands for all others, which share its probability by
+their smoothed counts.
+
+The model doesn't depend on the number of tasks.  Training texts are dealt by a
+hash of id and text into shards of about ``SHARD_TOKENS`` tokens, each in a fixed order; a
+shard is passed once from a common start, and the shards' parameters are
+averaged row by row, weighted by the squared gradients the row has seen.
 
 Counts of all words come from all training texts.  The most frequent
-``COMMON`` words are broadcast (a fixed 2 MB); the others meet their counts in
-a packed shuffle, so nothing depends on how many different words there are.
+``COMMON`` words are broadcast (a fixed 2 MB), as are the vectors (12 MB at
+most); the other words meet their counts in a packed shuffle, so nothing depends
+on how many different words there are.
 
 Defined results: a null text is an empty text (its end alone); a null id is
 held out and not learnt from; repeated rows are scored alike and each is learnt
 from; without training texts every probability is the smoothing's alone; an
 empty table gives an empty result; other columns are not read.  Words are
-compared by a 64-bit hash.
+compared by a 64-bit hash.  Single precision may move the last digits of a
+score when texts are batched otherwise.
 """
 
 from __future__ import annotations
@@ -33,17 +41,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_bits, bucket_of, by_bucket, count_locally, each_bucket, pack, partitions, payload_batches, saved, scatter, sums_by_hash, unpack
+from .common import PAYLOAD, bucket_bits, bucket_of, by_bucket, count_locally, each_bucket, pack, partitions, payload_batches, saved, scatter, sums_by_hash, unpack
 from .words import Words, batches_of, hashed
 
-#: Words with vectors of their own; words whose counts are broadcast; length of a vector.
-VOCABULARY, COMMON, WIDTH = 508, 1 << 17, 24
-#: Noise words for each token, tokens of a batch, first step of the fit.
-NOISE, BATCH, RATE = 32, 1 << 10, 0.05
+#: Most words with vectors of their own, least occurrences of one, words of a class, length of a vector.
+VOCABULARY, LEAST, CLASS, WIDTH = 1 << 15, 8, 128, 24
+#: Words whose counts are broadcast.
+COMMON = 1 << 17
+#: Noise classes of a batch, noise words of a token, tokens of a batch, first step of the fit.
+NOISE, DRAWS, BATCH, RATE = 32, 6, 1 << 11, 0.05
+#: Tokens of a training shard; tokens that are scored together.
+SHARD_TOKENS, TOGETHER = 4_000_000, 1 << 15
 #: Added to every count.
 SMOOTH = 0.1
 #: Tokens a task groups together before it sends them.
-CHUNK_TOKENS = 1_500_000
+CHUNK_TOKENS = 1_000_000
 #: Parts that the parameters are cut into to be averaged.
 BLOCKS = 32
 OTHER, END, BEGIN = 0, 1, 2
@@ -97,17 +109,38 @@ def _totals(counts: DataFrame) -> tuple[int, int]:
     return row["n"] or 0, row["v"] or 0
 
 
+def _level(counts: np.ndarray) -> np.ndarray:
+    """Counts on a scale that keeps their order: exact below 4,096, 64 steps for each doubling above."""
+    return np.where(counts < 4096, counts, 4096 + np.floor((np.log2(np.maximum(counts, 1)) - 12) * 64)).astype(np.int64)
+
+
 def most_frequent(counts: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ``n`` most frequent words (hash, count), most frequent first."""
+    """The words (hash, count) above a count threshold, the lowest that at most ``n`` words pass; most frequent first.
 
-    def top(batches):
+    A histogram of the counts gives the threshold, so no more than ``n`` rows are collected however many partitions there are."""
+
+    def levels(batches):
+        for batch in batches:
+            for p in batch.column(1):
+                at, many = np.unique(_level(unpack(p.as_buffer().to_pybytes(), ["<u8", "<i8"])[1]), return_counts=True)
+                yield pa.record_batch([pa.array(at), pa.array(many)], names=["level", "n"])
+
+    histogram = sorted(((r["level"], r["n"]) for r in counts.mapInArrow(levels, "level long, n long").groupBy("level").agg(F.sum("n").alias("n")).collect()), reverse=True)
+    least, held = 1 << 62, 0
+    for level, many in histogram:
+        held += many
+        if held > n:
+            break
+        least = level
+
+    def above(batches):
         for batch in batches:
             for p in batch.column(1):
                 h, c = unpack(p.as_buffer().to_pybytes(), ["<u8", "<i8"])
-                at = np.lexsort((h, -c))[:n]
-                yield pa.record_batch([pa.array(h[at].view(np.int64)), pa.array(c[at])], names=["h", "c"])
+                keep = _level(c) >= least
+                yield pa.record_batch([pa.array(h[keep].view(np.int64)), pa.array(c[keep])], names=["h", "c"])
 
-    found = counts.mapInArrow(top, "h long, c long").orderBy(F.desc("c"), "h").limit(n).toArrow()
+    found = counts.mapInArrow(above, "h long, c long").toArrow()
     h, c = found.column("h").to_numpy().view(np.uint64), found.column("c").to_numpy()
     order = np.lexsort((h, -c))
     return h[order], c[order]
@@ -120,6 +153,7 @@ class Vocabulary:
         by = np.argsort(hashes)
         self.hashes, self.ids = hashes[by], (by + 3).astype(np.int32)
         self.size = len(hashes) + 3
+        self.classes = -(-self.size // CLASS)
         self.counts = np.r_[tokens - counts.sum(), texts, 0, counts].astype(float)
 
     def encode(self, h: np.ndarray) -> np.ndarray:
@@ -143,110 +177,171 @@ def _stream(w: Words, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, n
     return h, ids, first, one, two
 
 
-def _add_rows(to: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
-    """``to[at] += rows`` with equal places summed."""
+def _step(x: np.ndarray, gains: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """An adaptive step of the rows ``at`` of ``x``, equal places summed; other rows are not touched."""
     order = np.argsort(at, kind="stable")
     held = at[order]
     cut = np.flatnonzero(np.r_[True, held[1:] != held[:-1]])
-    to[held[cut]] += np.add.reduceat(rows[order], cut, axis=0)
+    g, held = np.add.reduceat(rows[order], cut, axis=0), held[cut]
+    gains[held] += g * g
+    x[held] += RATE * g / np.sqrt(gains[held])
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
 class Model:
-    """One, two: context vectors by place; out: word vectors; bias."""
+    """Parts: context vectors one before and two before; word vectors and class vectors, each with its bias last."""
 
     def __init__(self, vocabulary: Vocabulary, width: int = WIDTH):
         rng = np.random.default_rng(7)
-        self.parts = [rng.normal(0, .1, (vocabulary.size, width)).astype(np.float32) for _ in range(3)]
-        p = (vocabulary.counts + SMOOTH) / (vocabulary.counts + SMOOTH).sum()
-        self.noise = p.copy()
-        self.noise[BEGIN] = 0
-        self.noise /= self.noise.sum()
-        self.parts.append(np.log(p).astype(np.float32))
+        v, self.width = vocabulary.size, width
+        p = vocabulary.counts + SMOOTH
+        p[BEGIN] = 0  # never a next token
+        self.p = p / p.sum()
+        self.mass = np.add.reduceat(self.p, np.arange(0, v, CLASS))
+        out, cls = np.zeros((v, width + 1), np.float32), np.zeros((vocabulary.classes, width + 1), np.float32)
+        out[:, -1] = np.log(np.maximum(self.p, 1e-30) / self.mass[np.arange(v) // CLASS])
+        cls[:, -1] = np.log(self.mass)
+        self.parts = [*(rng.normal(0, .1, (v, width)).astype(np.float32) for _ in range(2)), out, cls]
+        self.gains = [np.full(x.shape, 1e-3, np.float32) for x in self.parts]
+
+    def _query(self, c1: np.ndarray, c2: np.ndarray) -> np.ndarray:
+        q = np.ones((len(c1), self.width + 1), np.float32)
+        q[:, :-1] = self.parts[0][c1] + self.parts[1][c2]
+        return q
 
     def fit(self, streams: Iterator[tuple]) -> int:
         """One pass of noise-contrastive estimation; the number of tokens seen."""
-        one, two, out, bias = self.parts
-        gains = [np.full(x.shape, 1e-3, np.float32) for x in self.parts]
+        one, two, out, cls = self.parts
         rng, seen = np.random.default_rng(11), 0
-        log_noise = np.log(np.maximum(NOISE * self.noise, 1e-30)).astype(np.float32)
+        cum = np.cumsum(self.p)
+        below = np.r_[0, np.cumsum(self.mass)]
+        first = np.arange(len(self.mass)) * CLASS
+        last = np.minimum(first + CLASS, len(self.p)) - 1
+        log_class = np.log(NOISE * self.mass).astype(np.float32)
+        log_word = np.log(DRAWS * np.maximum(self.p, 1e-30) / self.mass[np.arange(len(self.p)) // CLASS]).astype(np.float32)
         for _, ids, _, before, before2 in streams:
             for a in range(0, len(ids), BATCH):
                 w, c1, c2 = ids[a:a + BATCH], before[a:a + BATCH], before2[a:a + BATCH]
-                q = one[c1] + two[c2]
-                noise = rng.choice(len(self.noise), NOISE, p=self.noise)
-                good = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", q, out[w]) + bias[w] - log_noise[w], -30, 30)))
-                bad = -1 / (1 + np.exp(-np.clip(q @ out[noise].T + (bias[noise] - log_noise[noise]), -30, 30)))
-                dq = bad @ out[noise] + good[:, None] * out[w]
-                grads = [np.zeros_like(x) for x in self.parts]
-                _add_rows(grads[0], c1, dq)
-                _add_rows(grads[1], c2, dq)
-                _add_rows(grads[2], w, good[:, None] * q)
-                np.add.at(grads[2], noise, bad.T @ q)
-                grads[3] += np.bincount(w, good, len(bias)).astype(np.float32)
-                np.add.at(grads[3], noise, bad.sum(axis=0))
-                for x, g, s in zip(self.parts, grads, gains):
-                    s += g * g
-                    x += RATE * g / np.sqrt(s)
+                k, q = w // CLASS, self._query(c1, c2)
+                # classes: one draw of noise for the batch
+                noise = rng.choice(len(self.mass), NOISE, p=self.mass)
+                good = 1 - _sigmoid(np.einsum("ij,ij->i", q, cls[k]) - log_class[k])
+                bad = -_sigmoid(q @ cls[noise].T - log_class[noise])
+                dq = bad @ cls[noise] + good[:, None] * cls[k]
+                class_rows = np.concatenate([good[:, None] * q, bad.T @ q])
+                # words of the token's class: noise of its own for each token
+                u = below[k][:, None] + rng.random((len(w), DRAWS)) * self.mass[k][:, None]
+                draws = np.clip(np.searchsorted(cum, u, side="right"), first[k][:, None], last[k][:, None])
+                goodw = 1 - _sigmoid(np.einsum("ij,ij->i", q, out[w]) - log_word[w])
+                drawn = out[draws]
+                badw = -_sigmoid(np.einsum("ij,ikj->ik", q, drawn) - log_word[draws])
+                dq += np.einsum("ik,ikj->ij", badw, drawn) + goodw[:, None] * out[w]
+                word_rows = np.concatenate([goodw[:, None] * q, (badw[:, :, None] * q[:, None, :]).reshape(-1, q.shape[1])])
+                _step(cls, self.gains[3], np.concatenate([k, noise]), class_rows)
+                _step(out, self.gains[2], np.concatenate([w, draws.ravel()]), word_rows)
+                _step(one, self.gains[0], c1, dq[:, :-1])
+                _step(two, self.gains[1], c2, dq[:, :-1])
                 seen += len(w)
         return seen
 
-    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(score after one before, score after two before, normaliser of each context pair); the bias is in the first."""
-        one, two, out, bias = (x.astype(np.float32) for x in self.parts)
-        bias = bias.copy()
-        bias[BEGIN] = -np.inf  # never a next token
-        a, b = one @ out.T + bias, two @ out.T
-        norm = np.empty((len(one), len(one)), np.float32)
-        eb = np.exp(b - b.max(axis=1, keepdims=True))
-        for i in range(len(one)):  # sum over words of exp(a + b), one row of contexts at a time
-            top = a[i].max()
-            norm[i] = np.log(eb @ np.exp(a[i] - top)) + top + b.max(axis=1)
-        return a, b, norm
-
-
-def train(rows: DataFrame, vocabulary: Vocabulary) -> Model:
-    """Fit on all training texts: a pass in each task, parameters averaged by tokens."""
+    def log_probabilities(self, ids: np.ndarray, before: np.ndarray, before2: np.ndarray) -> np.ndarray:
+        """The natural logarithm of each token's probability after its context, normalised over all tokens."""
+        out, cls = self.parts[2:]
+        total = np.empty(len(ids))
+        for a in range(0, len(ids), TOGETHER):
+            w = ids[a:a + TOGETHER]
+            k, q = w // CLASS, self._query(before[a:a + TOGETHER], before2[a:a + TOGETHER])
+            order = np.argsort(k, kind="stable")
+            cut = np.flatnonzero(np.r_[True, k[order][1:] != k[order][:-1]])
+            logp = np.empty(len(w))
+            for lo, hi in zip(cut.tolist(), [*cut[1:].tolist(), len(w)]):
+                at = order[lo:hi]
+                start = int(k[at[0]]) * CLASS
+                logp[at] = _log_softmax(q[at] @ out[start:start + CLASS].T, w[at] - start)
+            for lo in range(0, len(w), 1 << 13):
+                part = slice(lo, lo + (1 << 13))
+                logp[part] += _log_softmax(q[part] @ cls.T, k[part])
+            total[a:a + TOGETHER] = logp
+        return total
+
+
+def _log_softmax(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    x -= x.max(axis=1, keepdims=True)
+    own = x[np.arange(len(x)), at].astype(np.float64)
+    return own - np.log(np.exp(x, out=x).sum(axis=1, dtype=np.float64))
+
+
+def _blocks(rows: int) -> np.ndarray:
+    return np.linspace(0, rows, BLOCKS + 1).astype(int)
+
+
+def train(rows: DataFrame, vocabulary: Vocabulary, tokens: int, shard_tokens: int = SHARD_TOKENS) -> Model:
+    """Fit on all training texts: a pass over each shard, parameters averaged by what their rows have seen."""
     spark = rows.sparkSession
     shared = spark.sparkContext.broadcast(vocabulary)
+    shards = max(1, round(tokens / shard_tokens))
+    place = F.xxhash64("doc_id", "text")
+    dealt = (rows.where("not held_out").select(F.pmod(place, F.lit(shards)).cast("int").alias("shard"), place.alias("place"), "text")
+             .repartitionById(shards, "shard").sortWithinPartitions("shard", "place"))
 
     def run(batches):
         v = shared.value
-        model = Model(v)
-        n = model.fit(_stream(w, v) for batch in batches for _, _, w in batches_of(batch, "text", lower=True))
-        if n:
-            flat = np.concatenate([x.ravel() for x in model.parts]).astype(np.float64) * n
-            yield from payload_batches((i, np.r_[float(n), x].tobytes()) for i, x in enumerate(np.array_split(flat, BLOCKS)))
+        now, model = None, None
+
+        def sent(n):
+            # each row times its weight, and the weight: sums of them make the average
+            if n:
+                weights = [g.sum(axis=1, keepdims=True) for g in model.gains]
+                for i in range(BLOCKS):
+                    held = [np.hstack([w[a:b], x[a:b] * w[a:b]]).ravel() for x, w in zip(model.parts, weights) for a, b in [_blocks(len(x))[i:i + 2]]]
+                    yield pa.record_batch([pa.array([i], pa.int32()), pa.array([now], pa.int32()), pa.array([np.concatenate(held).astype("<f4").tobytes()], pa.binary())],
+                                          names=["bucket", "shard", "payload"])
+
+        seen = 0
+        for batch in batches:
+            shard = batch.column("shard").to_numpy()
+            cut = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]])
+            for lo, hi in zip(cut.tolist(), [*cut[1:].tolist(), len(shard)]):
+                if shard[lo] != now:
+                    yield from sent(seen)
+                    now, model, seen = int(shard[lo]), Model(v), 0
+                seen += model.fit(_stream(w, v) for _, _, w in batches_of(batch.slice(lo, hi - lo), "text", lower=True))
+        yield from sent(seen)
 
     def average(batches):
         now, total = None, None
         for batch in batches:
-            for b, p in zip(batch.column(0).to_pylist(), batch.column(1)):
-                x = np.frombuffer(p.as_buffer(), "<f8")
+            for b, p in zip(batch.column("bucket").to_pylist(), batch.column("payload")):
+                x = np.frombuffer(p.as_buffer(), "<f4")
                 if b != now:
                     if now is not None:
-                        yield next(payload_batches([(now, total.tobytes())]))
-                    now, total = b, x.copy()
+                        yield next(payload_batches([(now, total.astype("<f4").tobytes())]))
+                    now, total = b, x.astype(np.float64)
                 else:
                     total += x
         if now is not None:
-            yield next(payload_batches([(now, total.tobytes())]))
+            yield next(payload_batches([(now, total.astype("<f4").tobytes())]))
 
-    sent = rows.where("not held_out").select("text").mapInArrow(run, "bucket int, payload binary")
-    parts = {r["bucket"]: np.frombuffer(bytes(r["payload"]), "<f8") for r in by_bucket(sent, average, "bucket int, payload binary").collect()}
+    sums = dealt.select("shard", "text").mapInArrow(run, "bucket int, shard int, payload binary")
+    sums = sums.repartition(min(BLOCKS, partitions(spark)), "bucket").sortWithinPartitions("bucket", "shard").mapInArrow(average, PAYLOAD)
     model = Model(vocabulary)
-    if parts:
-        flat = np.concatenate([parts[i][1:] / parts[i][0] for i in range(BLOCKS)])
-        at = 0
-        for i, x in enumerate(model.parts):
-            model.parts[i] = flat[at:at + x.size].reshape(x.shape).astype(np.float32)
-            at += x.size
+    for r in sums.collect():
+        flat, at = np.frombuffer(bytes(r["payload"]), "<f4"), 0
+        for x in model.parts:
+            a, b = _blocks(len(x))[r["bucket"]:r["bucket"] + 2]
+            held = flat[at:at + (b - a) * (x.shape[1] + 1)].reshape(b - a, x.shape[1] + 1)
+            x[a:b] = held[:, 1:] / held[:, :1]
+            at += held.size
     return model
 
 
 _ROW = ["<i8", "u1", "u1", "<i8", "<i8", "<i8", "<f8", "<f8"]
 
 
-def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     rows = _rows(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     spark = rows.sparkSession
@@ -256,16 +351,18 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     texts = rows.where("not held_out").count()
     n, v = words + texts, different + (texts > 0)
     common_h, common_c = most_frequent(counts, COMMON)
-    vocabulary = Vocabulary(common_h[:VOCABULARY], common_c[:VOCABULARY], words, texts)
-    model = train(rows, vocabulary)
+    own = min(VOCABULARY - 3, int((common_c >= LEAST).sum()))
+    vocabulary = Vocabulary(common_h[:own], common_c[:own], words, texts)
+    model = train(rows, vocabulary, n, shard_tokens)
+    model.gains = None  # not sent to the tasks
     by = np.argsort(common_h)
     all_words = n + SMOOTH * (v + 1)
     others = float(vocabulary.counts[OTHER]) + SMOOTH * (different - (vocabulary.size - 3) + 1)
-    shared = spark.sparkContext.broadcast((vocabulary, [x.astype(np.float64) for x in model.tables()], common_h[by], common_c[by]))
+    shared = spark.sparkContext.broadcast((vocabulary, model, common_h[by], common_c[by]))
     end_base = np.log10((texts + SMOOTH) / all_words)
 
     def run(batches):
-        vocab, (a, b, norm), hot, hot_n = shared.value
+        vocab, model, hot, hot_n = shared.value
         held, size, chunk = [], 0, TaskContext.get().partitionId() << 24
 
         def flush():
@@ -287,7 +384,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 out = batch.column("held_out").to_numpy(zero_copy_only=False)
                 for x, y, w in batches_of(batch, "text", lower=True):
                     h, ids, first, one, two = _stream(w, vocab)
-                    logp = (a[one, ids] + b[two, ids] - norm[one, two]) / np.log(10)
+                    logp = model.log_probabilities(ids, one, two) / np.log(10)
                     row = w.row_of()
                     at = np.minimum(np.searchsorted(hot, h), max(len(hot) - 1, 0))
                     known = hot[at] == h if len(hot) else np.zeros(len(h), bool)

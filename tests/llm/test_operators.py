@@ -96,17 +96,101 @@ def test_lm_score(engine, small, odd):
     assert lm_score.scored(odd.where("false")).count() == 0
 
 
-def test_lm_normalised():
-    counts = np.array([50, 30, 20, 5])
-    v = lm_score.Vocabulary(np.array([11, 22, 33, 44], np.uint64), counts, 150, 10)
-    m = lm_score.Model(v, 6)
-    rng = np.random.default_rng(0)
-    ids = rng.integers(0, v.size, 5000)
+def lm_stream(v, n=5000, seed=0):
+    ids = np.random.default_rng(seed).integers(0, v.size, n)
     ids[ids == lm_score.BEGIN] = lm_score.END
-    m.fit(iter([(None, ids, None, np.r_[2, ids[:-1]], np.r_[2, 2, ids[:-2]])]))
-    a, b, norm = m.tables()
-    p = np.exp(a[:, None, :] + b[None, :, :] - norm[:, :, None])
-    assert np.allclose(p.sum(axis=2), 1, atol=1e-4)
+    return ids, np.r_[2, ids[:-1]], np.r_[2, 2, ids[:-2]]
+
+
+def test_lm_normalised(monkeypatch):
+    """Over two classes; BEGIN is never a next token."""
+    monkeypatch.setattr(lm_score, "CLASS", 4)
+    v = lm_score.Vocabulary(np.array([11, 22, 33, 44], np.uint64), np.array([50, 30, 20, 5]), 150, 10)
+    assert (v.size, v.classes) == (7, 2)
+    m = lm_score.Model(v, 6)
+    ids, one, two = lm_stream(v)
+    p = np.exp(m.log_probabilities(np.arange(7), one[:7], two[:7]))
+    assert np.allclose(p, m.p, atol=1e-6)  # before the fit: the smoothed counts
+    m.fit(iter([(None, ids, None, one, two)]))
+    total = 0
+    for t in range(7):
+        p = np.exp(m.log_probabilities(np.full(50, t), one[:50], two[:50]))
+        total = total + p
+        assert (p < 1e-9).all() if t == lm_score.BEGIN else (p > 0).all()
+    assert np.allclose(total, 1, atol=1e-5)
+
+
+def test_lm_learns_the_context(monkeypatch):
+    """A word that always follows another comes out likely after it, within and across classes."""
+    monkeypatch.setattr(lm_score, "CLASS", 4)
+    v = lm_score.Vocabulary(np.arange(10, 19, dtype=np.uint64), np.full(9, 100), 900, 10)
+    rng = np.random.default_rng(3)
+    ids = np.array([t for _ in range(4000) for t in (rng.integers(3, 8), 11)])
+    ids[1::2] = np.where(ids[::2] == 3, 11, 9)
+    m = lm_score.Model(v, 8)
+    m.fit((None, ids, None, np.r_[2, ids[:-1]], np.r_[2, 2, ids[:-2]]) for _ in range(40))
+    after = np.exp(m.log_probabilities(np.array([11, 9, 11, 9]), np.array([3, 3, 5, 5]), np.array([9, 9, 9, 9])))
+    assert after[0] > .5 > after[1] and after[3] > .5 > after[2]
+
+
+def test_lm_score_is_the_model_s_sum_whatever_the_tasks(engine, small, monkeypatch):
+    """score against a sum over tokens by the softmax of the trained parts; 1, 5 and 16 tasks, several shards, give the same."""
+    rows = small[:120]
+    kept, train = {}, lm_score.train
+    monkeypatch.setattr(lm_score, "train", lambda *a: kept.setdefault("m", train(*a)) if "m" not in kept else train(*a))
+    runs = []
+    for tasks in (1, 5, 16):
+        df = engine.createDataFrame(rows, "doc_id long, text string").repartition(tasks, "text")
+        runs.append({r["doc_id"]: r["score"] for r in lm_score.scored(df, shard_tokens=4000).collect()})
+    for other in runs[1:]:
+        assert all(other[i] == pytest.approx(s, rel=1e-5) for i, s in runs[0].items())
+    m, counts, texts = kept["m"], {}, 0
+    for i, t in rows:
+        if zlib.crc32(str(i).encode()) % 10:
+            texts += 1
+            for w in words(t, lower=True):
+                counts[w] = counts.get(w, 0) + 1
+    size = len(m.parts[0])
+    own = sorted(c for c in counts.values() if c >= lm_score.LEAST)
+    assert len(own) == size - 3
+    named = {w for w, c in counts.items() if c >= lm_score.LEAST}
+    p = m.p * (sum(counts.values()) + texts + lm_score.SMOOTH * (size - 1))  # counts by id again, smoothed
+    place = {}
+    for w in named:  # ids of words whose count no other word has
+        at = np.flatnonzero(np.abs(p - counts[w] - lm_score.SMOOTH) < 1e-3)
+        if len(at[at > 2]) == 1:
+            place[w] = int(at[at > 2][0])
+    rest = sum(c for w, c in counts.items() if w not in named)
+    others = rest + lm_score.SMOOTH * (len(counts) - len(named) + 1)
+    checked = 0
+    for i, t in rows:
+        held = words(t, lower=True)
+        if any(w in named and w not in place for w in held):
+            continue
+        checked += 1
+        total, one, two = 0.0, lm_score.BEGIN, lm_score.BEGIN
+        for w in [*held, None]:
+            k = lm_score.END if w is None else place.get(w, lm_score.OTHER)
+            q = np.r_[m.parts[0][one] + m.parts[1][two], 1].astype(float)
+            c, a = m.parts[3].astype(float) @ q, k // lm_score.CLASS
+            x = m.parts[2][a * lm_score.CLASS:(a + 1) * lm_score.CLASS].astype(float) @ q
+            logp = c[a] - np.log(np.exp(c).sum()) + x[k - a * lm_score.CLASS] - np.log(np.exp(x).sum())
+            total += logp / np.log(10)
+            if k == lm_score.OTHER:
+                total += np.log10((counts.get(w, 0) + lm_score.SMOOTH) / others)
+            one, two = k, one
+        assert runs[0][i] == pytest.approx(total, rel=1e-4)
+    assert checked
+
+
+def test_lm_most_frequent(engine, monkeypatch):
+    """All words above a count threshold, never more than asked for."""
+    rows = [(i, " ".join(f"w{j}" for j in range(i % 40 + 1))) for i in range(400)]
+    df = engine.createDataFrame(rows, "doc_id long, text string").withColumn("held_out", F.lit(False))
+    counts = lm_score.word_counts(df)
+    for n in (0, 1, 7, 40, 100):
+        h, c = lm_score.most_frequent(counts, n)
+        assert len(h) == min(n, 40) and (np.diff(c) <= 0).all()
 
 
 # ---- 3 ---------------------------------------------------------------------------
