@@ -19,7 +19,7 @@ shard is passed once from a common start, and the shards' parameters are
 averaged row by row, weighted by the squared gradients the row has seen.
 
 Counts of all words come from all training texts.  The most frequent
-``COMMON`` words are broadcast (a fixed 2 MB), as are the vectors (12 MB at
+``COMMON`` words are broadcast (a fixed 2 MB), as are the vectors (5 MB at
 most); the other words meet their counts in a packed shuffle, so nothing depends
 on how many different words there are.
 
@@ -45,13 +45,13 @@ from .common import PAYLOAD, bucket_bits, bucket_of, by_bucket, count_locally, e
 from .words import Words, batches_of, hashed
 
 #: Most words with vectors of their own, least occurrences of one, words of a class, length of a vector.
-VOCABULARY, LEAST, CLASS, WIDTH = 1 << 15, 8, 128, 24
+VOCABULARY, LEAST, CLASS, WIDTH = 1 << 14, 8, 128, 24
 #: Words whose counts are broadcast.
 COMMON = 1 << 17
-#: Noise classes of a batch, noise words of a token, tokens of a batch, first step of the fit.
-NOISE, DRAWS, BATCH, RATE = 32, 6, 1 << 11, 0.05
-#: Tokens of a training shard; tokens that are scored together.
-SHARD_TOKENS, TOGETHER = 4_000_000, 1 << 15
+#: Noise classes and noise words of a batch, tokens of a batch, first step of the fit.
+NOISE, DRAWS, BATCH, RATE = 16, 64, 1 << 11, 0.05
+#: Tokens of a training shard; tokens that are sorted by class together, rows of one product.
+SHARD_TOKENS, TOGETHER, AT_ONCE = 4_000_000, 1 << 15, 1 << 10
 #: Added to every count.
 SMOOTH = 0.1
 #: Tokens a task groups together before it sends them.
@@ -179,6 +179,7 @@ def _stream(w: Words, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, n
 
 def _step(x: np.ndarray, gains: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
     """An adaptive step of the rows ``at`` of ``x``, equal places summed; other rows are not touched."""
+    at = at.astype(np.uint16)  # ids are below 2 ** 16, which sort by radix
     order = np.argsort(at, kind="stable")
     held = at[order]
     cut = np.flatnonzero(np.r_[True, held[1:] != held[:-1]])
@@ -217,11 +218,8 @@ class Model:
         one, two, out, cls = self.parts
         rng, seen = np.random.default_rng(11), 0
         cum = np.cumsum(self.p)
-        below = np.r_[0, np.cumsum(self.mass)]
-        first = np.arange(len(self.mass)) * CLASS
-        last = np.minimum(first + CLASS, len(self.p)) - 1
         log_class = np.log(NOISE * self.mass).astype(np.float32)
-        log_word = np.log(DRAWS * np.maximum(self.p, 1e-30) / self.mass[np.arange(len(self.p)) // CLASS]).astype(np.float32)
+        log_word = np.log(DRAWS * np.maximum(self.p, 1e-30)).astype(np.float32)
         for _, ids, _, before, before2 in streams:
             for a in range(0, len(ids), BATCH):
                 w, c1, c2 = ids[a:a + BATCH], before[a:a + BATCH], before2[a:a + BATCH]
@@ -232,16 +230,14 @@ class Model:
                 bad = -_sigmoid(q @ cls[noise].T - log_class[noise])
                 dq = bad @ cls[noise] + good[:, None] * cls[k]
                 class_rows = np.concatenate([good[:, None] * q, bad.T @ q])
-                # words of the token's class: noise of its own for each token
-                u = below[k][:, None] + rng.random((len(w), DRAWS)) * self.mass[k][:, None]
-                draws = np.clip(np.searchsorted(cum, u, side="right"), first[k][:, None], last[k][:, None])
+                # words: those of the batch's draws that are of the token's class, so a word w is noise DRAWS * p(w) times
+                draws = np.minimum(np.searchsorted(cum, rng.random(DRAWS) * cum[-1], side="right"), len(cum) - 1)
                 goodw = 1 - _sigmoid(np.einsum("ij,ij->i", q, out[w]) - log_word[w])
-                drawn = out[draws]
-                badw = -_sigmoid(np.einsum("ij,ikj->ik", q, drawn) - log_word[draws])
-                dq += np.einsum("ik,ikj->ij", badw, drawn) + goodw[:, None] * out[w]
-                word_rows = np.concatenate([goodw[:, None] * q, (badw[:, :, None] * q[:, None, :]).reshape(-1, q.shape[1])])
+                badw = -_sigmoid(q @ out[draws].T - log_word[draws]) * (k[:, None] == draws // CLASS)
+                dq += badw @ out[draws] + goodw[:, None] * out[w]
+                word_rows = np.concatenate([goodw[:, None] * q, badw.T @ q])
                 _step(cls, self.gains[3], np.concatenate([k, noise]), class_rows)
-                _step(out, self.gains[2], np.concatenate([w, draws.ravel()]), word_rows)
+                _step(out, self.gains[2], np.concatenate([w, draws]), word_rows)
                 _step(one, self.gains[0], c1, dq[:, :-1])
                 _step(two, self.gains[1], c2, dq[:, :-1])
                 seen += len(w)
@@ -258,20 +254,24 @@ class Model:
             cut = np.flatnonzero(np.r_[True, k[order][1:] != k[order][:-1]])
             logp = np.empty(len(w))
             for lo, hi in zip(cut.tolist(), [*cut[1:].tolist(), len(w)]):
-                at = order[lo:hi]
-                start = int(k[at[0]]) * CLASS
-                logp[at] = _log_softmax(q[at] @ out[start:start + CLASS].T, w[at] - start)
-            for lo in range(0, len(w), 1 << 13):
-                part = slice(lo, lo + (1 << 13))
+                start = int(k[order[lo]]) * CLASS
+                words = np.ascontiguousarray(out[start:start + CLASS].T)
+                for i in range(lo, hi, AT_ONCE):
+                    at = order[i:min(i + AT_ONCE, hi)]
+                    logp[at] = _log_softmax(q[at] @ words, w[at] - start)
+            for lo in range(0, len(w), AT_ONCE):
+                part = slice(lo, lo + AT_ONCE)
                 logp[part] += _log_softmax(q[part] @ cls.T, k[part])
             total[a:a + TOGETHER] = logp
         return total
 
 
 def _log_softmax(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
+    top = x.max(axis=1)
+    if np.abs(top).max() > 60:  # else neither the sum nor its largest term leaves single precision
+        x = x - top[:, None]
     own = x[np.arange(len(x)), at].astype(np.float64)
-    return own - np.log(np.exp(x, out=x).sum(axis=1, dtype=np.float64))
+    return own - np.log(np.exp(x, out=x).sum(axis=1).astype(np.float64))
 
 
 def _blocks(rows: int) -> np.ndarray:
