@@ -62,6 +62,18 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedpri
        l_shipdate AS ENTRYTIME, strftime(l_shipdate, '%Y%m%d') AS ship_dt
 FROM lineitem"""
 
+WINDORDERS_SRC = """
+SELECT o_orderkey, o_orderdate AS OPDATE, CAST(o_orderkey % 3 AS VARCHAR) AS OPMODE,
+       strftime(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 5 - 2 AS INTEGER), '%Y%m%d') AS TRADE_DT,
+       o_custkey, o_totalprice
+FROM orders"""
+
+WINDLINES_SRC = """
+SELECT l_orderkey, l_linenumber, l_shipdate AS OPDATE, CAST((l_orderkey + l_linenumber) % 3 AS VARCHAR) AS OPMODE,
+       strftime(CAST(l_shipdate AS DATE) + CAST((l_orderkey + l_linenumber) % 5 - 2 AS INTEGER), '%Y%m%d') AS TRADE_DT,
+       l_quantity, l_returnflag
+FROM lineitem"""
+
 CHANGED_ORDERS = """
 SELECT o_orderkey, o_custkey, o_orderstatus,
        CASE WHEN o_orderkey % 89 = 0 THEN o_totalprice + 0.5 ELSE o_totalprice END AS o_totalprice,
@@ -77,6 +89,7 @@ FROM orders WHERE o_orderkey % 101 = 0"""
 SOURCES = {
     "windevents": WINDEVENTS_SRC, "ordersfeed": ORDERSFEED_SRC,
     "customersnap": CUSTOMERSNAP_SRC, "lineitemfeed": LINEITEMFEED_SRC,
+    "windorders": WINDORDERS_SRC, "windlines": WINDLINES_SRC,
     "nationsnap": "SELECT * FROM nation", "regionsnap": "SELECT * FROM region",
 }
 
@@ -139,6 +152,10 @@ KINDS = {
     "lineitemfeed": {"l_orderkey": "int", "l_linenumber": "int", "l_quantity": "num",
                      "l_extendedprice": "num", "l_returnflag": "text", "ENTRYTIME": "ts",
                      "ship_dt": "text"},
+    "windorders": {"o_orderkey": "int", "OPDATE": "ts", "OPMODE": "text", "TRADE_DT": "text",
+                   "o_custkey": "int", "o_totalprice": "num"},
+    "windlines": {"l_orderkey": "int", "l_linenumber": "int", "OPDATE": "ts", "OPMODE": "text",
+                  "TRADE_DT": "text", "l_quantity": "num", "l_returnflag": "text"},
     "nationsnap": {"n_nationkey": "int", "n_name": "text", "n_regionkey": "int"},
     "regionsnap": {"r_regionkey": "int", "r_name": "text"},
 }
@@ -487,6 +504,34 @@ def _():
     return counts_sql(_wind_pair_j())
 
 
+@oracle("daily_load_many")
+def _():
+    return _audit_rows(V.order_catalog(), O, "change")
+
+
+def _day_pair_j(spec: TableSpec) -> str:
+    """A table's business-date load of the day joined with its change-date load; keys repeat, so rows are numbered."""
+    kinds = {"int64": "int", "float64": "num"}
+    cols = [(c.name.lower(), kinds.get(c.logical_type, "text")) for c in spec.all_cols] + [("load_date", "int")]
+    lower = ", ".join(f'"{n}" AS {n.lower()}' for n in [*(c.name for c in spec.all_cols), "LOAD_DATE"])
+    keys = [k.lower() for k in spec.primary_key]
+    rest = [c for c in cols if c[0] not in keys]
+    return joined_sql(f"SELECT {lower} FROM ({load_sql(spec, O, 'business')}) a", f"SELECT {lower} FROM ({load_sql(spec, O, 'change')}) b",
+                      keys, rest, order=[c for c, _ in rest])
+
+
+@oracle("daily_reconcile_many")
+def _():
+    parts = []
+    for s in V.order_catalog():
+        none = f"{_count(business_rows_sql(s, O))} = 0 OR {_count(change_rows_sql(s, O))} = 0"
+        parts.append(f"SELECT '{s.original_table}' AS table_name, '{O}' AS load_date, 'compared' AS status, * "
+                     f"FROM ({counts_sql(_day_pair_j(s))}) c WHERE NOT ({none})")
+        parts.append(f"SELECT '{s.original_table}', '{O}', 'missing', NULL::BIGINT, NULL::BIGINT, NULL::BIGINT, "
+                     f"NULL::BIGINT, NULL::BIGINT, NULL::BIGINT, NULL::BIGINT WHERE {none}")
+    return " UNION ALL ".join(parts)
+
+
 @oracle("daily_reconcile_all")
 def _():
     biz = change_rows_sql(V.ORDERSFEED, W).replace("SELECT *", "SELECT 1", 1)

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..catalog import LOAD_DATE_MARKER, MODE_COLUMN, TableSpec
 from ..operators.filters import BY_BUSINESS, change_test_text, incremental_filter
 from ..operators.project import CHANGE, PROFILES, LoadProfile, normalize
+from ..session import own_pool
 from ..sinks.writers import (AUDIT_SCHEMA, append_audit, audit_row, write_sidecar,
                              write_slice, write_snapshot)
 from ..sources.query import CHUNK_ROWS, source_frame
@@ -108,15 +109,20 @@ def load_table(spark: SparkSession, spec: TableSpec, load_date: str, root: str,
 def load_all(spark: SparkSession, specs: list[TableSpec], load_date: str, root: str,
              profile: LoadProfile | str = CHANGE, threads: int = LOAD_THREADS,
              max_records: int = CHUNK_ROWS, connections: dict | None = None) -> DataFrame:
-    """Load every given table for the day as concurrent Spark jobs; one audit
-    row per table, failures included (PIP-4)."""
+    """Load every given table for the day as concurrent Spark jobs, each
+    table's in a scheduler pool of its own; one audit row per table, failures
+    included (PIP-4)."""
     profile = _profile(profile)
     if not specs:
         return spark.createDataFrame([], AUDIT_SCHEMA)
+
+    def one(spec: TableSpec) -> DataFrame:
+        with own_pool(spark, f"load-{spec.table_name}"):
+            return load_table(spark, spec, load_date, root, profile, max_records=max_records,
+                              write_audit=False, connections=connections)
+
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        audits = list(pool.map(
-            lambda s: load_table(spark, s, load_date, root, profile, max_records=max_records,
-                                 write_audit=False, connections=connections), specs))
+        audits = list(pool.map(one, specs))
     out = audits[0]
     for a in audits[1:]:
         out = out.unionByName(a)

@@ -8,6 +8,7 @@ every table shares one report schema."""
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 
 from ..catalog import TableSpec
 from ..operators.reconcile import NoKeyError, Reconciliation, reconcile
+from ..session import own_pool
 from ..sinks.writers import read_audit
 from ..sources.store import comparable_tables, scan_load_date, scan_snapshot_table
 
@@ -142,9 +144,26 @@ def render_report(rec: Reconciliation, table: str, load_date: str, keys: list[st
 
 def write_text_report(spark: SparkSession, text: str, log_root: str, table: str,
                       load_date: str) -> str:
-    """``<log_root>/<table>/<load_date>.txt`` (a one-file text dataset)."""
-    path = f"{log_root.rstrip('/')}/{table}/{load_date}.txt"
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    """``<log_root>/<table>/<load_date>.txt``, one file.
+
+    It is written beside its place and renamed into it, so a reader finds the
+    last report or the new one, whole; a rerun replaces the day's report."""
+    folder = f"{log_root.rstrip('/')}/{table}"
+    path = f"{folder}/{load_date}.txt"
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    target = hadoop.Path(path)
+    fs = target.getFileSystem(conf)
+    target, staged = fs.makeQualified(target), fs.makeQualified(hadoop.Path(f"{folder}/_{load_date}-{uuid.uuid4().hex}"))
+    out = fs.create(staged, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+    if fs.exists(target) and fs.getFileStatus(target).isDirectory():  # a report of the older layout
+        fs.delete(target, True)
+    over = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    over[0] = hadoop.Options.Rename.OVERWRITE
+    hadoop.FileContext.getFileContext(target.toUri(), conf).rename(staged, target, over)
     return path
 
 
@@ -225,7 +244,11 @@ def reconcile_all(spark: SparkSession, specs: list[TableSpec], load_date: str, l
             return _summary_row(name, load_date, "failed",
                                 error=f"{type(exc).__name__}: {exc}")
 
+    def pooled(name: str) -> tuple:
+        with own_pool(spark, f"reconcile-{name}"):
+            return run(name)
+
     names = sorted(listed)
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        rows = list(pool.map(run, names))
+        rows = list(pool.map(pooled, names))
     return spark.createDataFrame(rows, SUMMARY_SCHEMA)

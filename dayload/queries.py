@@ -198,6 +198,23 @@ def daily_reconcile(spark, sf_dir):
     return reconcile_day(spark, V.WINDEVENTS, W, left, right).counts()
 
 
+@query("daily_load_many")
+def daily_load_many(spark, sf_dir):
+    """Three tables with rows on the day, loaded by change date side by side."""
+    _views(spark, sf_dir)
+    root = scratch_dir(spark, "load_many")
+    load_all(spark, V.order_catalog(), O, root, "change")
+    return read_audit(spark, root).select("select_table", "table_empty", "row_count", "status")
+
+
+@query("daily_reconcile_many")
+def daily_reconcile_many(spark, sf_dir):
+    """The business-date loads of three tables against their change-date loads."""
+    _views(spark, sf_dir)
+    left, right = _two_stores(spark, V.order_catalog(), O)
+    return reconcile_all(spark, V.order_catalog(), O, left, right).drop("error")
+
+
 @query("daily_reconcile_all")
 def daily_reconcile_all(spark, sf_dir):
     _views(spark, sf_dir)

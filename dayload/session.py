@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +28,7 @@ def build_session(master: str = "local[8]", app: str = "dayload",
     builder = (SparkSession.builder.master(master).appName(app)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
+               .config("spark.scheduler.mode", "FAIR")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "16g"))
     for k, v in {**ENGINE_CONF, **(extra or {})}.items():
@@ -42,6 +45,30 @@ def apply_engine_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+POOL = "spark.scheduler.pool"
+
+
+@contextmanager
+def own_pool(spark: SparkSession, name: str) -> Iterator[None]:
+    """Run the block's jobs in a scheduler pool of that name, as its thread's property.
+
+    With ``spark.scheduler.mode`` FAIR the pools share the cores, so a small
+    table's jobs don't wait for a large one's tasks; else pools change nothing."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote session exposes no context
+        sc = None
+    if sc is None:
+        yield
+        return
+    before = sc.getLocalProperty(POOL)
+    sc.setLocalProperty(POOL, name)
+    try:
+        yield
+    finally:
+        sc.setLocalProperty(POOL, before)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

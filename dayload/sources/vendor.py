@@ -79,6 +79,24 @@ def lineitemfeed(lineitem: DataFrame) -> DataFrame:
         F.date_format("l_shipdate", "yyyyMMdd").alias("ship_dt"))
 
 
+def windorders(orders: DataFrame) -> DataFrame:
+    """``orders`` as a wind-family change log."""
+    k = F.col("o_orderkey")
+    return orders.select(
+        "o_orderkey", F.col("o_orderdate").alias("OPDATE"), (k % 3).cast("string").alias("OPMODE"),
+        F.date_format(F.date_add(F.to_date("o_orderdate"), (k % 5 - 2).cast("int")), "yyyyMMdd").alias("TRADE_DT"),
+        "o_custkey", "o_totalprice")
+
+
+def windlines(lineitem: DataFrame) -> DataFrame:
+    """``lineitem`` as a wind-family change log with a key of two columns."""
+    k = F.col("l_orderkey") + F.col("l_linenumber")
+    return lineitem.select(
+        "l_orderkey", "l_linenumber", F.col("l_shipdate").alias("OPDATE"), (k % 3).cast("string").alias("OPMODE"),
+        F.date_format(F.date_add(F.to_date("l_shipdate"), (k % 5 - 2).cast("int")), "yyyyMMdd").alias("TRADE_DT"),
+        "l_quantity", "l_returnflag")
+
+
 def changed_orders(orders: DataFrame) -> DataFrame:
     """A second load of ``orders`` with known differences: every 97th key
     dropped, 0.5 added to every 89th price, every 83rd priority missing,
@@ -131,6 +149,8 @@ VIEW_BUILDERS = {
     "vendor_ordersfeed": ("orders", ordersfeed),
     "vendor_customersnap": ("customer", customersnap),
     "vendor_lineitemfeed": ("lineitem", lineitemfeed),
+    "vendor_windorders": ("orders", windorders),
+    "vendor_windlines": ("lineitem", windlines),
     "vendor_nationsnap": ("nation", lambda df: df),
     "vendor_regionsnap": ("region", lambda df: df),
 }
@@ -211,6 +231,33 @@ LINEITEMFEED = TableSpec(
         ("ship_dt", "varchar(8)", "str", "string"),
     ))
 
+WINDORDERS = TableSpec(
+    table_name="windorders", data_base="wind", original_table="WINDORDERS",
+    source_sql="SELECT * FROM vendor_windorders", dynamic=True, is_important=True,
+    date_column="TRADE_DT", primary_key=("o_orderkey",),
+    all_cols=_cols(
+        ("o_orderkey", "bigint", "int64", "int64"),
+        ("OPDATE", "datetime", "int64", "int64"),
+        ("OPMODE", "varchar(1)", "str", "string"),
+        ("TRADE_DT", "varchar(8)", "str", "string"),
+        ("o_custkey", "bigint", "int64", "int64"),
+        ("o_totalprice", "decimal(15,2)", "float64", "double"),
+    ))
+
+WINDLINES = TableSpec(
+    table_name="windlines", data_base="wind", original_table="WINDLINES",
+    source_sql="SELECT * FROM vendor_windlines", dynamic=True, is_important=True,
+    date_column="TRADE_DT", primary_key=("l_orderkey", "l_linenumber"),
+    all_cols=_cols(
+        ("l_orderkey", "bigint", "int64", "int64"),
+        ("l_linenumber", "int", "int64", "int64"),
+        ("OPDATE", "datetime", "int64", "int64"),
+        ("OPMODE", "varchar(1)", "str", "string"),
+        ("TRADE_DT", "varchar(8)", "str", "string"),
+        ("l_quantity", "float", "float64", "double"),
+        ("l_returnflag", "char(1)", "str", "string"),
+    ))
+
 NATIONSNAP = TableSpec(
     table_name="nationsnap", data_base="wind", original_table="NATIONSNAP",
     source_sql="SELECT * FROM vendor_nationsnap", dynamic=False, is_important=False,
@@ -231,5 +278,10 @@ REGIONSNAP = TableSpec(
     ))
 
 
+def order_catalog() -> list[TableSpec]:
+    """Three incremental tables with rows on the same days."""
+    return [ORDERSFEED, WINDORDERS, WINDLINES]
+
+
 def demo_catalog() -> list[TableSpec]:
     return [WINDEVENTS, ORDERSFEED, CUSTOMERSNAP, LINEITEMFEED, NATIONSNAP, REGIONSNAP]
