@@ -49,7 +49,7 @@ VOCABULARY, LEAST, CLASS, WIDTH = 1 << 14, 8, 128, 24
 #: Words whose counts are broadcast.
 COMMON = 1 << 17
 #: Noise classes and noise words of a batch, tokens of a batch, first step of the fit.
-NOISE, DRAWS, BATCH, RATE = 16, 64, 1 << 11, 0.05
+NOISE, DRAWS, BATCH, RATE = 16, 64, 1 << 12, 0.05
 #: Tokens of a training shard; tokens that are sorted by class together, rows of one product.
 SHARD_TOKENS, TOGETHER, AT_ONCE = 4_000_000, 1 << 15, 1 << 10
 #: Added to every count.
@@ -189,7 +189,8 @@ def _step(x: np.ndarray, gains: np.ndarray, at: np.ndarray, rows: np.ndarray) ->
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    with np.errstate(over="ignore"):  # 1 / inf is the 0 it stands for
+        return 1 / (1 + np.exp(-x))
 
 
 class Model:
@@ -267,11 +268,13 @@ class Model:
 
 
 def _log_softmax(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    top = x.max(axis=1)
-    if np.abs(top).max() > 60:  # else neither the sum nor its largest term leaves single precision
-        x = x - top[:, None]
     own = x[np.arange(len(x)), at].astype(np.float64)
-    return own - np.log(np.exp(x, out=x).sum(axis=1).astype(np.float64))
+    with np.errstate(over="ignore"):
+        total = np.exp(x).sum(axis=1)
+    if not (total.min() > 1e-30 and total.max() < 1e30):  # near the ends of single precision: from the largest score
+        top = x.max(axis=1)
+        return own - top - np.log(np.exp(x - top[:, None]).sum(axis=1).astype(np.float64))
+    return own - np.log(total.astype(np.float64))
 
 
 def _blocks(rows: int) -> np.ndarray:
