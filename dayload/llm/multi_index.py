@@ -13,14 +13,15 @@ structure needs many, and then the search is wide rather than wrong.
 
 Cells lie in units of about ``UNIT`` vectors (a larger cell has several units);
 a query is sent, with its list of cells, to the units that hold any of them,
-and each unit returns its nearest few.  Equal vectors are indexed once, with
+and each unit returns its nearest few; queries pass a unit's vectors in blocks.
+Equal vectors are indexed once, with
 their smallest ids (no more can be among the nearest), and equal queries are
 searched once.
 
 Defined results: vectors that are null, all zero, hold a null or non-finite
 component, or have another length than most take no part, and neither do rows
 with a null id; a vec_id with several different vectors counts with its
-smallest one; repeated rows count once; fewer candidates than asked for are all
+smallest one; vectors of one component are searched like any other; repeated rows count once; fewer candidates than asked for are all
 returned; an empty table gives an empty result; other columns are not read.
 """
 
@@ -47,7 +48,7 @@ ROUNDS = 12
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """vec_id, v of the vectors that take part, one for each id."""
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v")).where("vec_id is not null and v is not null and size(v) > 1")
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v")).where("vec_id is not null and v is not null and size(v) > 0")
     good = ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("v", lambda x: x != 0)
     rows = rows.where(good)
     sizes = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
@@ -61,6 +62,12 @@ def distinct_vectors(rows: DataFrame, keep: int) -> DataFrame:
     return ranked.groupBy("h", "v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
 
 
+def by_hash(points: DataFrame, n: int) -> DataFrame:
+    """The points of the least hashes, a few more than ``SAMPLE`` of the ``n``, so that no partition sends a sample of its own."""
+    share = 1.1 * SAMPLE / n
+    return points if share >= 1 else points.where(F.xxhash64("h") < int(-(1 << 63) + share * (1 << 64)))
+
+
 def _kmeans(x: np.ndarray, k: int) -> np.ndarray:
     rng = np.random.default_rng(5)
     c = x[rng.choice(len(x), k, replace=False)].copy()
@@ -105,11 +112,11 @@ class Codebooks:
         cells = self.cells(x)
         counts = np.bincount(cells, minlength=k * k)
         a, b = probes[:, :self.cut] @ self.first.T, probes[:, self.cut:] @ self.second.T
-        order = np.argsort(-(a[:, :, None] + b[:, None, :]).reshape(len(probes), -1), axis=1, kind="stable")
-        reached = np.cumsum(counts[order], axis=1)
-        place = np.empty_like(order)
-        np.put_along_axis(place, order, np.broadcast_to(np.arange(k * k), order.shape), 1)
-        needed = np.take_along_axis(reached, np.take_along_axis(place, cells[truth], 1), 1)
+        needed, place = [], np.empty(k * k, np.int64)
+        for i in range(len(probes)):  # one row of k * k cells at a time
+            order = np.argsort(-(a[i][:, None] + b[i][None, :]).ravel(), kind="stable")
+            place[order] = np.arange(k * k)
+            needed.append(np.cumsum(counts[order])[place[cells[truth[i]]]])
         self.share = float(min(1.0, max(LEAST, np.quantile(needed, RECALL) / len(x))))
 
     def cells(self, x: np.ndarray) -> np.ndarray:
@@ -122,6 +129,34 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
 
 
+def _unit_vectors(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray, list[list[int]], np.ndarray]:
+    """Vectors of a unit, the cell, all ids and the least id of each."""
+    ids = table.column("ids").to_pylist()
+    return _matrix(table.column("v"), width), np.array([c[0] for c in table.column("cells").to_pylist()]), ids, np.array([i[0] for i in ids])
+
+
+def _nearest_in_unit(unit: tuple[np.ndarray, np.ndarray, list[list[int]], np.ndarray], queries: pa.RecordBatch, width: int, k: int) -> pa.RecordBatch:
+    """The ``k`` + 1 nearest of each query among the unit's vectors in the query's cells."""
+    x, cell, ids, least = unit
+    y, met, who = _matrix(queries.column("v"), width), queries.column("cells").to_pylist(), [i[0] for i in queries.column("ids").to_pylist()]
+    reps, found, scores = [], [], []
+    for a in range(0, len(y), 256):
+        rough = y[a:a + 256] @ x.T
+        for i in range(len(rough)):
+            s = np.where(np.isin(cell, met[a + i]), rough[i], -np.inf)
+            top = np.argpartition(-s, 2 * k)[:2 * k + 1] if len(s) > 2 * k + 1 else np.arange(len(s))
+            # all that could tie with the last one kept, but for rounding
+            top = np.flatnonzero(s >= np.partition(s[top], max(0, len(top) - k - 1))[max(0, len(top) - k - 1)] - 1e-9 * max(1.0, float(np.abs(rough[i]).max())))
+            top = top[np.isfinite(s[top])]
+            exact = (x[top] * y[a + i]).sum(axis=1)
+            order = np.lexsort((least[top], -exact))[:k + 1]
+            pairs = sorted(((-exact[o], j) for o in order for j in ids[top[o]]))[:k + 1]
+            reps += [who[a + i]] * len(pairs)
+            found += [j for _, j in pairs]
+            scores += [-e for e, _ in pairs]
+    return pa.record_batch([pa.array(reps, pa.int64()), pa.array(found, pa.int64()), pa.array(scores, pa.float64())], names=["rep", "vec_id", "score"])
+
+
 def nearest(vectors: DataFrame, k: int = NEAREST, every: int = EVERY, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found for every id divisible by ``every``."""
     spark = importable(vectors.sparkSession)
@@ -131,7 +166,7 @@ def nearest(vectors: DataFrame, k: int = NEAREST, every: int = EVERY, id_col: st
     n = points.count()
     if not n:
         return spark.createDataFrame([], out_schema)
-    sample = np.array([r["v"] for r in points.orderBy(F.xxhash64("h"), "h").limit(SAMPLE).select("v").collect()])
+    sample = np.array([r["v"] for r in by_hash(points, n).orderBy(F.xxhash64("h"), "h").limit(SAMPLE).select("v").collect()])
     width = sample.shape[1]
     books = spark.sparkContext.broadcast(Codebooks(sample, n, k))
 
@@ -190,38 +225,22 @@ def nearest(vectors: DataFrame, k: int = NEAREST, every: int = EVERY, id_col: st
         queries.select("h", "v", "ids", "cell").repartition(size).mapInArrow(to_queries, schema))
 
     def search(batches):
-        """The nearest of each query in each unit: (rep, vec_id, score), by deterministic sums."""
-        for table in whole_groups(batches, "unit", 1 << 12):
-            units, kinds = table.column("unit").to_numpy(), table.column("kind").to_numpy()
-            reps, found, scores = [], [], []
-            for u in np.unique(units):
-                at = np.flatnonzero(units == u)
-                v, q = at[kinds[at] == 0], at[kinds[at] == 1]
-                if not len(v) or not len(q):
-                    continue
-                lo, n_v = int(v[0]), len(v)
-                x = _matrix(table.column("v").slice(lo, n_v), width)
-                ids = table.column("ids").slice(lo, n_v).to_pylist()
-                least = np.array([i[0] for i in ids])
-                cell = np.array([c[0] for c in table.column("cells").slice(lo, n_v).to_pylist()])
-                y = _matrix(table.column("v").slice(int(q[0]), len(q)), width)
-                met = table.column("cells").slice(int(q[0]), len(q)).to_pylist()
-                who = [i[0] for i in table.column("ids").slice(int(q[0]), len(q)).to_pylist()]
-                for a in range(0, len(q), 256):
-                    rough = y[a:a + 256] @ x.T
-                    for i in range(len(rough)):
-                        s = np.where(np.isin(cell, met[a + i]), rough[i], -np.inf)
-                        top = np.argpartition(-s, 2 * k)[:2 * k + 1] if len(s) > 2 * k + 1 else np.arange(len(s))
-                        # all that could tie with the last one kept, but for rounding
-                        top = np.flatnonzero(s >= np.partition(s[top], max(0, len(top) - k - 1))[max(0, len(top) - k - 1)] - 1e-9 * max(1.0, float(np.abs(rough[i]).max())))
-                        top = top[np.isfinite(s[top])]
-                        exact = (x[top] * y[a + i]).sum(axis=1)
-                        order = np.lexsort((least[top], -exact))[:k + 1]
-                        pairs = sorted(((-exact[o], j) for o in order for j in ids[top[o]]))[:k + 1]
-                        reps += [who[a + i]] * len(pairs)
-                        found += [j for _, j in pairs]
-                        scores += [-e for e, _ in pairs]
-            yield pa.record_batch([pa.array(reps, pa.int64()), pa.array(found, pa.int64()), pa.array(scores, pa.float64())], names=["rep", "vec_id", "score"])
+        """The nearest of each query in each unit: (rep, vec_id, score), by deterministic sums.
+
+        A unit's vectors come first and are held; its queries pass by in blocks, however many they are."""
+        unit, held, ready = None, [], None
+        for batch in batches:
+            units, kinds = batch.column("unit").to_numpy(), batch.column("kind").to_numpy()
+            cuts = np.flatnonzero(np.r_[True, (units[1:] != units[:-1]) | (kinds[1:] != kinds[:-1])]) if len(units) else np.zeros(0, int)
+            for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(units)]):
+                part = batch.slice(lo, hi - lo)
+                if units[lo] != unit:
+                    unit, held, ready = units[lo], [], None
+                if kinds[lo] == 0:
+                    held.append(part)
+                elif held:
+                    ready = ready or _unit_vectors(pa.Table.from_batches(held), width)
+                    yield _nearest_in_unit(ready, part, width, k)
 
     met = both.repartition(size, "unit").sortWithinPartitions("unit", "kind").mapInArrow(search, "rep long, vec_id long, score double")
 
