@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import dayload.llm.ngram_join as J
-from dayload.llm import decontaminate, license_scan, lm_score, toxicity, url_filter
-from dayload.llm.bpe_lexicon import build_lexicon, compile_lexicon, decode_documents, encode_digests, encode_documents, Lexicon
+from dayload.llm import decontaminate, license_scan, lm_score, multi_index, toxicity, url_filter
+from dayload.llm.bpe_lexicon import build_lexicon, compile_lexicon, decode_documents, encode_digests, encode_documents, frequent_pieces, Lexicon
 from dayload.llm.components import components
 from dayload.llm.multi_index import _walk, nearest
 from dayload.llm.ngram_join import PrefixTree, linked_documents
@@ -244,6 +244,30 @@ def test_nearest_recall(engine):
     assert len(got & want) >= 0.9 * len(want)
 
 
+def test_nearest_of_one_component(engine):
+    rows = [(20 * i, [x]) for i, x in enumerate((1.0, -2.0, 0.5, 3.0, 0.5))] + [(7, [2.5]), (9, [0.0]), (11, [float("nan")]), (13, None)]
+    df = engine.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert bag(nearest(df)) == neighbours(rows)
+
+
+def test_nearest_does_not_follow_the_batches(engine, monkeypatch):
+    """Units whose vectors and queries come in many batches; a sample cut by hash before it is ordered."""
+    monkeypatch.setattr(multi_index, "UNIT", 60)
+    monkeypatch.setattr(multi_index, "SAMPLE", 90)
+    df = engine.read.parquet(f"{SF_SMALL}/embeddings.parquet")
+    n = df.count()
+    points = df.select(F.xxhash64("embedding").alias("h"))
+    first = lambda d: [r["h"] for r in d.orderBy(F.xxhash64("h"), "h").limit(60).collect()]
+    assert multi_index.by_hash(points, n).count() < n and first(multi_index.by_hash(points, n)) == first(points)
+    want = bag(nearest(df, every=3))
+    setting, old = "spark.sql.execution.arrow.maxRecordsPerBatch", engine.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    engine.conf.set(setting, "7")
+    try:
+        assert bag(nearest(df, every=3)) == want
+    finally:
+        engine.conf.set(setting, old)
+
+
 def test_walk_is_by_falling_sums():
     rng = np.random.default_rng(2)
     a, b = rng.normal(size=7), rng.normal(size=7)
@@ -344,6 +368,18 @@ def test_bpe_is_the_library(engine, small, odd):
     assert encode_digests(odd.where("false"), BYTE, path).count() == 0
 
 
+def test_frequent_pieces_stay_under_the_bound(engine):
+    texts = ["a " * 5000, "bb " * 4100, "cc " * 900, "dd " * 900, "ee " * 30, "once"]
+    df = engine.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    all_ = frequent_pieces(df, BYTE, 100)
+    assert len(all_) == len(set(all_)) > 5 and not any(b"once" in p for p in all_)
+    for bound in range(len(all_) + 1):
+        cut = frequent_pieces(df, BYTE, bound)
+        assert len(cut) <= bound and cut == all_[:len(cut)]
+    assert frequent_pieces(df, BYTE, len(all_)) == all_
+    assert frequent_pieces(df.where("false"), BYTE, 9) == []
+
+
 def test_lexicon_is_minimal_and_exact():
     names = [a + b + c for a in ("th", "ing", "re") for b in ("", "x", "yy") for c in ("ed", "s", "")] + ["", "zz"]
     words_ = {w.encode(): [i, i + 1][:1 + i % 2] for i, w in enumerate(sorted(set(names)))}
