@@ -24,7 +24,8 @@ Plan shape:
     ``hot_group_rows`` is where hot keys may be; only there are keys counted;
   * ordinary keys: both loads are tagged and unioned, shuffled once by key,
     numbered per side by one window, and paired by an aggregate that reuses the
-    partitioning;
+    partitioning; the digests' row counts say into how many tasks the rows go, so
+    a task's rows don't grow with the loads;
   * hot keys: identical rows collapse to runs with a count before the shuffle;
     the runs are dealt by ranges of (key, side, ordering), so a key's runs lie
     in ordered bins; sums of the bins give each bin its offset and each run its
@@ -64,6 +65,8 @@ BIN, BLOCK = "__bin", "__blk"
 HOT_GROUP_ROWS = 2_000_000
 # Positions of one key that one window pairs.
 BLOCK_ROWS = 500_000
+# Cells (rows times columns, two more for each row itself) that one task sorts, on average: 50 bytes each as measured.
+TASK_CELLS = 4_000_000
 # Rows one task generates per chunk when a long run is expanded back to
 # rows; the chunk grows for very long runs so a run has at most
 # EXPAND_MAX_CHUNKS chunks (bounding the chunk list built per run).
@@ -164,6 +167,9 @@ class Ranges:
     differing: list[int]     # ranges that don't
     heavy: list[int]         # ranges with more rows on a side than a key may have without being hot
     occupied: int
+    rows: int = 0            # rows of both sides
+    differing_rows: int = 0  # those in ranges that don't agree
+    heavy_rows: int = 0      # those in heavy ranges
 
     @property
     def whole(self) -> bool:
@@ -242,8 +248,10 @@ class Reconciliation:
             row = self.digests().withColumn("agrees", agrees).agg(
                 F.coalesce(F.sum(F.when(F.col("agrees"), F.col("n_left"))), F.lit(0)).alias("equal"),
                 F.collect_list(F.when(~F.col("agrees"), F.col("leaf"))).alias("differing"),
-                F.collect_list(F.when(heavy, F.col("leaf"))).alias("heavy"), F.count(F.lit(1)).alias("n")).first()
-            self._ranges = Ranges(row["equal"], row["differing"], row["heavy"], row["n"])
+                F.collect_list(F.when(heavy, F.col("leaf"))).alias("heavy"), F.count(F.lit(1)).alias("n"),
+                *[F.coalesce(F.sum(F.when(c, F.col("n_left") + F.col("n_right"))), F.lit(0)).alias(name)
+                  for name, c in (("rows", F.lit(True)), ("differing_rows", ~F.col("agrees")), ("heavy_rows", heavy))]).first()
+            self._ranges = Ranges(row["equal"], row["differing"], row["heavy"], row["n"], row["rows"], row["differing_rows"], row["heavy_rows"])
         return self._ranges
 
     def _paired(self, changed: bool) -> tuple[DataFrame, bool]:
@@ -259,8 +267,10 @@ class Reconciliation:
                 left, right, heavy = left.where(kept), right.where(kept), [x for x in heavy if x in differs]
             shared = [c for c, _, _ in self.compare]
             hot = self._hot_keys(heavy)
-            pairs = pair_rows(left, right, self.keys, shared) if hot is None else \
-                pair_split(left, right, self.keys, shared, hot, self.block_rows)
+            columns = max(len(self.left_cols), len(self.right_cols))
+            tasks = _tasks(self.spark, found.differing_rows if changed else found.rows, columns)
+            pairs = pair_rows(left, right, self.keys, shared, tasks) if hot is None else \
+                pair_split(left, right, self.keys, shared, hot, self.block_rows, tasks, _tasks(self.spark, found.heavy_rows, columns))
             status = (F.when(F.col(IN_LEFT) & F.col(IN_RIGHT), F.lit(BOTH))
                       .when(F.col(IN_LEFT), F.lit(LEFT_ONLY)).otherwise(F.lit(RIGHT_ONLY)))
             self._pairs[changed] = pairs.withColumn(STATUS, status), hot is not None
@@ -612,18 +622,28 @@ class _Sides:
                 *[pr.getField(c).alias(f"{c}__ro") for c in self.rpay if c not in self.lt]]
 
 
-def pair_rows(left: DataFrame, right: DataFrame, keys: list[str], shared: list[str]) -> DataFrame:
+def _tasks(spark: SparkSession, rows: int, columns: int) -> int | None:
+    """How many tasks sort that many rows; None where the session's shuffle partitions are enough."""
+    n = -(-rows * (columns + 2) // TASK_CELLS)
+    return n if n > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def _dealt(df: DataFrame, tasks: int | None, by: list[str]) -> DataFrame:
+    return df.repartition(tasks, *by) if tasks else df.repartition(*by)
+
+
+def pair_rows(left: DataFrame, right: DataFrame, keys: list[str], shared: list[str], tasks: int | None = None) -> DataFrame:
     """Pairs of keys that are not hot.  One shuffle: both loads tagged and
-    unioned, hash-partitioned by key, numbered per side, paired by an
-    aggregate on (key, position) that reuses the partitioning; each group
-    holds at most one row per side."""
+    unioned, hash-partitioned by key into ``tasks`` (else the session's
+    partitions), numbered per side, paired by an aggregate on (key, position)
+    that reuses the partitioning; each group holds at most one row per side."""
     sd = _Sides.of(left, right, keys, shared)
 
     def tagged(df: DataFrame, side: int) -> DataFrame:
         return df.select(*keys, F.lit(side).alias(SIDE), *sd.order_copies(side), *sd.payloads(side))
 
     # one exchange of the tagged rows; ordering values are derived after it
-    both = tagged(left, 0).unionByName(tagged(right, 1)).repartition(*keys)
+    both = _dealt(tagged(left, 0).unionByName(tagged(right, 1)), tasks, keys)
     row = F.row_number().over(Window.partitionBy(*keys).orderBy(*sd.ranking())).cast("long")
     n_left = F.count_if(F.col(SIDE) == 0).over(Window.partitionBy(*keys))
     placed = both.withColumn("__rn", row).withColumn("__nl", n_left).withColumn(
@@ -640,7 +660,8 @@ def _same(a: list[Column], b: list[Column]) -> Column:
     return whole
 
 
-def pair_runs(left: DataFrame, right: DataFrame, keys: list[str], shared: list[str], block_rows: int) -> DataFrame:
+def pair_runs(left: DataFrame, right: DataFrame, keys: list[str], shared: list[str], block_rows: int,
+              tasks: int | None = None) -> DataFrame:
     """Pairs of hot keys, a row for each stretch of equal pairs.
 
     1. Identical rows of a side collapse to a run ``(key, row, count)``; the
@@ -664,7 +685,7 @@ def pair_runs(left: DataFrame, right: DataFrame, keys: list[str], shared: list[s
         return counted.select(*keys, F.lit(side).alias(SIDE), *sd.order_copies(side), *sd.payloads(side), "__n")
 
     # 2. ordered bins, exact positions
-    n_bins = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_bins = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = (runs(left, 0).unionByName(runs(right, 1))
              .repartitionByRange(n_bins, *[F.col(k).asc_nulls_first() for k in keys], *sd.ranking())
              .withColumn(BIN, F.spark_partition_id()))
@@ -681,7 +702,7 @@ def pair_runs(left: DataFrame, right: DataFrame, keys: list[str], shared: list[s
           & (F.col(SIDE) == F.col("__os")) & (F.col(BIN) == F.col("__ob")))
     in_bin = Window.partitionBy(*keys, SIDE, BIN).orderBy(*sd.ranking()).rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("__n").over(in_bin), F.lit(0).cast("long"))
-    placed = (dealt.withColumn("__before", before).join(offsets, on)
+    placed = (_dealt(dealt, tasks, [*keys, SIDE, BIN]).withColumn("__before", before).join(offsets, on)
               .withColumn("__start", F.col("__off") + F.col("__before")))
 
     # 3. pieces of blocks, and their boundaries
@@ -702,7 +723,7 @@ def pair_runs(left: DataFrame, right: DataFrame, keys: list[str], shared: list[s
                                    F.when(is_left, F.struct(F.lit(None).cast(sd.lstruct).alias("v"))).otherwise(no_l).alias("lw"),
                                    F.when(~is_left, F.struct(F.lit(None).cast(sd.rstruct).alias("v"))).otherwise(no_r).alias("rw")))
     part = [*keys, BLOCK]
-    events = pieces.select(*part, F.inline(F.filter(F.array(start, stop), lambda e: e.isNotNull())))
+    events = _dealt(pieces.select(*part, F.inline(F.filter(F.array(start, stop), lambda e: e.isNotNull()))), tasks, part)
     by_pos = Window.partitionBy(*part).orderBy("pos", "kind")
     upto = by_pos.rowsBetween(Window.unboundedPreceding, 0)
     carried = (events.withColumn("__cl", F.last("lw", ignorenulls=True).over(upto))
@@ -717,12 +738,12 @@ def pair_runs(left: DataFrame, right: DataFrame, keys: list[str], shared: list[s
 
 
 def pair_split(left: DataFrame, right: DataFrame, keys: list[str], shared: list[str], hot: DataFrame,
-               block_rows: int) -> DataFrame:
+               block_rows: int, tasks: int | None = None, hot_tasks: int | None = None) -> DataFrame:
     """Hot keys by runs, all others by rows; both ways give the same pairs."""
     def routed(df: DataFrame, how: str) -> DataFrame:
         on = _same([df[k] for k in keys], [hot[f"__hk{i}"] for i in range(len(keys))])
         return df.join(hot, on, how)
 
-    by_runs = pair_runs(routed(left, "left_semi"), routed(right, "left_semi"), keys, shared, block_rows)
-    by_rows = pair_rows(routed(left, "left_anti"), routed(right, "left_anti"), keys, shared)
+    by_runs = pair_runs(routed(left, "left_semi"), routed(right, "left_semi"), keys, shared, block_rows, hot_tasks)
+    by_rows = pair_rows(routed(left, "left_anti"), routed(right, "left_anti"), keys, shared, tasks)
     return by_runs.unionByName(by_rows)

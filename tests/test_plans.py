@@ -1,6 +1,7 @@
 """Physical plan shapes that matter at scale."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from dayload.operators import reconcile as R
@@ -66,3 +67,16 @@ def test_expansion_spreads_long_runs(spark, lineitem):
     rec = R.reconcile(lineitem, lineitem, ["l_orderkey", "l_linenumber"], hot_group_rows=1)
     p = plan(rec.status())
     assert "RoundRobinPartitioning" in p
+
+
+def test_tasks_that_sort_rows_grow_with_the_loads(spark, lineitem, monkeypatch):
+    monkeypatch.setattr(R, "TASK_CELLS", 2000)
+    keys, own = ["l_orderkey", "l_linenumber"], int(spark.conf.get("spark.sql.shuffle.partitions"))
+    changed = lineitem.withColumn("l_tax", F.col("l_tax") + 1)
+    seen = []
+    for left in (lineitem.where("l_orderkey % 2 = 0"), lineitem):
+        rec = R.reconcile(left, changed, keys)
+        rows, columns = sum(df.count() for df in (left, changed)), len(left.columns)
+        seen.append(-(-rows * (columns + 2) // R.TASK_CELLS))
+        assert f", {seen[-1]}), REPARTITION_BY_NUM" in plan(rec.stats())
+    assert own < seen[0] < seen[1]
