@@ -61,10 +61,10 @@ POS = "__pos"
 MULT = "__mult"
 BIN, BLOCK = "__bin", "__blk"
 
-# Rows of one key from which its runs are spread over bins and blocks.
-HOT_GROUP_ROWS = 2_000_000
+# Rows of one key from which its runs are spread over bins and blocks; up to it one task sorts them.
+HOT_GROUP_ROWS = 250_000
 # Positions of one key that one window pairs.
-BLOCK_ROWS = 500_000
+BLOCK_ROWS = 250_000
 # Cells (rows times columns, two more for each row itself) that one task sorts, on average: 50 bytes each as measured.
 TASK_CELLS = 4_000_000
 # Rows one task generates per chunk when a long run is expanded back to

@@ -80,3 +80,15 @@ def test_tasks_that_sort_rows_grow_with_the_loads(spark, lineitem, monkeypatch):
         seen.append(-(-rows * (columns + 2) // R.TASK_CELLS))
         assert f", {seen[-1]}), REPARTITION_BY_NUM" in plan(rec.stats())
     assert own < seen[0] < seen[1]
+
+
+def test_keys_of_one_task_are_bounded_and_pairs_stay(spark, lineitem, monkeypatch):
+    k = (F.col("l_orderkey") % 3).alias("k")
+    left, right = lineitem.select(k, "l_tax", "l_partkey"), lineitem.where("l_partkey % 7 <> 0").select(k, "l_tax", "l_suppkey")
+    want = [(c.counts().first(), c.columns().collect()) for c in (R.reconcile(left, right, ["k"], hot_group_rows=h) for h in (10 ** 9, 50))]
+    monkeypatch.setattr(R, "TASK_CELLS", 500)
+    rec = R.reconcile(left, right, ["k"], hot_group_rows=50, block_rows=70)
+    assert [(rec.counts().first(), rec.columns().collect())] * 2 == want
+    assert "REPARTITION_BY_NUM" in plan(rec.stats())
+    # what a task may sort of one key, in the cells of a narrow row
+    assert 2 * R.HOT_GROUP_ROWS * 4 <= 4_000_000 and 4 * R.BLOCK_ROWS * 4 <= 4_000_000
