@@ -20,6 +20,10 @@ share one of their first ``|s| - ceil(t |s|) + 1`` members, their prefix.
    differ in members are out; the sets of the pairs left are built again from
    their texts and compared exactly, and components are taken again.
 
+A prefix keeps the upper ``KEPT`` bytes of each member's key, a tail ``HALF`` of
+them.  Members that become equal by that only add candidates: equal values of a
+tail are numbered, so that two tails share at least as many as before.
+
 No link between different texts is lost: step 4 visits every pair of nodes in
 different components that shares a prefix member.
 
@@ -43,7 +47,7 @@ from pyspark.sql import functions as F
 
 from .common import bucket_bits, bucket_of, by_bucket, count_locally, each_bucket, heavy_hashes, partitions, payload_batches, saved, scatter, whole_groups
 from .components import components
-from .words import Words, batches_of, gram_starts, grams, hashed, mix
+from .words import Words, batches_of, gram_starts, grams, hashed, mix, text_buffer
 
 #: Words of a shingle; the similarity as a fraction of whole numbers.
 SHINGLE, ABOVE, OF = 4, 85, 100
@@ -104,6 +108,36 @@ def _heavy(rows: DataFrame, n: int, bits: int) -> np.ndarray:
 
 
 PARTS = ["high", "low", "marks"]  # of a node: the halves of its prefix's members, and its signature
+#: Bytes of a member's key that a prefix keeps, in two halves; the first one tells heavy members apart.
+KEPT, HALF = 6, 3
+
+
+def halves(prefix: np.ndarray) -> tuple[bytes, bytes]:
+    """The upper ``KEPT`` bytes of sorted keys as two columns of ``HALF`` bytes each, in the same order; equal members stay equal."""
+    raw = np.ascontiguousarray(prefix.astype(">u8")).view(np.uint8).reshape(-1, 8)
+    return raw[:, HALF - 1::-1].tobytes(), raw[:, KEPT - 1:HALF - 1:-1].tobytes()
+
+
+def _whole(half: bytes | np.ndarray) -> np.ndarray:
+    """The numbers of a column of ``HALF`` bytes each."""
+    out = np.zeros((len(half) // HALF, 4), np.uint8)
+    out[:, :HALF] = np.frombuffer(half, np.uint8).reshape(-1, HALF)
+    return out.view("<u4").ravel()
+
+
+def tail_codes(data: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The sorted members of tails, one after the other from ``first`` on; equal ones of a tail are numbered and stay sorted."""
+    code = _whole(data)
+    again = np.zeros(len(code), bool)
+    again[1:] = code[1:] == code[:-1]
+    again[first[(first > 0) & (first < len(code))]] = False
+    if not again.any():
+        return code << np.uint32(8)
+    at = np.arange(len(code))
+    number = at - np.maximum.accumulate(np.where(again, 0, at))
+    if number.max() < 256:
+        return code << np.uint32(8) | number.astype(np.uint32)
+    return code.astype(np.uint64) << np.uint64(32) | number.astype(np.uint64)
 
 
 def signature(s: np.ndarray) -> bytes:
@@ -140,8 +174,9 @@ def set_prefixes(rows: DataFrame, n: int, above: int, of: int) -> DataFrame:
                     one.append(int(mix(s).sum(dtype=np.uint64).view(np.int64)))
                     two.append(int(mix(s ^ np.uint64(0x5BF03635)).sum(dtype=np.uint64).view(np.int64)))
                     prefix = _ordered(s, hot, rank)[:prefix_length(len(s), above, of)] if len(s) else s
-                    high.append((prefix >> np.uint64(32)).astype("<u4").tobytes())  # in the same order; equal members stay equal
-                    low.append(prefix.astype("<u4").tobytes())
+                    upper, lower = halves(prefix)
+                    high.append(upper)
+                    low.append(lower)
                     marks.append(signature(s))
             yield pa.record_batch([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
                                    *(pa.array(x, pa.binary()) for x in (high, low, marks))], names=["doc_id", "n_shingles", "fp_a", "fp_b", *PARTS])
@@ -179,7 +214,7 @@ def shared_members(nodes: DataFrame) -> DataFrame:
             nonlocal held, size
             for batch in batches:
                 for rep, n, high, low in zip(*(batch.column(c).to_pylist() for c in ("rep", "n", "high", "low"))):
-                    t = np.frombuffer(high, "<u4").astype(np.uint64) << np.uint64(32) | np.frombuffer(low, "<u4")
+                    t = _whole(high).astype(np.uint64) << np.uint64(8 * HALF) | _whole(low)
                     held.append((t, np.full(len(t), rep, np.int64), np.full(len(t), n, np.uint32), np.arange(len(t), dtype=np.uint32)))
                     size += len(t)
                 if size > CHUNK_MEMBERS:
@@ -424,12 +459,15 @@ def tree_candidates(entries: DataFrame, nodes: DataFrame, above: int, of: int, b
     tails = nodes.select("rep", "n", "high")
     dealt = (mixed.withColumn("unit", unit).select("unit", "token", "rep", "n", "pos", "component", "own", "other")
              .join(tails, ["rep", "n"]).select("unit", "token", "rep", "n", "pos", "component", "own", "other",
-                                               F.expr("substring(high, 4 * (pos + 1) + 1)").alias("tail")))
+                                               F.expr(f"substring(high, {HALF} * (pos + 1) + 1)").alias("tail")))
 
     def meet(batches):
         for table in whole_groups(batches, "unit"):
             unit = table.column("unit").to_numpy()
-            cols = [table.column(c).to_pylist() for c in ("token", "rep", "n", "component", "pos", "own", "other", "tail")]
+            cols = [table.column(c).to_pylist() for c in ("token", "rep", "n", "component", "pos", "own", "other")]
+            data, first = text_buffer(table.column("tail"))
+            first //= HALF
+            codes = tail_codes(data, first)
             cut = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]]).tolist()
             found = set()
             for lo, hi in zip(cut, [*cut[1:], len(unit)]):
@@ -441,7 +479,7 @@ def tree_candidates(entries: DataFrame, nodes: DataFrame, above: int, of: int, b
                 for key, at in by_token.items():
                     if len({cols[3][i] for i in at}) < 2:
                         continue
-                    group = [(cols[1][i], cols[2][i], cols[3][i], cols[4][i], np.frombuffer(cols[7][i], "<u4").tolist()) for i in at]
+                    group = [(cols[1][i], cols[2][i], cols[3][i], cols[4][i], codes[first[i]:first[i + 1]].tolist()) for i in at]
                     blocks = [cols[5][i] for i in at]
                     if key[1] != key[2] and len(set(blocks)) < 2:
                         continue

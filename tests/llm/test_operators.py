@@ -75,6 +75,36 @@ def test_prefix_tree_loses_no_pair():
                 assert (j, i) in found
 
 
+def test_prefixes_keep_six_bytes_of_a_member(spark):
+    rows = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(400)))], "doc_id long, text string")
+    r = J.set_prefixes(rows, 4, 85, 100).first()
+    members = J.prefix_length(397, 85, 100)
+    assert (len(r["high"]), len(r["low"])) == (3 * members, 3 * members)
+    keys = np.sort(np.random.default_rng(5).integers(1 << 64, size=500, dtype=np.uint64))
+    high, low = J.halves(keys)
+    assert np.array_equal(J._whole(high).astype(np.uint64) << np.uint64(24) | J._whole(low), keys >> np.uint64(16))
+
+
+def test_members_that_become_equal_lose_no_pair():
+    """Tails whose members share their upper bytes: at least as many are shared as before."""
+    rng = np.random.default_rng(6)
+    for few in (1, 3, 40):
+        sets = [np.sort(rng.choice(np.arange(few * 8, dtype=np.uint64), min(few * 8, 12), replace=False)) for _ in range(6)]
+        keys = [(s // np.uint64(8)) << np.uint64(40) | (s % np.uint64(8)) for s in sets]
+        first = np.cumsum([0, *map(len, keys)])
+        codes = J.tail_codes(np.frombuffer(b"".join(J.halves(k)[0] for k in keys), np.uint8), first)
+        tails = [codes[a:b].tolist() for a, b in zip(first, first[1:])]
+        for x, kx in zip(tails, keys):
+            assert x == sorted(x) and len(set(x)) == len(x)
+            for y, ky in zip(tails, keys):
+                assert len(set(x) & set(y)) >= len(np.intersect1d(kx, ky))
+    many = np.zeros(300 * 3, np.uint8)
+    assert len(set(J.tail_codes(many, np.array([0, 300])).tolist())) == 300
+    # two sets of five members, four of them shared, whose tails are of one value
+    group = [(i, 5, i, 0, J.tail_codes(np.zeros(9, np.uint8), np.array([0, 3])).tolist()) for i in (1, 2)]
+    assert list(J.tree_pairs(group, [0, 0], 60, 100)) == [(1, 2)]
+
+
 def test_components(engine):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 50), (50, 70), (7, 7)]
     got = dict(tuple(r) for r in components(engine.createDataFrame(edges, "a long, b long")).collect())
