@@ -53,6 +53,8 @@ HELD, CELLS = 0.8, 2_000_000
 SPAN, MORE, TOGETHER = 1.5, 0.15, 256
 #: Cells of the table of items by words; beyond it their pairs are searched.
 TABLE = 1 << 23
+#: A word that an item has so many times, or more, counts as often as a text has it.
+ENDLESS = 255
 #: Bytes of items that are searched together.
 BLOCK_BYTES = 1 << 20
 _PARTS = 32
@@ -113,6 +115,27 @@ def _passages(w: Words) -> np.ndarray:
     return np.cumsum(new) - 1
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """The sorted distinct values, by a sort: faster here than a table of hashes."""
+    x = np.sort(x)
+    new = np.ones(len(x), bool)
+    new[1:] = x[1:] != x[:-1]
+    return x[new]
+
+
+def _row_sums(values: np.ndarray, at: np.ndarray, cut: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The sum of ``values[at]`` over each stretch of ``many`` places from ``cut`` on; no stretch is longer than a passage."""
+    by = np.argsort(-many, kind="stable")
+    start, left = cut[by], -many[by]
+    rows = values[at[start]]
+    for k in range(1, -int(left[0])):
+        go_on = np.searchsorted(left, -k)
+        rows[:go_on] += values[at[start[:go_on] + k]]
+    out = np.empty_like(rows)
+    out[by] = rows
+    return out
+
+
 def _summed(df: DataFrame, run, size: int) -> np.ndarray:
     """The sum over all tasks of the vector of ``size`` numbers that ``run`` makes of a task's batches."""
 
@@ -157,7 +180,7 @@ class Space:
                     held = True
                     f, p = shared.value.features(hashed(w)), _passages(w)
                     n[d] += p[-1] + 1
-                    pair = np.unique(p[f >= 0] * np.int64(d) + f[f >= 0])
+                    pair = _distinct(p[f >= 0] * np.int64(d) + f[f >= 0])
                     n[:d] += np.bincount(pair % d, minlength=d)
             return n if held else None
 
@@ -180,8 +203,8 @@ class Space:
                         continue
                     held = True
                     cut = np.flatnonzero(np.r_[True, p[1:] != p[:-1]])
-                    rows = np.add.reduceat(scaled[f], cut, axis=0)
                     many = np.diff(np.r_[cut, len(f)])
+                    rows = _row_sums(scaled, f, cut, many)
                     norm = np.add.reduceat(w_idf[f] ** 2, cut)  # rows of unit length, but for repeated words
                     rows /= norm[:, None]
                     order = np.argsort(f, kind="stable")
@@ -233,11 +256,12 @@ class Searcher:
             norm = np.maximum(np.linalg.norm(zi, axis=1), 1e-9)
             self.classes.append((max(1, int(round(GROW ** s / GRAIN))), at, (zi / norm[:, None]).T.copy(), norm))
         self.features, self.sizes = len(items.known), sizes
-        self.pairs = np.unique(np.concatenate([i * self.features + items.features(h) for i, h in enumerate(items.words)]))
+        self.pairs, times = np.unique(np.concatenate([i * self.features + items.features(h) for i, h in enumerate(items.words)]), return_counts=True)
+        self.times = np.minimum(times, ENDLESS).astype(np.uint8)  # of a word in an item
         self.table = None
         if len(items.words) * self.features <= TABLE:
-            self.table = np.zeros((len(items.words), self.features), bool)
-            self.table.ravel()[self.pairs] = True
+            self.table = np.zeros((len(items.words), self.features), np.uint8)
+            self.table.ravel()[self.pairs] = self.times
         self.lists = [h.tolist() for h in items.words]
         self.answer_lists = [h.tolist() for h in items.answers]
 
@@ -284,7 +308,7 @@ class Searcher:
             looks = (at - top) // step - low + 1
             q = np.repeat(low - np.cumsum(looks) + looks, looks) + np.arange(looks.sum())
             wide = int(q.max()) + 1
-            key = np.unique((np.repeat(item, looks) * w.rows + np.repeat(row, looks)) * wide + q)
+            key = _distinct((np.repeat(item, looks) * w.rows + np.repeat(row, looks)) * wide + q)
             item, row, q = key // wide // w.rows, key // wide % w.rows, key % wide
             start = w.first[row] + q * self.grid[item]
             # up to the step beyond the span: what begins before the next look ends within this one
@@ -293,7 +317,11 @@ class Searcher:
                 width = np.arange(int((end[a:b] - start[a:b]).max()))
                 words = f[np.minimum(start[a:b, None] + width, len(f) - 1)]
                 found = self._has(item[a:b], words) & (width < (end - start)[a:b, None])
-                for x in a + np.flatnonzero(found.sum(axis=1) >= self.needed[item[a:b]]):
+                enough = np.flatnonzero(found.sum(axis=1) >= self.needed[item[a:b]])
+                if not len(enough):
+                    continue
+                most = self._in_common(item[a + enough], np.where(found[enough], words[enough], self.features))
+                for x in a + enough[most >= self.needed[item[a + enough]]]:
                     yield int(row[x]), int(item[x]), int(start[x]), int(end[x])
 
     @staticmethod
@@ -308,19 +336,22 @@ class Searcher:
         n = -(-len(f) // GRAIN)
         padded = np.full(n * GRAIN, -1)
         padded[:len(f)] = f
-        run = np.zeros((n + 1, self.vectors.shape[1]), np.float32)
-        parts = padded.reshape(n, GRAIN)
-        run[1:] = self.vectors[parts[:, 0]]
+        last = max(c[0] for c in self.classes)
+        run = np.zeros((n + 1 + last, self.vectors.shape[1]), np.float32)  # windows that reach beyond the end end there
+        parts, own = padded.reshape(n, GRAIN), run[1:n + 1]
+        own[:] = self.vectors[parts[:, 0]]
         for k in range(1, GRAIN):
-            run[1:] += self.vectors[parts[:, k]]
-        np.cumsum(run, axis=0, out=run)
+            own += self.vectors[parts[:, k]]
+        np.cumsum(run[:n + 1], axis=0, out=run[:n + 1])
+        run[n + 1:] = run[n]
         for size, at, unit, norm in self.classes:
             move = max(1, size // STEPS)
             start = np.arange(0, max(1, n - size + 1 + move), move)
             step = max(1, CELLS // len(at))
             for lo in range(0, len(start), step):
                 s = start[lo:lo + step]
-                z = run[np.minimum(s + size, n)] - run[s]
+                a, b = int(s[0]), int(s[-1]) + 1
+                z = run[a + size:b + size:move] - run[a:b:move]
                 dot = z @ unit
                 length = np.sqrt(np.einsum("ij,ij->i", z, z))
                 i, j = np.divmod(np.flatnonzero(dot >= (COSINE * length)[:, None]), len(at))
@@ -333,24 +364,41 @@ class Searcher:
     def _has(self, item: np.ndarray, words: np.ndarray) -> np.ndarray:
         """Whether the item of a row has each of the row's words."""
         if self.table is not None:
-            return self.table[item[:, None], words] & (words >= 0)
+            return (self.table[item[:, None], words] > 0) & (words >= 0)
         key = item[:, None] * self.features + words
         return (self.pairs[np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)] == key) & (words >= 0)
 
+    def _in_common(self, item: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """How many words each item and its row have in common, whatever their order; a row's words are the item's, or ``features`` for none."""
+        words = np.sort(words, axis=1)
+        at = np.arange(words.shape[1])
+        new = np.ones(words.shape, bool)
+        new[:, 1:] = words[:, 1:] != words[:, :-1]
+        number = at - np.maximum.accumulate(np.where(new, at, 0), axis=1)
+        word = np.minimum(words, self.features - 1)
+        key = item[:, None] * self.features + word
+        times = self.table[item[:, None], word] if self.table is not None else self.times[np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)]
+        return ((words < self.features) & ((number < times) | (times == ENDLESS))).sum(axis=1)
+
     def _holding(self, f: np.ndarray, start: np.ndarray, item: np.ndarray, size: int) -> Iterator[tuple[int, int, int]]:
         """The candidates whose window holds enough words of the item, whatever their order."""
         words = f[np.minimum(start[:, None] + np.arange(size), len(f) - 1)]
         keep = self._has(item, words).sum(axis=1) >= LOOSE * HELD * self.sizes[item]
         yield from zip(start[keep].tolist(), [size] * int(keep.sum()), item[keep].tolist())
 
-    def verify(self, words: list[int], item: int) -> float:
-        """The part of the item's words in the common subsequence with a text, 0 if that is no hit."""
+    def verify(self, words: list[int], item: int, known: list[int] | None = None) -> float:
+        """The part of the item's words in the common subsequence with a text, 0 if that is no hit; with ``known``, ``words`` may be only the item's."""
         whole, answer = self.lists[item], self.answer_lists[item]
         part = _bit_lcs(whole, words) / len(whole)
-        if part >= SAME or part >= LOOSE and answer and _bit_lcs(answer, words) >= ANSWER * len(answer):
+        if part >= SAME or part >= LOOSE and answer and _bit_lcs(answer, words if known is None else known) >= ANSWER * len(answer):
             return part
         return 0.0
 
+    def _part(self, h: np.ndarray, f: np.ndarray, item: int) -> float:
+        """``verify`` for a text's hashes and features: words that the item doesn't have can't be part of a common subsequence."""
+        own = h[self._has(np.array([item]), f[None])[0]]
+        return self.verify(own.tolist(), item, h[f >= 0].tolist()) if len(own) >= LOOSE * self.sizes[item] else 0.0
+
     def hits(self, w: Words) -> dict[tuple[int, int], tuple[float, int, int]]:
         """(row, item): (part found, first and end word of where) for the words of a slice."""
         h = hashed(w)
@@ -366,12 +414,11 @@ class Searcher:
                 if hi <= lo or done.get((row, item), -1) >= lo + m // 4:  # the last look covered this place
                     continue
                 done[row, item] = lo
-                # words that no item has can't be part of a common subsequence
-                part = self.verify(h[lo:hi][f[lo:hi] >= 0].tolist(), item)
+                part = self._part(h[lo:hi], f[lo:hi], item)
                 if part > out.get((row, item), (0.0, 0, 0))[0]:
                     out[row, item] = (part, lo - int(w.first[row]), hi - int(w.first[row]))
         for row, item, lo, hi in self.stretches(f, w):
-            part = self.verify(h[lo:hi][f[lo:hi] >= 0].tolist(), item)
+            part = self._part(h[lo:hi], f[lo:hi], item)
             if part > out.get((row, item), (0.0, 0, 0))[0]:
                 out[row, item] = (part, lo - int(w.first[row]), hi - int(w.first[row]))
         return out

@@ -363,6 +363,36 @@ def test_decontaminate_finds_every_paraphrase(engine, monkeypatch, table):
                 assert (doc, i) in got, (doc, i)
 
 
+@pytest.mark.parametrize("table", [1 << 23, 0])
+def test_places_without_enough_of_an_items_words_are_not_compared(monkeypatch, table):
+    """A word counts as often as item and text both have it: a place that repeats one word is no candidate."""
+    monkeypatch.setattr(decontaminate, "TABLE", table)
+    rng = np.random.default_rng(8)
+    items = decontaminate.Items([1, 2], ["a b c d e f g h i j k l m n o p", "a a a b b c d e f q r s t u v w x y"])
+    search = decontaminate.Searcher(items, np.zeros((len(items.known), 2), np.float32), np.ones(len(items.known)))
+    lists, none = [items.features(h) for h in items.words], search.features
+    for _ in range(30):
+        words = rng.integers(0, none + 1, (5, 24))
+        words[0] = words[0, 0]
+        for item, own in enumerate(lists):
+            here = np.where(np.isin(words, own), words, none)
+            want = [sum(min((r == x).sum(), (own == x).sum()) for x in np.unique(own)) for r in here]
+            assert search._in_common(np.full(5, item), here).tolist() == want
+    compared = []
+    monkeypatch.setattr(decontaminate, "_bit_lcs", lambda a, b: compared.append((a, b)) or 0)
+    for text in ("a z a b z a a z a a z a b a z a z a b a a z a a", "x y a a y x a a a a x x y y a a a x a a a a b"):
+        held = decontaminate._slices(pa.record_batch([pa.array([text])], names=["text"]), "text")
+        assert not [x for _, _, w in held for x in search.hits(w)]
+    assert not compared
+
+
+def test_row_sums():
+    rng = np.random.default_rng(9)
+    values, many = rng.normal(size=(50, 7)), rng.integers(1, 33, 200)
+    cut, at = np.r_[0, np.cumsum(many)[:-1]], rng.integers(0, 50, many.sum())
+    assert np.allclose(decontaminate._row_sums(values, at, cut, many), np.add.reduceat(values[at], cut, axis=0))
+
+
 def test_bit_lcs():
     rng = np.random.default_rng(1)
     for _ in range(50):
