@@ -1,6 +1,7 @@
 """Every operator against brute force, an exact round trip or held-out accuracy, and on odd rows."""
 
 import hashlib
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import dayload.llm.ngram_join as J
-from dayload.llm import decontaminate, license_scan, lm_score, multi_index, toxicity, url_filter
+from dayload.llm import bpe_lexicon, decontaminate, license_scan, lm_score, multi_index, toxicity, unit_cache, url_filter
 from dayload.llm.bpe_lexicon import build_lexicon, compile_lexicon, decode_documents, encode_digests, encode_documents, frequent_pieces, Lexicon
 from dayload.llm.components import components
 from dayload.llm.multi_index import _walk, nearest
@@ -428,6 +429,41 @@ def test_bpe_is_the_library(engine, small, odd):
     assert encode_digests(odd.where("false"), BYTE, path).count() == 0
 
 
+def test_a_worker_holds_little_for_a_unit():
+    n = 60_000
+    text = pa.array([" ".join(f"w{i}x" for i in range(a, a + 100)) for a in range(0, n, 100)])
+    tracemalloc.start()
+    try:
+        enc = bpe_lexicon.Encoder(bpe_lexicon.Merges(BYTE), None)
+        before = tracemalloc.get_traced_memory()[0]
+        for _ in bpe_lexicon._encoded(text, enc):
+            pass
+        held = tracemalloc.get_traced_memory()[0] - before
+    finally:
+        tracemalloc.stop()
+    assert held < 100 * n  # 249 bytes for each number when units were Python objects
+
+
+def test_units_outlive_blocks_and_a_full_cache(monkeypatch):
+    monkeypatch.setattr(unit_cache, "BLOCK_UNITS", 7)
+    cache = unit_cache.UnitCache(lambda units: [list(u) for u in units], 50)
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        units = [bytes(rng.integers(0, 4, rng.integers(0, 4)).astype(np.uint8)) for _ in range(rng.integers(0, 40))]
+        data, size = np.frombuffer(b"".join(units), np.uint8), np.array([len(u) for u in units], np.int64)
+        ids, sizes = cache.gather(cache.index(data, np.cumsum(size) - size, np.cumsum(size)))
+        assert ids.tolist() == list(b"".join(units)) and sizes.tolist() == size.tolist()
+        assert cache.units == len(cache.keys) == len(set(cache.keys.tolist())) <= 50
+
+
+def test_long_rows_are_printed_in_parts(monkeypatch):
+    monkeypatch.setattr(bpe_lexicon, "PRINTED_IDS", 3)
+    out = bpe_lexicon.Printed([b"", b"a", b"bcd", b"ef"])
+    ids, first = np.array([2, 0, 1, 3, 3, 0, 0, 0, 2, 1]), np.array([0, 0, 4, 4, 5, 8, 10, 10])
+    assert list(out.rows(ids, first)) == [b"", b"bcdaef", b"", b"ef", b"", b"bcda", b""]
+    assert list(out.rows(ids[:0], np.zeros(3, np.int64))) == [b"", b""]
+
+
 def test_frequent_pieces_stay_under_the_bound(engine):
     texts = ["a " * 5000, "bb " * 4100, "cc " * 900, "dd " * 900, "ee " * 30, "once"]
     df = engine.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
